@@ -1 +1,256 @@
-"""Queries that write tables or run streams."""
+"""Queries that run streams over the given tables, or put batches into keyed tables, and read the result back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shoptide import schemas
+from shoptide.functions import fields, records
+from shoptide.operators import dashboard, gmv
+from shoptide.plans import batch as B
+from shoptide.plans import views as V
+from shoptide.plans.registry import query
+from shoptide.session import scratch_dir
+from shoptide.sinks import outputs
+from shoptide.sinks.keyed_table import KeyedTable
+from shoptide.sources.streams import parse_changes, table_stream
+from shoptide.sources.tables import read_table
+from shoptide.streaming import jobs
+
+
+def text_fields(*names: str, **typed: T.DataType) -> T.StructType:
+    listed = [T.StructField(n, T.StringType()) for n in names]
+    return T.StructType(listed + [T.StructField(n, t) for n, t in typed.items()])
+
+
+DAU_DETAIL = T.StructType([*schemas.STARTUP_LOG.fields, *text_fields("log_date", "log_hour").fields])
+SEEN = text_fields("mid", "log_date")
+ORDER_ROWS = T.StructType(
+    [*schemas.ORDER_INFO.fields, *text_fields("create_date", "create_hour", "create_month", offset=T.LongType()).fields]
+)
+USER_ROWS = T.StructType([*schemas.USER_INFO.fields, T.StructField("offset", T.LongType())])
+ALERT_DOCS = T.StructType(
+    [
+        *text_fields("doc_id", "mid").fields,
+        *(T.StructField(n, T.ArrayType(T.StringType())) for n in ("uids", "item_ids", "events")),
+        T.StructField("window_start", T.LongType()),
+        T.StructField("ts", T.LongType()),
+        T.StructField("index_name", T.StringType()),
+    ]
+)
+SALE_DOCS = text_fields(
+    "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_gender", "user_level",
+    "sku_name", "dt", "index_name", user_age=T.IntegerType(), sku_price=T.DoubleType(),
+)
+
+
+def dau_tables(root: str) -> tuple[KeyedTable, KeyedTable]:
+    """First starts, and the devices seen, by day."""
+    detail = KeyedTable(f"{root}/dau", DAU_DETAIL, key="mid", partition="log_date", order=("ts",))
+    return detail, KeyedTable(f"{root}/seen", SEEN, key="mid", partition="log_date")
+
+
+def order_table(root: str) -> KeyedTable:
+    """Orders by month. Within a month, rows of a day sit in few row groups, since they arrive together."""
+    return KeyedTable(f"{root}/orders", ORDER_ROWS, key="id", partition="create_month", order=("offset",))
+
+
+def user_table(root: str) -> KeyedTable:
+    return KeyedTable(f"{root}/users", USER_ROWS, key="id", order=("offset",))
+
+
+def alert_index(root: str) -> KeyedTable:
+    return KeyedTable(f"{root}/alerts", ALERT_DOCS, key="doc_id", partition="index_name", order=("ts",))
+
+
+def sale_index(root: str) -> KeyedTable:
+    return KeyedTable(f"{root}/sales", SALE_DOCS, key="order_detail_id", partition="index_name", order=("dt",))
+
+
+def _records(stream: DataFrame, columns: list, offset: str, timestamp=None) -> DataFrame:
+    """A table's stream as topic records: JSON text, offset, arrival."""
+    value = F.to_json(F.struct(*columns)).alias("value")
+    arrival = F.current_timestamp() if timestamp is None else timestamp
+    return stream.select(value, F.col(offset).cast("bigint").alias("offset"), arrival.alias("timestamp"))
+
+
+def startup_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = table_stream(spark, f"{sf_dir}/events.parquet").where(F.col("event_type") == "view")
+    return _records(views, V.startup_columns(), "event_id")
+
+
+def event_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(table_stream(spark, f"{sf_dir}/events.parquet"), V.event_columns(), "event_id")
+
+
+def order_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrived = V.order_columns()[-1].cast("timestamp")
+    return _records(table_stream(spark, f"{sf_dir}/orders.parquet"), V.order_columns(), "o_orderkey", arrived)
+
+
+def user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(table_stream(spark, f"{sf_dir}/customer.parquet"), V.customer_columns(), "c_custkey")
+
+
+def finish(writer) -> None:
+    """Work off everything there is."""
+    jobs.start(writer, every_s=None).awaitTermination()
+
+
+# ---------------------------------------------------------------- keyed tables
+
+
+@query(
+    "q_gmv_upsert",
+    f"""WITH {V.ORDER_INFO} SELECT id, substr(consignee_tel, 1, 4) || '*******' AS consignee_tel, create_date,
+    CASE order_status WHEN 'F' THEN 'DONE' ELSE order_status END AS order_status, total_amount FROM order_info""",
+)
+def gmv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders put once, then the finished ones again under another status, that batch twice."""
+    table = order_table(scratch_dir(spark, "gmv-")).create(spark)
+    orders = gmv.ingest_orders(records.parse_order(B._as_json(V.order_info(spark, sf_dir))))
+    rows = gmv.with_month(orders).withColumn("offset", F.lit(0).cast("bigint"))
+    done = rows.where(F.col("order_status") == "F").withColumn("order_status", F.lit("DONE"))
+    table.write(rows, 0)
+    table.write(done, 1)
+    table.write(done, 1)
+    return table.read(spark).select("id", "consignee_tel", "create_date", "order_status", "total_amount")
+
+
+@query(
+    "q_sale_index_upsert",
+    f"""WITH {V.SALE_DETAIL} SELECT order_detail_id, user_id, dt, 'sale_detail-{V.AS_OF}' AS index_name,
+    CASE order_status WHEN 'F' THEN 'DONE' ELSE order_status END AS order_status FROM sale_detail
+    UNION ALL SELECT NULL, user_id, dt, 'sale_detail-{V.AS_OF}', order_status FROM sale_detail WHERE order_status = 'P'""",
+)
+def sale_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales put by line, some again; documents without an id are added, each on its own."""
+    table = sale_index(scratch_dir(spark, "sale-")).create(spark)
+    sales = B._sales(spark, sf_dir).withColumn("index_name", fields.index_name("sale_detail", V.AS_OF))
+    done = sales.where(F.col("order_status") == "F").withColumn("order_status", F.lit("DONE"))
+    loose = sales.where(F.col("order_status") == "P").withColumn("order_detail_id", F.lit(None).cast("string"))
+    table.write(sales, 0)
+    table.write(done.unionByName(loose), 1)
+    return table.read(spark).select("order_detail_id", "user_id", "dt", "index_name", "order_status")
+
+
+# ---------------------------------------------------------------- streams
+
+
+@query("q_stream_dau_detail", f"WITH {V.FIRST_STARTS} SELECT mid, log_date, log_hour, uid, ts FROM dau")
+def stream_dau_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "dau-")
+    detail, seen = dau_tables(root)
+    detail.create(spark), seen.create(spark)
+    finish(jobs.dau_job(startup_topic(spark, sf_dir), detail, seen, f"{root}/checkpoint"))
+    return detail.read(spark).select("mid", "log_date", "log_hour", "uid", "ts")
+
+
+@query("q_stream_dau_state", f"WITH {V.STARTUP_LOG} SELECT DISTINCT mid, log_date FROM startup_log")
+def stream_dau_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "dau-state-")
+    first = jobs.first_starts_stream(startup_topic(spark, sf_dir)).select("mid", "log_date")
+    writer = first.writeStream.format("parquet").option("path", f"{root}/dau")
+    finish(writer.option("checkpointLocation", f"{root}/checkpoint"))
+    return spark.read.schema(first.schema).parquet(f"{root}/dau")
+
+
+@query(
+    "q_stream_gmv",
+    f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, round(sum(total_amount), 2) AS value FROM order_info
+    GROUP BY ALL""",
+)
+def stream_gmv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "gmv-stream-")
+    table = order_table(root).create(spark)
+    finish(jobs.gmv_job(order_topic(spark, sf_dir), table, f"{root}/checkpoint"))
+    return dashboard.by_hour(table.read(spark), "order_amount")
+
+
+@query(
+    "q_stream_user_latest",
+    f"WITH {V.USER_INFO} SELECT id, login_name, user_level, birthday, gender FROM user_info",
+)
+def stream_user_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "users-")
+    table = user_table(root).create(spark)
+    finish(jobs.user_job(user_topic(spark, sf_dir), table, f"{root}/checkpoint"))
+    return table.read(spark).drop("offset")
+
+
+@query(
+    "q_stream_alerts",
+    f"""WITH {B._ALERTS} SELECT mid || '-' || (ts // 60000) AS doc_id, mid, uids, item_ids, events, ts FROM alerts
+    WHERE ts <= (SELECT max(ts) - 10000 FROM event_log)""",
+)
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that end ten seconds or less before the last event are not closed yet."""
+    root = scratch_dir(spark, "alerts-")
+    index = alert_index(root).create(spark)
+    job = jobs.alert_job(
+        event_topic(spark, sf_dir), index, f"{root}/checkpoint",
+        length_s=B.ALERT_LENGTH_S, slide_s=B.ALERT_SLIDE_S,
+    )
+    finish(job)
+    found = B._joined(index.read(spark), "uids", "item_ids", "events")
+    return found.select("doc_id", "mid", "uids", "item_ids", "events", "ts")
+
+
+@query(
+    "q_stream_sale_detail",
+    f"""WITH {V.SALE_DETAIL} SELECT order_detail_id, order_id, order_status, user_id, sku_id, user_gender, user_age,
+    user_level, sku_price, sku_name, dt, 'sale_detail-{V.AS_OF}' AS index_name
+    FROM sale_detail WHERE delay_s BETWEEN -100 AND 100""",
+)
+def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams joined within 100 seconds, then with a user table that a third stream has filled."""
+    root = scratch_dir(spark, "sales-")
+    index, users = sale_index(root).create(spark), user_table(root).create(spark)
+    known = V.user_info(spark, sf_dir, ~F.expr(V.IN_DEBT)).withColumn("offset", F.lit(0).cast("bigint"))
+    users.write(known, 0)
+    details = V.timed_details(_line_stream(spark, sf_dir), V.order_info(spark, sf_dir))
+    lines = details.select(
+        F.to_json(F.struct("id", "order_id", "sku_name", "sku_id", "order_price", "sku_num")).alias("value"),
+        F.col("detail_time").alias("timestamp"),
+    )
+    job = jobs.sale_job(
+        order_topic(spark, sf_dir), lines, lambda s, wanted: users.read(s, only=wanted), index,
+        f"{root}/checkpoint", as_of=V.AS_OF,
+    )
+    finish(job)
+    return index.read(spark).drop("create_time")
+
+
+def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read_table(spark, sf_dir, "part")
+    return V.line_columns(table_stream(spark, f"{sf_dir}/lineitem.parquet"), parts)
+
+
+@query(
+    "q_stream_log_topics",
+    f"""WITH {V.RAW_LOGS} SELECT CASE WHEN event_type = 'view' THEN 'startup' ELSE 'event' END AS topic,
+    opened || ',"ts":{V.NOW_MS}}}' AS value, '{V.AS_OF}' AS log_date FROM raw_logs""",
+)
+def stream_log_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines stamped, sent to their topic and kept in the day's log file."""
+    root = scratch_dir(spark, "logs-")
+    lines = V.log_columns(table_stream(spark, f"{sf_dir}/events.parquet"))
+    collected = jobs.collect_logs(lines, F.lit(V.NOW_MS))
+    finish(outputs.to_topic_files(collected.select("topic", "value"), f"{root}/topics", f"{root}/topics-checkpoint"))
+    finish(outputs.to_daily_logs(collected, f"{root}/logs", f"{root}/logs-checkpoint"))
+    sent = spark.read.schema("value string, topic string").json(f"{root}/topics")
+    logged = spark.read.schema("value string, log_date string").text(f"{root}/logs").distinct()
+    return sent.join(logged, "value").select("topic", "value", "log_date")
+
+
+@query("q_stream_cdc_topics", f"WITH {V.ROUTED} SELECT topic, image AS value FROM routed")
+def stream_cdc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database log, kept as JSON files, split into topics."""
+    root = scratch_dir(spark, "cdc-")
+    B._as_json(V.cdc_change(spark, sf_dir)).write.text(f"{root}/changes")
+    changes = parse_changes(spark.readStream.text(f"{root}/changes"))
+    finish(outputs.to_topic_files(jobs.collect_changes(changes), f"{root}/topics", f"{root}/checkpoint"))
+    return spark.read.schema("value string, topic string").json(f"{root}/topics")
+

@@ -158,10 +158,10 @@ ORDER_INFO = f"""order_info AS (
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-    )
-    parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return line_columns(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
+
+
+def line_columns(lines: DataFrame, parts: DataFrame) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity).alias("id"),
@@ -225,9 +225,13 @@ CACHED = "c_acctbal >= 5000"
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines as clients send them, starts and events mixed, without a time; comments lack a type."""
+    return log_columns(read_table(spark, sf_dir, "events"))
+
+
+def log_columns(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     log_type = F.when(kind == "view", "startup").when(kind != "error", "event")
-    return read_table(spark, sf_dir, "events").select(
+    return events.select(
         F.to_json(
             F.struct(
                 F.concat(F.lit("mid_"), _text(F.col("user_id"))).alias("mid"),

@@ -39,9 +39,12 @@ def topic_files(spark: SparkSession, topic: str, root: str, **options: str) -> D
 
 
 def table_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """A Parquet table as a stream of its files."""
+    """A Parquet table as a stream of its files, be it a folder or a single file.
+
+    A plain stream path must be a folder; a pattern, here one that matches just the path, may be either.
+    """
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:

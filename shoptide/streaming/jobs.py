@@ -16,7 +16,7 @@ from shoptide.functions.fields import index_name
 from shoptide.functions.records import parse_detail, parse_event, parse_order, parse_startup, parse_user
 from shoptide.functions.times import date_text, with_log_date_hour
 from shoptide.operators import alerts, dau, routing, sale
-from shoptide.operators.gmv import ingest_orders
+from shoptide.operators.gmv import ingest_orders, with_month
 from shoptide.sinks.keyed_table import KeyedTable
 
 log = logging.getLogger(__name__)
@@ -79,7 +79,7 @@ def gmv_job(raw: DataFrame, orders: KeyedTable, checkpoint: str) -> DataStreamWr
 
     def put(batch: DataFrame, batch_id: int) -> None:
         rows = ingest_orders(parse_order(batch, keep=("offset",)))
-        _put_counted(orders, rows, batch_id)
+        _put_counted(orders, with_month(rows), batch_id)
 
     return _each_batch(raw, checkpoint, put)
 
