@@ -26,15 +26,14 @@ def parse_records(raw: DataFrame, schema: T.StructType, value: str = "value", ke
 
     ``keep`` names columns of ``raw`` (an offset, an arrival time) to carry along.
     """
-    fields = []
-    for field in schema.fields:
-        text = F.col("record").getField(field.name)
-        typed = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
-        fields.append(typed.alias(field.name))
-    return (
-        raw.select(*keep, _parsed(schema, value).alias("record"))
-        .where(F.col("record").isNotNull() & F.col("record").getField(_BROKEN).isNull())
-        .select(*keep, *fields)
+    typed = [
+        F.col(field.name) if isinstance(field.dataType, T.StringType) else F.col(field.name).try_cast(field.dataType)
+        for field in schema.fields
+    ]
+    # As a generator the text is parsed once per row; as a plain column, the filter would parse it again.
+    parsed = raw.where(F.col(value).isNotNull()).select(*keep, F.inline(F.array(_parsed(schema, value))))
+    return parsed.where(F.col(_BROKEN).isNull()).select(
+        *keep, *[column.alias(field.name) for column, field in zip(typed, schema.fields)]
     )
 
 
@@ -69,13 +68,13 @@ def json_value(df: DataFrame, *columns: str, keep: tuple[str, ...] = ()) -> Data
     return df.select(*keep, F.to_json(F.struct(*(columns or ("*",)))).alias("value"))
 
 
-def _last_of_each(entries: Column, name: str) -> Column:
-    """Entries whose name does not come again later in the array."""
-    names = F.transform(entries, lambda e: e.getField(name))
-    return F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), e.getField(name)),
+def _last_of_each(pairs: Column, name: str) -> Column:
+    """Pairs whose name does not come again later in the array."""
+    names = pairs.getField(name)
+    later = F.filter(
+        pairs, lambda p, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), p.getField(name))
     )
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), pairs).otherwise(later)
 
 
 def object_of_pairs(pairs: Column) -> Column:
@@ -83,9 +82,11 @@ def object_of_pairs(pairs: Column) -> Column:
     return F.to_json(F.map_from_entries(_last_of_each(pairs, "name")))
 
 
-def put_key(value: Column, key: str, new: Column) -> Column:
-    """The JSON object with one key set, all other keys and their JSON types kept; null if it is not an object."""
-    members = F.map_entries(F.from_json(value, "map<string,variant>"))
-    others = F.filter(_last_of_each(members, "key"), lambda e: e.getField("key") != F.lit(key))
+def put_key(df: DataFrame, column: str, key: str, new: Column) -> DataFrame:
+    """Set one key of the JSON objects in a column, other keys and their JSON types kept; drop what is no object."""
+    # A generator, so that the text is parsed once per row however often its members are looked at.
+    parsed = F.explode(F.array(F.map_entries(F.from_json(column, "map<string,variant>"))))
+    members = df.withColumn("members", parsed).where(F.col("members").isNotNull())
+    others = F.filter(_last_of_each(F.col("members"), "key"), lambda p: p.getField("key") != F.lit(key))
     added = F.array(F.struct(F.lit(key).alias("key"), new.cast("variant").alias("value")))
-    return F.to_json(F.map_from_entries(F.concat(others, added)))
+    return members.withColumn(column, F.to_json(F.map_from_entries(F.concat(others, added)))).drop("members")

@@ -1,37 +1,32 @@
 """First and last record per key, membership, and single-value lookups.
 
-First and last are plain ``min``/``max`` aggregates over a struct that leads with the ordering columns. They
-reduce to one row per key before the shuffle, so a key that holds a third of all rows costs one row per task.
+First and last are row numbers limited to 1. Spark applies such a limit within every task before it shuffles, so
+a key that holds a third of all rows sends one row per task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
-    """Non-key columns, the ordering ones in front; the others settle ties, so results never depend on luck."""
-    return [*order, *(c for c in df.columns if c not in keys and c not in order)]
-
-
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], aggregate) -> DataFrame:
-    columns = _ranked(df, keys, order)
-    picked = df.groupBy(*keys).agg(aggregate(F.struct(*columns)).alias("picked"))
-    named = {c: F.col(c) if c in keys else F.col("picked").getField(c) for c in df.columns}
-    return picked.select(*[column.alias(name) for name, column in named.items()])
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], direction) -> DataFrame:
+    """The other columns settle ties, so the row that is kept never depends on luck."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    ranked = Window.partitionBy(*keys).orderBy(*[direction(c) for c in (*order, *rest)])
+    return df.withColumn("rank_in_key", F.row_number().over(ranked)).where("rank_in_key = 1").drop("rank_in_key")
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key."""
-    return _pick(df, keys, order, F.min)
+    return _one_per_key(df, keys, order, F.asc)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of every key: what a put-by-key store holds after all of them."""
-    return _pick(df, keys, order, F.max)
+    return _one_per_key(df, keys, order, F.desc)
 
 
 def exists_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

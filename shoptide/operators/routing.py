@@ -12,7 +12,7 @@ from shoptide.functions.records import object_of_pairs, put_key
 def stamp_logs(raw: DataFrame, now_ms: Column | None = None, value: str = "value") -> DataFrame:
     """Log lines with the arrival time as ``ts``; lines that are no JSON object are left out."""
     clock = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-    return raw.withColumn(value, put_key(F.col(value), "ts", clock)).where(F.col(value).isNotNull())
+    return put_key(raw, value, "ts", clock)
 
 
 def route_logs(
