@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 import sys
 from pathlib import Path
 
@@ -59,6 +60,8 @@ class Topics:
         self.files += 1
         hidden = target / f"_tmp-{self.files}"
         hidden.write_text("\n".join(lines) + "\n")
+        # Streams take files by modification time, which two quick calls may share.
+        os.utime(hidden, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
         hidden.rename(target / f"part-{self.files:04d}.json")
 
 
