@@ -1,9 +1,9 @@
 """Coupon-abuse alerts: several accounts take coupons on one device while nobody views an item.
 
 A sliding window puts each event into ``length / slide`` windows. Copying whole events that often is what makes
-it expensive, so events are first counted per pane (the stretch between two window edges), and only coupon and
-item-view counts of panes that can matter are spread over windows. Behaviour lists are carried as counts and
-written out once per alert, so no group of raw events is ever collected.
+it expensive. So the windows that alert are found from coupons and item views alone, reduced to panes (stretches
+between two window edges), and only the events within those windows are looked at again. Behaviour lists are
+carried as counts and written out once per alert, so no group of raw events is ever collected.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shoptide import constants as C
 from shoptide.functions.fields import index_name
 from shoptide.functions.times import minute_bucket
+from shoptide.operators.keyed import latest_by_key
 
 # From this many windows per event on, a pass over coarse stretches first is cheaper than spreading all marks.
 COARSE_FROM = 8
@@ -41,25 +42,21 @@ def _windows_of(pane: Column, length_s: int, slide_s: int) -> Column:
     return F.sequence(first, last, _ms(slide_s))
 
 
-def pane_counts(events: DataFrame, length_s: int, slide_s: int) -> DataFrame:
-    """Events per device, pane and behaviour; coupons also per account and item."""
+def _in_panes(events: DataFrame, length_s: int, slide_s: int) -> DataFrame:
+    """Events with their pane; account and item only where a coupon was taken."""
     is_coupon = F.col("evid") == C.EVENT_COUPON
-    return (
-        events.select(
-            "mid",
-            _floor_to(F.col("ts"), pane_seconds(length_s, slide_s)).alias("pane"),
-            "evid",
-            F.when(is_coupon, F.col("uid")).alias("account"),
-            F.when(is_coupon, F.col("itemid")).alias("item"),
-        )
-        .groupBy("mid", "pane", "evid", "account", "item")
-        .agg(F.count(F.lit(1)).alias("n"))
+    return events.select(
+        "mid",
+        _floor_to(F.col("ts"), pane_seconds(length_s, slide_s)).alias("pane"),
+        "evid",
+        F.when(is_coupon, F.col("uid")).alias("account"),
+        F.when(is_coupon, F.col("itemid")).alias("item"),
     )
 
 
 def alert_groups(events: DataFrame, length_s: int = C.ALERT_WINDOW_S, slide_s: int = C.ALERT_SLIDE_S) -> DataFrame:
     """All events of a device in a window, as a count per behaviour (``evid``)."""
-    panes = pane_counts(events, length_s, slide_s).groupBy("mid", "pane", "evid").agg(F.sum("n").alias("n"))
+    panes = _in_panes(events, length_s, slide_s).groupBy("mid", "pane", "evid").agg(F.count(F.lit(1)).alias("n"))
     return (
         panes.withColumn("window_start", F.explode(_windows_of(F.col("pane"), length_s, slide_s)))
         .groupBy("mid", "window_start", "evid")
@@ -68,12 +65,12 @@ def alert_groups(events: DataFrame, length_s: int = C.ALERT_WINDOW_S, slide_s: i
     )
 
 
-def _candidates(panes: DataFrame, length_s: int, min_accounts: int) -> DataFrame:
+def _candidates(marks: DataFrame, length_s: int, min_accounts: int) -> DataFrame:
     """Stretches of two window lengths in which a device has coupons of enough accounts.
 
     Every window lies within one such stretch, so windows elsewhere need not be looked at.
     """
-    spread = panes.where(F.col("account").isNotNull()).select(
+    spread = marks.where(F.col("account").isNotNull()).select(
         "mid", "account", F.explode(_windows_of(F.col("pane"), 2 * length_s, length_s)).alias("stretch")
     )
     return (
@@ -84,16 +81,21 @@ def _candidates(panes: DataFrame, length_s: int, min_accounts: int) -> DataFrame
     )
 
 
-def alert_windows(panes: DataFrame, length_s: int, slide_s: int, min_accounts: int) -> DataFrame:
-    """(device, window) pairs with coupons of at least ``min_accounts`` accounts and no item view."""
+def alert_windows(events: DataFrame, length_s: int, slide_s: int, min_accounts: int) -> DataFrame:
+    """(device, window) pairs with coupons of at least ``min_accounts`` accounts and no item view.
+
+    Only coupons and item views are read for this, reduced to one row per device, pane and account.
+    """
     is_view = F.col("evid") == C.EVENT_ITEM_VIEW
-    marks = panes.where(is_view | (F.col("evid") == C.EVENT_COUPON)).select(
-        "mid", "pane", "account", is_view.alias("viewed")
+    marks = (
+        _in_panes(events.where(F.col("evid").isin(C.EVENT_COUPON, C.EVENT_ITEM_VIEW)), length_s, slide_s)
+        .groupBy("mid", "pane", "account")
+        .agg(F.bool_or(is_view).alias("viewed"))
     )
     spread = F.explode(_windows_of(F.col("pane"), length_s, slide_s))
     if length_s // slide_s > COARSE_FROM:
         near = marks.withColumn("stretch", F.explode(_windows_of(F.col("pane"), 2 * length_s, length_s)))
-        kept = near.join(_candidates(panes, length_s, min_accounts), ["mid", "stretch"], "left_semi")
+        kept = near.join(_candidates(marks, length_s, min_accounts), ["mid", "stretch"], "left_semi")
         windows = kept.withColumn("window_start", spread).where(
             _floor_to(F.col("window_start"), length_s) == F.col("stretch")
         )
@@ -117,19 +119,21 @@ def coupon_alerts(
 
     ``events`` lists every behaviour as often as it occurred, grouped by name.
     """
-    panes = pane_counts(events, length_s, slide_s)
     step = pane_seconds(length_s, slide_s)
-    hits = alert_windows(panes, length_s, slide_s, min_accounts).withColumn(
+    hits = alert_windows(events, length_s, slide_s, min_accounts).withColumn(
         "pane",
         F.explode(F.sequence(F.col("window_start"), F.col("window_start") + _ms(length_s - step), _ms(step))),
     )
+    # Alerts are few against events, so adaptive execution sends them to the events, which then stay in place.
+    # Should they be many, both sides meet by device and pane, which spreads a busy device over its panes.
     per_behaviour = (
-        hits.join(panes, ["mid", "pane"])
+        _in_panes(events, length_s, slide_s)
+        .join(hits, ["mid", "pane"])
         .groupBy("mid", "window_start", "evid")
         .agg(
             F.collect_set("account").alias("accounts"),
             F.collect_set("item").alias("items"),
-            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
         )
     )
     listed = per_behaviour.groupBy("mid", "window_start").agg(
@@ -150,11 +154,6 @@ def coupon_alerts(
 
 def alert_documents(alerts: DataFrame, prefix: str = C.INDEX_ALERT) -> DataFrame:
     """One document per device and minute, under id ``<mid>-<minute>``; the last window of the minute stays."""
-    minute = minute_bucket(F.col("ts"))
-    last = (
-        alerts.withColumn("doc_id", F.concat_ws("-", F.col("mid"), minute.cast("string")))
-        .groupBy("doc_id")
-        .agg(F.max_by(F.struct(*alerts.columns), F.col("ts")).alias("doc"))
-    )
+    named = alerts.withColumn("doc_id", F.concat_ws("-", F.col("mid"), minute_bucket(F.col("ts")).cast("string")))
     day = F.timestamp_millis(F.col("ts"))
-    return last.select("doc_id", "doc.*").withColumn("index_name", index_name(prefix, day))
+    return latest_by_key(named, ["doc_id"], ["ts"]).withColumn("index_name", index_name(prefix, day))

@@ -47,4 +47,6 @@ def counted(df: DataFrame, observation: Observation, name: str = "rows") -> Data
 
 def first_active_day(dau: DataFrame) -> DataFrame:
     """The first day every device was ever active."""
-    return dau.groupBy("mid").agg(F.min("log_date").alias("first_date"))
+    # Dates, unlike texts, are compared in a hash aggregate, without sorting the rows.
+    first = F.min(F.col("log_date").try_cast("date"))
+    return dau.groupBy("mid").agg(first.cast("string").alias("first_date"))

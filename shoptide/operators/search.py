@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptide import constants as C
@@ -35,20 +35,6 @@ def total_hits(hits: DataFrame) -> DataFrame:
     return hits.agg(F.count(F.lit(1)).alias("total"))
 
 
-def _sum_where(condition) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-
-
-def _by_gender_age(hits: DataFrame) -> DataFrame:
-    """Hits counted by gender and age: a few hundred rows that every figure of a report derives from."""
-    return hits.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("c"))
-
-
-def _terms_of(counts: DataFrame, column: str, k: int) -> DataFrame:
-    merged = counts.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum("c").alias("n"))
-    return merged.orderBy(F.desc("n"), F.asc(column)).limit(k)
-
-
 def _side_by_side(*single_rows: DataFrame) -> DataFrame:
     """One row out of several single-row results with columns of their own."""
     stacked = single_rows[0]
@@ -57,22 +43,41 @@ def _side_by_side(*single_rows: DataFrame) -> DataFrame:
     return stacked.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in stacked.columns])
 
 
-def _ratios(counts: DataFrame) -> DataFrame:
+def _term_counts(hits: DataFrame) -> DataFrame:
+    """Counts by gender, counts by age and the total, out of one pass over the hits.
+
+    The hits are counted by gender and age together first, and only those few counts are split up.
+    """
+    counts = hits.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("c"))
+    no_gender, no_age = F.lit(None).cast("string").alias("gender"), F.lit(None).cast("int").alias("age")
+    kinds = F.array(
+        F.struct(F.lit("total").alias("kind"), no_gender, no_age),
+        F.struct(F.lit("gender").alias("kind"), F.col("user_gender").alias("gender"), no_age),
+        F.struct(F.lit("age").alias("kind"), no_gender, F.col("user_age").alias("age")),
+    )
+    return counts.select(F.inline(kinds), "c").groupBy("kind", "gender", "age").agg(F.sum("c").alias("n"))
+
+
+def _ratios(terms: DataFrame) -> DataFrame:
     """One row: total and the five shares.
 
     Women are what men leave, and the middle age band what the outer ones leave, so unknown genders and ages
     count there; so do values beyond the buckets.
     """
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"))
-    gender = _terms_of(counts, "user_gender", C.GENDER_BUCKETS).agg(
-        _sum_where(F.col("user_gender") == C.MALE).alias("male")
-    )
-    age = _terms_of(counts, "user_age", C.AGE_BUCKETS).agg(
-        _sum_where(F.col("user_age") < C.AGE_YOUNG_BELOW).alias("young"),
-        _sum_where(F.col("user_age") >= C.AGE_OLD_FROM).alias("old"),
+    known = terms.where((F.col("kind") == "total") | F.col("gender").isNotNull() | F.col("age").isNotNull())
+    by_size = Window.partitionBy("kind").orderBy(F.desc("n"), F.asc("gender"), F.asc("age"))
+    buckets = known.withColumn("bucket", F.row_number().over(by_size)).where(F.col("bucket") <= C.AGE_BUCKETS)
+
+    def counted(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    figures = buckets.agg(
+        counted(F.col("kind") == "total").alias("total"),
+        counted((F.col("gender") == C.MALE) & (F.col("bucket") <= C.GENDER_BUCKETS)).alias("male"),
+        counted(F.col("age") < C.AGE_YOUNG_BELOW).alias("young"),
+        counted(F.col("age") >= C.AGE_OLD_FROM).alias("old"),
     )
-    one_row = _side_by_side(total, gender, age)
-    shares = one_row.select(
+    shares = figures.select(
         "total",
         percent(F.col("male"), F.col("total")).alias("male_ratio"),
         percent(F.col("young"), F.col("total")).alias("young_ratio"),
@@ -90,7 +95,7 @@ def _ratios(counts: DataFrame) -> DataFrame:
 
 def report_figures(hits: DataFrame) -> DataFrame:
     """One row with ``total``, the shares by gender and the shares by age."""
-    return _ratios(_by_gender_age(hits))
+    return _ratios(_term_counts(hits))
 
 
 def gender_ratio(hits: DataFrame) -> DataFrame:

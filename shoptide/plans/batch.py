@@ -506,7 +506,7 @@ def scalar_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sale_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders still in status P have not arrived."""
-    return sale.full_outer(_arrived(spark, sf_dir), V.order_detail(spark, sf_dir))
+    return sale.full_outer(_arrived(spark, sf_dir), V.line_keys(spark, sf_dir))
 
 
 def _arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,7 +521,7 @@ def _arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'order', id, id FROM arrived WHERE id NOT IN (SELECT order_id FROM order_detail)""",
 )
 def sale_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sale.pending(_arrived(spark, sf_dir), V.order_detail(spark, sf_dir))
+    return sale.pending(_arrived(spark, sf_dir), V.line_keys(spark, sf_dir))
 
 
 @query(
@@ -535,10 +535,10 @@ def sale_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sale.join_orders_details(V.timed_orders(orders), details).drop("user_id")
 
 
-def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sales(spark: SparkSession, sf_dir: str, raw_days: tuple[str, str] | None = None) -> DataFrame:
     """Every line with its order and its buyer."""
     known = V.user_info(spark, sf_dir, ~F.expr(V.IN_DEBT))
-    lines = sale.join_orders_details(_orders(spark, sf_dir), V.order_detail(spark, sf_dir), bound_s=None)
+    lines = sale.join_orders_details(_orders(spark, sf_dir, raw_days), V.order_detail(spark, sf_dir), bound_s=None)
     return sale.enrich_user(lines, known, V.AS_OF)
 
 
@@ -595,7 +595,7 @@ def search_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_HITS} SELECT order_detail_id, sku_name, user_age FROM hits WHERE dt = '{V.DAY}'",
 )
 def search_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = search.search(_sales(spark, sf_dir), V.KEYWORD, V.DAY)
+    found = search.search(_sales(spark, sf_dir, (V.ORDER_RAW_DAY, V.ORDER_RAW_DAY)), V.KEYWORD, V.DAY)
     return found.select("order_detail_id", "sku_name", "user_age")
 
 

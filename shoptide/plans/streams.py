@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptide import schemas
-from shoptide.functions import fields, records
+from shoptide.functions import fields
 from shoptide.operators import dashboard, gmv
 from shoptide.plans import batch as B
 from shoptide.plans import views as V
@@ -108,14 +108,14 @@ def finish(writer) -> None:
     CASE order_status WHEN 'F' THEN 'DONE' ELSE order_status END AS order_status, total_amount FROM order_info""",
 )
 def gmv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders put once, then the finished ones again under another status, that batch twice."""
+    """All orders put once, then the finished ones again under another status."""
     table = order_table(scratch_dir(spark, "gmv-")).create(spark)
-    orders = gmv.ingest_orders(records.parse_order(B._as_json(V.order_info(spark, sf_dir))))
-    rows = gmv.with_month(orders).withColumn("offset", F.lit(0).cast("bigint"))
+    rows = gmv.with_month(gmv.ingest_orders(V.order_info(spark, sf_dir))).withColumn("offset", F.lit(0).cast("bigint"))
+    absent = [f for f in ORDER_ROWS.fields if f.name not in rows.columns]
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
     done = rows.where(F.col("order_status") == "F").withColumn("order_status", F.lit("DONE"))
     table.write(rows, 0)
     table.write(done, 1)
-    table.write(done, 1)
     return table.read(spark).select("id", "consignee_tel", "create_date", "order_status", "total_amount")
 
 

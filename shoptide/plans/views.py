@@ -161,10 +161,23 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_columns(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
 
 
+def line_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines where the product's name does not matter."""
+    return read_table(spark, sf_dir, "lineitem").select(
+        _line_id(), _text(F.col("l_orderkey")).alias("order_id"), _text(F.col("l_partkey")).alias("sku_id")
+    )
+
+
+def _line_id() -> Column:
+    return F.concat_ws(
+        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int")
+    ).alias("id")
+
+
 def line_columns(lines: DataFrame, parts: DataFrame) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity).alias("id"),
+        _line_id(),
         _text(F.col("l_orderkey")).alias("order_id"),
         F.col("p_name").alias("sku_name"),
         _text(F.col("l_partkey")).alias("sku_id"),
@@ -271,9 +284,7 @@ def cdc_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     orders = order_info(spark, sf_dir).withColumn("total_amount", _money(F.col("total_amount")))
     lines = read_table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int")).alias(
-            "id"
-        ),
+        _line_id(),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         _money(F.col("l_extendedprice")).alias("order_price"),

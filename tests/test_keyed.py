@@ -93,6 +93,6 @@ def test_user_json(spark):
 
 
 def test_first_active_day(spark):
-    df = spark.createDataFrame([("a", "d2"), ("a", "d1"), ("b", "d2")], "mid string, log_date string")
-    assert rows(dau.first_active_day(df)) == [("a", "d1"), ("b", "d2")]
+    df = spark.createDataFrame([("a", "2024-01-02"), ("a", "2024-01-01"), ("b", "2024-01-02")], "mid string, log_date string")
+    assert rows(dau.first_active_day(df)) == [("a", "2024-01-01"), ("b", "2024-01-02")]
     assert df.where(F.col("mid") == "a").count() == 2
