@@ -63,15 +63,21 @@ def dau_job(raw: DataFrame, detail: KeyedTable, seen: KeyedTable, checkpoint: st
     return _each_batch(raw, checkpoint, put)
 
 
-def first_starts_stream(raw: DataFrame, late: str = "24 hours") -> DataFrame:
+def first_starts_stream(raw: DataFrame, late: str = "24 hours", salts: int = 1) -> DataFrame:
     """First starts per device and day, with the seen devices in the state store.
 
     The cost of a batch does not grow with the devices already seen, and the state drops a day once the
     watermark has passed it. Which of several starts within one batch is kept is not defined.
+
+    A streaming dedup sends every row to the task of its key. With ``salts`` above 1 the rows of a device and
+    day are first reduced by that many tasks, so that a device with very many starts does not hold up one.
     """
-    starts = with_log_date_hour(parse_startup(raw))
+    starts = with_log_date_hour(parse_startup(raw, keep=("offset",)))
     timed = starts.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", late)
-    return timed.dropDuplicatesWithinWatermark(dau.DEVICE_DAY).drop("event_time")
+    if salts > 1:
+        salted = timed.withColumn("salt", F.pmod(F.xxhash64("offset"), F.lit(salts)))
+        timed = salted.dropDuplicatesWithinWatermark([*dau.DEVICE_DAY, "salt"]).drop("salt")
+    return timed.dropDuplicatesWithinWatermark(dau.DEVICE_DAY).drop("event_time", "offset")
 
 
 def gmv_job(raw: DataFrame, orders: KeyedTable, checkpoint: str) -> DataStreamWriter:

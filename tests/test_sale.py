@@ -72,8 +72,8 @@ def test_unknown_buyers_stay_without_data(spark):
     assert (unknown.user_id, unknown.user_age, unknown.user_gender, unknown.user_level) == ("u1", None, None, None)
 
 
-def test_an_order_with_most_lines_is_split(spark):
-    """With thresholds fit for small data, adaptive execution splits the hot order's partition."""
+def test_an_order_or_a_buyer_with_most_lines_is_split(spark):
+    """With thresholds fit for small data, adaptive execution splits the hot key's partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -90,7 +90,16 @@ def test_an_order_with_most_lines_is_split(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        for joined in (sale.join_orders_details(info, many, None), sale.full_outer(info, many)):
+        users = spark.range(5000).select(
+            F.col("id").cast("string"), F.lit("2000-01-01").alias("birthday"), F.lit("M").alias("gender"),
+            F.lit("x").alias("user_level"),
+        ).unionByName(spark.sql("select 'hot' id, '2000-01-01' birthday, 'F' gender, 'y' user_level"))
+        buyers = many.withColumnRenamed("order_id", "user_id")
+        for joined in (
+            sale.join_orders_details(info, many, None),
+            sale.full_outer(info, many),
+            sale.add_buyer(buyers, users, "2024-01-31"),
+        ):
             joined.collect()
             plan = joined._jdf.queryExecution().executedPlan().toString()
             assert "skew=true" in plan

@@ -67,11 +67,12 @@ def test_dau_replay_after_a_lost_commit(spark, topics, root):
     assert rows(seen.history(spark), "mid", "log_date") == [r[:2] for r in FIRST]
 
 
-def test_dau_in_the_state_store(spark, topics, root):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_dau_in_the_state_store(spark, topics, root, salts):
     for batch in BATCHES:
         topics.send("startup", batch)
     raw = topic_files(spark, "startup", topics.folder, maxFilesPerTrigger="1")
-    writer = jobs.first_starts_stream(raw).writeStream.format("parquet").option("path", f"{root}/out")
+    writer = jobs.first_starts_stream(raw, salts=salts).writeStream.format("parquet").option("path", f"{root}/out")
     S.finish(writer.option("checkpointLocation", f"{root}/checkpoint"))
     assert rows(spark.read.parquet(f"{root}/out"), "mid", "log_date") == [r[:2] for r in FIRST]
 
