@@ -12,7 +12,7 @@ from shoptide.operators import dashboard, gmv
 from shoptide.plans import batch as B
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
-from shoptide.session import scratch_dir
+from shoptide.session import scratch_dir, sized_for_local
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 from shoptide.sources.streams import parse_changes, table_stream
@@ -96,7 +96,8 @@ def user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finish(writer) -> None:
     """Work off everything there is."""
-    jobs.start(writer, every_s=None).awaitTermination()
+    with sized_for_local(SparkSession.active()):
+        jobs.start(writer, every_s=None).awaitTermination()
 
 
 # ---------------------------------------------------------------- keyed tables
