@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import decontam, langid, pieces, secret_scan, simhash
+from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, ngram_lm, pieces, secret_scan, simhash
 from shoptide.llm.common import ROW, crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return bitsliced.search(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_of_id() % 5 == 0)
@@ -29,6 +35,21 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(f"{ROW}.doc_id", f"{ROW}.held_out", "lang_pred", "score")
 
 
+@query
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = binpack.shards(table(spark, sf_dir, "documents").select("doc_id", "text"), count=16)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    model = cotrain.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    found = cotrain.score(docs, model)
+    return found.select(f"{ROW}.doc_id", "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("keep"))
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +82,34 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(f"{ROW}.doc_id", *counts, digest, secret_scan.as_text("spans").alias("spans"))
 
 
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, spans = F.col("places.label"), F.col("spans.label")
+    start = F.col("places.word")
+    return found.select(
+        f"{ROW}.doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(start).alias("first_word"),
+        F.array_max(start).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(base, spans))), ",").alias("labels"),
+        F.coalesce(F.array_max("spans.share"), F.lit(0.0)).alias("score"),
+        "spans",
+    )
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, max_bits=3)
+
+
+@query
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_of_id() % 5 == 1)
+    model = ngram_lm.train(docs.where("not held_out"))
+    found = ngram_lm.score(docs, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
+    return found.select(f"{ROW}.doc_id", f"{ROW}.held_out", *columns, perplexity)
