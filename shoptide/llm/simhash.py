@@ -36,8 +36,8 @@ HASHES_AT_A_TIME = 1 << 16
 SKETCH = 128
 # Rows of groups that are joined at a time, and pairs of trie nodes held at a time.
 ROWS_AT_A_TIME, PAIRS_AT_A_TIME = 50_000, 1 << 20
-# Node pairs of at most this many leaf pairs are compared leaf by leaf.
-SMALL = 64
+# Node pairs of at most SMALL leaf pairs are compared all together, those of at most LEAF leaves each one by one.
+SMALL, LEAF = 64, 128
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -89,12 +89,12 @@ def fingerprints(docs: DataFrame, width: int, with_sketch: bool = False) -> Data
     return annotate(docs, values, "fp long" + ", sketch binary" * with_sketch)
 
 
-def exact_blocks(fingerprints_: int, max_bits: int) -> int:
+def exact_blocks(fingerprints_: int, max_bits: int, row_bytes: int) -> int:
     """r: how many blocks a group shares. Weighs the rows that are sent against the pairs that are compared."""
 
     def cost(r: int) -> float:
         paths = len(list(combinations(range(max_bits + r), r)))
-        return paths * fingerprints_ * (1 + fingerprints_ / 2 ** (BITS * r / (max_bits + r)) / 600)
+        return paths * fingerprints_ * (1 + row_bytes / 32 + fingerprints_ / 2 ** (BITS * r / (max_bits + r)) / 600)
 
     return min(range(1, 4), key=cost)
 
@@ -116,6 +116,23 @@ def leaf_pairs(l1, n1, l2, n2) -> tuple[np.ndarray, np.ndarray]:
     return i[i < j], j[i < j]
 
 
+def dense_pairs(fps, l1, h1, l2, h2, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same for nodes of up to LEAF leaves, a table of differences for each."""
+    held, size = [], 0
+    for a, b, c, d in zip(l1, h1, l2, h2):
+        near = np.bitwise_count(fps[a:b, None] ^ fps[c:d]) <= max_bits
+        if near.any():
+            i, j = np.nonzero(near)
+            i, j = i + a, j + c
+            held.append((i[i < j], j[i < j]))
+            size += len(i)
+            if size >= PAIRS_AT_A_TIME:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def trie_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of the same group that differ in at most max_bits bits.
 
@@ -145,6 +162,10 @@ def trie_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, max_bits: int
             l1, h1, l2, h2, errors = (x[~small] for x in (l1, h1, l2, h2, errors))
         if not len(l1):
             continue
+        leaves = (h1 - l1 <= LEAF) & (h2 - l2 <= LEAF)
+        if leaves.any():
+            yield from dense_pairs(fps, *(x[leaves].tolist() for x in (l1, h1, l2, h2)), max_bits)
+            l1, h1, l2, h2, errors = (x[~leaves] for x in (l1, h1, l2, h2, errors))
         m1, m2 = split(bit, l1, h1), split(bit, l2, h2)
         same = l1 == l2
         zeros, both = (l1, m1, l2, m2, errors), (m1, h1, m2, h2, errors)
@@ -226,13 +247,13 @@ def group_links(batches: Iterator[pa.RecordBatch], max_bits: int, least: float |
 def linked(nodes: DataFrame, max_bits: int, least: float | None = None, half: int = 512) -> DataFrame:
     """Links (u, v), u > v, between the distinct fingerprints of ``nodes`` (fp, and sketch if ``least`` is given)."""
     count = nodes.count()
-    r = exact_blocks(count, max_bits)
+    r = exact_blocks(count, max_bits, 16 + SKETCH * (least is not None))
     half = max(half, ceil(2 * count / 2 ** (BITS * r // (max_bits + r))))
     extra = ["sketch"] if least is not None else []
     paths = F.transform(F.array(*[F.lit(m) for m in block_masks(max_bits, r)]), lambda m: F.col("fp").bitwiseAND(m))
     rows = nodes.select("fp", *extra, F.posexplode(paths).alias("path", "value"))
     rows = rows.select("fp", *extra, F.xxhash64("path", "value").alias("key"))
-    sizes = rows.groupBy("key").count().where("count > 1")
+    sizes = stored(rows.groupBy("key").count().where("count > 1"), "sizes")
     chunks = F.ceil(F.col("count") / half)
     mine = F.pmod(F.xxhash64("fp", "key"), chunks)
     split = rows.join(sizes, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
