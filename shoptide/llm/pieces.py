@@ -33,7 +33,7 @@ WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 SHIFT = 10
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
-SLICE = 3 << 20
+SLICE = 1 << 21
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
