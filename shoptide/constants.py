@@ -15,8 +15,6 @@ ALERT_SLIDE_S = 5
 JOIN_BOUND_S = 100
 TRIGGER_S = 5
 ORDER_TRIGGER_S = 3
-GENDER_BUCKETS = 2
-AGE_BUCKETS = 100
 AGE_YOUNG_BELOW = 20
 AGE_OLD_FROM = 30
 MALE = "M"
@@ -35,6 +33,10 @@ CDC_ORDER_TABLE = "order_info"
 CDC_DETAIL_TABLE = "order_detail"
 CDC_USER_TABLE = "user_info"
 
+# Tasks that share the rows of a hot key in a stream, and how far ahead of arrival a device's clock may be.
+STREAM_SALTS = 4
+CLOCK_AHEAD_S = 24 * 3600
+
 # Topic and index names are deployment choices; every function that uses one takes it as an argument.
 TOPIC_STARTUP = "startup"
 TOPIC_EVENT = "event"

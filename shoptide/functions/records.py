@@ -43,6 +43,11 @@ def rejected_records(raw: DataFrame, schema: T.StructType, value: str = "value")
     return raw.where(record.isNull() | record.getField(_BROKEN).isNotNull())
 
 
+def broken_records(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """``value`` and ``reason`` of what cannot be parsed."""
+    return rejected_records(raw, schema, value).select(F.col(value).alias("value"), F.lit("broken").alias("reason"))
+
+
 def parse_startup(raw: DataFrame, **options) -> DataFrame:
     return parse_records(raw, schemas.STARTUP_LOG, **options)
 

@@ -2,8 +2,8 @@
 
 A sliding window puts each event into ``length / slide`` windows. Copying whole events that often is what makes
 it expensive. So the windows that alert are found from coupons and item views alone, reduced to panes (stretches
-between two window edges), and only the events within those windows are looked at again. Behaviour lists are
-carried as counts and written out once per alert, so no group of raw events is ever collected.
+between two window edges), and only the panes within those windows are looked at again. Behaviours are carried as
+counts, so no group of raw events is ever collected.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from shoptide.functions.fields import index_name
 from shoptide.functions.times import minute_bucket
 from shoptide.operators.keyed import latest_by_key
 
-# From this many windows per event on, a pass over coarse stretches first is cheaper than spreading all marks.
-COARSE_FROM = 8
-
 
 def _ms(seconds: int) -> Column:
     return F.lit(seconds * 1000).cast("bigint")
@@ -42,6 +39,11 @@ def _windows_of(pane: Column, length_s: int, slide_s: int) -> Column:
     return F.sequence(first, last, _ms(slide_s))
 
 
+def is_alert(accounts: Column, viewed: Column, min_accounts: int) -> Column:
+    """Coupons of so many accounts and no item view. Events without a device belong to none and never alert."""
+    return F.col("mid").isNotNull() & (accounts >= min_accounts) & ~viewed
+
+
 def _in_panes(events: DataFrame, length_s: int, slide_s: int) -> DataFrame:
     """Events with their pane; account and item only where a coupon was taken."""
     is_coupon = F.col("evid") == C.EVENT_COUPON
@@ -92,19 +94,15 @@ def alert_windows(events: DataFrame, length_s: int, slide_s: int, min_accounts:
         .groupBy("mid", "pane", "account")
         .agg(F.bool_or(is_view).alias("viewed"))
     )
-    spread = F.explode(_windows_of(F.col("pane"), length_s, slide_s))
-    if length_s // slide_s > COARSE_FROM:
-        near = marks.withColumn("stretch", F.explode(_windows_of(F.col("pane"), 2 * length_s, length_s)))
-        kept = near.join(_candidates(marks, length_s, min_accounts), ["mid", "stretch"], "left_semi")
-        windows = kept.withColumn("window_start", spread).where(
-            _floor_to(F.col("window_start"), length_s) == F.col("stretch")
-        )
-    else:
-        windows = marks.withColumn("window_start", spread)
+    near = marks.withColumn("stretch", F.explode(_windows_of(F.col("pane"), 2 * length_s, length_s)))
+    kept = near.join(_candidates(marks, length_s, min_accounts), ["mid", "stretch"], "left_semi")
+    windows = kept.withColumn("window_start", F.explode(_windows_of(F.col("pane"), length_s, slide_s))).where(
+        _floor_to(F.col("window_start"), length_s) == F.col("stretch")
+    )
     return (
         windows.groupBy("mid", "window_start")
         .agg(F.count_distinct("account").alias("accounts"), F.bool_or("viewed").alias("viewed"))
-        .where((F.col("accounts") >= min_accounts) & ~F.col("viewed"))
+        .where(is_alert(F.col("accounts"), F.col("viewed"), min_accounts))
         .select("mid", "window_start")
     )
 
@@ -117,41 +115,52 @@ def coupon_alerts(
 ) -> DataFrame:
     """Alerts with their accounts, coupon items and behaviours; ``ts`` is the end of the window.
 
-    ``events`` lists every behaviour as often as it occurred, grouped by name.
+    ``behaviours`` says how often each kind of event (``evid``) occurred, by name; :func:`list_events` writes them out.
     """
     step = pane_seconds(length_s, slide_s)
     hits = alert_windows(events, length_s, slide_s, min_accounts).withColumn(
         "pane",
         F.explode(F.sequence(F.col("window_start"), F.col("window_start") + _ms(length_s - step), _ms(step))),
     )
-    # Alerts are few against events, so adaptive execution sends them to the events, which then stay in place.
-    # Should they be many, both sides meet by device and pane, which spreads a busy device over its panes.
-    per_behaviour = (
+    panes = (
         _in_panes(events, length_s, slide_s)
-        .join(hits, ["mid", "pane"])
-        .groupBy("mid", "window_start", "evid")
+        .groupBy("mid", "pane", "evid")
         .agg(
             F.collect_set("account").alias("accounts"),
             F.collect_set("item").alias("items"),
             F.count(F.lit(1)).alias("n"),
         )
     )
+    # Alerts are few against panes, so adaptive execution sends them to the panes, which then stay in place.
+    # Should they be many, both sides meet by device and pane, which spreads a busy device over its panes.
+    per_behaviour = (
+        panes.join(hits, ["mid", "pane"])
+        .groupBy("mid", "window_start", "evid")
+        .agg(
+            F.array_distinct(F.flatten(F.collect_list("accounts"))).alias("accounts"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+            F.sum("n").alias("n"),
+        )
+    )
     listed = per_behaviour.groupBy("mid", "window_start").agg(
         F.array_sort(F.flatten(F.collect_list("accounts"))).alias("uids"),
         F.array_sort(F.flatten(F.collect_list("items"))).alias("item_ids"),
         F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("behaviours"),
     )
-    repeated = F.transform("behaviours", lambda b: F.array_repeat(b.getField("evid"), b.getField("n").cast("int")))
     return listed.select(
-        "mid",
-        "uids",
-        "item_ids",
-        F.flatten(repeated).alias("events"),
-        "window_start",
-        (F.col("window_start") + _ms(length_s)).alias("ts"),
+        "mid", "uids", "item_ids", "behaviours", "window_start", (F.col("window_start") + _ms(length_s)).alias("ts")
     )
 
 
+def list_events(alerts: DataFrame) -> DataFrame:
+    """Alerts with ``events``, every behaviour as often as it occurred, in place of the counts.
+
+    As long as the events of a window; counts are the form to keep.
+    """
+    repeated = F.transform("behaviours", lambda b: F.array_repeat(b.getField("evid"), b.getField("n").cast("int")))
+    return alerts.withColumn("behaviours", F.flatten(repeated)).withColumnRenamed("behaviours", "events")
+
+
 def alert_documents(alerts: DataFrame, prefix: str = C.INDEX_ALERT) -> DataFrame:
     """One document per device and minute, under id ``<mid>-<minute>``; the last window of the minute stays."""
     named = alerts.withColumn("doc_id", F.concat_ws("-", F.col("mid"), minute_bucket(F.col("ts")).cast("string")))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptide import constants as C
-from shoptide.operators.dau import first_active_day
 
 # Date column, hour column and value of the metrics the dashboard knows.
 METRICS = {
@@ -29,8 +28,9 @@ def _metric(name: str) -> tuple[str, str]:
 
 
 def _amount(condition: Column | None = None) -> Column:
-    value = F.col("total_amount") if condition is None else F.when(condition, F.col("total_amount"))
-    return F.round(F.sum(value), 2).cast("double")
+    """Summed up as decimals, so that the order of the rows does not show."""
+    cents = F.col("total_amount").cast("decimal(18,2)")
+    return F.sum(cents if condition is None else F.when(condition, cents)).cast("double")
 
 
 def _value(metric: str, condition: Column | None = None) -> Column:
@@ -118,10 +118,12 @@ def hours_json(hours: DataFrame) -> DataFrame:
     return entries.select(F.to_json(F.struct(as_map("yesterday"), as_map("today"))).alias("value"))
 
 
-def new_devices(dau: DataFrame, date: str) -> DataFrame:
-    """Devices whose first day ever is this one. Later days are not read."""
-    history = dau.where(F.col("log_date") <= date)
-    return first_active_day(history).where(F.col("first_date") == date).agg(F.count(F.lit(1)).alias("total"))
+def new_devices(first_seen: DataFrame, date: str) -> DataFrame:
+    """Devices whose first day ever is this one, out of a table of (mid, first_date).
+
+    On a table partitioned by ``first_date`` the day is a partition filter.
+    """
+    return first_seen.where(F.col("first_date") == date).agg(F.count(F.lit(1)).alias("total"))
 
 
 def _card(card: tuple[str, str], figure: DataFrame) -> DataFrame:
@@ -130,10 +132,18 @@ def _card(card: tuple[str, str], figure: DataFrame) -> DataFrame:
     return figure.select(F.lit(identity).alias("id"), F.lit(name).alias("name"), value.alias("value"))
 
 
-def realtime_total(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
-    """Three cards of the day: active devices, new devices, order amount."""
+def realtime_total(dau: DataFrame, orders: DataFrame, first_seen: DataFrame, date: str) -> DataFrame:
+    """Three cards of the day: active devices, new devices, order amount. None of them needs other days' rows."""
     return (
         _card(C.CARD_DAU, dau_total(dau, date))
-        .unionByName(_card(C.CARD_NEW_DEVICE, new_devices(dau, date)))
+        .unionByName(_card(C.CARD_NEW_DEVICE, new_devices(first_seen, date)))
         .unionByName(_card(C.CARD_ORDER_AMOUNT, gmv_total(orders, date)))
     )
+
+
+def cards_json(cards: DataFrame) -> DataFrame:
+    """The cards as one JSON list, in the dashboard's order."""
+    known = [C.CARD_DAU[0], C.CARD_NEW_DEVICE[0], C.CARD_ORDER_AMOUNT[0]]
+    place = F.array_position(F.array(*[F.lit(k) for k in known]), F.col("id"))
+    listed = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.struct("id", "name", "value").alias("card"))))
+    return cards.agg(F.to_json(F.transform(listed, lambda c: c.getField("card"))).alias("value"))

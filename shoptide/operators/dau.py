@@ -7,16 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from shoptide.functions.times import with_log_date_hour
 from shoptide.operators.keyed import first_by_key
 
 DEVICE_DAY = ["mid", "log_date"]
 
 
-def first_per_device_day(df: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
-    """The earliest start of every device on every day."""
+def first_per_device_day(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The earliest start of every device on every day; ``order`` is the time and something unique."""
     return first_by_key(df, DEVICE_DAY, order)
 
 
+def first_start_times(df: DataFrame) -> DataFrame:
+    """Device, day, time and hour of the earliest starts: all that totals need, by a hash aggregate."""
+    return with_log_date_hour(df.groupBy(*DEVICE_DAY).agg(F.min("ts").alias("ts")))
+
+
 def mark_seen(df: DataFrame) -> DataFrame:
     """The (device, day) pairs to remember; adding them again changes nothing."""
     return df.select(*DEVICE_DAY).distinct()
@@ -31,7 +37,7 @@ def drop_seen(df: DataFrame, seen: DataFrame) -> DataFrame:
     return df.join(seen.select(*DEVICE_DAY), DEVICE_DAY, "left_anti")
 
 
-def new_active_devices(batch: DataFrame, seen: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
+def new_active_devices(batch: DataFrame, seen: DataFrame, order: Sequence[str]) -> DataFrame:
     """First starts of a batch, without the devices earlier batches have seen that day.
 
     The rows are reduced to one per device and day first. All rows of such a pair are either seen or not, so

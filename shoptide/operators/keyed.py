@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], direction) -> DataFrame:
-    """The other columns settle ties, so the row that is kept never depends on luck."""
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = Window.partitionBy(*keys).orderBy(*[direction(c) for c in (*order, *rest)])
+    """Only keys and order are sorted; columns that nobody asks for later are not read at all.
+
+    The order has to end with something unique (an id, an offset), or equal rows are picked by luck.
+    """
+    ranked = Window.partitionBy(*keys).orderBy(*[direction(c) for c in order])
     return df.withColumn("rank_in_key", F.row_number().over(ranked)).where("rank_in_key = 1").drop("rank_in_key")
 
 

@@ -54,7 +54,7 @@ def join_orders_details(
     """
     timed = bound_s is not None
     orders = _order_part(info, *([info_time] if timed else []))
-    lines = _line_part(detail, *([detail_time] if timed else []))
+    lines = _line_part(detail, *[c for c in (detail_time, "offset") if timed and c in detail.columns])
     match: Column = F.col("order_id") == F.col("line_order_id")
     if salts > 1:
         orders = orders.withColumn("order_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -63,7 +63,8 @@ def join_orders_details(
     if timed:
         gap = F.make_dt_interval(secs=F.lit(bound_s))
         match = match & F.col(detail_time).between(F.col(info_time) - gap, F.col(info_time) + gap)
-    return lines.join(orders, match).select(*_MERGED)
+    kept = [c for c in (detail_time, "offset") if timed and c in lines.columns]
+    return lines.join(orders, match).select(*_MERGED, *kept)
 
 
 def full_outer(info: DataFrame, detail: DataFrame) -> DataFrame:
@@ -103,6 +104,8 @@ def add_buyer(df: DataFrame, users: DataFrame, as_of: Column | str | None = None
     return joined.withColumn("user_id", F.coalesce("buyer_id", "user_id")).drop("buyer_id")
 
 
-def enrich_user(sale: DataFrame, users: DataFrame, as_of: Column | str | None = None) -> DataFrame:
-    """Sale details complete with their buyer."""
-    return add_buyer(sale, users, as_of).select(*schemas.SALE_DETAIL_COLUMNS)
+def enrich_user(
+    sale: DataFrame, users: DataFrame, as_of: Column | str | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Sale details complete with their buyer; ``keep`` names columns of ``sale`` to carry along."""
+    return add_buyer(sale, users, as_of).select(*schemas.SALE_DETAIL_COLUMNS, *keep)

@@ -25,6 +25,14 @@ def page(hits: DataFrame, number: int, size: int, order: tuple[str, ...] = ("ord
     return hits.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def page_after(hits: DataFrame, last: str | None, size: int, key: str = "order_detail_id") -> DataFrame:
+    """The ``size`` rows after the one with the key ``last`` (None: from the start), in order of the key.
+
+    Every task keeps ``size`` rows at most, however deep the page is.
+    """
+    return (hits if last is None else hits.where(F.col(key) > last)).orderBy(key).limit(size)
+
+
 def top_terms(hits: DataFrame, column: str, k: int) -> DataFrame:
     """The ``k`` most frequent values with their counts; the smaller value goes first on equal counts."""
     counts = hits.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -62,29 +70,33 @@ def _ratios(terms: DataFrame) -> DataFrame:
     """One row: total and the five shares.
 
     Women are what men leave, and the middle age band what the outer ones leave, so unknown genders and ages
-    count there; so do values beyond the buckets.
+    count there.
     """
-    known = terms.where((F.col("kind") == "total") | F.col("gender").isNotNull() | F.col("age").isNotNull())
-    by_size = Window.partitionBy("kind").orderBy(F.desc("n"), F.asc("gender"), F.asc("age"))
-    buckets = known.withColumn("bucket", F.row_number().over(by_size)).where(F.col("bucket") <= C.AGE_BUCKETS)
 
     def counted(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    figures = buckets.agg(
+    figures = terms.agg(
         counted(F.col("kind") == "total").alias("total"),
-        counted((F.col("gender") == C.MALE) & (F.col("bucket") <= C.GENDER_BUCKETS)).alias("male"),
+        counted(F.col("gender") == C.MALE).alias("male"),
         counted(F.col("age") < C.AGE_YOUNG_BELOW).alias("young"),
         counted(F.col("age") >= C.AGE_OLD_FROM).alias("old"),
     )
+    return _shares(figures)
+
+
+def _shares(figures: DataFrame, *keep: str) -> DataFrame:
+    """Shares out of the counts ``total``, ``male``, ``young`` and ``old``."""
     shares = figures.select(
         "total",
+        *keep,
         percent(F.col("male"), F.col("total")).alias("male_ratio"),
         percent(F.col("young"), F.col("total")).alias("young_ratio"),
         percent(F.col("old"), F.col("total")).alias("old_ratio"),
     )
     return shares.select(
         "total",
+        *keep,
         "male_ratio",
         percent_rest(F.col("male_ratio")).alias("female_ratio"),
         "young_ratio",
@@ -149,5 +161,29 @@ def sale_report(sale: DataFrame, keyword: str, number: int, size: int, date: str
     return _side_by_side(figures, rows)
 
 
+def day_report(hits: DataFrame, size: int, key: str = "order_detail_id") -> DataFrame:
+    """Figures and the ids of the first page in one pass: hits are ranked and counted by gender and age together.
+
+    ``page_ids`` joins the first ``size`` ids by commas.
+    """
+    ranked = hits.withColumn("place", F.row_number().over(Window.partitionBy("user_gender", "user_age").orderBy(key)))
+    kept = F.when(F.col("place") <= size, F.col(key))
+    counts = ranked.groupBy("user_gender", "user_age").agg(
+        F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.array_compact(F.collect_list(kept))), 1, size).alias("ids")
+    )
+
+    def counted(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    figures = counts.agg(
+        counted(F.lit(True)).alias("total"),
+        counted(F.col("user_gender") == C.MALE).alias("male"),
+        counted(F.col("user_age") < C.AGE_YOUNG_BELOW).alias("young"),
+        counted(F.col("user_age") >= C.AGE_OLD_FROM).alias("old"),
+        F.array_join(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, size), ",").alias("page_ids"),
+    )
+    return _shares(figures, "page_ids")
+
+
 def sale_report_json(report: DataFrame) -> DataFrame:
     return report.select(F.to_json(F.struct("total", "stat", "detail")).alias("value"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptide import constants as C
 from shoptide.functions import fields, records, times
 from shoptide.operators import alerts, dashboard, dau, gmv, keyed, routing, sale, search, users
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
+from shoptide.session import scratch_dir
 
 # The given events are minutes apart over all users, so alerts are looked for in long windows.
 ALERT_LENGTH_S = 6 * 3600
@@ -178,7 +180,7 @@ def upper_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- daily active devices
 
 
-def _starts(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+def _starts(spark: SparkSession, sf_dir: str, days: tuple[str | None, str] | None = None) -> DataFrame:
     return times.with_log_date_hour(V.startup_log(spark, sf_dir, days))
 
 
@@ -186,6 +188,10 @@ def _dau(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None)
     return dau.first_per_device_day(_starts(spark, sf_dir, days), ("ts", "event_id"))
 
 
+def _dau_times(spark: SparkSession, sf_dir: str, days: tuple[str | None, str] | None = None) -> DataFrame:
+    return dau.first_start_times(_starts(spark, sf_dir, days))
+
+
 def _halves(starts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two batches: what came before noon of each day, and the rest."""
     morning = F.col("log_hour").cast("int") < V.NOON
@@ -235,14 +241,14 @@ def dau_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dau_batch_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier, current = _halves(_starts(spark, sf_dir))
-    first = dau.first_per_device_day(earlier).withColumn("batch_id", F.lit(0))
-    fresh = dau.new_active_devices(current, dau.mark_seen(earlier)).withColumn("batch_id", F.lit(1))
+    first = dau.first_start_times(earlier).withColumn("batch_id", F.lit(0))
+    fresh = dau.drop_seen(dau.first_start_times(current), dau.mark_seen(earlier)).withColumn("batch_id", F.lit(1))
     return first.unionByName(fresh).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("q_dau_total", f"WITH {V.FIRST_STARTS} SELECT count(*) AS total FROM dau WHERE log_date = '{V.DAY}'")
 def dau_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.dau_total(_dau(spark, sf_dir, (V.DAY, V.DAY)), V.DAY)
+    return dashboard.dau_total(_dau_times(spark, sf_dir, (V.DAY, V.DAY)), V.DAY)
 
 
 @query(
@@ -250,12 +256,12 @@ def dau_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {V.FIRST_STARTS} SELECT log_hour, count(*) AS ct FROM dau WHERE log_date = '{V.DAY}' GROUP BY log_hour",
 )
 def dau_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.dau_hours(_dau(spark, sf_dir, (V.DAY, V.DAY)), V.DAY)
+    return dashboard.dau_hours(_dau_times(spark, sf_dir, (V.DAY, V.DAY)), V.DAY)
 
 
 @query("q_dau_daily", f"WITH {V.FIRST_STARTS} SELECT log_date, count(*) AS value FROM dau GROUP BY log_date")
 def dau_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.by_day(_dau(spark, sf_dir), "dau")
+    return dashboard.by_day(_dau_times(spark, sf_dir), "dau")
 
 
 @query(
@@ -263,7 +269,7 @@ def dau_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {V.FIRST_STARTS} SELECT log_date, log_hour, count(*) AS value FROM dau GROUP BY log_date, log_hour",
 )
 def dau_hours_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.by_hour(_dau(spark, sf_dir), "dau")
+    return dashboard.by_hour(_dau_times(spark, sf_dir), "dau")
 
 
 # ---------------------------------------------------------------- order amounts and dashboard
@@ -275,7 +281,7 @@ def _orders(spark: SparkSession, sf_dir: str, raw_days: tuple[str, str] | None =
 
 @query(
     "q_gmv_total",
-    f"""WITH {V.ORDER_INFO} SELECT round(sum(total_amount), 2) AS sum_amount FROM order_info
+    f"""WITH {V.ORDER_INFO} SELECT {V.EXACT_SUM} AS sum_amount FROM order_info
     WHERE create_date = '{V.DAY}'""",
 )
 def gmv_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,7 +290,7 @@ def gmv_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_gmv_hours",
-    f"""WITH {V.ORDER_INFO} SELECT create_hour, round(sum(total_amount), 2) AS sum_amount FROM order_info
+    f"""WITH {V.ORDER_INFO} SELECT create_hour, {V.EXACT_SUM} AS sum_amount FROM order_info
     WHERE create_date = '{V.DAY}' GROUP BY create_hour""",
 )
 def gmv_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,7 +299,7 @@ def gmv_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_gmv_daily",
-    f"""WITH {V.ORDER_INFO} SELECT create_date, round(sum(total_amount), 2) AS value FROM order_info
+    f"""WITH {V.ORDER_INFO} SELECT create_date, {V.EXACT_SUM} AS value FROM order_info
     GROUP BY create_date""",
 )
 def gmv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +308,7 @@ def gmv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_gmv_hours_daily",
-    f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, round(sum(total_amount), 2) AS value FROM order_info
+    f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, {V.EXACT_SUM} AS value FROM order_info
     GROUP BY create_date, create_hour""",
 )
 def gmv_hours_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,7 +321,7 @@ def gmv_hours_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY log_date, log_hour""",
 )
 def hour_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    maps = dashboard.hour_map(_dau(spark, sf_dir), "dau")
+    maps = dashboard.hour_map(_dau_times(spark, sf_dir), "dau")
     return maps.select("log_date", F.explode("hours").alias("hour", "value"))
 
 
@@ -327,7 +333,7 @@ _DAU_BOTH_DAYS = f"""SELECT log_hour AS hour,
 
 @query("q_realtime_hours", f"WITH {V.FIRST_STARTS} {_DAU_BOTH_DAYS}")
 def realtime_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.today_vs_yesterday(_dau(spark, sf_dir, (V.DAY_BEFORE, V.DAY)), "dau", V.DAY)
+    return dashboard.today_vs_yesterday(_dau_times(spark, sf_dir, (V.DAY_BEFORE, V.DAY)), "dau", V.DAY)
 
 
 @query(
@@ -343,8 +349,8 @@ def realtime_hours_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "q_realtime_hours_gmv",
     f"""WITH {V.ORDER_INFO} SELECT create_hour AS hour,
-    round(sum(total_amount) FILTER (WHERE create_date = '{V.DAY}'), 2) AS today,
-    round(sum(total_amount) FILTER (WHERE create_date = '{V.DAY_BEFORE}'), 2) AS yesterday
+    CAST(sum(CAST(total_amount AS DECIMAL(18,2))) FILTER (WHERE create_date = '{V.DAY}') AS DOUBLE) AS today,
+    CAST(sum(CAST(total_amount AS DECIMAL(18,2))) FILTER (WHERE create_date = '{V.DAY_BEFORE}') AS DOUBLE) AS yesterday
     FROM order_info WHERE create_date IN ('{V.DAY_BEFORE}', '{V.DAY}') GROUP BY create_hour""",
 )
 def realtime_hours_gmv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,20 +358,51 @@ def realtime_hours_gmv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.today_vs_yesterday(orders, "order_amount", V.DAY)
 
 
-@query(
-    "q_realtime_total",
-    f"""WITH {V.FIRST_STARTS}, {V.ORDER_INFO}
-    SELECT 'dau' AS id, '新增日活' AS name, CAST(count(*) AS DOUBLE) AS value FROM dau WHERE log_date = '{V.DAY}'
+_CARDS = f"""{V.FIRST_STARTS}, {V.ORDER_INFO}, cards AS (
+    SELECT '{C.CARD_DAU[0]}' AS id, '{C.CARD_DAU[1]}' AS name, CAST(count(*) AS DOUBLE) AS value, 1 AS place
+    FROM dau WHERE log_date = '{V.DAY}'
     UNION ALL
-    SELECT 'new_mid', '新增设备', CAST(count(*) AS DOUBLE) FROM
+    SELECT '{C.CARD_NEW_DEVICE[0]}', '{C.CARD_NEW_DEVICE[1]}', CAST(count(*) AS DOUBLE), 2 FROM
       (SELECT mid FROM dau GROUP BY mid HAVING min(log_date) = '{V.DAY}')
     UNION ALL
-    SELECT 'order_amount', '新增交易额', round(sum(total_amount), 2) FROM order_info
-    WHERE create_date = '{V.DAY}'""",
-)
+    SELECT '{C.CARD_ORDER_AMOUNT[0]}', '{C.CARD_ORDER_AMOUNT[1]}', {V.EXACT_SUM}, 3 FROM order_info
+    WHERE create_date = '{V.DAY}')"""
+
+
+def _first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of devices by first day, as a job keeps it; read back by its folders."""
+    path = scratch_dir(spark, "first-seen-")
+    first = dau.first_active_day(_starts(spark, sf_dir, (None, V.DAY)))
+    first.hint("rebalance", "first_date").write.partitionBy("first_date").parquet(path)
+    return spark.read.schema("mid string, first_date string").parquet(path)
+
+
+@query("q_realtime_total", f"WITH {_CARDS} SELECT id, name, value FROM cards")
 def realtime_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, (V.ORDER_RAW_DAY, V.ORDER_RAW_DAY))
-    return dashboard.realtime_total(_dau(spark, sf_dir, ("1970-01-01", V.DAY)), orders, V.DAY)
+    starts = _dau_times(spark, sf_dir, (V.DAY, V.DAY))
+    return dashboard.realtime_total(starts, orders, _first_seen(spark, sf_dir), V.DAY)
+
+
+@query(
+    "q_realtime_total_json",
+    f"""WITH {_CARDS} SELECT '[' || string_agg('{{"id":"' || id || '","name":"' || name || '","value":' || value || '}}',
+    ',' ORDER BY place) || ']' AS value FROM cards""",
+)
+def realtime_total_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.cards_json(realtime_total(spark, sf_dir))
+
+
+@query(
+    "q_realtime_hours_json",
+    f"""WITH {V.FIRST_STARTS}, hours AS ({_DAU_BOTH_DAYS}) SELECT
+    '{{"yesterday":{{' || coalesce(string_agg('"' || hour || '":' || yesterday, ',' ORDER BY hour)
+      FILTER (WHERE yesterday IS NOT NULL), '') || '}},"today":{{' ||
+    coalesce(string_agg('"' || hour || '":' || today, ',' ORDER BY hour) FILTER (WHERE today IS NOT NULL), '')
+    || '}}}}' AS value FROM hours""",
+)
+def realtime_hours_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.hours_json(realtime_hours(spark, sf_dir))
 
 
 @query(
@@ -387,7 +424,7 @@ _ALERTS = f"""{_SPREAD}, alerts AS (
     array_to_string(list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))), ',') AS uids,
     array_to_string(list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))), ',') AS item_ids,
     string_agg(evid, ',' ORDER BY evid) AS events
-  FROM spread GROUP BY mid, window_start
+  FROM spread WHERE mid IS NOT NULL GROUP BY mid, window_start
   HAVING count(DISTINCT uid) FILTER (WHERE evid = 'coupon') >= 3 AND NOT bool_or(evid = 'clickItem'))"""
 
 
@@ -407,17 +444,42 @@ def alert_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_alert_coupon", f"WITH {_ALERTS} SELECT * FROM alerts")
 def alert_coupon(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alerts.coupon_alerts(V.event_log(spark, sf_dir), ALERT_LENGTH_S, ALERT_SLIDE_S)
-    return _joined(found, "uids", "item_ids", "events")
+    return _joined(alerts.list_events(found), "uids", "item_ids", "events")
+
+
+# Event time runs FAST times as fast, so that six hours become five minutes and the default window finds alerts.
+FAST = 72
+_FAST = f"""{V.EVENT_LOG}, spread AS (
+  SELECT * EXCLUDE (ts), ts // {FAST} AS ts,
+    (ts // {FAST} // {C.ALERT_SLIDE_S * 1000} - i) * {C.ALERT_SLIDE_S * 1000} AS window_start
+  FROM event_log, range({C.ALERT_WINDOW_S // C.ALERT_SLIDE_S}) t(i)), alerts AS (
+  SELECT mid, window_start, window_start + {C.ALERT_WINDOW_S * 1000} AS ts,
+    array_to_string(list_sort(list_distinct(list(uid) FILTER (WHERE evid = 'coupon'))), ',') AS uids,
+    array_to_string(list_sort(list_distinct(list(itemid) FILTER (WHERE evid = 'coupon'))), ',') AS item_ids,
+    string_agg(evid, ',' ORDER BY evid) AS events
+  FROM spread WHERE mid IS NOT NULL GROUP BY mid, window_start
+  HAVING count(DISTINCT uid) FILTER (WHERE evid = 'coupon') >= 3 AND NOT bool_or(evid = 'clickItem'))"""
+
+
+def fast_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.event_log(spark, sf_dir).withColumn("ts", F.call_function("div", F.col("ts"), F.lit(FAST)))
+
+
+@query("q_alert_default", f"WITH {_FAST} SELECT mid, window_start, ts, uids, item_ids, events FROM alerts")
+def alert_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five minutes, sliding by five seconds: several windows a minute."""
+    found = alerts.coupon_alerts(fast_events(spark, sf_dir))
+    return _joined(alerts.list_events(found), "uids", "item_ids", "events")
 
 
 @query(
     "q_alert_doc",
-    f"""WITH {_ALERTS} SELECT mid || '-' || (ts // 60000) AS doc_id, mid, uids, events, ts,
+    f"""WITH {_FAST} SELECT mid || '-' || (ts // 60000) AS doc_id, mid, uids, events, ts,
     'coupon_alert-' || strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS index_name
     FROM alerts QUALIFY row_number() OVER (PARTITION BY mid, ts // 60000 ORDER BY ts DESC) = 1""",
 )
 def alert_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alerts.coupon_alerts(V.event_log(spark, sf_dir), ALERT_LENGTH_S, ALERT_SLIDE_S)
+    found = alerts.list_events(alerts.coupon_alerts(fast_events(spark, sf_dir)))
     return _joined(alerts.alert_documents(found), "uids", "events").drop("item_ids", "window_start")
 
 
@@ -532,7 +594,7 @@ def sale_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sale_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
     details = V.timed_details(V.order_detail(spark, sf_dir), orders)
-    return sale.join_orders_details(V.timed_orders(orders), details).drop("user_id")
+    return sale.join_orders_details(V.timed_orders(orders), details).drop("user_id", "detail_time")
 
 
 def _sales(spark: SparkSession, sf_dir: str, raw_days: tuple[str, str] | None = None) -> DataFrame:
@@ -566,13 +628,8 @@ def sale_user_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HITS = f"""{V.SALE_DETAIL}, hits AS (
   SELECT * FROM sale_detail WHERE list_contains(regexp_extract_all(lower(sku_name), '[a-z0-9_]+'), '{V.KEYWORD}'))"""
-_RATIOS = """, g AS (SELECT user_gender, count(*) AS n FROM hits WHERE user_gender IS NOT NULL GROUP BY 1
-    ORDER BY n DESC, 1 LIMIT 2),
-  a AS (SELECT user_age, count(*) AS n FROM hits WHERE user_age IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 100),
-  parts AS (SELECT (SELECT count(*) FROM hits) AS total,
-    (SELECT coalesce(sum(n) FILTER (WHERE user_gender = 'M'), 0) FROM g) AS male,
-    (SELECT coalesce(sum(n) FILTER (WHERE user_age < 20), 0) FROM a) AS young,
-    (SELECT coalesce(sum(n) FILTER (WHERE user_age >= 30), 0) FROM a) AS old),
+_RATIOS = """, parts AS (SELECT count(*) AS total, count(*) FILTER (WHERE user_gender = 'M') AS male,
+    count(*) FILTER (WHERE user_age < 20) AS young, count(*) FILTER (WHERE user_age >= 30) AS old FROM hits),
   shares AS (SELECT total,
     floor(male * CAST(1000 AS DOUBLE) / total + 0.5) / 10 AS male_ratio,
     floor(young * CAST(1000 AS DOUBLE) / total + 0.5) / 10 AS young_ratio,
@@ -634,8 +691,8 @@ def age_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_gender_ratio",
-    f"""WITH {_HITS}{_RATIOS} SELECT '男' AS name, male_ratio AS value FROM figures
-    UNION ALL SELECT '女', female_ratio FROM figures""",
+    f"""WITH {_HITS}{_RATIOS} SELECT '{C.LABEL_MALE}' AS name, male_ratio AS value FROM figures
+    UNION ALL SELECT '{C.LABEL_FEMALE}', female_ratio FROM figures""",
 )
 def gender_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.gender_ratio(_hits(spark, sf_dir))
@@ -643,9 +700,9 @@ def gender_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_age_ratio",
-    f"""WITH {_HITS}{_RATIOS} SELECT '20岁以下' AS name, young_ratio AS value FROM figures
-    UNION ALL SELECT '20岁到30岁', middle_ratio FROM figures
-    UNION ALL SELECT '30岁及30岁以上', old_ratio FROM figures""",
+    f"""WITH {_HITS}{_RATIOS} SELECT '{C.LABEL_YOUNG}' AS name, young_ratio AS value FROM figures
+    UNION ALL SELECT '{C.LABEL_MIDDLE}', middle_ratio FROM figures
+    UNION ALL SELECT '{C.LABEL_OLD}', old_ratio FROM figures""",
 )
 def age_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.age_ratio(_hits(spark, sf_dir))
@@ -655,8 +712,9 @@ def age_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     "q_sale_report",
     f"""WITH {_HITS}{_RATIOS}, page AS (SELECT order_detail_id FROM hits
       ORDER BY order_detail_id OFFSET {(PAGE - 1) * PAGE_SIZE} LIMIT {PAGE_SIZE})
-    SELECT total, '20岁以下=' || young_ratio || ',20岁到30岁=' || middle_ratio || ',30岁及30岁以上=' || old_ratio AS ages,
-      '男=' || male_ratio || ',女=' || female_ratio AS genders,
+    SELECT total, '{C.LABEL_YOUNG}=' || young_ratio || ',{C.LABEL_MIDDLE}=' || middle_ratio
+      || ',{C.LABEL_OLD}=' || old_ratio AS ages,
+      '{C.LABEL_MALE}=' || male_ratio || ',{C.LABEL_FEMALE}=' || female_ratio AS genders,
       (SELECT string_agg(order_detail_id, ',' ORDER BY order_detail_id) FROM page) AS page_ids FROM figures""",
 )
 def sale_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -671,3 +729,33 @@ def sale_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ids = F.array_join(F.transform("detail", lambda d: d.getField("order_detail_id")), ",")
     return report.select("total", flat(0).alias("ages"), flat(1).alias("genders"), ids.alias("page_ids"))
+
+
+_ROW_JSON = """'{' || concat_ws(',', '"order_detail_id":"' || order_detail_id || '"', '"order_id":"' || order_id || '"',
+    '"order_status":"' || order_status || '"', '"create_time":"' || create_time || '"', '"user_id":"' || user_id || '"',
+    '"sku_id":"' || sku_id || '"', '"user_gender":"' || user_gender || '"', '"user_age":' || user_age,
+    '"user_level":"' || user_level || '"', '"sku_price":' || sku_price, '"sku_name":"' || sku_name || '"',
+    '"dt":"' || dt || '"') || '}'"""
+
+
+def _stat_sql(title: str, options: list[tuple[str, str]]) -> str:
+    listed = " || ',' || ".join(f"""'{{"name":"{label}","value":' || {value} || '}}'""" for label, value in options)
+    return f"""'{{"title":"{title}","options":[' || {listed} || ']}}'"""
+
+
+_AGES_JSON = _stat_sql(
+    C.TITLE_AGE, [(C.LABEL_YOUNG, "young_ratio"), (C.LABEL_MIDDLE, "middle_ratio"), (C.LABEL_OLD, "old_ratio")]
+)
+_GENDERS_JSON = _stat_sql(C.TITLE_GENDER, [(C.LABEL_MALE, "male_ratio"), (C.LABEL_FEMALE, "female_ratio")])
+
+
+@query(
+    "q_sale_report_json",
+    f"""WITH {_HITS}{_RATIOS}, page AS (SELECT * FROM hits
+      ORDER BY order_detail_id OFFSET {(PAGE - 1) * PAGE_SIZE} LIMIT {PAGE_SIZE})
+    SELECT '{{"total":' || total || ',"stat":[' || {_AGES_JSON} || ',' || {_GENDERS_JSON} || '],"detail":['
+      || (SELECT coalesce(string_agg({_ROW_JSON}, ',' ORDER BY order_detail_id), '') FROM page) || ']}}' AS value
+    FROM figures""",
+)
+def sale_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.sale_report_json(search.sale_report(_sales(spark, sf_dir), V.KEYWORD, PAGE, PAGE_SIZE))

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptide import schemas
-from shoptide.functions import fields
-from shoptide.operators import dashboard, gmv
+from shoptide.functions import fields, records
+from shoptide.operators import dashboard, gmv, search
 from shoptide.plans import batch as B
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
-from shoptide.session import scratch_dir, sized_for_local
+from shoptide.session import scratch_dir
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
-from shoptide.sources.streams import parse_changes, table_stream
+from shoptide.sources.streams import parse_changes, table_stream, topic_files
 from shoptide.sources.tables import read_table
 from shoptide.streaming import jobs
 
@@ -25,7 +25,8 @@ def text_fields(*names: str, **typed: T.DataType) -> T.StructType:
     return T.StructType(listed + [T.StructField(n, t) for n, t in typed.items()])
 
 
-DAU_DETAIL = T.StructType([*schemas.STARTUP_LOG.fields, *text_fields("log_date", "log_hour").fields])
+_TYPED = {"user_age": T.IntegerType(), "sku_price": T.DoubleType()}
+DAU_DETAIL = T.StructType([*schemas.STARTUP_LOG.fields, *text_fields("log_date", "log_hour", offset=T.LongType()).fields])
 SEEN = text_fields("mid", "log_date")
 ORDER_ROWS = T.StructType(
     [*schemas.ORDER_INFO.fields, *text_fields("create_date", "create_hour", "create_month", offset=T.LongType()).fields]
@@ -40,15 +41,17 @@ ALERT_DOCS = T.StructType(
         T.StructField("index_name", T.StringType()),
     ]
 )
-SALE_DOCS = text_fields(
-    "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_gender", "user_level",
-    "sku_name", "dt", "index_name", user_age=T.IntegerType(), sku_price=T.DoubleType(),
-)
+SALE_DOCS = T.StructType(
+    [
+        *(T.StructField(n, _TYPED.get(n, T.StringType())) for n in schemas.SALE_DETAIL_COLUMNS),
+        *text_fields("index_name", offset=T.LongType()).fields,
+    ]
+)
 
 
 def dau_tables(root: str) -> tuple[KeyedTable, KeyedTable]:
     """First starts, and the devices seen, by day."""
-    detail = KeyedTable(f"{root}/dau", DAU_DETAIL, key="mid", partition="log_date", order=("ts",))
+    detail = KeyedTable(f"{root}/dau", DAU_DETAIL, key="mid", partition="log_date", order=("ts", "offset"))
     return detail, KeyedTable(f"{root}/seen", SEEN, key="mid", partition="log_date")
 
 
@@ -58,46 +61,52 @@ def order_table(root: str) -> KeyedTable:
 
 
 def user_table(root: str) -> KeyedTable:
-    return KeyedTable(f"{root}/users", USER_ROWS, key="id", order=("offset",))
+    """Users in buckets, so that a batch of sales reads the buckets of its buyers."""
+    return KeyedTable(f"{root}/users", USER_ROWS, key="id", order=("offset",), buckets=8)
 
 
 def alert_index(root: str) -> KeyedTable:
     return KeyedTable(f"{root}/alerts", ALERT_DOCS, key="doc_id", partition="index_name", order=("ts",))
 
 
-def sale_index(root: str) -> KeyedTable:
-    return KeyedTable(f"{root}/sales", SALE_DOCS, key="order_detail_id", partition="index_name", order=("dt",))
+def sale_index(root: str, day: str = "index_name") -> KeyedTable:
+    return KeyedTable(f"{root}/sales", SALE_DOCS, key="order_detail_id", partition=day, order=("offset",))
 
 
-def _records(stream: DataFrame, columns: list, offset: str, timestamp=None) -> DataFrame:
-    """A table's stream as topic records: JSON text, offset, arrival."""
-    value = F.to_json(F.struct(*columns)).alias("value")
-    arrival = F.current_timestamp() if timestamp is None else timestamp
-    return stream.select(value, F.col(offset).cast("bigint").alias("offset"), arrival.alias("timestamp"))
+# Files of a topic that make up a batch.
+FILES = 4
 
 
-def startup_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = table_stream(spark, f"{sf_dir}/events.parquet").where(F.col("event_type") == "view")
-    return _records(views, V.startup_columns(), "event_id")
+def topic(spark: SparkSession, root: str, name: str, batches: list[DataFrame]) -> DataFrame:
+    """Keeps batches of (columns, offset, timestamp) as a topic's files of JSON text; a stream that takes one at a time."""
+    for rows in batches:
+        text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("offset", "timestamp")]))
+        records = rows.select(text.alias("value"), F.col("offset").cast("bigint").alias("offset"), "timestamp")
+        records.repartition(FILES).write.mode("append").json(f"{root}/topics/topic={name}")
+    return topic_files(spark, name, f"{root}/topics", maxFilesPerTrigger=str(FILES))
 
 
-def event_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(table_stream(spark, f"{sf_dir}/events.parquet"), V.event_columns(), "event_id")
+def _arrived(df: DataFrame, offset: str, arrival: Column | None = None) -> DataFrame:
+    """A table's rows with their offset and arrival (``ts``, in milliseconds, unless given)."""
+    at = F.timestamp_millis("ts") if arrival is None else arrival
+    return df.withColumn("timestamp", at).withColumnRenamed(offset, "offset")
 
 
-def order_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrived = V.order_columns()[-1].cast("timestamp")
-    return _records(table_stream(spark, f"{sf_dir}/orders.parquet"), V.order_columns(), "o_orderkey", arrived)
+def _thirds(df: DataFrame, ts: str = "ts") -> list[DataFrame]:
+    """Rows up to noon of the 10th, up to noon of the 20th, and after: a day goes on from one batch into the next."""
+    at = F.timestamp_millis(ts)
+    first, second = (F.lit(f"2024-01-{day} 12:00:00").cast("timestamp") for day in (10, 20))
+    return [df.where(at < first), df.where((at >= first) & (at < second)), df.where(at >= second)]
 
 
-def user_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(table_stream(spark, f"{sf_dir}/customer.parquet"), V.customer_columns(), "c_custkey")
+# Of these starts, those of the first batch are delivered with the last, far later than the watermark's bound.
+LATE_START = "event_id % 50 = 0"
+_FIRST_BATCH = "ts < epoch_ms(TIMESTAMP '2024-01-10 12:00:00')"
 
 
 def finish(writer) -> None:
     """Work off everything there is."""
-    with sized_for_local(SparkSession.active()):
-        jobs.start(writer, every_s=None).awaitTermination()
+    jobs.start(writer, every_s=None).awaitTermination()
 
 
 # ---------------------------------------------------------------- keyed tables
@@ -130,6 +139,7 @@ def sale_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales put by line, some again; documents without an id are added, each on its own."""
     table = sale_index(scratch_dir(spark, "sale-")).create(spark)
     sales = B._sales(spark, sf_dir).withColumn("index_name", fields.index_name("sale_detail", V.AS_OF))
+    sales = sales.withColumn("offset", F.lit(0).cast("bigint"))
     done = sales.where(F.col("order_status") == "F").withColumn("order_status", F.lit("DONE"))
     loose = sales.where(F.col("order_status") == "P").withColumn("order_detail_id", F.lit(None).cast("string"))
     table.write(sales, 0)
@@ -137,36 +147,94 @@ def sale_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark).select("order_detail_id", "user_id", "dt", "index_name", "order_status")
 
 
+# ---------------------------------------------------------------- stored tables, read by the dashboard
+
+
+@query(
+    "q_sale_report_index",
+    f"""WITH {B._HITS}, day AS (SELECT * FROM hits WHERE dt = '{V.DAY}'){B._RATIOS.replace("FROM hits", "FROM day")}
+    SELECT total, male_ratio, female_ratio, young_ratio, middle_ratio, old_ratio,
+      (SELECT string_agg(order_detail_id, ',' ORDER BY order_detail_id) FROM
+        (SELECT order_detail_id FROM day ORDER BY order_detail_id LIMIT {B.PAGE_SIZE})) AS page_ids FROM figures""",
+)
+def sale_report_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales put into the index by day, then one day of it searched: only that day's folder is read, in one pass."""
+    table = sale_index(scratch_dir(spark, "report-"), "dt").create(spark)
+    sales = B._sales(spark, sf_dir).withColumn("index_name", fields.index_name("sale_detail", V.AS_OF))
+    table.write(sales.withColumn("offset", F.lit(0).cast("bigint")), 0)
+    return search.day_report(search.search(table.read(spark, [V.DAY]), V.KEYWORD), B.PAGE_SIZE)
+
+
+@query(
+    "q_search_after",
+    f"""WITH {B._HITS} SELECT order_detail_id, sku_name FROM hits
+    WHERE order_detail_id > (SELECT order_detail_id FROM hits ORDER BY 1 OFFSET {B.PAGE_SIZE - 1} LIMIT 1)
+    ORDER BY order_detail_id LIMIT {B.PAGE_SIZE}""",
+)
+def search_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page by the last id of the first: a page costs the same however deep it is."""
+    hits = B._hits(spark, sf_dir).select("order_detail_id", "sku_name")
+    last = [r[0] for r in search.page_after(hits, None, B.PAGE_SIZE).collect()][-1:]
+    return search.page_after(hits, last[0] if last else None, B.PAGE_SIZE)
+
+
+@query(
+    "q_rejected_records",
+    f"""WITH {V.STARTUP_LOG} SELECT event_id, substr('{{"mid":"' || mid || '","ts":' || ts || '}}', 1, 12) AS value
+    FROM startup_log WHERE event_id % 7 = 0""",
+)
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that were cut off on the way, kept aside."""
+    whole = records.json_value(V.startup_log(spark, sf_dir), "mid", "ts", keep=("event_id",))
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring("value", 1, 12)).otherwise(F.col("value"))
+    return records.rejected_records(whole.withColumn("value", cut), schemas.STARTUP_LOG).select("event_id", "value")
+
+
 # ---------------------------------------------------------------- streams
 
 
 @query("q_stream_dau_detail", f"WITH {V.FIRST_STARTS} SELECT mid, log_date, log_hour, uid, ts FROM dau")
 def stream_dau_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches; devices start again on a day that an earlier batch has begun."""
     root = scratch_dir(spark, "dau-")
-    detail, seen = dau_tables(root)
-    detail.create(spark), seen.create(spark)
-    finish(jobs.dau_job(startup_topic(spark, sf_dir), detail, seen, f"{root}/checkpoint"))
-    return detail.read(spark).select("mid", "log_date", "log_hour", "uid", "ts")
+    detail, seen = (t.create(spark) for t in dau_tables(root))
+    starts = topic(spark, root, "startup", _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id")))
+    finish(jobs.dau_job(starts, detail, seen, f"{root}/checkpoint", jobs.reject_table(f"{root}/rejects")))
+    return detail.history(spark).select("mid", "log_date", "log_hour", "uid", "ts")
 
 
-@query("q_stream_dau_state", f"WITH {V.STARTUP_LOG} SELECT DISTINCT mid, log_date FROM startup_log")
+@query(
+    "q_stream_dau_state",
+    f"""WITH {V.STARTUP_LOG} SELECT DISTINCT mid, log_date FROM startup_log
+    WHERE NOT ({LATE_START} AND {_FIRST_BATCH})""",
+)
 def stream_dau_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches; some starts of the first come with the last, too late, and fall."""
     root = scratch_dir(spark, "dau-state-")
-    first = jobs.first_starts_stream(startup_topic(spark, sf_dir)).select("mid", "log_date")
-    writer = first.writeStream.format("parquet").option("path", f"{root}/dau")
+    first, second, third = _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id"))
+    late = F.expr(LATE_START.replace("event_id", "offset"))
+    starts = topic(spark, root, "startup", [first.where(~late), second, third.unionByName(first.where(late))])
+    fresh = jobs.first_starts_stream(starts).select("mid", "log_date")
+    writer = fresh.writeStream.format("parquet").option("path", f"{root}/dau")
     finish(writer.option("checkpointLocation", f"{root}/checkpoint"))
-    return spark.read.schema(first.schema).parquet(f"{root}/dau")
+    return spark.read.schema(fresh.schema).parquet(f"{root}/dau")
 
 
 @query(
     "q_stream_gmv",
-    f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, round(sum(total_amount), 2) AS value FROM order_info
+    f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, {V.EXACT_SUM} AS value FROM order_info
     GROUP BY ALL""",
 )
 def stream_gmv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order comes with another amount first, and changes in one of two later batches."""
     root = scratch_dir(spark, "gmv-stream-")
     table = order_table(root).create(spark)
-    finish(jobs.gmv_job(order_topic(spark, sf_dir), table, f"{root}/checkpoint"))
+    orders = V.order_info(spark, sf_dir).withColumn("offset", F.col("id").cast("bigint"))
+    orders = orders.withColumn("timestamp", F.col("create_time").cast("timestamp"))
+    draft = orders.withColumn("total_amount", F.col("total_amount") + 1)
+    even = F.col("offset") % 2 == 0
+    raw = topic(spark, root, "order_info", [draft, orders.where(even), orders.where(~even)])
+    finish(jobs.gmv_job(raw, table, f"{root}/checkpoint", jobs.reject_table(f"{root}/rejects")))
     return dashboard.by_hour(table.read(spark), "order_amount")
 
 
@@ -175,75 +243,107 @@ def stream_gmv(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {V.USER_INFO} SELECT id, login_name, user_level, birthday, gender FROM user_info",
 )
 def stream_user_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user comes with another level first, and changes in one of two later batches."""
     root = scratch_dir(spark, "users-")
     table = user_table(root).create(spark)
-    finish(jobs.user_job(user_topic(spark, sf_dir), table, f"{root}/checkpoint"))
+    users = V.user_info(spark, sf_dir).withColumn("offset", F.col("id").cast("bigint"))
+    users = users.withColumn("timestamp", F.lit(V.AS_OF).cast("timestamp"))
+    even = F.col("offset") % 2 == 0
+    batches = [users.withColumn("user_level", F.lit("NEW")), users.where(even), users.where(~even)]
+    raw = topic(spark, root, "user_info", batches)
+    finish(jobs.user_job(raw, table, f"{root}/checkpoint", jobs.reject_table(f"{root}/rejects")))
     return table.read(spark).drop("offset")
 
 
 @query(
     "q_stream_alerts",
-    f"""WITH {B._ALERTS} SELECT mid || '-' || (ts // 60000) AS doc_id, mid, uids, item_ids, events, ts FROM alerts
-    WHERE ts <= (SELECT max(ts) - 10000 FROM event_log)""",
+    f"""WITH {B._FAST} SELECT mid || '-' || (ts // 60000) AS doc_id, mid, uids, item_ids, events, ts FROM alerts
+    QUALIFY row_number() OVER (PARTITION BY mid, ts // 60000 ORDER BY ts DESC) = 1""",
 )
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows that end ten seconds or less before the last event are not closed yet."""
+    """Windows of five minutes every five seconds, in three batches; a last record closes the windows at the end."""
     root = scratch_dir(spark, "alerts-")
     index = alert_index(root).create(spark)
-    job = jobs.alert_job(
-        event_topic(spark, sf_dir), index, f"{root}/checkpoint",
-        length_s=B.ALERT_LENGTH_S, slide_s=B.ALERT_SLIDE_S,
-    )
-    finish(job)
+    events = B.fast_events(spark, sf_dir).withColumn("offset", F.lit(0))
+    last = events.agg(F.max("ts")).first()[0] or 0
+    low = events.agg(F.min("ts")).first()[0] or 0
+    times = [low + (last - low) * n // 3 for n in (1, 2)]
+    at = F.col("ts")
+    events = events.withColumn("timestamp", F.timestamp_millis("ts"))
+    beat = spark.createDataFrame([("", last + 3_600_000)], "mid string, ts long").withColumn("offset", F.lit(1))
+    beat = beat.withColumn("timestamp", F.timestamp_millis("ts"))
+    batches = [events.where(at < times[0]), events.where((at >= times[0]) & (at < times[1])), events.where(at >= times[1]), beat]
+    finish(jobs.alert_job(topic(spark, root, "event", batches), index, f"{root}/checkpoint"))
     found = B._joined(index.read(spark), "uids", "item_ids", "events")
     return found.select("doc_id", "mid", "uids", "item_ids", "events", "ts")
 
 
+# Orders arrive at a second of one day that their key decides, lines up to a minute before and three after them. Of
+# these lines, those of the first batch are delivered with the last, later than any order waits.
+LATE_LINE = "l_linenumber = 2 AND l_orderkey % 10 = 0 AND l_orderkey * 7919 % 86400 < 28800"
+
+
+def _second_of_day(key: str, delay: Column | int = 0) -> Column:
+    second = F.pmod(F.col(key) * 7919, F.lit(86_400)) + delay
+    return F.lit(V.AS_OF).cast("timestamp") + F.make_dt_interval(secs=second)
+
+
 @query(
     "q_stream_sale_detail",
     f"""WITH {V.SALE_DETAIL} SELECT order_detail_id, order_id, order_status, user_id, sku_id, user_gender, user_age,
-    user_level, sku_price, sku_name, dt, 'sale_detail-{V.AS_OF}' AS index_name
-    FROM sale_detail WHERE delay_s BETWEEN -100 AND 100""",
+    user_level, sku_price, sku_name, dt,
+    'sale_detail-' || strftime(TIMESTAMP '{V.AS_OF}' + to_seconds(CAST(order_id AS BIGINT) * 7919 % 86400 + delay_s), '%Y-%m-%d')
+      AS index_name
+    FROM sale_detail WHERE delay_s BETWEEN -100 AND 100
+      AND NOT (split_part(order_detail_id, '-', 2) = '2' AND CAST(order_id AS BIGINT) % 10 = 0
+        AND CAST(order_id AS BIGINT) * 7919 % 86400 < 28800)""",
 )
 def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two streams joined within 100 seconds, then with a user table that a third stream has filled."""
+    """Two streams of three batches joined within 100 seconds, then with a user table that another job has filled."""
     root = scratch_dir(spark, "sales-")
     index, users = sale_index(root).create(spark), user_table(root).create(spark)
     known = V.user_info(spark, sf_dir, ~F.expr(V.IN_DEBT)).withColumn("offset", F.lit(0).cast("bigint"))
     users.write(known, 0)
-    details = V.timed_details(_line_stream(spark, sf_dir), V.order_info(spark, sf_dir))
-    lines = details.select(
-        F.to_json(F.struct("id", "order_id", "sku_name", "sku_id", "order_price", "sku_num")).alias("value"),
-        F.col("detail_time").alias("timestamp"),
-    )
+    orders = V.order_info(spark, sf_dir).withColumn("offset", F.col("id").cast("bigint"))
+    orders = orders.withColumn("timestamp", _second_of_day("offset"))
+    lines = read_table(spark, sf_dir, "lineitem")
+    delay = (F.col("l_linenumber") - 1) * 40 - 60
+    extra = (F.col("l_orderkey").alias("offset"), _second_of_day("l_orderkey", delay).alias("timestamp"), F.expr(LATE_LINE).alias("late"))
+    lines = V.line_columns(lines, read_table(spark, sf_dir, "part"), extra).drop("delay_s")
+
+    def by_time(df: DataFrame) -> list[DataFrame]:
+        edges = [F.lit(f"{V.AS_OF} {hour}:00:00").cast("timestamp") for hour in ("08", "16")]
+        at = F.col("timestamp")
+        return [df.where(at < edges[0]), df.where((at >= edges[0]) & (at < edges[1])), df.where(at >= edges[1])]
+
+    first, second, third = (b.drop("late") for b in by_time(lines.where("not late")))
+    third = third.unionByName(lines.where("late").drop("late"))
     job = jobs.sale_job(
-        order_topic(spark, sf_dir), lines, lambda s, wanted: users.read(s, only=wanted), index,
-        f"{root}/checkpoint", as_of=V.AS_OF,
+        topic(spark, root, "order_info", by_time(orders)), topic(spark, root, "order_detail", [first, second, third]),
+        lambda s, wanted: users.read(s, only=wanted), index, f"{root}/checkpoint", as_of=V.AS_OF,
     )
     finish(job)
-    return index.read(spark).drop("create_time")
-
-
-def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = read_table(spark, sf_dir, "part")
-    return V.line_columns(table_stream(spark, f"{sf_dir}/lineitem.parquet"), parts)
+    return index.read(spark).drop("create_time", "offset")
 
 
 @query(
     "q_stream_log_topics",
     f"""WITH {V.RAW_LOGS} SELECT CASE WHEN event_type = 'view' THEN 'startup' ELSE 'event' END AS topic,
-    opened || ',"ts":{V.NOW_MS}}}' AS value, '{V.AS_OF}' AS log_date FROM raw_logs""",
+    opened || ',"ts":{V.NOW_MS}}}' AS value, '{V.AS_OF}' AS log_date, 1 AS sent, 1 AS logged FROM raw_logs""",
 )
 def stream_log_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines stamped, sent to their topic and kept in the day's log file."""
+    """Log lines stamped once, sent to their topic and kept in the day's log file; each exactly once in both."""
     root = scratch_dir(spark, "logs-")
     lines = V.log_columns(table_stream(spark, f"{sf_dir}/events.parquet"))
-    collected = jobs.collect_logs(lines, F.lit(V.NOW_MS))
-    finish(outputs.to_topic_files(collected.select("topic", "value"), f"{root}/topics", f"{root}/topics-checkpoint"))
-    finish(outputs.to_daily_logs(collected, f"{root}/logs", f"{root}/logs-checkpoint"))
-    sent = spark.read.schema("value string, topic string").json(f"{root}/topics")
-    logged = spark.read.schema("value string, log_date string").text(f"{root}/logs").distinct()
-    return sent.join(logged, "value").select("topic", "value", "log_date")
+    rejects = jobs.reject_table(f"{root}/rejects")
+    finish(jobs.log_job(lines, f"{root}/topics", f"{root}/logs", f"{root}/checkpoint", rejects, clock=lambda: V.NOW_MS))
+    sent = spark.read.schema("value string, topic string").json(f"{root}/topics").withColumn("sent", F.lit(1))
+    logged = spark.read.schema("value string, log_date string").text(f"{root}/logs").withColumn("logged", F.lit(1))
+    both = sent.unionByName(logged, allowMissingColumns=True).groupBy("value")
+    return both.agg(
+        F.max("topic").alias("topic"), F.max("log_date").alias("log_date"),
+        F.sum("sent").cast("int").alias("sent"), F.sum("logged").cast("int").alias("logged"),
+    )
 
 
 @query("q_stream_cdc_topics", f"WITH {V.ROUTED} SELECT topic, image AS value FROM routed")
@@ -254,4 +354,3 @@ def stream_cdc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = parse_changes(spark.readStream.text(f"{root}/changes"))
     finish(outputs.to_topic_files(jobs.collect_changes(changes), f"{root}/topics", f"{root}/checkpoint"))
     return spark.read.schema("value string, topic string").json(f"{root}/topics")
-

@@ -34,7 +34,7 @@ def _millis(ts: str) -> Column:
     return F.unix_millis(F.col(ts).cast("timestamp"))
 
 
-def _events(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, days: tuple[str | None, str] | None) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
     return events if days is None else between_days(events, "ts", *days)
 
@@ -61,7 +61,7 @@ def startup_columns() -> list[Column]:
     ]
 
 
-def startup_log(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+def startup_log(spark: SparkSession, sf_dir: str, days: tuple[str | None, str] | None = None) -> DataFrame:
     views = _events(spark, sf_dir, days).where(F.col("event_type") == "view")
     return views.select(*startup_columns(), "event_id")
 
@@ -145,6 +145,7 @@ def order_info(spark: SparkSession, sf_dir: str, raw_days: tuple[str, str] | Non
     return orders.select(*order_columns())
 
 
+EXACT_SUM = "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
 ORDER_INFO = f"""order_info AS (
   SELECT *, create_day || ' ' || create_hour || ':30:00' AS create_time, create_day AS create_date FROM (
     SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
@@ -174,7 +175,7 @@ def _line_id() -> Column:
     ).alias("id")
 
 
-def line_columns(lines: DataFrame, parts: DataFrame) -> DataFrame:
+def line_columns(lines: DataFrame, parts: DataFrame, extra: tuple[Column, ...] = ()) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         _line_id(),
@@ -184,6 +185,7 @@ def line_columns(lines: DataFrame, parts: DataFrame) -> DataFrame:
         _money(F.col("l_extendedprice")).alias("order_price"),
         _text(quantity).alias("sku_num"),
         ((F.col("l_linenumber") - 1) * 40 - 60).alias("delay_s"),
+        *extra,
     )
 
 

@@ -5,26 +5,82 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _record(strings: str, **typed: T.DataType) -> T.StructType:
-    """A record of string fields followed by the given typed ones."""
-    fields = [T.StructField(name, T.StringType()) for name in strings.split()]
-    fields += [T.StructField(name, kind) for name, kind in typed.items()]
-    return T.StructType(fields)
+# Fields in the order in which the records declare them.
 
+STARTUP_LOG = T.StructType(
+    [
+        T.StructField("mid", T.StringType()),
+        T.StructField("uid", T.StringType()),
+        T.StructField("appid", T.StringType()),
+        T.StructField("area", T.StringType()),
+        T.StructField("os", T.StringType()),
+        T.StructField("ch", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("vs", T.StringType()),
+        T.StructField("ts", T.LongType()),
+    ]
+)
 
-STARTUP_LOG = _record("mid uid appid area os ch type vs", ts=T.LongType())
-
-EVENT_LOG = _record("mid uid appid area os type evid pgid npgid itemid", ts=T.LongType())
+EVENT_LOG = T.StructType(
+    [
+        T.StructField("mid", T.StringType()),
+        T.StructField("uid", T.StringType()),
+        T.StructField("appid", T.StringType()),
+        T.StructField("area", T.StringType()),
+        T.StructField("os", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("evid", T.StringType()),
+        T.StructField("pgid", T.StringType()),
+        T.StructField("npgid", T.StringType()),
+        T.StructField("itemid", T.StringType()),
+        T.StructField("ts", T.LongType()),
+    ]
+)
 
-ORDER_INFO = _record(
-    "id province_id consignee order_comment consignee_tel order_status payment_way user_id img_url "
-    "expire_time delivery_address create_time operate_time tracking_no parent_order_id out_trade_no trade_body",
-    total_amount=T.DoubleType(),
+ORDER_INFO = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("province_id", T.StringType()),
+        T.StructField("consignee", T.StringType()),
+        T.StructField("order_comment", T.StringType()),
+        T.StructField("consignee_tel", T.StringType()),
+        T.StructField("order_status", T.StringType()),
+        T.StructField("payment_way", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("img_url", T.StringType()),
+        T.StructField("total_amount", T.DoubleType()),
+        T.StructField("expire_time", T.StringType()),
+        T.StructField("delivery_address", T.StringType()),
+        T.StructField("create_time", T.StringType()),
+        T.StructField("operate_time", T.StringType()),
+        T.StructField("tracking_no", T.StringType()),
+        T.StructField("parent_order_id", T.StringType()),
+        T.StructField("out_trade_no", T.StringType()),
+        T.StructField("trade_body", T.StringType()),
+    ]
 )
 
-ORDER_DETAIL = _record("id order_id sku_name sku_id order_price img_url sku_num")
+ORDER_DETAIL = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("order_id", T.StringType()),
+        T.StructField("sku_name", T.StringType()),
+        T.StructField("sku_id", T.StringType()),
+        T.StructField("order_price", T.StringType()),
+        T.StructField("img_url", T.StringType()),
+        T.StructField("sku_num", T.StringType()),
+    ]
+)
 
-USER_INFO = _record("id login_name user_level birthday gender")
+USER_INFO = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("login_name", T.StringType()),
+        T.StructField("user_level", T.StringType()),
+        T.StructField("birthday", T.StringType()),
+        T.StructField("gender", T.StringType()),
+    ]
+)
 
 CHANGE = T.StructType(
     [

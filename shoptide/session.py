@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,25 +45,6 @@ def pin_semantics(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def sized_for_local(spark: SparkSession) -> Iterator[None]:
-    """In local mode only, no more shuffle partitions than cores while a stream starts.
-
-    A stream keeps a state store per shuffle partition, and a store on one machine takes longer to open than a
-    small table takes to fill it. On a cluster the configured number stands.
-    """
-    key = "spark.sql.shuffle.partitions"
-    configured, cores = spark.conf.get(key), spark.sparkContext.defaultParallelism
-    if not spark.sparkContext.master.startswith("local") or int(configured) <= cores:
-        yield
-        return
-    spark.conf.set(key, str(cores))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, configured)
-
-
 def scratch_dir(spark: SparkSession, prefix: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder, or a local one in local mode only."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -26,6 +26,18 @@ def to_daily_logs(lines: DataFrame, root: str, checkpoint: str, day: str = "log_
     return writer.option("checkpointLocation", checkpoint)
 
 
+def put_topic_files(records: DataFrame, root: str, batch_id: int) -> None:
+    """A batch in one folder per topic and batch; run again, it replaces itself."""
+    rows = records.withColumn("batch", F.lit(batch_id))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").json(root)
+
+
+def put_daily_logs(lines: DataFrame, root: str, batch_id: int, day: str = "log_date") -> None:
+    """A batch of log lines as text in one folder per day and batch; run again, it replaces itself."""
+    rows = lines.select("value", day).withColumn("batch", F.lit(batch_id))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day, "batch").text(root)
+
+
 def jdbc_write_options(
     url: str, table: str, *, batch_size: int = 1000, connections: int = 8, **properties: str
 ) -> dict[str, str]:

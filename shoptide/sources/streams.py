@@ -47,6 +47,12 @@ def table_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def rejected_changes(raw: DataFrame, value: str = "value") -> DataFrame:
+    """The records :func:`parse_changes` leaves out, to be kept aside."""
+    change = F.from_json(F.col(value), schemas.CHANGE)
+    return raw.where(change.getField("entry_type").isNull())
+
+
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
     """Row changes of a database log: entry type, table, operation and the row afterwards as name-value pairs."""
     change = F.from_json(F.col(value), schemas.CHANGE)

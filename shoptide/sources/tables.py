@@ -40,8 +40,11 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{table}.parquet")
 
 
-def between_days(df: DataFrame, column: str, first: str, last: str | None = None) -> DataFrame:
-    """Rows of the days ``first`` to ``last``, as a range of the raw column that reaches the file scan."""
-    start = F.lit(first).cast("timestamp_ntz")
+def between_days(df: DataFrame, column: str, first: str | None, last: str | None = None) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, as a range of the raw column that reaches the file scan.
+
+    Without ``first`` all rows up to ``last``; without ``last`` one day.
+    """
     stop = F.date_add(F.lit(last or first).cast("date"), 1).cast("timestamp_ntz")
-    return df.where((F.col(column) >= start) & (F.col(column) < stop))
+    rows = df.where(F.col(column) < stop)
+    return rows if first is None else rows.where(F.col(column) >= F.lit(first).cast("timestamp_ntz"))

@@ -5,18 +5,23 @@ call :func:`start` on it, or set a trigger of your own.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import constants as C
+from shoptide import schemas
 from shoptide.functions.fields import index_name
-from shoptide.functions.records import parse_detail, parse_event, parse_order, parse_startup, parse_user
+from shoptide.functions.records import broken_records, parse_detail, parse_event, parse_order, parse_startup, parse_user
 from shoptide.functions.times import date_text, with_log_date_hour
 from shoptide.operators import alerts, dau, routing, sale
 from shoptide.operators.gmv import ingest_orders, with_month
+from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 
 log = logging.getLogger(__name__)
@@ -39,40 +44,79 @@ def _put_counted(table: KeyedTable, rows: DataFrame, batch_id: int) -> None:
     """Put a batch and log how many rows it had, without a second pass."""
     seen = Observation(f"{table.key}-{batch_id}")
     table.write(dau.counted(rows, seen, ROWS), batch_id)
-    log.info("%s: batch %d, %s rows", table.path, batch_id, seen.get.get(ROWS))
+    log.info("%s: batch %d, %s rows", table.path, batch_id, _observed(seen))
 
 
-def dau_job(raw: DataFrame, detail: KeyedTable, seen: KeyedTable, checkpoint: str) -> DataStreamWriter:
+def _observed(seen: Observation) -> int:
+    """The count; where Spark knows beforehand that there are no rows it leaves the counting out, and has no figure."""
+    try:
+        return seen.get[ROWS]
+    except Py4JJavaError:
+        return 0
+
+
+REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "value", "reason")])
+
+
+def reject_table(path: str) -> KeyedTable:
+    """Records a job could not use, with the reason; none of them has a key, so all stay."""
+    return KeyedTable(path, REJECTS, key="id")
+
+
+def _put_rejects(table: KeyedTable | None, rows: DataFrame, batch_id: int) -> None:
+    if table is not None:
+        table.write(rows.select(F.lit(None).cast("string").alias("id"), "value", "reason"), batch_id)
+
+
+def _ahead(ms: str, arrival: str, ahead_s: int) -> Column:
+    """Whether a device's clock is ahead of the record's arrival. Such a time would push the watermark on."""
+    return F.coalesce(F.col(ms) > F.unix_millis(arrival) + ahead_s * 1000, F.lit(False))
+
+
+def dau_job(
+    raw: DataFrame, detail: KeyedTable, seen: KeyedTable, checkpoint: str, rejects: KeyedTable | None = None
+) -> DataStreamWriter:
     """First starts per device and day, against a table of devices seen before.
 
-    Of the seen table only the days of the batch are read, and only the two key columns.
+    Of the seen table only the batch's days are read, and only the two key columns. Broken records and starts
+    without a time have no day; they go to ``rejects``.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = dau.first_per_device_day(with_log_date_hour(parse_startup(batch))).persist()
-        days = first.agg(F.min("log_date"), F.max("log_date")).first()
-        if days[0] is not None:
-            known = seen.history(spark, F.col("log_date").between(days[0], days[1]), before_batch=batch_id)
-            fresh = dau.drop_seen(first, known).persist()
-            _put_counted(detail, fresh, batch_id)
-            seen.write(dau.mark_seen(fresh), batch_id)
-            fresh.unpersist()
-        first.unpersist()
+        starts = with_log_date_hour(parse_startup(batch, keep=("offset", "value")))
+        undated = starts.where("log_date is null").select("value", F.lit("no time").alias("reason"))
+        _put_rejects(rejects, broken_records(batch, schemas.STARTUP_LOG).unionByName(undated), batch_id)
+        first = dau.first_per_device_day(starts.where("log_date is not null").drop("value"), ("ts", "offset")).persist()
+        try:
+            days = [r[0] for r in first.select("log_date").distinct().collect()]
+            fresh = dau.drop_seen(first, seen.history(spark, days, before_batch=batch_id)).persist()
+            try:
+                _put_counted(detail, fresh, batch_id)
+                seen.write(dau.mark_seen(fresh), batch_id)
+            finally:
+                fresh.unpersist()
+        finally:
+            first.unpersist()
 
     return _each_batch(raw, checkpoint, put)
 
 
-def first_starts_stream(raw: DataFrame, late: str = "24 hours", salts: int = 1) -> DataFrame:
+def first_starts_stream(
+    raw: DataFrame, late: str = "24 hours", salts: int = C.STREAM_SALTS, ahead_s: int = C.CLOCK_AHEAD_S
+) -> DataFrame:
     """First starts per device and day, with the seen devices in the state store.
 
     The cost of a batch does not grow with the devices already seen, and the state drops a day once the
-    watermark has passed it. Which of several starts within one batch is kept is not defined.
+    watermark has passed it. Which of several starts within one batch is kept is not defined. Starts later than
+    ``late`` fall (``numRowsDroppedByWatermark`` of the query's progress counts them), as do starts more than
+    ``ahead_s`` ahead of their arrival, which would make all others late.
 
     A streaming dedup sends every row to the task of its key. With ``salts`` above 1 the rows of a device and
     day are first reduced by that many tasks, so that a device with very many starts does not hold up one.
     """
-    starts = with_log_date_hour(parse_startup(raw, keep=("offset",)))
+    starts = with_log_date_hour(parse_startup(raw, keep=("offset", "timestamp")))
+    starts = starts.where(~_ahead("ts", "timestamp", ahead_s)).drop("timestamp")
     timed = starts.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", late)
     if salts > 1:
         salted = timed.withColumn("salt", F.pmod(F.xxhash64("offset"), F.lit(salts)))
@@ -80,20 +124,22 @@ def first_starts_stream(raw: DataFrame, late: str = "24 hours", salts: int = 1)
     return timed.dropDuplicatesWithinWatermark(dau.DEVICE_DAY).drop("event_time", "offset")
 
 
-def gmv_job(raw: DataFrame, orders: KeyedTable, checkpoint: str) -> DataStreamWriter:
+def gmv_job(raw: DataFrame, orders: KeyedTable, checkpoint: str, rejects: KeyedTable | None = None) -> DataStreamWriter:
     """Orders with date, hour and masked phone, put by order id. Narrow up to the write."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        _put_rejects(rejects, broken_records(batch, schemas.ORDER_INFO), batch_id)
         rows = ingest_orders(parse_order(batch, keep=("offset",)))
         _put_counted(orders, with_month(rows), batch_id)
 
     return _each_batch(raw, checkpoint, put)
 
 
-def user_job(raw: DataFrame, users: KeyedTable, checkpoint: str) -> DataStreamWriter:
+def user_job(raw: DataFrame, users: KeyedTable, checkpoint: str, rejects: KeyedTable | None = None) -> DataStreamWriter:
     """The latest record of every user."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        _put_rejects(rejects, broken_records(batch, schemas.USER_INFO), batch_id)
         _put_counted(users, parse_user(batch, keep=("offset",)), batch_id)
 
     return _each_batch(raw, checkpoint, put)
@@ -105,43 +151,59 @@ def alert_stream(
     slide_s: int = C.ALERT_SLIDE_S,
     min_accounts: int = C.ALERT_MIN_ACCOUNTS,
     late: str = "10 seconds",
+    ahead_s: int = C.CLOCK_AHEAD_S,
 ) -> DataFrame:
-    """Coupon alerts of windows the watermark has closed.
+    """Coupon alerts of windows the watermark has closed, with counted behaviours.
 
-    Events are summed up per device and pane first. The sliding windows then take in panes, not events.
+    Events are summed up per device and pane first. The sliding windows then take in panes, not events. Windows
+    after the last event close once a later record arrives, whatever its device; a source that may fall silent
+    sends one (:func:`heartbeat`). Late events fall, as in :func:`first_starts_stream`.
     """
     pane = f"{alerts.pane_seconds(length_s, slide_s)} seconds"
     is_coupon = F.col("evid") == C.EVENT_COUPON
-    events = parse_event(raw).withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", late)
-    panes = events.groupBy(F.window("event_time", pane).alias("pane"), "mid", "evid").agg(
+    parsed = parse_event(raw, keep=("timestamp",)).where(~_ahead("ts", "timestamp", ahead_s)).drop("timestamp")
+    events = parsed.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", late)
+    counts = events.where("mid is not null").groupBy(F.window("event_time", pane).alias("pane"), "mid", "evid").agg(
         F.collect_set(F.when(is_coupon, F.col("uid"))).alias("accounts"),
         F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
         F.count(F.lit(1)).alias("n"),
     )
-    windows = panes.groupBy(F.window("pane", f"{length_s} seconds", f"{slide_s} seconds").alias("span"), "mid").agg(
+    windows = counts.groupBy(F.window("pane", f"{length_s} seconds", f"{slide_s} seconds").alias("span"), "mid").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("accounts")))).alias("uids"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids"),
-        F.collect_list(F.struct("evid", "n")).alias("behaviours"),
+        F.collect_list(F.struct("evid", "n")).alias("parts"),
         F.bool_or(F.col("evid") == C.EVENT_ITEM_VIEW).alias("viewed"),
     )
-    repeated = F.transform("behaviours", lambda b: F.array_repeat(b.getField("evid"), b.getField("n").cast("int")))
-    return windows.where((F.size("uids") >= min_accounts) & ~F.col("viewed")).select(
+    kinds = F.array_sort(F.array_distinct(F.transform("parts", lambda p: p.getField("evid"))))
+    total = lambda kind: F.aggregate(
+        F.filter("parts", lambda p: p.getField("evid").eqNullSafe(kind)), F.lit(0).cast("long"), lambda t, p: t + p.getField("n")
+    )
+    behaviours = F.transform(kinds, lambda kind: F.struct(kind.alias("evid"), total(kind).alias("n")))
+    return windows.where(alerts.is_alert(F.size("uids"), F.col("viewed"), min_accounts)).select(
         "mid",
         "uids",
         "item_ids",
-        F.array_sort(F.flatten(repeated)).alias("events"),
+        behaviours.alias("behaviours"),
         F.unix_millis("span.start").alias("window_start"),
         F.unix_millis("span.end").alias("ts"),
     )
 
 
+def heartbeat(ts_ms: int) -> str:
+    """An event of no behaviour on a device without a name: it moves the watermark on and counts for nothing.
+
+    (Records with a null device are filtered before Spark looks at their time.)
+    """
+    return f'{{"mid":"","ts":{ts_ms}}}'
+
+
 def alert_job(
     raw: DataFrame, documents: KeyedTable, checkpoint: str, prefix: str = C.INDEX_ALERT, **options
 ) -> DataStreamWriter:
-    """Alerts put under their document id into daily indices."""
+    """Alerts put under their document id into daily indices, events listed one by one."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        _put_counted(documents, alerts.alert_documents(batch, prefix), batch_id)
+        _put_counted(documents, alerts.alert_documents(alerts.list_events(batch), prefix), batch_id)
 
     return _each_batch(alert_stream(raw, **options), checkpoint, put)
 
@@ -151,12 +213,12 @@ def sale_stream(
     details_raw: DataFrame,
     bound_s: int = C.JOIN_BOUND_S,
     late: str = "10 seconds",
-    salts: int = 1,
+    salts: int = C.STREAM_SALTS,
 ) -> DataFrame:
     """Lines with their orders, by arrival time (``timestamp``), whichever comes first."""
     orders = ingest_orders(parse_order(orders_raw, keep=("timestamp",)))
     orders = orders.withColumnRenamed("timestamp", "order_time").withWatermark("order_time", late)
-    details = parse_detail(details_raw, keep=("timestamp",))
+    details = parse_detail(details_raw, keep=("timestamp", "offset"))
     details = details.withColumnRenamed("timestamp", "detail_time").withWatermark("detail_time", late)
     return sale.join_orders_details(orders, details, bound_s, salts=salts)
 
@@ -171,17 +233,22 @@ def sale_job(
     as_of: Column | str | None = None,
     **options,
 ) -> DataStreamWriter:
-    """Sale details with the buyer, put under the line's id into the index of the processing day.
+    """Sale details with the buyer, put under the line's id into the index of the line's arrival day.
 
+    The day comes with the record, so a batch that is replayed after midnight lands in the same index.
     ``users(spark, wanted)`` returns the records of the wanted ids, for example ``KeyedTable.read(only=wanted)``.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
         lines = batch.persist()
-        wanted = lines.select(F.col("user_id").alias("id")).distinct()
-        enriched = sale.enrich_user(lines, users(batch.sparkSession, wanted), as_of)
-        _put_counted(index, enriched.withColumn("index_name", index_name(prefix, as_of)), batch_id)
-        lines.unpersist()
+        try:
+            wanted = lines.select(F.col("user_id").alias("id")).distinct()
+            keep = ("detail_time", "offset")
+            enriched = sale.enrich_user(lines, users(batch.sparkSession, wanted), as_of, keep=keep)
+            day = index_name(prefix, F.col("detail_time").cast("date"))
+            _put_counted(index, enriched.withColumn("index_name", day), batch_id)
+        finally:
+            lines.unpersist()
 
     joined = sale_stream(orders_raw, details_raw, **options)
     return _each_batch(joined, checkpoint, put)
@@ -194,6 +261,28 @@ def collect_logs(lines: DataFrame, now_ms: Column | None = None) -> DataFrame:
     return routed.select("topic", "value", date_text(F.timestamp_millis(clock)).alias("log_date"))
 
 
+def log_job(
+    lines: DataFrame,
+    topics: str,
+    logs: str,
+    checkpoint: str,
+    rejects: KeyedTable | None = None,
+    clock: Callable[[], int] = lambda: int(time.time() * 1000),
+) -> DataStreamWriter:
+    """Log lines stamped once, then sent to their topic and kept in the day's log file.
+
+    Both outputs of a batch are folders of its own, so a batch that is run again replaces both.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        collected = collect_logs(batch, F.lit(clock()))
+        _put_rejects(rejects, batch.where(F.from_json("value", "map<string,variant>").isNull()).select("value", F.lit("broken").alias("reason")), batch_id)
+        outputs.put_topic_files(collected.select("topic", "value"), topics, batch_id)
+        outputs.put_daily_logs(collected, logs, batch_id)
+
+    return _each_batch(lines, checkpoint, put)
+
+
 def collect_changes(changes: DataFrame) -> DataFrame:
     """Records of new orders, lines and users out of a database log, with their topic."""
     return routing.after_image_json(routing.route_changes(changes))
@@ -207,6 +296,9 @@ __all__ = [
     "dau_job",
     "first_starts_stream",
     "gmv_job",
+    "heartbeat",
+    "log_job",
+    "reject_table",
     "sale_job",
     "sale_stream",
     "start",

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -23,6 +24,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="shoptide-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
@@ -47,7 +49,7 @@ class Topics:
         self.folder = Path(folder)
         self.files = 0
 
-    def send(self, topic: str, records: list[dict], at: str = "2024-01-15T00:00:00.000Z") -> None:
+    def send(self, topic: str, records: list[dict], at: str = "2024-01-17T00:00:00.000Z") -> None:
         target = self.folder / f"topic={topic}"
         target.mkdir(parents=True, exist_ok=True)
         lines = []

@@ -49,7 +49,7 @@ def test_alerts_match_a_look_at_every_window(spark, length_s, slide_s):
     ]
     want = by_hand(values, length_s, slide_s, 3)
     assert want
-    got = alerts.coupon_alerts(events(spark, values), length_s, slide_s)
+    got = alerts.list_events(alerts.coupon_alerts(events(spark, values), length_s, slide_s))
     assert rows(got) == want
 
 

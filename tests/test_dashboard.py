@@ -5,6 +5,7 @@ import json
 import pytest
 
 from shoptide.operators import dashboard
+from shoptide.operators.dau import first_active_day
 from tests.conftest import rows
 
 
@@ -58,5 +59,10 @@ def test_unknown_metric(spark):
 
 
 def test_cards(spark):
-    got = rows(dashboard.realtime_total(dau(spark), orders(spark), "2024-01-15"))
-    assert got == [("dau", "新增日活", 3.0), ("new_mid", "新增设备", 2.0), ("order_amount", "新增交易额", 3.3)]
+    cards = dashboard.realtime_total(dau(spark), orders(spark), first_active_day(dau(spark)), "2024-01-15")
+    assert rows(cards) == [("dau", "新增日活", 3.0), ("new_mid", "新增设备", 2.0), ("order_amount", "新增交易额", 3.3)]
+    assert json.loads(dashboard.cards_json(cards.orderBy("value")).first().value) == [
+        {"id": "dau", "name": "新增日活", "value": 3.0},
+        {"id": "new_mid", "name": "新增设备", "value": 2.0},
+        {"id": "order_amount", "name": "新增交易额", "value": 3.3},
+    ]

@@ -18,17 +18,17 @@ def test_first_start_wins_and_ties_are_settled(spark):
         spark, ("a", "d1", 5, "x"), ("a", "d1", 3, "z"), ("a", "d1", 3, "y"), ("a", "d2", 9, "x"), ("b", "d1", None, "q")
     )
     want = [("a", "d1", 3, "y"), ("a", "d2", 9, "x"), ("b", "d1", None, "q")]
-    assert rows(dau.first_per_device_day(df)) == want
-    assert rows(dau.first_per_device_day(df.repartition(3))) == want
+    assert rows(dau.first_per_device_day(df, ("ts", "uid"))) == want
+    assert rows(dau.first_per_device_day(df.repartition(3), ("ts", "uid"))) == want
 
 
 def test_seen_devices_count_per_day(spark):
     batch = starts(spark, ("a", "d1", 1, "x"), ("a", "d2", 2, "x"), ("b", "d1", 3, "x"), ("b", "d1", 4, "x"))
     seen = dau.mark_seen(starts(spark, ("a", "d1", 0, "x"), ("a", "d1", 0, "x")))
     assert rows(seen) == [("a", "d1")]
-    fresh = dau.new_active_devices(batch, seen)
+    fresh = dau.new_active_devices(batch, seen, ("ts", "uid"))
     assert rows(fresh) == [("a", "d2", 2, "x"), ("b", "d1", 3, "x")]
-    filtered_first = dau.first_per_device_day(dau.drop_seen(batch, seen))
+    filtered_first = dau.first_per_device_day(dau.drop_seen(batch, seen), ("ts", "uid"))
     assert rows(fresh) == rows(filtered_first)
 
 
@@ -37,7 +37,7 @@ def test_dedup_sends_one_row_per_key_and_does_not_shuffle_again_to_join(spark):
     seen = starts(spark, ("b", "d1", 1, "x"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = dau.new_active_devices(batch, seen)._jdf.queryExecution().executedPlan().toString()
+        plan = dau.new_active_devices(batch, seen, ("ts", "uid"))._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("WindowGroupLimit") == 2

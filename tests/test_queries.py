@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shoptide.plans import registry
 from tests.conftest import SF_DIR
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# The corpus queries, if they are there, have tests of their own.
+QUERIES, SQL = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -49,7 +51,7 @@ def test_no_cross_join_and_no_python_in_plans(spark, name):
 @pytest.mark.parametrize(
     "name, pushed, columns",
     [
-        ("q_dau_hours", ["EqualTo(event_type,view)", "GreaterThanOrEqual(ts,", "LessThan(ts,"], "event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string"),
+        ("q_dau_hours", ["EqualTo(event_type,view)", "GreaterThanOrEqual(ts,", "LessThan(ts,"], "ts:timestamp_ntz,user_id:bigint,event_type:string"),
         ("q_gmv_hours", ["GreaterThanOrEqual(o_orderdate,", "LessThan(o_orderdate,"], "o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz"),
         ("q_dau_mark_seen", ["EqualTo(event_type,view)"], "ts:timestamp_ntz,user_id:bigint,event_type:string"),
     ],
@@ -63,5 +65,18 @@ def test_filters_and_columns_reach_the_scan(spark, name, pushed, columns):
     assert f"ReadSchema: struct<{columns}>" in text
 
 
+@pytest.mark.parametrize("name", ["q_dau_total", "q_dau_daily"])
+def test_totals_shuffle_only_what_they_count(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and "Window" not in plan and "uid" not in plan
+
+
+def test_the_index_is_searched_by_its_day_in_one_scan(spark):
+    found = QUERIES["q_sale_report_index"](spark, SF_DIR)
+    assert {f.split("/dt=")[1].split("/")[0] for f in found.inputFiles()} <= {"2024-01-15"}
+    assert plan_of(found).count("FileScan") <= 1
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["log_hour", "ct"]

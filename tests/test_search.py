@@ -33,15 +33,15 @@ def test_unknowns_go_to_women_and_the_middle(spark):
     assert ratios(df) == ([25.0, 75.0], [25.0, 50.0, 25.0])
 
 
-def test_a_third_gender_before_men_takes_their_bucket(spark):
-    df = sales(spark, *[("F", 20)] * 3, *[("X", 20)] * 2, ("M", 20))
-    assert rows_in_order(search.top_terms(df, "user_gender", 2)) == [("F", 3), ("X", 2)]
-    assert ratios(df)[0] == [0.0, 100.0]
+def test_shares_count_every_gender(spark):
+    df = sales(spark, *[("F", 20)] * 5, *[("X", 20)] * 4, *[("M", 20)] * 3)
+    assert rows_in_order(search.top_terms(df, "user_gender", 2)) == [("F", 5), ("X", 4)]
+    assert ratios(df)[0] == [25.0, 75.0]
 
 
-def test_ages_beyond_the_buckets_go_to_the_middle(spark):
-    df = sales(spark, *[("M", age) for age in range(30, 130) for _ in range(2)], ("M", 5))
-    assert ratios(df)[1] == [0.0, 0.5, 99.5]
+def test_shares_count_every_age(spark):
+    df = sales(spark, *[("M", age) for age in range(30, 150) for _ in range(2)], *[("M", age) for age in range(1, 20)])
+    assert ratios(df)[1] == [7.3, 0.0, 92.7]
 
 
 def test_no_hits(spark):

@@ -83,10 +83,32 @@ def test_dau_stream_equals_the_table(spark, topics, root):
         topics.send("startup", batch)
     S.finish(jobs.dau_job(topic_files(spark, "startup", topics.folder), detail, seen, f"{root}/checkpoint"))
     whole = parse_startup(spark.read.json(f"{topics.folder}/topic=startup"))
-    want = dau.first_per_device_day(with_log_date_hour(whole))
+    want = dau.first_per_device_day(with_log_date_hour(whole), ("ts", "uid"))
     assert rows(detail.read(spark), *want.columns) == rows(want)
 
 
+def test_what_has_no_day_is_set_aside_however_batches_are_cut(spark, topics, root):
+    """A batch of starts without a time only, and one of both kinds."""
+    undated = {"mid": "x", "uid": "u", "type": "startup"}
+    detail, seen = (t.create(spark) for t in S.dau_tables(root))
+    rejects = jobs.reject_table(f"{root}/rejects").create(spark)
+    topics.send("startup", [undated])
+    topics.send("startup", [undated, start("a", 1), {"_raw": "{broken"}])
+    raw = topic_files(spark, "startup", topics.folder, maxFilesPerTrigger="1")
+    S.finish(jobs.dau_job(raw, detail, seen, f"{root}/checkpoint", rejects))
+    assert rows(detail.history(spark), "mid", "log_date") == [("a", "2024-01-15")]
+    assert rows(rejects.read(spark), "reason") == [("broken",), ("no time",), ("no time",)]
+
+
+def test_a_clock_in_the_future_does_not_make_others_late(spark, topics, root):
+    topics.send("startup", [{**start("z", 0), "ts": 1_900_000_000_000}, start("a", 1)])
+    topics.send("startup", [start("b", 2)])
+    raw = topic_files(spark, "startup", topics.folder, maxFilesPerTrigger="1")
+    writer = jobs.first_starts_stream(raw).writeStream.format("parquet").option("path", f"{root}/out")
+    S.finish(writer.option("checkpointLocation", f"{root}/checkpoint"))
+    assert rows(spark.read.parquet(f"{root}/out"), "mid") == [("a",), ("b",)]
+
+
 def test_orders_are_put_by_id(spark, topics, root):
     table = S.order_table(root).create(spark)
 
@@ -118,13 +140,14 @@ def test_alert_stream_equals_the_table(spark, topics, root):
     topics.send("event", [event("m", "a", "coupon", 0), event("n", "a", "coupon", 3), event("m", "b", "addCart", 30)])
     topics.send("event", [event("m", "b", "coupon", 60, "j"), event("n", "b", "coupon", 65), event("n", "b", "clickItem", 66)])
     topics.send("event", [event("m", "c", "coupon", 120), event("n", "c", "coupon", 121), event("m", "c", "coupon", 122)])
-    topics.send("event", [event("z", "z", "addCart", 2000)])
+    topics.send("event", [event(None, u, "coupon", 130) for u in "abc"])  # no device, no alert
+    topics.send("event", [{"_raw": jobs.heartbeat(T0 + 2_000_000)}])
     options = {"length_s": 300, "slide_s": 20}
     raw = topic_files(spark, "event", topics.folder, maxFilesPerTrigger="1")
     index = S.alert_index(root).create(spark)
     S.finish(jobs.alert_job(raw, index, f"{root}/checkpoint", **options))
     whole = parse_event(spark.read.json(f"{topics.folder}/topic=event"))
-    want = alerts.alert_documents(alerts.coupon_alerts(whole, **options))
+    want = alerts.alert_documents(alerts.list_events(alerts.coupon_alerts(whole, **options)))
     columns = ["doc_id", "mid", "uids", "item_ids", "events", "ts", "index_name"]
     assert rows(index.read(spark), *columns) == rows(want, *columns)
     assert want.count() == 4
@@ -159,20 +182,22 @@ def test_either_side_of_a_sale_may_come_first(spark, topics, root, salts):
     )
     S.finish(job)
     got = rows(index.read(spark), "order_detail_id", "order_id", "user_level", "user_age", "index_name")
-    name = "sale_detail-2024-01-31"
+    name = "sale_detail-2024-01-15"
     assert got == [("a", "1", "VIP", 24, name), ("c", "3", "VIP", 24, name), ("e", "3", "VIP", 24, name)]
 
 
-def test_logs_are_routed_and_kept_by_day(spark, topics, root):
+def test_logs_are_stamped_once_routed_and_kept_by_day(spark, topics, root):
     topics.send("raw", [{"type": "startup", "mid": "a"}, {"mid": "b"}, {"_raw": "junk"}])
-    collected = jobs.collect_logs(topic_files(spark, "raw", topics.folder), F.lit(T0))
-    S.finish(outputs.to_topic_files(collected.select("topic", "value"), f"{root}/out", f"{root}/c1"))
-    S.finish(outputs.to_daily_logs(collected, f"{root}/logs", f"{root}/c2"))
+    rejects = jobs.reject_table(f"{root}/rejects").create(spark)
+    ticks = iter(range(T0, T0 + 100))
+    raw = topic_files(spark, "raw", topics.folder)
+    S.finish(jobs.log_job(raw, f"{root}/out", f"{root}/logs", f"{root}/c", rejects, clock=lambda: next(ticks)))
     sent = topic_files(spark, "startup", f"{root}/out")
     S.finish(sent.select("value").writeStream.format("text").option("path", f"{root}/again").option("checkpointLocation", f"{root}/c3"))
     assert rows(spark.read.text(f"{root}/again")) == [(f'{{"type":"startup","mid":"a","ts":{T0}}}',)]
-    assert rows(spark.read.text(f"{root}/out/topic=event")) == [(f'{{"value":"{{\\"mid\\":\\"b\\",\\"ts\\":{T0}}}"}}',)]
-    assert spark.read.text(f"{root}/logs/log_date=2024-01-15").count() == 2
+    both = rows(spark.read.schema("value string").json(f"{root}/out"), "value")
+    assert both == rows(spark.read.text(f"{root}/logs/log_date=2024-01-15"), "value") and len(both) == 2
+    assert rows(rejects.read(spark), "value") == [("junk",)]
 
 
 def test_trigger_and_clock(spark, topics, root):
