@@ -77,7 +77,7 @@ def test_pieces_depend_on_key_seed_and_text_alone(spark):
     two = {r[0]: r[1] for r in pieces.encode(some.repartition(7), MODEL).select("row.doc_id", "ids").collect()}
     other = {r[0]: r[1] for r in pieces.encode(some, MODEL, seed=1).select("row.doc_id", "ids").collect()}
     assert one == two and one != other
-    assert len({tuple(i) for i in one.values()}) > 10
+    assert len({tuple(i) for i in one.values()}) > 5
 
 
 def test_piece_draws_follow_the_lattice():
