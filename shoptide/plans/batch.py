@@ -11,6 +11,7 @@ from shoptide.operators import alerts, dashboard, dau, gmv, keyed, routing, sale
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
 from shoptide.session import scratch_dir
+from shoptide.sources.tables import read_table
 
 # The given events are minutes apart over all users, so alerts are looked for in long windows.
 ALERT_LENGTH_S = 6 * 3600
@@ -44,17 +45,15 @@ def event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_order_parse",
-    f"""WITH {V.ORDER_INFO}
-    SELECT id, province_id, consignee, consignee_tel, order_status, payment_way, user_id, create_time, total_amount
-    FROM order_info""",
+    f"""WITH {V.ORDER_INFO}, {V.FURTHER_ORDER}
+    SELECT id, province_id, consignee, order_comment, consignee_tel, order_status, payment_way, user_id, img_url,
+      total_amount, expire_time, delivery_address, create_time, operate_time, tracking_no, parent_order_id,
+      out_trade_no, trade_body
+    FROM order_info JOIN further ON id = key""",
 )
 def order_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = V.order_info(spark, sf_dir).withColumn("total_amount", F.col("total_amount").cast("string"))
-    parsed = records.parse_order(_as_json(orders))
-    return parsed.select(
-        "id", "province_id", "consignee", "consignee_tel", "order_status", "payment_way", "user_id",
-        "create_time", "total_amount",
-    )
+    orders = read_table(spark, sf_dir, "orders").select(*V.order_columns(), *V.further_order_columns())
+    return records.parse_order(_as_json(orders.withColumn("total_amount", F.col("total_amount").cast("string"))))
 
 
 @query(

@@ -145,6 +145,31 @@ def order_info(spark: SparkSession, sf_dir: str, raw_days: tuple[str, str] | Non
     return orders.select(*order_columns())
 
 
+def further_order_columns() -> list[Column]:
+    """The fields of an order record that only parsing looks at."""
+    key, user = _text(F.col("o_orderkey")), _text(F.col("o_custkey"))
+    return [
+        F.concat(F.lit("comment "), key).alias("order_comment"),
+        F.concat(F.lit("/img/"), key, F.lit(".jpg")).alias("img_url"),
+        _text(F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT + 1)).alias("expire_time"),
+        F.concat(F.lit("street "), user).alias("delivery_address"),
+        _text(F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT)).alias("operate_time"),
+        F.concat(F.lit("track-"), key).alias("tracking_no"),
+        _text(F.call_function("div", F.col("o_orderkey"), F.lit(10))).alias("parent_order_id"),
+        F.concat(F.lit("out-"), key).alias("out_trade_no"),
+        F.concat(F.lit("goods \"of\" "), user).alias("trade_body"),
+    ]
+
+
+FURTHER_ORDER = f"""further AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS key, 'comment ' || o_orderkey AS order_comment, '/img/' || o_orderkey || '.jpg' AS img_url,
+    strftime(CAST(o_orderdate AS DATE) + {ORDER_SHIFT + 1}, '%Y-%m-%d') AS expire_time,
+    'street ' || o_custkey AS delivery_address,
+    strftime(CAST(o_orderdate AS DATE) + {ORDER_SHIFT}, '%Y-%m-%d') AS operate_time,
+    'track-' || o_orderkey AS tracking_no, CAST(o_orderkey // 10 AS VARCHAR) AS parent_order_id,
+    'out-' || o_orderkey AS out_trade_no, 'goods "of" ' || o_custkey AS trade_body
+  FROM orders)"""
+
 EXACT_SUM = "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
 ORDER_INFO = f"""order_info AS (
   SELECT *, create_day || ' ' || create_hour || ':30:00' AS create_time, create_day AS create_date FROM (

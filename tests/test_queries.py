@@ -35,19 +35,15 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(names) == sorted(got.columns)
     want = sorted(cursor.fetchall(), key=repr)
     assert sorted((tuple(r) for r in got.select(*names).collect()), key=repr) == want
+    plan = plan_of(got)
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "PythonRDD"):
+        assert operator not in plan
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if "stream" not in n and "upsert" not in n))
-def test_no_cross_join_and_no_python_in_plans(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF_DIR))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "PythonRDD"):
-        assert operator not in plan
-
-
 @pytest.mark.parametrize(
     "name, pushed, columns",
     [
