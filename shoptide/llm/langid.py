@@ -46,7 +46,7 @@ class Model:
 
     def score(self, text: str | None) -> tuple[str, float]:
         tokens = WORD.findall((text or "").lower())
-        if not self.languages or all(map(str.isnumeric, tokens)):
+        if not self.languages or not any(any(map(str.isalpha, t)) for t in tokens):
             return UNKNOWN, 0.0
         found = list(map(self.words.get, tokens))
         known = np.array([k for k in found if k is not None], np.int64)

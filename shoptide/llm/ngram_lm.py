@@ -37,6 +37,8 @@ START, END = np.uint64(1), np.uint64(2)
 HOT = 1024
 # Tokens a task counts before it sends them on, and those for which there is a bucket.
 AT_A_TIME, PER_BUCKET = 1 << 20, 1 << 20
+# Files a task keeps mapped.
+MAPPED = 4096
 PACKETS = "target int, grams binary, counts binary"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,12 +170,20 @@ class Model:
     vocabulary: int
 
 
-STATS = "kind string, target int, grams binary, counts binary"
+CONTEXTS = "array<struct<key: bigint, total: bigint, n1: bigint, n2: bigint, n3: bigint>>"
+WRITTEN = f"target int, grams binary, counts binary, contexts {CONTEXTS}, repeats array<bigint>"
+CONTEXT = pa.struct([(name, pa.int64()) for name in ("key", "total", "n1", "n2", "n3")])
 
 
-def stats_row(kind: str, target: int, a: bytes, b: bytes) -> pa.RecordBatch:
-    types = [pa.string(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((kind, target, a, b), types)], names=["kind", "target", "grams", "counts"])
+def written_rows(lower: pa.RecordBatch, contexts: list[dict] | None = None, repeats: list[int] | None = None) -> pa.RecordBatch:
+    """Packets of the next lower order; or, without packets, a bucket's statistics."""
+    if repeats is None:
+        nothing = [pa.nulls(lower.num_rows, pa.list_(CONTEXT)), pa.nulls(lower.num_rows, pa.list_(pa.int64()))]
+        columns = [*lower.columns, *nothing]
+    else:
+        types = [pa.int32(), pa.binary(), pa.binary(), pa.list_(CONTEXT), pa.list_(pa.int64())]
+        columns = [pa.array([x], t) for x, t in zip((None, None, None, contexts, repeats), types)]
+    return pa.RecordBatch.from_arrays(columns, names=["target", "grams", "counts", "contexts", "repeats"])
 
 
 def write_level(folder: str, order: int, hot: np.ndarray, buckets: int):
@@ -197,11 +207,11 @@ def write_level(folder: str, order: int, hot: np.ndarray, buckets: int):
         common = np.isin(grams[by_context][first][:, :-1], hot).all(axis=1)
         arrays.save(f"{name}-contexts.npy", contexts[~common])
         arrays.save(f"{name}-totals.npy", totals[~common])
-        yield stats_row("hot", bucket, contexts[common].tobytes(), totals[common].tobytes())
-        yield stats_row("counts", bucket, b"", np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(np.int64).tobytes())
+        shared = np.column_stack([contexts[common].view(np.int64), totals[common]])
+        repeats = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
+        yield written_rows(None, [dict(zip(CONTEXT.names, row)) for row in shared.tolist()], repeats)
         if order > 1:
-            lower = packets(grams[:, 1:], np.ones(len(grams), np.int64), hot, buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(["lower"] * lower.num_rows, pa.string()), *lower.columns], names=["kind", "target", "grams", "counts"])
+            yield written_rows(packets(grams[:, 1:], np.ones(len(grams), np.int64), hot, buckets))
 
     return work
 
@@ -246,36 +256,34 @@ def train(docs: DataFrame, order: int = 2) -> Model:
     hot = np.sort(np.array([START, *[np.uint64(r[0] % (1 << 64)) for r in often]], np.uint64))
     packed, levels = counted(docs, order, hot, buckets), {}
     for n in range(order, 0, -1):
-        written = stored(by_bucket(packed, n, write_level(folder, n, hot, buckets), STATS), f"grams{n}")
+        written = stored(by_bucket(packed, n, write_level(folder, n, hot, buckets), WRITTEN), f"grams{n}")
         levels[n] = level(written)
-        packed = written.where("kind = 'lower'").drop("kind")
+        packed = written.where("repeats is null").select("target", "grams", "counts")
     return Model(folder, order, buckets, hot, levels, tokens, vocabulary)
 
 
 def level(written: DataFrame) -> Level:
-    """At most HOT^(n - 1) contexts stand in more than one bucket."""
-    once = np.zeros(4, np.int64)
-    keys, totals = [np.empty(0, np.uint64)], [np.empty((0, 4), np.int64)]
-    for row in written.where("kind <> 'lower'").select("kind", "grams", "counts").toLocalIterator():
-        if row["kind"] == "counts":
-            once += np.frombuffer(row["counts"], np.int64)
-        else:
-            keys.append(np.frombuffer(row["grams"], np.uint64))
-            totals.append(np.frombuffer(row["counts"], np.int64).reshape(-1, 4))
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.zeros((len(key), 4), np.int64)
-    np.add.at(sums, at, np.concatenate(totals))
-    return Level(discounts(once), key, sums)
+    """At most HOT^(n - 1) contexts stand in more than one bucket; they are added up before they are collected."""
+    stats = written.where("repeats is not null")
+    once = stats.agg(*[F.sum(F.get("repeats", F.lit(j))) for j in range(4)]).first()
+    totals = [F.sum(f"x.{name}").alias(name) for name in CONTEXT.names[1:]]
+    rows = stats.select(F.explode("contexts").alias("x")).groupBy("x.key").agg(*totals).collect()
+    keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    sums = np.array([tuple(r)[1:] for r in rows], np.int64).reshape(-1, 4)
+    return Level(discounts(np.array([n or 0 for n in once], np.int64)), keys[order], sums[order])
 
 
 class Reader:
-    """Looks n-grams up in a model's arrays; each file is mapped once per task."""
+    """Looks n-grams up in a model's arrays, of which MAPPED files at most are mapped at a time."""
 
     def __init__(self, model: Model):
         self.model, self.files = model, {}
 
     def file(self, name: str) -> np.ndarray:
         if name not in self.files:
+            if len(self.files) >= MAPPED:
+                self.files.clear()
             try:
                 self.files[name] = arrays.load(f"{self.model.folder}/{name}.npy")
             except FileNotFoundError:  # a bucket without n-grams
