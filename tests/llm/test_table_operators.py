@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from math import log10
 from zlib import crc32
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -131,6 +132,15 @@ def test_topk_equals_brute_force(spark):
     assert got == plain_top(rows, lambda i: i % 50 == 0, 5)
 
 
+def test_topk_equals_its_sql(spark):
+    got = queries.op1_topk(spark, SF_DIR)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_DIR}/embeddings.parquet'")
+    cursor = duck.execute(queries.ORACLES["op1_topk"])
+    assert [d[0] for d in cursor.description] == got.columns
+    assert sorted(cursor.fetchall()) == sorted(tuple(r) for r in got.collect())
+
+
 @pytest.mark.parametrize("spread, bits, block", [(0.5, 12, 40), (0.5, 3, 64), (300.0, 6, 1000), (0.005, 12, 7)])
 def test_topk_with_ties_wide_values_and_few_bits(spark, spread, bits, block):
     draw = np.random.default_rng(2)
