@@ -56,10 +56,20 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **opti
     df.write.format("jdbc").mode(mode).options(**jdbc_write_options(url, table, **options)).save()
 
 
-def to_jdbc(df: DataFrame, url: str, table: str, checkpoint: str, **options) -> DataStreamWriter:
-    """Insert every micro-batch. A replayed batch inserts again: give rows their batch id to tell."""
+def to_jdbc(
+    df: DataFrame, url: str, table: str, checkpoint: str, staging: str | None = None, **options
+) -> DataStreamWriter:
+    """Insert every micro-batch, with its batch id.
+
+    A replayed batch inserts again; its id tells. With ``staging`` a batch replaces the content of that table instead,
+    so a replay changes nothing, and the database updates ``table`` from it by key.
+    """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        write_jdbc(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), url, table, **options)
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if staging is None:
+            write_jdbc(rows, url, table, **options)
+        else:
+            write_jdbc(rows, url, staging, mode="overwrite", truncate="true", **options)
 
     return df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 
 from shoptide.session import scratch_dir
+from shoptide.sinks import outputs
 from shoptide.sinks.outputs import jdbc_write_options
-from shoptide.sources.streams import topic_stream
+from shoptide.sources.streams import topic_files, topic_stream
 from shoptide.sources.tables import jdbc_options
 
 
@@ -49,3 +50,14 @@ def test_scratch_folder_is_the_clusters_shared_one():
     assert scratch_dir(Cluster(**{"spark.checkpoint.dir": "s3a://shared/cp/"}), "x-").startswith("s3a://shared/cp/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Cluster(), "x-")
+
+
+def test_relational_batches_are_appended_or_staged(spark, topics, root, monkeypatch):
+    """No database here: the write is replaced by a note of what it was asked for."""
+    asked = []
+    monkeypatch.setattr(outputs, "write_jdbc", lambda df, url, table, mode="append", **o: asked.append((table, mode, df.count(), o)))
+    topics.send("t", [{"a": 1}])
+    raw = topic_files(spark, "t", topics.folder)
+    for n, options in enumerate(({}, {"staging": "t_new", "user": "u"})):
+        outputs.to_jdbc(raw, "jdbc:x", "t", f"{root}/c{n}", **options).trigger(availableNow=True).start().awaitTermination()
+    assert asked == [("t", "append", 1, {}), ("t_new", "overwrite", 1, {"truncate": "true", "user": "u"})]
