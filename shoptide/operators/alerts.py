@@ -152,6 +152,30 @@ def coupon_alerts(
     )
 
 
+def all_of(parts: Column, field: str) -> Column:
+    """The distinct values of an array field of all parts, sorted."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, lambda p: p.getField(field)))))
+
+
+def alerts_of_parts(windows: DataFrame, min_accounts: int = C.ALERT_MIN_ACCOUNTS) -> DataFrame:
+    """Alerts of windows whose panes are at hand as ``parts``, an array of (evid, accounts, items, n).
+
+    ``windows`` has mid, window_start and ts besides.
+    """
+    viewed = F.exists("parts", lambda p: p.getField("evid").eqNullSafe(C.EVENT_ITEM_VIEW))
+    found = windows.withColumn("uids", all_of(F.col("parts"), "accounts")).where(is_alert(F.size("uids"), viewed, min_accounts))
+    kinds = F.array_sort(F.array_distinct(F.transform("parts", lambda p: p.getField("evid"))))
+
+    def total(kind: Column) -> Column:
+        same = F.filter("parts", lambda p: p.getField("evid").eqNullSafe(kind))
+        return F.aggregate(same, F.lit(0).cast("long"), lambda t, p: t + p.getField("n"))
+
+    behaviours = F.transform(kinds, lambda kind: F.struct(kind.alias("evid"), total(kind).alias("n")))
+    return found.select(
+        "mid", "uids", all_of(F.col("parts"), "items").alias("item_ids"), behaviours.alias("behaviours"), "window_start", "ts"
+    )
+
+
 def list_events(alerts: DataFrame) -> DataFrame:
     """Alerts with ``events``, every behaviour as often as it occurred, in place of the counts.
 

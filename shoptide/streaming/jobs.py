@@ -155,11 +155,16 @@ def alert_stream(
 ) -> DataFrame:
     """Coupon alerts of windows the watermark has closed, with counted behaviours.
 
-    Events are summed up per device and pane first. The sliding windows then take in panes, not events. Windows
-    after the last event close once a later record arrives, whatever its device; a source that may fall silent
-    sends one (:func:`heartbeat`). Late events fall, as in :func:`first_starts_stream`.
+    Events are summed up per device and pane first. Putting panes into every sliding window would copy them
+    ``length / slide`` times into the state; so they go into stretches of a window and a quarter, one every quarter,
+    five copies at most, and a closed stretch with coupons of enough accounts is looked through window by window. An
+    alert comes up to a quarter of a window after its own window has closed.
+
+    Windows after the last event close once a later record arrives, whatever its device; a source that may fall
+    silent sends one (:func:`heartbeat`). Late events fall, as in :func:`first_starts_stream`.
     """
     pane = f"{alerts.pane_seconds(length_s, slide_s)} seconds"
+    step_s = slide_s * max(1, length_s // 4 // slide_s)
     is_coupon = F.col("evid") == C.EVENT_COUPON
     parsed = parse_event(raw, keep=("timestamp",)).where(~_ahead("ts", "timestamp", ahead_s)).drop("timestamp")
     events = parsed.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", late)
@@ -168,25 +173,16 @@ def alert_stream(
         F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("items"),
         F.count(F.lit(1)).alias("n"),
     )
-    windows = counts.groupBy(F.window("pane", f"{length_s} seconds", f"{slide_s} seconds").alias("span"), "mid").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("accounts")))).alias("uids"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("item_ids"),
-        F.collect_list(F.struct("evid", "n")).alias("parts"),
-        F.bool_or(F.col("evid") == C.EVENT_ITEM_VIEW).alias("viewed"),
-    )
-    kinds = F.array_sort(F.array_distinct(F.transform("parts", lambda p: p.getField("evid"))))
-    total = lambda kind: F.aggregate(
-        F.filter("parts", lambda p: p.getField("evid").eqNullSafe(kind)), F.lit(0).cast("long"), lambda t, p: t + p.getField("n")
-    )
-    behaviours = F.transform(kinds, lambda kind: F.struct(kind.alias("evid"), total(kind).alias("n")))
-    return windows.where(alerts.is_alert(F.size("uids"), F.col("viewed"), min_accounts)).select(
-        "mid",
-        "uids",
-        "item_ids",
-        behaviours.alias("behaviours"),
-        F.unix_millis("span.start").alias("window_start"),
-        F.unix_millis("span.end").alias("ts"),
-    )
+    part = F.struct(F.unix_millis("pane.start").alias("at"), "evid", "accounts", "items", "n")
+    stretch = F.window("pane", f"{length_s + step_s} seconds", f"{step_s} seconds").alias("stretch")
+    stretches = counts.groupBy(stretch, "mid").agg(F.collect_list(part).alias("parts"))
+    near = stretches.where(F.size(alerts.all_of(F.col("parts"), "accounts")) >= min_accounts)
+    first, slide = F.unix_millis("stretch.start"), F.lit(slide_s * 1000).cast("long")
+    starts = F.sequence(first, first + F.lit((step_s - slide_s) * 1000).cast("long"), slide)
+    windows = near.select("mid", "parts", F.explode(starts).alias("window_start"))
+    end = F.col("window_start") + F.lit(length_s * 1000).cast("long")
+    inside = F.filter("parts", lambda p: (p.getField("at") >= F.col("window_start")) & (p.getField("at") < end))
+    return alerts.alerts_of_parts(windows.select("mid", "window_start", end.alias("ts"), inside.alias("parts")), min_accounts)
 
 
 def heartbeat(ts_ms: int) -> str:
