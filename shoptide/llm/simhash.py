@@ -11,6 +11,10 @@ dropping a pair once there are more than ``max_bits``. r grows with the number o
 same). A group above ``2 * half`` is cut into chunks, and each pair of chunks is a task of its own, so a hot group is
 spread out and no link is lost. Each task returns links that span what it joined, not all pairs.
 
+``one_of_each`` links by the Jaccard similarity of the shingle sets itself. Its nodes are distinct shingle sets.
+Fingerprints only say which sets may meet: each class of them gets its sets' hashes once, in chunks and pairs of chunks
+where it is large, and there all pairs that are not joined yet are compared exactly.
+
 Defined results. A null text counts as empty. A text without words has fingerprint 0; a text with fewer words than a
 shingle has one shingle, all of it. A null doc_id is a document like any other, but never a class id; a class without any
 id has a null id. Repeated rows are equal documents. An empty table gives an empty table.
@@ -25,7 +29,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptide.llm.common import ROW, annotate, stored, texts, words
@@ -33,7 +37,10 @@ from shoptide.llm.common import ROW, annotate, stored, texts, words
 SEED = 42
 BITS = 64
 HASHES_AT_A_TIME = 1 << 16
-SKETCH = 128
+# Bits of the filter of rows whose shingles are sent; what it lets through wrongly is dropped by a join.
+FILTER_BITS = 1 << 26
+# Rows and hashes of a chunk of a class of candidates.
+CHUNK_ROWS, CHUNK_HASHES = 4096, 1 << 21
 # Rows of groups that are joined at a time, and pairs of trie nodes held at a time.
 ROWS_AT_A_TIME, PAIRS_AT_A_TIME = 50_000, 1 << 20
 # Node pairs of at most SMALL leaf pairs are compared all together, those of at most LEAF leaves each one by one.
@@ -67,26 +74,18 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """One byte for each of SKETCH bins: of the bin's smallest hash, 0 if it has none. Equal bytes estimate Jaccard."""
-    out = np.zeros(SKETCH, np.uint8)
-    shift = np.uint64(SKETCH.bit_length() - 1)
-    bins = hashes & np.uint64(SKETCH - 1)
-    order = np.lexsort((hashes, bins))
-    found, first = np.unique(bins[order], return_index=True)
-    out[found.astype(np.int64)] = (hashes[order][first] >> shift) % np.uint64(255) + np.uint64(1)
-    return out.tobytes()
+def set_number(shingles: np.ndarray) -> int:
+    """A long that stands for the set of hashes, given sorted."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def fingerprints(docs: DataFrame, width: int, with_sketch: bool = False) -> DataFrame:
-    """``row``, ``fp`` and, if asked for, ``sketch``."""
+def fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """``row`` and ``fp``."""
 
     def values(batch: pa.RecordBatch) -> list[pa.Array]:
-        hashes = [shingle_hashes(t, width) for t in texts(batch.column("text"))]
-        found = [pa.array([fingerprint(h) for h in hashes], pa.int64())]
-        return found + [pa.array(map(sketch, hashes), pa.binary())] * with_sketch
+        return [pa.array([fingerprint(shingle_hashes(t, width)) for t in texts(batch.column("text"))], pa.int64())]
 
-    return annotate(docs, values, "fp long" + ", sketch binary" * with_sketch)
+    return annotate(docs, values, "fp long")
 
 
 def exact_blocks(fingerprints_: int, max_bits: int, row_bytes: int) -> int:
@@ -191,16 +190,7 @@ def merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             root[:] = up
 
 
-def similar(sketches: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
-    out = np.empty(len(i), bool)
-    for s in range(0, len(i), 8192):
-        a, b = sketches[i[s : s + 8192]], sketches[j[s : s + 8192]]
-        used = ((a != 0) | (b != 0)).sum(axis=1)
-        out[s : s + 8192] = ((a == b) & (a != 0)).sum(axis=1) >= least * used
-    return out
-
-
-def group_links(batches: Iterator[pa.RecordBatch], max_bits: int, least: float | None) -> Iterator[pa.RecordBatch]:
+def group_links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
     """Links that span the classes of each group. Rows come sorted by group and fingerprint."""
 
     def links(rows: pa.Table) -> pa.RecordBatch:
@@ -212,19 +202,8 @@ def group_links(batches: Iterator[pa.RecordBatch], max_bits: int, least: float |
         low, high = edge[:-1], edge[1:]
         several = high - low > 1
         root = np.arange(len(fps))
-        if least is not None:
-            flat = b"".join(rows.column("sketch").to_pylist())
-            sketches = np.frombuffer(flat, np.uint8).reshape(-1, SKETCH)[order]
         for i, j in trie_pairs(fps, low[several], high[several], max_bits):
-            if least is not None:
-                for s in range(0, len(i), PAIRS_AT_A_TIME // 4):  # what is joined by now needs no comparison
-                    a, b = i[s : s + PAIRS_AT_A_TIME // 4], j[s : s + PAIRS_AT_A_TIME // 4]
-                    apart = root[a] != root[b]
-                    a, b = a[apart], b[apart]
-                    near = similar(sketches, a, b, least)
-                    merge(root, a[near], b[near])
-            else:
-                merge(root, i, j)
+            merge(root, i, j)
         moved = np.flatnonzero(root != np.arange(len(fps)))
         ends = fps[moved].view(np.int64), fps[root[moved]].view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(*ends)), pa.array(np.minimum(*ends))], names=["u", "v"])
@@ -244,23 +223,22 @@ def group_links(batches: Iterator[pa.RecordBatch], max_bits: int, least: float |
         yield links(pa.concat_tables(held))
 
 
-def linked(nodes: DataFrame, max_bits: int, least: float | None = None, half: int = 512) -> DataFrame:
-    """Links (u, v), u > v, between the distinct fingerprints of ``nodes`` (fp, and sketch if ``least`` is given)."""
+def linked(nodes: DataFrame, max_bits: int, half: int = 512) -> DataFrame:
+    """Links (u, v), u > v, between the distinct fingerprints of ``nodes`` (fp)."""
     count = nodes.count()
-    r = exact_blocks(count, max_bits, 16 + SKETCH * (least is not None))
+    r = exact_blocks(count, max_bits, 16)
     half = max(half, ceil(2 * count / 2 ** (BITS * r // (max_bits + r))))
-    extra = ["sketch"] if least is not None else []
     paths = F.transform(F.array(*[F.lit(m) for m in block_masks(max_bits, r)]), lambda m: F.col("fp").bitwiseAND(m))
-    rows = nodes.select("fp", *extra, F.posexplode(paths).alias("path", "value"))
-    rows = rows.select("fp", *extra, F.xxhash64("path", "value").alias("key"))
+    rows = nodes.select("fp", F.posexplode(paths).alias("path", "value"))
+    rows = rows.select("fp", F.xxhash64("path", "value").alias("key"))
     sizes = stored(rows.groupBy("key").count().where("count > 1"), "sizes")
     chunks = F.ceil(F.col("count") / half)
     mine = F.pmod(F.xxhash64("fp", "key"), chunks)
     split = rows.join(sizes, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     part = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("part")
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = split.select(part, "fp", *extra).repartition(tasks, "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(lambda batches: group_links(batches, max_bits, least), "u long, v long").distinct()
+    dealt = split.select(part, "fp").repartition(tasks, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(lambda batches: group_links(batches, max_bits), "u long, v long").distinct()
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -289,44 +267,158 @@ def stars(links: DataFrame) -> DataFrame:
     return edges
 
 
-def classes(found: DataFrame, max_bits: int, least: float | None = None) -> DataFrame:
-    """For each distinct ``fp`` of ``found`` (doc_id, text_hash, fp): its class's node ``root`` and first row ``own``.
+def first_row() -> Column:
+    """The row with the smallest id, nulls last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("own")
 
-    The first row is the one with the smallest id, nulls last.
-    """
-    own = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("own")
-    sketches = [F.min("sketch").alias("sketch")] if least is not None else []
-    nodes = stored(found.groupBy("fp").agg(own, *sketches), "nodes")
-    roots = stars(linked(nodes, max_bits, least)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    rooted = nodes.join(roots, "fp", "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
+
+def classes(nodes: DataFrame, links: DataFrame, node: str) -> DataFrame:
+    """For each of ``nodes`` (node, own): its class's smallest node ``root`` and first row ``own``."""
+    roots = stars(links).select(F.col("u").alias(node), F.col("v").alias("root"))
+    rooted = nodes.join(roots, node, "left").select(node, "own", F.coalesce("root", node).alias("root"))
     rooted = stored(rooted, "rooted")
-    return rooted.select("fp", "root").join(rooted.groupBy("root").agg(F.min("own").alias("own")), "root")
+    return rooted.select(node, "root").join(rooted.groupBy("root").agg(F.min("own").alias("own")), "root")
 
 
-def signed(docs: DataFrame, width: int, with_sketch: bool = False) -> DataFrame:
-    """doc_id, text_hash and fp (and sketch) of every row, stored."""
+def signed(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, text_hash and fp of every row, stored."""
     row = F.col(ROW)
     columns = [row["doc_id"].alias("doc_id"), F.xxhash64(row["text"]).alias("text_hash"), "fp"]
-    return stored(fingerprints(docs, width, with_sketch).select(*columns, *["sketch"] * with_sketch), "fingerprints")
+    return stored(fingerprints(docs, width).select(*columns), "fingerprints")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
     found = signed(docs.select("doc_id", "text"), width)
-    of = classes(found, max_bits).select("fp", F.col("own.doc_id").alias("component_id"))
+    nodes = stored(found.groupBy("fp").agg(first_row()), "nodes")
+    of = classes(nodes, linked(nodes, max_bits), "fp").select("fp", F.col("own.doc_id").alias("component_id"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return found.join(of, "fp").select("doc_id", digits, "component_id")
 
 
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``node``, first row ``own`` and fingerprint of each distinct shingle set, stored."""
+
+    def values(batch: pa.RecordBatch) -> list[pa.Array]:
+        hashes = [shingle_hashes(t, width) for t in texts(batch.column("text"))]
+        return [pa.array([set_number(np.unique(h)) for h in hashes], pa.int64()), pa.array(map(fingerprint, hashes), pa.int64())]
+
+    found = annotate(docs.select("doc_id", "text"), values, "node long, fp long")
+    rows = found.select(f"{ROW}.doc_id", F.xxhash64(f"{ROW}.text").alias("text_hash"), "node", "fp")
+    return stored(rows.groupBy("node").agg(first_row(), F.min("fp").alias("fp")), "nodes")
+
+
+def candidates(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """Links (u, v), u > v, that span the nodes (node, fp) of each class of fingerprints: to the smallest of them."""
+    roots = stars(linked(stored(nodes.select("fp").distinct(), "fps"), max_bits))
+    roots = roots.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    rows = stored(nodes.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("key")), "keys")
+    least = rows.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last")
+    return rows.join(least.select("key", "v"), "key").where("node > v").select(F.col("node").alias("u"), "v").distinct()
+
+
+def place(doc_id: str, text_hash: str) -> Column:
+    return F.pmod(F.xxhash64(text_hash, doc_id), F.lit(FILTER_BITS)) + 1
+
+
+def hashes_of(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """``node``, ``root`` and ``hashes`` (8 bytes each, sorted) of ``members`` (node, root, own), stored.
+
+    Rows are told by a filter of bits, of a bounded size; the texts of the others are not hashed again.
+    """
+    at = place("own.doc_id", "own.text_hash")
+    bits = members.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    wanted = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in bits.collect():
+        part = np.frombuffer(row["bits"], np.uint8)
+        wanted[(row["bucket"] - 1) * len(part) : row["bucket"] * len(part)] = part
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("place").to_numpy() - 1
+            hit = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            for start in range(0, len(hit), 256):
+                some = batch.column("text").take(pa.array(hit[start : start + 256]))
+                sets = [np.unique(shingle_hashes(t, width)) for t in texts(some)]
+                columns = [pa.array(map(set_number, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "hashes"])
+
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).select(place("doc_id", "text_hash").alias("place"), "text")
+    sets = rows.mapInArrow(run, "node long, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    return stored(sets.join(members.select("node", "root"), "node"), "hashes")
+
+
+def set_links(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (u, v), u > v, that span the classes of sets of a Jaccard similarity of ``similarity`` or more."""
+    order = np.lexsort((nodes, np.fromiter(map(len, sets), np.int64, len(sets))))
+    nodes, sets = nodes[order], [sets[i] for i in order.tolist()]
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    numbers = np.split(flat, edges[1:-1])
+    root, inside = np.arange(len(nodes)), np.zeros(len(distinct), bool)
+    highs = np.searchsorted(sizes, sizes / similarity + 1e-6, "right")  # larger sets are too large
+    for i, high in enumerate(highs.tolist()):
+        others = i + 1 + np.flatnonzero(root[i + 1 : high] != root[i])
+        if not len(others):
+            continue
+        inside[numbers[i]] = True
+        whole = len(others) == high - i - 1
+        rest = flat[edges[i + 1] : edges[high]] if whole else np.concatenate([numbers[j] for j in others.tolist()])
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        common = np.add.reduceat(inside[rest], starts, dtype=np.int64)
+        inside[numbers[i]] = False
+        near = others[common / (sizes[i] + sizes[others] - common) >= similarity]
+        merge(root, np.full(len(near), i), near)
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    ends = nodes[moved], nodes[root[moved]]
+    return np.maximum(*ends), np.minimum(*ends)
+
+
+def near_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (u, v), u > v, between ``rows`` (node, root, hashes) of the same root."""
+    totals = rows.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("hashes") / 8).alias("size"))
+    chunks = F.ceil(F.greatest(F.col("n") / CHUNK_ROWS, F.col("size") / CHUNK_HASHES)).alias("chunks")
+    split = rows.join(totals.select("root", chunks), "root").withColumn("mine", F.pmod(F.xxhash64("node", "root"), "chunks"))
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    part = F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("part")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = split.select(part, "node", "hashes").repartition(tasks, "part").sortWithinPartitions("part")
+
+    def links(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        nodes = np.array([n for n, _ in held], np.int64)
+        ends = set_links(nodes, [np.frombuffer(h, np.uint64) for _, h in held], similarity)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for key, node, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != now and held:
+                    yield links(held)
+                    held = []
+                now = key
+                held.append((node, hashes))
+        if held:
+            yield links(held)
+
+    return dealt.mapInArrow(run, "u long, v long").distinct()
+
+
 def one_of_each(docs: DataFrame, width: int = 5, max_bits: int = 10, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the one with the smallest id.
 
-    Fingerprints within ``max_bits`` are candidates; they link if their sketches of SKETCH bins put the Jaccard
-    similarity of their shingles at ``similarity`` or more, less two standard errors, so that few true pairs are missed.
+    Documents in a class of fingerprints within ``max_bits`` link if the Jaccard similarity of their sets of shingles is
+    ``similarity`` or more.
     """
-    least = similarity - 2 * (similarity * (1 - similarity) / SKETCH) ** 0.5
-    found = signed(docs.select("doc_id", "text"), width, with_sketch=True)
-    kept = classes(found, max_bits, least).select("own.doc_id", "own.text_hash").distinct()
+    nodes = shingle_sets(docs, width)
+    found = stars(candidates(nodes, max_bits))
+    roots = found.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = roots.unionByName(found.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    members = stored(nodes.select("node", "own").join(roots, "node"), "members")
+    links = near_links(hashes_of(docs, members, width), similarity)
+    kept = classes(nodes, links, "node").select("own.doc_id", "own.text_hash").distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(ROW), F.xxhash64("text").alias("text_hash"))
     same = (rows["text_hash"] == kept["text_hash"]) & rows[f"{ROW}.doc_id"].eqNullSafe(kept["doc_id"])
     chosen = rows.join(kept, same, "left_semi").withColumn("doc_id", F.col(f"{ROW}.doc_id"))

@@ -113,6 +113,23 @@ def test_one_of_each_class_stays(spark):
     assert simhash.one_of_each(empty(spark)).count() == 0
 
 
+def of_shared_words(draw, shared, own):
+    """Two texts with ``shared`` five-word shingles in common and ``own`` more each."""
+    word = lambda n: [f"w{x}" for x in draw.integers(1 << 40, size=n)]
+    common = word(shared + 4)
+    return " ".join([*common, *word(own)]), " ".join([*common, *word(own)])
+
+
+def test_one_of_each_keeps_what_is_below_the_threshold(spark):
+    draw = np.random.default_rng(3)
+    pairs = [of_shared_words(draw, 79, 11) for _ in range(40)]  # 79 of 101
+    # equal fingerprints, because the repeated line outweighs the rest
+    pairs += [tuple("over and over and again " * 60 + t for t in of_shared_words(draw, 0, 20)) for _ in range(10)]
+    assert all(plain_fingerprint(a, 5) == plain_fingerprint(b, 5) for a, b in pairs[40:])
+    rows = documents(spark, [(2 * i + side, pair[side]) for i, pair in enumerate(pairs) for side in (0, 1)])
+    assert simhash.one_of_each(rows).count() == 2 * len(pairs)
+
+
 # Top-k
 
 
