@@ -11,9 +11,11 @@ dropping a pair once there are more than ``max_bits``. r grows with the number o
 same). A group above ``2 * half`` is cut into chunks, and each pair of chunks is a task of its own, so a hot group is
 spread out and no link is lost. Each task returns links that span what it joined, not all pairs.
 
-``one_of_each`` links by the Jaccard similarity of the shingle sets itself. Its nodes are distinct shingle sets.
-Fingerprints only say which sets may meet: each class of them gets its sets' hashes once, in chunks and pairs of chunks
-where it is large, and there all pairs that are not joined yet are compared exactly.
+``one_of_each`` links by the Jaccard similarity of the shingle sets itself, since 64 bits miss a third of the pairs at
+0.8. Its nodes are distinct shingle sets. Sets that share one of ``BANDS`` keys, each of ``ROWS`` minima of hashes, are
+candidates: at 0.8 all keys differ in 0.006% of pairs. Candidates only say which sets may meet: each class of them gets
+its sets' hashes once, in chunks and pairs of chunks where it is large, and there all pairs that are not joined yet are
+compared exactly.
 
 Defined results. A null text counts as empty. A text without words has fingerprint 0; a text with fewer words than a
 shingle has one shingle, all of it. A null doc_id is a document like any other, but never a class id; a class without any
@@ -37,6 +39,7 @@ from shoptide.llm.common import ROW, annotate, stored, texts, words
 SEED = 42
 BITS = 64
 HASHES_AT_A_TIME = 1 << 16
+BANDS, ROWS, MINIMA_AT_A_TIME = 32, 6, 1 << 13
 # Bits of the filter of rows whose shingles are sent; what it lets through wrongly is dropped by a join.
 FILTER_BITS = 1 << 26
 # Rows and hashes of a chunk of a class of candidates.
@@ -74,6 +77,20 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """A key for each of BANDS bands of a set of hashes: of its ROWS minima, each by a linear order of its own."""
+    if not len(shingles):
+        return []
+    draw = np.random.default_rng(SEED)
+    factor, shift = draw.integers(0, 1 << 32, (2, BANDS * ROWS, 1), dtype=np.uint32)
+    short, factor = (shingles >> np.uint64(32)).astype(np.uint32), factor | np.uint32(1)
+    minima = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
+    for start in range(0, len(short), MINIMA_AT_A_TIME):
+        np.minimum(minima, (short[start : start + MINIMA_AT_A_TIME] * factor + shift).min(axis=1), out=minima)
+    keys = [xxhash.xxh64_intdigest(band.tobytes(), n) for n, band in enumerate(minima.reshape(BANDS, ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
 def set_number(shingles: np.ndarray) -> int:
     """A long that stands for the set of hashes, given sorted."""
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
@@ -297,22 +314,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataF
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``node``, first row ``own`` and fingerprint of each distinct shingle set, stored."""
+    """``node``, first row ``own`` and ``bands`` of each distinct shingle set, stored."""
 
     def values(batch: pa.RecordBatch) -> list[pa.Array]:
-        hashes = [shingle_hashes(t, width) for t in texts(batch.column("text"))]
-        return [pa.array([set_number(np.unique(h)) for h in hashes], pa.int64()), pa.array(map(fingerprint, hashes), pa.int64())]
+        sets = [np.unique(shingle_hashes(t, width)) for t in texts(batch.column("text"))]
+        return [pa.array(map(set_number, sets), pa.int64()), pa.array(map(band_keys, sets), pa.list_(pa.int64()))]
 
-    found = annotate(docs.select("doc_id", "text"), values, "node long, fp long")
-    rows = found.select(f"{ROW}.doc_id", F.xxhash64(f"{ROW}.text").alias("text_hash"), "node", "fp")
-    return stored(rows.groupBy("node").agg(first_row(), F.min("fp").alias("fp")), "nodes")
+    found = annotate(docs.select("doc_id", "text"), values, "node long, bands array<long>")
+    rows = found.select(f"{ROW}.doc_id", F.xxhash64(f"{ROW}.text").alias("text_hash"), "node", "bands")
+    return stored(rows.groupBy("node").agg(first_row(), F.first("bands").alias("bands")), "nodes")
 
 
-def candidates(nodes: DataFrame, max_bits: int) -> DataFrame:
-    """Links (u, v), u > v, that span the nodes (node, fp) of each class of fingerprints: to the smallest of them."""
-    roots = stars(linked(stored(nodes.select("fp").distinct(), "fps"), max_bits))
-    roots = roots.select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    rows = stored(nodes.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("key")), "keys")
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Links (u, v), u > v, that span the nodes (node, bands) of each key: to the smallest of them."""
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.select("node", F.explode("bands").alias("key")).repartition(tasks, "key")
     least = rows.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last")
     return rows.join(least.select("key", "v"), "key").where("node > v").select(F.col("node").alias("u"), "v").distinct()
 
@@ -406,14 +422,13 @@ def near_links(rows: DataFrame, similarity: float) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
-def one_of_each(docs: DataFrame, width: int = 5, max_bits: int = 10, similarity: float = 0.8) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the one with the smallest id.
 
-    Documents in a class of fingerprints within ``max_bits`` link if the Jaccard similarity of their sets of shingles is
-    ``similarity`` or more.
+    Documents link if the Jaccard similarity of their sets of shingles is ``similarity`` or more.
     """
     nodes = shingle_sets(docs, width)
-    found = stars(candidates(nodes, max_bits))
+    found = stars(candidates(nodes))
     roots = found.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = roots.unionByName(found.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
     members = stored(nodes.select("node", "own").join(roots, "node"), "members")

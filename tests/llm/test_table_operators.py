@@ -120,6 +120,14 @@ def of_shared_words(draw, shared, own):
     return " ".join([*common, *word(own)]), " ".join([*common, *word(own)])
 
 
+def test_one_of_each_finds_pairs_at_the_threshold(spark):
+    """Of pairs at 0.8, over a third of the 64-bit fingerprints differ in more than 10 bits."""
+    draw = np.random.default_rng(2)
+    pairs = [of_shared_words(draw, 8 * n, n) for n in (2, 6, 10, 30) for _ in range(40)]
+    rows = documents(spark, [(2 * i + side, pair[side]) for i, pair in enumerate(pairs) for side in (0, 1)])
+    assert sorted(r.doc_id for r in simhash.one_of_each(rows).collect()) == [2 * i for i in range(len(pairs))]
+
+
 def test_one_of_each_keeps_what_is_below_the_threshold(spark):
     draw = np.random.default_rng(3)
     pairs = [of_shared_words(draw, 79, 11) for _ in range(40)]  # 79 of 101
@@ -130,6 +138,26 @@ def test_one_of_each_keeps_what_is_below_the_threshold(spark):
     assert simhash.one_of_each(rows).count() == 2 * len(pairs)
 
 
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_one_of_each_equals_brute_force(spark, monkeypatch, chunk):
+    """Edited copies of a few texts, so that classes are chains and, with small chunks, are cut."""
+    monkeypatch.setattr(simhash, "CHUNK_ROWS", chunk)
+    draw = np.random.default_rng(4)
+    texts = [[f"w{x}" for x in draw.integers(1 << 40, size=120)] for _ in range(4)]
+    for _ in range(150):
+        new = list(texts[draw.integers(len(texts))])
+        for at in draw.integers(len(new), size=draw.integers(1, 5)):
+            new[at] = f"w{draw.integers(1 << 40)}"
+        texts.append(new)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    near = np.array([[len(a & b) / len(a | b) >= 0.8 for b in sets] for a in sets])
+    low = np.arange(len(sets))
+    while not ((new := np.array([low[n].min() for n in near])) == low).all():
+        low = new
+    rows = documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    assert sorted(r.doc_id for r in simhash.one_of_each(rows).collect()) == sorted(set(low.tolist()))
+
+
 # Top-k
 
 
