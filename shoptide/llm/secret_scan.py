@@ -5,9 +5,9 @@ Patterns give the base spans (``assign``, ``access``, ``hex``). The method adds
 random strings and one of ordinary identifiers are compared, character by character; a ratio of ``threshold`` or more
 makes it a secret. Ratios are whole thousandths, so that sums do not depend on their order.
 
-The models are trained from labelled samples (token, secret). ``samples`` derives them from a bounded part of the
-documents (about ``sample`` documents, chosen by the hash of the id, whole texts): what the patterns found is random,
-other identifiers are ordinary. The counts have at most 2 x 128 x 128 cells, whatever the input.
+The models are trained from labelled samples (token, secret). ``samples`` derives them from the documents: what the
+patterns found, in all of them, is random; other identifiers, of a bounded part (about ``sample`` documents, chosen by
+the hash of the id, whole texts), are ordinary. The counts have at most 2 x 128 x 128 cells, whatever the input.
 
 Defined results. A null or empty text has no spans. Positions count code points from 0, ends are exclusive. Spans are
 sorted by start, then by kind in the order above. Without a sample of either label no markov spans are added. Repeated
@@ -74,14 +74,16 @@ def pairs_of(token: Column) -> Column:
 
 
 def samples(docs: DataFrame, sample: int = 20_000) -> DataFrame:
-    """(token, secret) from about ``sample`` documents: values the patterns find, and other identifiers."""
+    """(token, secret): values the patterns find in any document, and other identifiers of about ``sample`` documents."""
     share = min(1.0, sample / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     text = F.col("text")
+    rows = docs.select("text", chosen.alias("chosen")).where(F.col("chosen") | text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX))
     values = F.filter(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_LEAST)
     exact = F.concat(F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)), F.regexp_extract_all(text, F.lit(HEX), F.lit(0)))
     secrets = F.array_distinct(F.concat(values, exact))
-    found = chosen.select(secrets.alias("secrets"), F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0)).alias("plain"))
+    plain = F.when(F.col("chosen"), F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = rows.select(secrets.alias("secrets"), plain.alias("plain"))
     labelled = F.concat(
         F.transform("secrets", lambda t: F.struct(t.alias("token"), F.lit(True).alias("secret"))),
         F.transform(F.array_except("plain", "secrets"), lambda t: F.struct(t.alias("token"), F.lit(False).alias("secret"))),
