@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, ngram_lm, pieces, secret_scan, simhash
+from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, ngram_lm, periodic, pieces, secret_scan, simhash
 from shoptide.llm.common import ROW, crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,35 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
     return found.select(f"{ROW}.doc_id", f"{ROW}.held_out", *columns, perplexity)
+
+
+def replanted(docs: DataFrame) -> DataFrame:
+    """The table of op11: of a tenth of the texts, chosen by the id, a part of their end repeats its first words."""
+    h = crc_of_id()
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    source = lambda i: (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    put = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", source(i))))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(put, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(replanted(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    higher = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    best = F.aggregate("runs", none, lambda held, r: F.when(held.isNull() | higher(r, held), r).otherwise(held))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(f"{ROW}.doc_id", F.size("runs").cast("long").alias("n_runs"), "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        digest(F.array_join(lines, "")).alias("runs_sha256"),
+        digest(F.coalesce("collapsed", F.lit(""))).alias("collapsed_sha256"),
+    )
