@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, ngram_lm, periodic, pieces, secret_scan, simhash
+from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, minhash, ngram_lm, periodic, pieces, secret_scan, simhash
 from shoptide.llm.common import ROW, crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,31 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.array_join(lines, "")).alias("runs_sha256"),
         digest(F.coalesce("collapsed", F.lit(""))).alias("collapsed_sha256"),
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op12_minhash"] = f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, r, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS s
+  FROM worded),
+keyed AS (SELECT doc_id, r, len(s) AS n, CASE WHEN len(s) > 0 THEN s END AS s FROM shingled),
+nodes AS (SELECT s, min(doc_id) AS low, any_value(n) AS n, min(r) AS node FROM keyed WHERE n > 0 GROUP BY s),
+grams AS (SELECT node, n, unnest(s) AS g FROM nodes),
+near AS (
+  SELECT a.node AS u, b.node AS v FROM grams a JOIN grams b ON a.g = b.g AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(node, other) AS (SELECT node, node FROM nodes UNION SELECT r.node, near.v FROM reach r JOIN near ON near.u = r.other),
+of AS (SELECT reach.node, min(n.low) AS low FROM reach JOIN nodes n ON n.node = reach.other GROUP BY reach.node)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, CASE WHEN k.n > 0 THEN of.low ELSE k.doc_id END AS component_id,
+  CASE WHEN k.n > 0 THEN k.doc_id IS NOT DISTINCT FROM of.low ELSE true END AS kept
+FROM keyed k LEFT JOIN nodes ON nodes.s = k.s LEFT JOIN of ON of.node = nodes.node"""
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
