@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, minhash, ngram_lm, periodic, pieces, secret_scan, simhash
+from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, minhash, ngram_lm, periodic, pieces, secret_scan, simhash, spelling
 from shoptide.llm.common import ROW, crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,46 @@ FROM keyed k LEFT JOIN nodes ON nodes.s = k.s LEFT JOIN of ON of.node = nodes.no
 @query
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
+
+
+ORACLES["op13_spelling"] = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, CAST(range(8) AS BIGINT[])),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) x(b))),
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')), '{_UPPER}', '{_LOWER}') AS run FROM documents)
+  GROUP BY ALL),
+keyed AS (SELECT run, k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, k, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) + 1 AS INTEGER)])), 4294967295) AS h
+  FROM keyed, crc_table),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[1:CAST(h % len(run) AS INTEGER)] || run[CAST(h % len(run) AS INTEGER) + 2:] ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE len(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+gaps AS (SELECT word, n, i, word[1:i] || word[i + 2:] AS rest FROM (SELECT word, n, unnest(range(len(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.rest, a.word, a.n FROM gaps a JOIN words w ON w.word = a.rest
+  UNION SELECT a.word, w.word, w.n FROM gaps a JOIN words w ON w.word = a.rest),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS form, max(n) AS form_n FROM near GROUP BY word),
+formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * words.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * words.n THEN form_n END AS form_n FROM words LEFT JOIN best ON best.word = words.word),
+chain(word, last) AS (SELECT word, word FROM words UNION SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.last AND f.form IS NOT NULL)
+SELECT f.word, f.form, c.last AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed e ON e.word = c.last AND e.form IS NULL"""
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"), r"[A-Za-z\u00C0-\u00FF]{7,}")
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    runs = runs.withColumn("h", F.crc32(named.cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    words = runs.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling.variants(spelling.counted(words, least_size=7, least_n=2)).select("word", "form", "root", "n", "n_near", "form_n")
