@@ -11,8 +11,9 @@ before it and that nothing in the dictionary could carry on over it. The most th
 bound ``touched``, known from the word alone, for insertions into it, too. Words one edit apart so share all but
 ``touched`` grams of either, each at a place at most one off, the grams of the shorter word never further back. In one
 order of all grams, rarest first, the first they share is among the ``touched`` + 1 first grams of both: only these
-short lists are merged, by an equi-join on gram, place and length, and a pair is verified in the join itself. No list of
-pairs is kept, and one hot gram is split like any skewed join.
+short lists are merged, by an equi-join on a hash of gram, place and length, and a pair is verified in the join itself: first by
+the letters in use, of which an edit changes two at most, then by its edit distance. No list of pairs is kept, and one hot
+gram is split like any skewed join.
 
 Every word of ``longest`` + 2 characters or more has more grams than an edit touches, so no pair is missed; shorter ones
 are refused. ``variants`` counts a word's near words and picks the most frequent as its ``form`` where that is ``ratio``
@@ -35,7 +36,7 @@ from shoptide.llm.common import stored
 SHORTEST, LONGEST = 2, 5
 # A piece is crowded from this share of the words on, and from CROWD occurrences.
 CROWD, CROWD_SHARE = 32, 1 / 2000
-GRAMS = "word string, size int, gram string, place int"
+GRAMS = "word string, size int, gram string, place int, letters long"
 
 
 def dictionary(words: DataFrame, longest: int = LONGEST) -> dict[str, int]:
@@ -92,6 +93,14 @@ def touched(word: str, picked: list[str], stems: set[str], longest: int = LONGES
     return most
 
 
+def letters_of(word: str) -> int:
+    """A bit for each letter in use, several letters to a bit."""
+    bits = 0
+    for letter in set(word):
+        bits |= 1 << ord(letter) % 63
+    return bits
+
+
 def short_lists(words: DataFrame, picked: dict[str, int], longest: int = LONGEST) -> DataFrame:
     """The ``touched`` + 1 rarest grams of every word, with their places."""
     shared = words.sparkSession.sparkContext.broadcast(picked)
@@ -100,15 +109,17 @@ def short_lists(words: DataFrame, picked: dict[str, int], longest: int = LONGEST
         counts = shared.value
         stems = stems_of(counts)
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             for word in batch.column(0).to_pylist():
                 grams = decompose(word, counts, longest)
                 order = sorted(range(len(grams)), key=lambda p: (counts.get(grams[p], 0), grams[p], p))
+                letters = letters_of(word)
                 for p in order[: touched(word, grams, stems, longest) + 1]:
-                    for column, value in zip(out, (word, len(word), grams[p], p)):
+                    for column, value in zip(out, (word, len(word), grams[p], p, letters)):
                         column.append(value)
-            types = (pa.string(), pa.int32(), pa.string(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["word", "size", "gram", "place"])
+            types = (pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int64())
+            names = ["word", "size", "gram", "place", "letters"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
     return words.select("word").mapInArrow(run, GRAMS)
 
@@ -118,12 +129,18 @@ def near_pairs(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     if words.where(F.length("word") < longest + 2).limit(1).count():
         raise ValueError(f"words need {longest + 2} characters for grams of up to {longest}")
     lists = stored(short_lists(words, dictionary(words, longest), longest), "lists")
-    ask = lambda size, place: F.struct((F.col("size") + size).alias("size"), (F.col("place") + place).alias("place"))
-    asked = F.inline(F.array(ask(0, 0), ask(1, 0), ask(1, 1)))
-    left = lists.select(F.col("word").alias("a"), F.col("size").alias("own"), "gram", asked)
-    right = lists.select(F.col("word").alias("b"), "gram", "size", "place")
-    once = (F.col("own") < F.col("size")) | (F.col("a") < F.col("b"))
-    pairs = left.join(right, ["gram", "size", "place"]).where(once & (F.levenshtein("a", "b", 1) == 1))
+
+    def key(size: int, place: int) -> Column:
+        return F.xxhash64("gram", F.col("size") + size, F.col("place") + place)
+
+    # The shorter word, or the first of two equally long ones, asks.
+    asked = F.explode(F.array(key(0, 0), key(1, 0), key(1, 1))).alias("key")
+    left = lists.select(F.col("word").alias("a"), F.col("letters").alias("mine"), asked)
+    right = lists.select(F.col("word").alias("b"), "letters", key(0, 0).alias("key"))
+    alike = F.bit_count(F.col("mine").bitwiseXOR(F.col("letters"))) <= 2
+    own, other = F.length("a"), F.length("b")
+    once = (own < other) | ((own == other) & (F.col("a") < F.col("b")))
+    pairs = left.join(right, "key").where(alike & once & (F.levenshtein("a", "b", 1) == 1))
     return pairs.select("a", "b").distinct()
 
 
