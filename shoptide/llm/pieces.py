@@ -18,6 +18,7 @@ and texts get equal pieces; a null key is a key of its own.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ SHIFT = 10
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 SLICE = 1 << 21
+# Bits of a hash by which most strings that are no piece are told apart without a search.
+MAYBE = 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -82,6 +85,9 @@ class Vocabulary:
             self.hashes.append(np.array([h for h, _ in same], np.uint64))
             self.ids.append(np.array([i for _, i in same], np.int64))
             self.scores.append(np.array([np.log(shares[i] / whole) for _, i in same], np.float32))
+        self.maybe = np.zeros(1 << MAYBE, bool)
+        for hashes in self.hashes:
+            self.maybe[hashes >> np.uint64(64 - MAYBE)] = True
 
     def hash(self, piece: str) -> int:
         cp = mixed(code_points(piece).astype(np.uint64))
@@ -89,7 +95,9 @@ class Vocabulary:
 
 
 def powers(count: int, base: int = BASE) -> np.ndarray:
-    return np.cumprod(np.array([1] + [base] * (count - 1), np.uint64)[:count], dtype=np.uint64)
+    factors = np.full(count, base, np.uint64)
+    factors[:1] = 1
+    return np.multiply.accumulate(factors, out=factors)
 
 
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -121,6 +129,8 @@ def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
         if not len(at) or not len(table):
             continue
         value = (sums[at + size] - sums[at]) * unweight[at]
+        some = np.flatnonzero(vocabulary.maybe[value >> np.uint64(64 - MAYBE)])
+        at, value = at[some], value[some]
         found = np.minimum(np.searchsorted(table, value), len(table) - 1)
         hit = table[found] == value
         at, found = at[hit], found[hit]
@@ -152,18 +162,20 @@ def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
 
 def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarray, alpha: float, seed: int) -> list:
     """Piece ids of each text, None for None."""
-    words: dict[str, int] = {}
+    words: defaultdict[str, int] = defaultdict()
+    words.default_factory = words.__len__
     occurrences: list[int] = []
     per_text: list[int] = []
     for text in texts:
         found = WORD.findall(BLANK + text.replace(BLANK, LITERAL).replace(" ", BLANK)) if text else []
-        occurrences += [words.setdefault(w, len(words)) for w in found]
+        occurrences += map(words.__getitem__, found)
         per_text.append(len(found))
     if not occurrences:
         return [None if t is None else np.empty(0, np.int32) for t in texts]
     base, sizes, piece, cumulative = lattice(vocabulary, list(words), alpha)
     word = np.array(occurrences, np.int64)
     text_of = np.repeat(np.arange(len(texts)), per_text)
+    shares = np.ascontiguousarray(cumulative.T)  # a node's shares side by side
     start = np.cumsum(sizes[word]) - sizes[word]  # of each occurrence, in the characters of the slice
     chars = np.bincount(text_of, weights=sizes[word], minlength=len(texts)).astype(np.int64)
     text_start = np.cumsum(chars) - chars
@@ -176,7 +188,7 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarr
         node = base[word[alive]] + at[alive]
         place = (offset[alive] + at[alive]).astype(np.uint64)
         draw = (mixed(stream[alive] + place * np.uint64(BASE)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-        size = 1 + (cumulative[:, node] <= draw).sum(axis=0)
+        size = 1 + np.count_nonzero(shares[node] <= draw[:, None], axis=1)
         # rounding may leave the last share below 1, and edges that do not exist have a share of 0
         while (bad := piece[size - 1, node] == -1).any():
             size[bad] -= 1
