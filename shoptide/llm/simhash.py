@@ -11,11 +11,7 @@ dropping a pair once there are more than ``max_bits``. r grows with the number o
 same). A group above ``2 * half`` is cut into chunks, and each pair of chunks is a task of its own, so a hot group is
 spread out and no link is lost. Each task returns links that span what it joined, not all pairs.
 
-``one_of_each`` links by the Jaccard similarity of the shingle sets itself, since 64 bits miss a third of the pairs at
-0.8. Its nodes are distinct shingle sets. Sets that share one of ``BANDS`` keys, each of ``ROWS`` minima of hashes, are
-candidates: at 0.8 all keys differ in 0.006% of pairs. Candidates only say which sets may meet: each class of them gets
-its sets' hashes once, in chunks and pairs of chunks where it is large, and there all pairs that are not joined yet are
-compared exactly.
+``one_of_each`` keeps the row with the smallest id of each class.
 
 Defined results. A null text counts as empty. A text without words has fingerprint 0; a text with fewer words than a
 shingle has one shingle, all of it. A null doc_id is a document like any other, but never a class id; a class without any
@@ -39,11 +35,6 @@ from shoptide.llm.common import ROW, annotate, stored, texts, words
 SEED = 42
 BITS = 64
 HASHES_AT_A_TIME = 1 << 16
-BANDS, ROWS, MINIMA_AT_A_TIME = 32, 6, 1 << 13
-# Bits of the filter of rows whose shingles are sent; what it lets through wrongly is dropped by a join.
-FILTER_BITS = 1 << 26
-# Rows and hashes of a chunk of a class of candidates.
-CHUNK_ROWS, CHUNK_HASHES = 4096, 1 << 21
 # Rows of groups that are joined at a time, and pairs of trie nodes held at a time.
 ROWS_AT_A_TIME, PAIRS_AT_A_TIME = 50_000, 1 << 20
 # Node pairs of at most SMALL leaf pairs are compared all together, those of at most LEAF leaves each one by one.
@@ -77,25 +68,6 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """A key for each of BANDS bands of a set of hashes: of its ROWS minima, each by a linear order of its own."""
-    if not len(shingles):
-        return []
-    draw = np.random.default_rng(SEED)
-    factor, shift = draw.integers(0, 1 << 32, (2, BANDS * ROWS, 1), dtype=np.uint32)
-    short, factor = (shingles >> np.uint64(32)).astype(np.uint32), factor | np.uint32(1)
-    minima = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
-    for start in range(0, len(short), MINIMA_AT_A_TIME):
-        np.minimum(minima, (short[start : start + MINIMA_AT_A_TIME] * factor + shift).min(axis=1), out=minima)
-    keys = [xxhash.xxh64_intdigest(band.tobytes(), n) for n, band in enumerate(minima.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
-def set_number(shingles: np.ndarray) -> int:
-    """A long that stands for the set of hashes, given sorted."""
-    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
-
-
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     """``row`` and ``fp``."""
 
@@ -304,137 +276,35 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
     return stored(fingerprints(docs, width).select(*columns), "fingerprints")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
-    found = signed(docs.select("doc_id", "text"), width)
+def with_classes(found: DataFrame, max_bits: int) -> DataFrame:
+    """``found`` (doc_id, text_hash, fp) with the first row ``own`` of each row's class."""
     nodes = stored(found.groupBy("fp").agg(first_row()), "nodes")
-    of = classes(nodes, linked(nodes, max_bits), "fp").select("fp", F.col("own.doc_id").alias("component_id"))
-    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return found.join(of, "fp").select("doc_id", digits, "component_id")
-
-
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``node``, first row ``own`` and ``bands`` of each distinct shingle set, stored."""
-
-    def values(batch: pa.RecordBatch) -> list[pa.Array]:
-        sets = [np.unique(shingle_hashes(t, width)) for t in texts(batch.column("text"))]
-        return [pa.array(map(set_number, sets), pa.int64()), pa.array(map(band_keys, sets), pa.list_(pa.int64()))]
-
-    found = annotate(docs.select("doc_id", "text"), values, "node long, bands array<long>")
-    rows = found.select(f"{ROW}.doc_id", F.xxhash64(f"{ROW}.text").alias("text_hash"), "node", "bands")
-    return stored(rows.groupBy("node").agg(first_row(), F.first("bands").alias("bands")), "nodes")
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Links (u, v), u > v, that span the nodes (node, bands) of each key: to the smallest of them."""
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = nodes.select("node", F.explode("bands").alias("key")).repartition(tasks, "key")
-    least = rows.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last")
-    return rows.join(least.select("key", "v"), "key").where("node > v").select(F.col("node").alias("u"), "v").distinct()
+    return found.join(classes(nodes, linked(nodes, max_bits), "fp").select("fp", "own"), "fp")
 
 
-def place(doc_id: str, text_hash: str) -> Column:
-    return F.pmod(F.xxhash64(text_hash, doc_id), F.lit(FILTER_BITS)) + 1
+def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row."""
+    found = with_classes(signed(docs.select("doc_id", "text"), width), max_bits)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, F.col("own.doc_id").alias("component_id"))
 
 
-def hashes_of(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """``node``, ``root`` and ``hashes`` (8 bytes each, sorted) of ``members`` (node, root, own), stored.
+def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the one with the smallest id, once.
 
-    Rows are told by a filter of bits, of a bounded size; the texts of the others are not hashed again.
-    """
-    at = place("own.doc_id", "own.text_hash")
-    bits = members.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-    wanted = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in bits.collect():
-        part = np.frombuffer(row["bits"], np.uint8)
-        wanted[(row["bucket"] - 1) * len(part) : row["bucket"] * len(part)] = part
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("place").to_numpy() - 1
-            hit = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            for start in range(0, len(hit), 256):
-                some = batch.column("text").take(pa.array(hit[start : start + 256]))
-                sets = [np.unique(shingle_hashes(t, width)) for t in texts(some)]
-                columns = [pa.array(map(set_number, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "hashes"])
-
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).select(place("doc_id", "text_hash").alias("place"), "text")
-    sets = rows.mapInArrow(run, "node long, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
-    return stored(sets.join(members.select("node", "root"), "node"), "hashes")
-
-
-def set_links(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links (u, v), u > v, that span the classes of sets of a Jaccard similarity of ``similarity`` or more."""
-    order = np.lexsort((nodes, np.fromiter(map(len, sets), np.int64, len(sets))))
-    nodes, sets = nodes[order], [sets[i] for i in order.tolist()]
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    edges = np.concatenate(([0], np.cumsum(sizes)))
-    numbers = np.split(flat, edges[1:-1])
-    root, inside = np.arange(len(nodes)), np.zeros(len(distinct), bool)
-    highs = np.searchsorted(sizes, sizes / similarity + 1e-6, "right")  # larger sets are too large
-    for i, high in enumerate(highs.tolist()):
-        others = i + 1 + np.flatnonzero(root[i + 1 : high] != root[i])
-        if not len(others):
-            continue
-        inside[numbers[i]] = True
-        whole = len(others) == high - i - 1
-        rest = flat[edges[i + 1] : edges[high]] if whole else np.concatenate([numbers[j] for j in others.tolist()])
-        starts = np.cumsum(sizes[others]) - sizes[others]
-        common = np.add.reduceat(inside[rest], starts, dtype=np.int64)
-        inside[numbers[i]] = False
-        near = others[common / (sizes[i] + sizes[others] - common) >= similarity]
-        merge(root, np.full(len(near), i), near)
-    moved = np.flatnonzero(root != np.arange(len(nodes)))
-    ends = nodes[moved], nodes[root[moved]]
-    return np.maximum(*ends), np.minimum(*ends)
-
-
-def near_links(rows: DataFrame, similarity: float) -> DataFrame:
-    """Links (u, v), u > v, between ``rows`` (node, root, hashes) of the same root."""
-    totals = rows.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("hashes") / 8).alias("size"))
-    chunks = F.ceil(F.greatest(F.col("n") / CHUNK_ROWS, F.col("size") / CHUNK_HASHES)).alias("chunks")
-    split = rows.join(totals.select("root", chunks), "root").withColumn("mine", F.pmod(F.xxhash64("node", "root"), "chunks"))
-    split = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    part = F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("part")
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = split.select(part, "node", "hashes").repartition(tasks, "part").sortWithinPartitions("part")
-
-    def links(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        nodes = np.array([n for n, _ in held], np.int64)
-        ends = set_links(nodes, [np.frombuffer(h, np.uint64) for _, h in held], similarity)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["u", "v"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
-        for batch in batches:
-            for key, node, hashes in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != now and held:
-                    yield links(held)
-                    held = []
-                now = key
-                held.append((node, hashes))
-        if held:
-            yield links(held)
-
-    return dealt.mapInArrow(run, "u long, v long").distinct()
-
-
-def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each class the one with the smallest id.
-
-    Documents link if the Jaccard similarity of their sets of shingles is ``similarity`` or more.
+    What goes is told by id and text and is far less than what stays, so it is what texts are joined with.
     """
-    nodes = shingle_sets(docs, width)
-    found = stars(candidates(nodes))
-    roots = found.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = roots.unionByName(found.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-    members = stored(nodes.select("node", "own").join(roots, "node"), "members")
-    links = near_links(hashes_of(docs, members, width), similarity)
-    kept = classes(nodes, links, "node").select("own.doc_id", "own.text_hash").distinct()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(ROW), F.xxhash64("text").alias("text_hash"))
-    same = (rows["text_hash"] == kept["text_hash"]) & rows[f"{ROW}.doc_id"].eqNullSafe(kept["doc_id"])
-    chosen = rows.join(kept, same, "left_semi").withColumn("doc_id", F.col(f"{ROW}.doc_id"))
-    return chosen.dropDuplicates(["text_hash", "doc_id"]).select(*[F.col(ROW)[c].alias(c) for c in docs.columns])
+    found = with_classes(signed(docs.select("doc_id", "text"), width), max_bits)
+    chosen = F.col("doc_id").eqNullSafe(F.col("own.doc_id")) & (F.col("text_hash") == F.col("own.text_hash"))
+    rows = found.groupBy("doc_id", "text_hash").agg(F.bool_or(chosen).alias("chosen"), F.count("*").alias("n"))
+    marked = stored(rows.where("not chosen or n > 1"), "marked")
+
+    def among(rows: DataFrame, marked: DataFrame, how: str) -> DataFrame:
+        same = (rows["text_hash"] == marked["text_hash"]) & rows["id"].eqNullSafe(marked["doc_id"])
+        return rows.join(marked, same, how)
+
+    packed = F.struct(*[docs[c] for c in docs.columns]).alias(ROW)
+    whole = docs.select(packed, F.xxhash64("text").alias("text_hash"), F.col("doc_id").alias("id"))
+    once = among(whole, marked, "left_anti").select(ROW)
+    repeated = among(whole, marked.where("chosen"), "left_semi").dropDuplicates(["text_hash", "id"]).select(ROW)
+    return once.unionByName(repeated).select(*[F.col(ROW)[c].alias(c) for c in docs.columns])

