@@ -22,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near copies: five-word shingles, similarity of 0.8 or more."""
-    return simhash.one_of_each(docs, width=5, similarity=0.8)
+    """Keeps one document of each class of fingerprints: three-word shingles, three differing bits at most."""
+    return simhash.one_of_each(docs, width=3, max_bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
