@@ -17,7 +17,7 @@ from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 from shoptide.sources.streams import parse_changes, table_stream, topic_files
 from shoptide.sources.tables import read_table
-from shoptide.streaming import jobs
+from shoptide.streaming import jobs, lateness
 
 
 def text_fields(*names: str, **typed: T.DataType) -> T.StructType:
@@ -203,23 +203,44 @@ def stream_dau_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.history(spark).select("mid", "log_date", "log_hour", "uid", "ts")
 
 
+def _gated_starts(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Three batches through a gate of a day; some starts of the first come with the last, too late."""
+    first, second, third = _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id"))
+    late = F.expr(LATE_START.replace("event_id", "offset"))
+    starts = topic(spark, root, "startup", [first.where(~late), second, third.unionByName(first.where(late))])
+    finish(lateness.gate_job(starts, "startup", lateness.json_millis(), f"{root}/gate", f"{root}/gate-checkpoint", 86_400))
+    return lateness.gated(spark, "startup", f"{root}/gate")
+
+
 @query(
     "q_stream_dau_state",
     f"""WITH {V.STARTUP_LOG} SELECT DISTINCT mid, log_date FROM startup_log
     WHERE NOT ({LATE_START} AND {_FIRST_BATCH})""",
 )
 def stream_dau_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches; some starts of the first come with the last, too late, and fall."""
+    """What passes the gate, each device and day once, by Spark's state store."""
     root = scratch_dir(spark, "dau-state-")
-    first, second, third = _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id"))
-    late = F.expr(LATE_START.replace("event_id", "offset"))
-    starts = topic(spark, root, "startup", [first.where(~late), second, third.unionByName(first.where(late))])
-    fresh = jobs.first_starts_stream(starts).select("mid", "log_date")
+    fresh = jobs.first_starts_stream(_gated_starts(spark, sf_dir, root)).select("mid", "log_date")
     writer = fresh.writeStream.format("parquet").option("path", f"{root}/dau")
     finish(writer.option("checkpointLocation", f"{root}/checkpoint"))
     return spark.read.schema(fresh.schema).parquet(f"{root}/dau")
 
 
+@query(
+    "q_stream_late_rows",
+    f"""WITH {V.STARTUP_LOG}, clock AS (
+      SELECT max(ts) AS latest FROM startup_log WHERE ts < epoch_ms(TIMESTAMP '2024-01-20 12:00:00')
+        AND NOT ({LATE_START} AND {_FIRST_BATCH}))
+    SELECT 'late' AS reason, event_id AS "offset", ts AS event_ms FROM startup_log, clock
+    WHERE {LATE_START} AND {_FIRST_BATCH} AND ts < latest - 86400000""",
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The starts that fell at the gate: more than a day before the latest one of all earlier batches."""
+    root = scratch_dir(spark, "late-")
+    _gated_starts(spark, sf_dir, root)
+    return lateness.set_aside(spark, "startup", f"{root}/gate").select("reason", "offset", "event_ms")
+
+
 @query(
     "q_stream_gmv",
     f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, {V.EXACT_SUM} AS value FROM order_info

@@ -108,9 +108,11 @@ def first_starts_stream(
     """First starts per device and day, with the seen devices in the state store.
 
     The cost of a batch does not grow with the devices already seen, and the state drops a day once the
-    watermark has passed it. Which of several starts within one batch is kept is not defined. Starts later than
-    ``late`` fall (``numRowsDroppedByWatermark`` of the query's progress counts them), as do starts more than
-    ``ahead_s`` ahead of their arrival, which would make all others late.
+    watermark has passed it, so ``late`` has to be a day or more. Which of several starts within one batch is kept is
+    not defined. Starts more than ``ahead_s`` ahead of their arrival, which would make all others late, fall.
+
+    Spark judges late starts by the watermark of the batch before. To have them fall exactly, and kept, put a gate
+    of the same bound in front (:mod:`shoptide.streaming.lateness`) and read what it lets through.
 
     A streaming dedup sends every row to the task of its key. With ``salts`` above 1 the rows of a device and
     day are first reduced by that many tasks, so that a device with very many starts does not hold up one.
