@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from shoptide import schemas
 from shoptide.functions import fields, records
-from shoptide.operators import dashboard, gmv, search
+from shoptide.operators import dashboard, gmv, relevance, search
 from shoptide.plans import batch as B
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
@@ -178,6 +178,50 @@ def search_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.page_after(hits, last[0] if last else None, B.PAGE_SIZE)
 
 
+# A score in SQL, over rows (id, term, tf, length) of all words wanted and the figures of the whole collection.
+_SCORE = f"""scored AS (
+  SELECT id, floor(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * {relevance.K1 + 1}
+    / (tf + {relevance.K1} * ({1 - relevance.B} + {relevance.B} * length / (total / docs)))) * 1e6 + 0.5) / 1e6 AS score, count(*) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM postings), figures GROUP BY id)"""
+
+
+def _postings_sql(rows: str, wanted: tuple[str, ...]) -> str:
+    return f"""worded AS (SELECT id, regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}_]+') AS w FROM ({rows})),
+figures AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS DOUBLE) AS total FROM worded),
+postings AS (SELECT id, term, count(*) AS tf, any_value(len(w)) AS length FROM (SELECT id, w, unnest(w) AS term FROM worded)
+  WHERE term IN ({", ".join(f"'{w}'" for w in wanted)}) GROUP BY id, term), {_SCORE}"""
+
+
+RANKED_YEARS = [str(y) for y in range(2021, 2024)]
+
+
+@query(
+    "q_search_ranked",
+    f"""WITH {V.SALE_DETAIL}, {_postings_sql(f"SELECT order_detail_id AS id, sku_name AS body FROM sale_detail WHERE dt[1:4] IN ({', '.join(f"'{y}'" for y in RANKED_YEARS)})", ("red", "plate"))}
+    SELECT id AS order_detail_id, score FROM scored ORDER BY score DESC, id LIMIT 500""",
+)
+def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best sales of some years for two words, either of which may be missing."""
+    index = relevance.TextIndex(scratch_dir(spark, "ranked-"), "order_detail_id", T.StringType(), buckets=8)
+    index.build(B._sales(spark, sf_dir).select("order_detail_id", "sku_name", "dt"), "sku_name", F.substring("dt", 1, 4))
+    return relevance.ranked(index.search(spark, "Red plate", RANKED_YEARS, every=False), "order_detail_id", 500)
+
+
+TEXT_WORDS = ("of", "that", "the")
+
+
+@query(
+    "q_search_texts",
+    f"""WITH {_postings_sql("SELECT doc_id AS id, coalesce(text, '') AS body FROM documents", TEXT_WORDS)}
+    SELECT id AS doc_id, score FROM scored WHERE n = {len(TEXT_WORDS)} ORDER BY score DESC, id LIMIT 100""",
+)
+def search_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of all lengths with each of three words, the most relevant first."""
+    index = relevance.TextIndex(scratch_dir(spark, "texts-"), "doc_id", T.LongType())
+    index.build(read_table(spark, sf_dir, "documents"), "text")
+    return relevance.ranked(index.search(spark, " ".join(TEXT_WORDS)), "doc_id", 100)
+
+
 @query(
     "q_rejected_records",
     f"""WITH {V.STARTUP_LOG} SELECT event_id, substr('{{"mid":"' || mid || '","ts":' || ts || '}}', 1, 12) AS value
