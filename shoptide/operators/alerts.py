@@ -1,16 +1,17 @@
 """Coupon-abuse alerts: several accounts take coupons on one device while nobody views an item.
 
-A sliding window puts each event into ``length / slide`` windows. Copying whole events that often is what makes
-it expensive. So the windows that alert are found from coupons and item views alone, reduced to panes (stretches
-between two window edges), and only the panes within those windows are looked at again. Behaviours are carried as
-counts, so no group of raw events is ever collected.
+A sliding window puts each event into ``length / slide`` windows. Copying events that often is what makes it
+expensive, so none is copied: an account that takes a coupon counts in an interval of window starts, an item view
+blocks one. A sweep over the edges of a device's intervals adds up how many accounts count and how many views block,
+and gives the stretches of window starts that alert. Only panes (stretches between two window edges) within those
+windows are looked at again. Behaviours are carried as counts, so no group of raw events is ever collected.
 """
 
 from __future__ import annotations
 
 from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptide import constants as C
@@ -67,44 +68,44 @@ def alert_groups(events: DataFrame, length_s: int = C.ALERT_WINDOW_S, slide_s: i
     )
 
 
-def _candidates(marks: DataFrame, length_s: int, min_accounts: int) -> DataFrame:
-    """Stretches of two window lengths in which a device has coupons of enough accounts.
+def alert_stretches(events: DataFrame, length_s: int, slide_s: int, min_accounts: int) -> DataFrame:
+    """(mid, first, last): stretches of window starts with coupons of ``min_accounts`` accounts and no item view.
 
-    Every window lies within one such stretch, so windows elsewhere need not be looked at.
+    Only coupons and item views are read for this, reduced to one row per device, pane and account. An account's
+    intervals are cut where the one before already counts, so that it counts once wherever they overlap.
     """
-    spread = marks.where(F.col("account").isNotNull()).select(
-        "mid", "account", F.explode(_windows_of(F.col("pane"), 2 * length_s, length_s)).alias("stretch")
+    step, length = _ms(slide_s), _ms(length_s)
+    is_view = F.col("evid") == C.EVENT_ITEM_VIEW
+    wanted = events.where(F.col("mid").isNotNull() & F.col("evid").isin(C.EVENT_COUPON, C.EVENT_ITEM_VIEW))
+    marks = _in_panes(wanted, length_s, slide_s).select("mid", "pane", "account", is_view.alias("view")).distinct()
+    ends = marks.where(F.col("view") | F.col("account").isNotNull()).select(
+        "mid",
+        "account",
+        "view",
+        (_floor_to(F.col("pane") - length, slide_s) + step).alias("first"),
+        _floor_to(F.col("pane"), slide_s).alias("last"),
     )
-    return (
-        spread.groupBy("mid", "stretch")
-        .agg(F.count_distinct("account").alias("accounts"))
-        .where(F.col("accounts") >= min_accounts)
-        .select("mid", "stretch")
+    before = F.lag("last").over(Window.partitionBy("mid", "account", "view").orderBy("first", "last"))
+    fresh = ends.withColumn("first", F.greatest("first", before + step)).where("first <= last")
+    edge = lambda at, by: F.struct(at.alias("at"), F.lit(by).alias("by"))
+    edges = fresh.select("mid", "view", F.inline(F.array(edge(F.col("first"), 1), edge(F.col("last") + step, -1))))
+    by_kind = [F.sum(F.when(F.col("view") == kind, F.col("by")).otherwise(0)).alias(n) for n, kind in (("accounts", False), ("views", True))]
+    steps = edges.groupBy("mid", "at").agg(*by_kind)
+    so_far = Window.partitionBy("mid").orderBy("at")
+    swept = steps.select(
+        "mid",
+        F.col("at").alias("first"),
+        (F.lead("at").over(so_far) - step).alias("last"),
+        F.sum("accounts").over(so_far).alias("accounts"),
+        F.sum("views").over(so_far).alias("views"),
     )
+    return swept.where(is_alert(F.col("accounts"), F.col("views") > 0, min_accounts)).select("mid", "first", "last")
 
 
 def alert_windows(events: DataFrame, length_s: int, slide_s: int, min_accounts: int) -> DataFrame:
-    """(device, window) pairs with coupons of at least ``min_accounts`` accounts and no item view.
-
-    Only coupons and item views are read for this, reduced to one row per device, pane and account.
-    """
-    is_view = F.col("evid") == C.EVENT_ITEM_VIEW
-    marks = (
-        _in_panes(events.where(F.col("evid").isin(C.EVENT_COUPON, C.EVENT_ITEM_VIEW)), length_s, slide_s)
-        .groupBy("mid", "pane", "account")
-        .agg(F.bool_or(is_view).alias("viewed"))
-    )
-    near = marks.withColumn("stretch", F.explode(_windows_of(F.col("pane"), 2 * length_s, length_s)))
-    kept = near.join(_candidates(marks, length_s, min_accounts), ["mid", "stretch"], "left_semi")
-    windows = kept.withColumn("window_start", F.explode(_windows_of(F.col("pane"), length_s, slide_s))).where(
-        _floor_to(F.col("window_start"), length_s) == F.col("stretch")
-    )
-    return (
-        windows.groupBy("mid", "window_start")
-        .agg(F.count_distinct("account").alias("accounts"), F.bool_or("viewed").alias("viewed"))
-        .where(is_alert(F.col("accounts"), F.col("viewed"), min_accounts))
-        .select("mid", "window_start")
-    )
+    """(mid, window_start) of the windows that alert, as many rows as there are alerts."""
+    starts = F.sequence("first", "last", _ms(slide_s))
+    return alert_stretches(events, length_s, slide_s, min_accounts).select("mid", F.explode(starts).alias("window_start"))
 
 
 def coupon_alerts(
@@ -117,11 +118,10 @@ def coupon_alerts(
 
     ``behaviours`` says how often each kind of event (``evid``) occurred, by name; :func:`list_events` writes them out.
     """
-    step = pane_seconds(length_s, slide_s)
-    hits = alert_windows(events, length_s, slide_s, min_accounts).withColumn(
-        "pane",
-        F.explode(F.sequence(F.col("window_start"), F.col("window_start") + _ms(length_s - step), _ms(step))),
-    )
+    hits = alert_windows(events, length_s, slide_s, min_accounts)
+    # A window lies in two spans of its own length at most, a pane in one: what meets there is half of it wanted.
+    span = _floor_to(F.col("window_start"), length_s)
+    hits = hits.withColumn("span", F.explode(F.array_distinct(F.array(span, _floor_to(F.col("window_start") + _ms(length_s - 1), length_s)))))
     panes = (
         _in_panes(events, length_s, slide_s)
         .groupBy("mid", "pane", "evid")
@@ -130,11 +130,14 @@ def coupon_alerts(
             F.collect_set("item").alias("items"),
             F.count(F.lit(1)).alias("n"),
         )
+        .withColumn("span", _floor_to(F.col("pane"), length_s))
     )
+    inside = (F.col("pane") >= F.col("window_start")) & (F.col("pane") < F.col("window_start") + _ms(length_s))
     # Alerts are few against panes, so adaptive execution sends them to the panes, which then stay in place.
-    # Should they be many, both sides meet by device and pane, which spreads a busy device over its panes.
+    # Should they be many, both sides meet by device and span, which spreads a busy device over its spans.
     per_behaviour = (
-        panes.join(hits, ["mid", "pane"])
+        panes.join(hits, ["mid", "span"])
+        .where(inside)
         .groupBy("mid", "window_start", "evid")
         .agg(
             F.array_distinct(F.flatten(F.collect_list("accounts"))).alias("accounts"),
