@@ -135,24 +135,11 @@ def coupon_alerts(
     inside = (F.col("pane") >= F.col("window_start")) & (F.col("pane") < F.col("window_start") + _ms(length_s))
     # Alerts are few against panes, so adaptive execution sends them to the panes, which then stay in place.
     # Should they be many, both sides meet by device and span, which spreads a busy device over its spans.
-    per_behaviour = (
-        panes.join(hits, ["mid", "span"])
-        .where(inside)
-        .groupBy("mid", "window_start", "evid")
-        .agg(
-            F.array_distinct(F.flatten(F.collect_list("accounts"))).alias("accounts"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-            F.sum("n").alias("n"),
-        )
-    )
-    listed = per_behaviour.groupBy("mid", "window_start").agg(
-        F.array_sort(F.flatten(F.collect_list("accounts"))).alias("uids"),
-        F.array_sort(F.flatten(F.collect_list("items"))).alias("item_ids"),
-        F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("behaviours"),
-    )
-    return listed.select(
-        "mid", "uids", "item_ids", "behaviours", "window_start", (F.col("window_start") + _ms(length_s)).alias("ts")
-    )
+    # A window has its panes' kinds of events at most, so its parts can be gathered in one shuffle.
+    met = panes.join(hits, ["mid", "span"]).where(inside)
+    parts = F.collect_list(F.struct("evid", "accounts", "items", "n")).alias("parts")
+    windows = met.groupBy("mid", "window_start").agg(parts)
+    return alerts_of_parts(windows.withColumn("ts", F.col("window_start") + _ms(length_s)), min_accounts)
 
 
 def all_of(parts: Column, field: str) -> Column:

@@ -159,7 +159,7 @@ def alert_stream(
 
     Events are summed up per device and pane first. Putting panes into every sliding window would copy them
     ``length / slide`` times into the state; so they go into stretches of a window and a quarter, one every quarter,
-    five copies at most, and a closed stretch with coupons of enough accounts is looked through window by window. An
+    five copies at most, and of a closed stretch with coupons of enough accounts the windows that alert are picked. An
     alert comes up to a quarter of a window after its own window has closed.
 
     Windows after the last event close once a later record arrives, whatever its device; a source that may fall
@@ -179,10 +179,21 @@ def alert_stream(
     stretch = F.window("pane", f"{length_s + step_s} seconds", f"{step_s} seconds").alias("stretch")
     stretches = counts.groupBy(stretch, "mid").agg(F.collect_list(part).alias("parts"))
     near = stretches.where(F.size(alerts.all_of(F.col("parts"), "accounts")) >= min_accounts)
-    first, slide = F.unix_millis("stretch.start"), F.lit(slide_s * 1000).cast("long")
+    first, slide, length = F.unix_millis("stretch.start"), F.lit(slide_s * 1000).cast("long"), F.lit(length_s * 1000).cast("long")
     starts = F.sequence(first, first + F.lit((step_s - slide_s) * 1000).cast("long"), slide)
-    windows = near.select("mid", "parts", F.explode(starts).alias("window_start"))
-    end = F.col("window_start") + F.lit(length_s * 1000).cast("long")
+
+    def of_kind(evid: str) -> Column:
+        return F.filter("parts", lambda p: p.getField("evid").eqNullSafe(evid))
+
+    def alerting(at: Column) -> Column:
+        within = lambda p: (p.getField("at") >= at) & (p.getField("at") < at + length)
+        enough = F.size(alerts.all_of(F.filter("coupons", within), "accounts")) >= min_accounts
+        return enough & ~F.exists("views", within)
+
+    # Windows are picked by the few coupons and views, before whole parts are copied for any of them.
+    marked = near.select("mid", "parts", of_kind(C.EVENT_COUPON).alias("coupons"), of_kind(C.EVENT_ITEM_VIEW).alias("views"), starts.alias("starts"))
+    windows = marked.select("mid", "parts", F.explode(F.filter("starts", alerting)).alias("window_start"))
+    end = F.col("window_start") + length
     inside = F.filter("parts", lambda p: (p.getField("at") >= F.col("window_start")) & (p.getField("at") < end))
     return alerts.alerts_of_parts(windows.select("mid", "window_start", end.alias("ts"), inside.alias("parts")), min_accounts)
 
