@@ -1,19 +1,16 @@
-"""Put-by-key tables on plain Parquet.
+"""Put-by-key tables on plain Parquet: batches are appended, the current row of a key is picked on reading.
 
-A batch is written to a folder of its own, ``run=<batch>``, below its partition, so writing costs what the batch
-costs, and writing the same batch again replaces it, which makes a replay after a failure harmless. The current row
-of a key is picked on reading, from the partitions that are asked for; no other folder is listed.
-
-Every ``fold_every`` batches, a partition that gets rows is folded first: the current rows of all batches before go
-to one folder, ``run=-<batch>``, and the folders it stands for are removed. Until they are, readers pass them over, so
-a crash in between changes nothing. A partition so has at most ``fold_every`` folders and one, however old it is.
-A table belongs to one query and its checkpoint, since batches are told apart by the query's batch ids.
+A batch is a partition of its own, ``batch_id=<n>``, below the day (or bucket) its rows belong to, and is written by
+dynamic partition overwrite. So writing costs what the batch costs, and a batch that is run again replaces itself. Reads
+name the partitions they want, which Spark prunes to. A table belongs to one query and its checkpoint, since batches are
+told apart by the query's batch ids. :meth:`KeyedTable.rewritten` puts the current rows into a new table, for readers to
+move to once there are many batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +18,8 @@ from pyspark.sql import types as T
 
 from shoptide.operators.keyed import latest_by_key
 
-BATCH, RUN, BUCKET = "batch_id", "run", "bucket"
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+BATCH, BUCKET = "batch_id", "bucket"
+BEFORE_ALL = -1
 
 
 @dataclass(frozen=True)
@@ -30,7 +27,7 @@ class KeyedTable:
     """``key`` identifies a row within its ``partition``; ``order`` ranks rows of a key within a batch.
 
     ``order`` has to be unique for a key (an offset). With ``buckets`` the table is partitioned by the hash of the key,
-    so that looking up a few keys reads a few folders.
+    so that looking up a few keys reads a few partitions.
     """
 
     path: str
@@ -39,119 +36,55 @@ class KeyedTable:
     partition: str | None = None
     order: tuple[str, ...] = ()
     buckets: int = 0
-    fold_every: int = 32
-
-    @property
-    def _part(self) -> str | None:
-        return BUCKET if self.buckets else self.partition
 
     @property
-    def _stored(self) -> T.StructType:
-        extra = [T.StructField(BATCH, T.LongType()), T.StructField(RUN, T.LongType())]
-        return T.StructType([*self.schema.fields, *extra, *[T.StructField(BUCKET, T.IntegerType())] * bool(self.buckets)])
+    def _parts(self) -> list[str]:
+        return [BUCKET] if self.buckets else [self.partition] if self.partition else []
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _files(self, spark: SparkSession, folder: str):
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-    def _names(self, spark: SparkSession, folder: str, prefix: str) -> list[str]:
-        """Values of the sub-folders ``<prefix>=<value>``."""
-        files, path = self._files(spark, folder)
-        if not files.exists(path):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        return [n.removeprefix(f"{prefix}=") for n in names if n.startswith(f"{prefix}=")]
-
     def create(self, spark: SparkSession) -> KeyedTable:
         """Make the table's folder, so that it can be read before the first batch."""
-        files, path = self._files(spark, self.path)
-        files.mkdirs(path)
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
         return self
 
-    def _place(self, part: str | None) -> str:
-        return self.path if part is None else f"{self.path}/{self._part}={part}"
-
-    def _parts(self, spark: SparkSession, parts: Sequence | None) -> list[str | None]:
-        if self._part is None:
-            return [None]
-        if parts is None:
-            return list(self._names(spark, self.path, self._part))
-        return [_NO_VALUE if p is None else str(p) for p in parts]
-
-    def folders(self, spark: SparkSession, parts: Sequence | None = None) -> list[str]:
-        """The folders a reader of these partitions (all, if None) reads."""
-        found = []
-        for part in self._parts(spark, parts):
-            runs = [int(r) for r in self._names(spark, self._place(part), RUN)]
-            folded = min([r for r in runs if r < 0], default=0)
-            found += [f"{self._place(part)}/{RUN}={r}" for r in runs if r == folded or r >= max(0, -folded)]
-        return found
-
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Put a batch. Rows are spread evenly over files of a sensible size, also when one day has most of them."""
-        spark = batch.sparkSession
         rows = batch.select(*self.schema.names).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         rows = rows.withColumn(BUCKET, self._bucket()) if self.buckets else rows
-        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
-            touched = [None] if self._part is None else [r[0] for r in rows.select(self._part).distinct().collect()]
-            self.fold(spark, batch_id, touched)
-        self._put(rows, batch_id)
-
-    def _put(self, rows: DataFrame, run: int) -> None:
-        folders = [self._part] if self._part else []
-        rows = rows.withColumn(RUN, F.lit(run).cast("bigint"))
-        rows = rows.hint("rebalance", *folders) if folders else rows
+        rows = rows.hint("rebalance", *self._parts) if self._parts else rows
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*folders, RUN).parquet(self.path)
-
-    def fold(self, spark: SparkSession, before: int, parts: Sequence | None = None) -> None:
-        """Replace the batches before ``before`` of these partitions by their current rows."""
-        for part in self._parts(spark, parts):
-            value = None if part in (None, _NO_VALUE) else part
-            old = [f for f in self.folders(spark, None if part is None else [value]) if self._run_of(f) < before]
-            if len(old) > 1:
-                self._put(self._current(self._load(spark, old)).drop(RUN), -before)
-                kept = {*self.folders(spark, None if part is None else [value])}
-                names = [f"{self._place(part)}/{RUN}={r}" for r in self._names(spark, self._place(part), RUN)]
-                for folder in names:
-                    if folder not in kept:
-                        files, path = self._files(spark, folder)
-                        files.delete(path, True)
-
-    @staticmethod
-    def _run_of(folder: str) -> int:
-        return int(folder.rpartition("=")[2])
-
-    def _load(self, spark: SparkSession, folders: list[str]) -> DataFrame:
-        if not folders:
-            return spark.createDataFrame([], self._stored)
-        return spark.read.schema(self._stored).option("basePath", self.path).parquet(*folders)
+        writer.partitionBy(*self._parts, BATCH).parquet(self.path)
+
+    def rewritten(self, spark: SparkSession, path: str) -> KeyedTable:
+        """A new table with the current rows, older than any batch to come."""
+        new = replace(self, path=path).create(spark)
+        new.write(self.read(spark), BEFORE_ALL)
+        return new
 
     def history(self, spark: SparkSession, parts: Sequence | None = None, before_batch: int | None = None) -> DataFrame:
-        """Rows put, folded ones once; ``parts`` are the values of the partition column to look into."""
-        rows = self._load(spark, self.folders(spark, parts))
+        """All rows put; ``parts`` are the values of the partition column to look into."""
+        extra = [T.StructField(BATCH, T.LongType()), *[T.StructField(BUCKET, T.IntegerType())] * bool(self.buckets)]
+        rows = spark.read.schema(T.StructType([*self.schema.fields, *extra])).parquet(self.path)
+        if parts is not None and self._parts:
+            part = F.col(self._parts[0])
+            wanted = part.isin([p for p in parts if p is not None])
+            rows = rows.where(wanted | part.isNull() if None in parts else wanted)
         return rows if before_batch is None else rows.where(F.col(BATCH) < before_batch)
 
-    def _current(self, rows: DataFrame) -> DataFrame:
-        """The last row of every key, and all rows without a key, in one pass."""
-        alone = F.when(F.col(self.key).isNull(), F.monotonically_increasing_id())
-        keys = [self.key, "alone"] + ([self._part] if self._part else [])
-        return latest_by_key(rows.withColumn("alone", alone), keys, (BATCH, *self.order)).drop("alone")
-
     def read(self, spark: SparkSession, parts: Sequence | None = None, only: DataFrame | None = None) -> DataFrame:
         """The current row of every key; rows without a key all stay.
 
         ``only`` is a table of wanted keys: of a table in buckets just theirs are read, and other keys are dropped
         before rows are compared, by a semi join that Spark broadcasts while the wanted keys are few.
         """
-        if only is not None:
-            wanted = only.select(self.key).distinct()
-            if self.buckets and parts is None:
-                parts = [r[0] for r in wanted.select(self._bucket()).distinct().collect()]  # at most ``buckets``
-            rows = self.history(spark, parts).join(wanted, self.key, "left_semi")
-        else:
-            rows = self.history(spark, parts)
-        return self._current(rows).select(*self.schema.names)
+        wanted = None if only is None else only.select(self.key).distinct()
+        if wanted is not None and self.buckets and parts is None:
+            parts = [r[0] for r in wanted.select(self._bucket()).distinct().collect()]  # at most ``buckets``
+        rows = self.history(spark, parts)
+        rows = rows if wanted is None else rows.join(wanted, self.key, "left_semi")
+        alone = F.when(F.col(self.key).isNull(), F.monotonically_increasing_id())
+        latest = latest_by_key(rows.withColumn("alone", alone), [self.key, "alone", *self._parts], (BATCH, *self.order))
+        return latest.select(*self.schema.names)

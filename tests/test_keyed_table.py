@@ -1,8 +1,6 @@
 from __future__ import annotations
 
-import os
-import shutil
-
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptide.sinks.keyed_table import KeyedTable
@@ -17,6 +15,16 @@ def table(spark, root, partition="day"):
     return KeyedTable(f"{root}/t", SCHEMA, key="id", partition=partition, order=("seq",)).create(spark)
 
 
+def files(df):
+    """Folders below the table whose files are read."""
+    found = df.select(F.input_file_name().alias("f")).distinct().collect()
+    return {"/".join(r.f.split("/")[-3:-1]) for r in found}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def batch(spark, *values):
     return spark.createDataFrame(list(values), SCHEMA)
 
@@ -55,7 +63,7 @@ def test_rows_without_a_key_all_stay(spark, root):
 def test_only_wanted_days_and_keys_are_read(spark, root):
     t = table(spark, root)
     t.write(batch(spark, ("1", "d1", "a", 0), ("2", "d1", "b", 0), ("1", "d2", "c", 0)), 0)
-    assert t.folders(spark, ["d1", "d9"]) == [f"{root}/t/day=d1/run=0"]
+    assert files(t.history(spark, ["d1", "d9"])) == {"day=d1/batch_id=0"}
     assert rows(t.read(spark, ["d1"]), "id") == [("1",), ("2",)]
     assert rows(t.read(spark, ["d9"])) == []
     wanted = spark.createDataFrame([("1",), ("1",), ("7",)], "id string")
@@ -76,48 +84,25 @@ def test_buckets_of_wanted_keys_alone_are_read(spark, root):
     wanted = spark.createDataFrame([("7",), ("8",)], "id string")
     found = t.read(spark, only=wanted)
     assert rows(found, "id", "value") == [("7", "new"), ("8", "v8")]
-    assert len({f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()}) <= 2
+    assert len({f.split("/")[0] for f in files(t.history(spark, [r[0] for r in wanted.select(t._bucket()).collect()]))}) <= 2
+    assert "bucket" in plan_of(found).split("PartitionFilters: [")[1].split("]")[0]
     assert rows(t.read(spark), "id") == sorted((str(i),) for i in range(100))
 
 
-def test_fold(spark, root):
+def test_a_rewritten_table_holds_the_current_rows(spark, root):
     t = table(spark, root)
     for n, value in enumerate("abc"):
         t.write(batch(spark, ("1", "d1", value, 0), (None, "d1", value, 0), ("2", "d2", value, 0)), n)
-    before = rows(t.read(spark))
-    t.fold(spark, 3, ["d1"])
-    assert os.listdir(f"{root}/t/day=d1") == ["run=-3"] and len(os.listdir(f"{root}/t/day=d2")) == 3
-    assert rows(t.read(spark)) == before
-    t.write(batch(spark, ("1", "d1", "d", 0)), 3)
-    t.write(batch(spark, ("1", "d1", "e", 0)), 3)
-    assert rows(t.read(spark, ["d1"]), "id", "value") == sorted([("1", "e"), *[(None, v) for v in "abc"]], key=repr)
-    assert rows(t.history(spark, ["d1"], before_batch=3), "id", "value") == rows(
-        t.history(spark, ["d1"]).where("value <> 'e'"), "id", "value"
-    )
-
-
-def test_a_fold_that_was_cut_off_changes_nothing(spark, root):
-    """The folded folder is there, those it stands for are not removed yet."""
+    new = t.rewritten(spark, f"{root}/new")
+    assert rows(new.read(spark)) == rows(t.read(spark))
+    assert rows(new.history(spark), "id").count(("1",)) == 1
+    new.write(batch(spark, ("1", "d1", "d", 0)), 0)
+    assert ("1", "d") in rows(new.read(spark, ["d1"]), "id", "value")
+
+
+def test_rows_without_a_day(spark, root):
     t = table(spark, root)
-    for n, value in enumerate("ab"):
-        t.write(batch(spark, (None, "d1", value, 0)), n)
-    kept = f"{root}/kept"
-    shutil.copytree(f"{root}/t/day=d1", kept)
-    t.fold(spark, 2, ["d1"])
-    shutil.copytree(kept, f"{root}/t/day=d1", dirs_exist_ok=True)
-    assert rows(t.read(spark), "value") == [("a",), ("b",)]
-    t.write(batch(spark, ("1", "d1", "c", 0)), 2)
-    t.fold(spark, 3, ["d1"])
-    assert rows(t.read(spark), "value") == [("a",), ("b",), ("c",)]
-    assert os.listdir(f"{root}/t/day=d1") == ["run=-3"]
-
-
-def test_folders_and_files_do_not_grow_with_batches(spark, root):
-    t = KeyedTable(f"{root}/t", SCHEMA, key="id", partition="day", order=("seq",), fold_every=4).create(spark)
-    counts = {}
-    for n in range(41):
-        t.write(batch(spark, (str(n % 3), "d1", f"v{n}", n)).coalesce(1), n)
-        counts[n + 1] = len(t.folders(spark, ["d1"])), len(os.listdir(f"{root}/t/day=d1")), len(t.read(spark, ["d1"]).inputFiles())
-    assert max(counts[n][0] for n in counts) <= 5
-    assert counts[41] == counts[9]
-    assert rows(t.read(spark), "id", "value") == [("0", "v39"), ("1", "v40"), ("2", "v38")]
+    t.write(batch(spark, ("1", None, "a", 0), ("2", "d1", "b", 0)), 0)
+    t.write(batch(spark, ("1", None, "c", 0)), 1)
+    assert rows(t.read(spark, [None]), "id", "value") == [("1", "c")]
+    assert rows(t.read(spark, [None, "d1"]), "id") == [("1",), ("2",)]
