@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptide import constants as C
@@ -110,6 +110,21 @@ def report_figures(hits: DataFrame) -> DataFrame:
     return _ratios(_term_counts(hits))
 
 
+def cell_figures(cells: DataFrame) -> DataFrame:
+    """The same row out of cells (user_gender, user_age, n), however they are split up further."""
+
+    def counted(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    figures = cells.agg(
+        counted(F.lit(True)).alias("total"),
+        counted(F.col("user_gender") == C.MALE).alias("male"),
+        counted(F.col("user_age") < C.AGE_YOUNG_BELOW).alias("young"),
+        counted(F.col("user_age") >= C.AGE_OLD_FROM).alias("old"),
+    )
+    return _shares(figures)
+
+
 def gender_ratio(hits: DataFrame) -> DataFrame:
     """Shares by gender, one row per label."""
     figures = report_figures(hits)
@@ -162,27 +177,15 @@ def sale_report(sale: DataFrame, keyword: str, number: int, size: int, date: str
 
 
 def day_report(hits: DataFrame, size: int, key: str = "order_detail_id") -> DataFrame:
-    """Figures and the ids of the first page in one pass: hits are ranked and counted by gender and age together.
+    """Figures, and the ids of the first page joined by commas as ``page_ids``.
 
-    ``page_ids`` joins the first ``size`` ids by commas.
+    Two scans of the same pruned folder, the second of one column: counts are a hash aggregate, and of the page each
+    task keeps ``size`` ids, so no key is sorted.
     """
-    ranked = hits.withColumn("place", F.row_number().over(Window.partitionBy("user_gender", "user_age").orderBy(key)))
-    kept = F.when(F.col("place") <= size, F.col(key))
-    counts = ranked.groupBy("user_gender", "user_age").agg(
-        F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.array_compact(F.collect_list(kept))), 1, size).alias("ids")
-    )
-
-    def counted(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-
-    figures = counts.agg(
-        counted(F.lit(True)).alias("total"),
-        counted(F.col("user_gender") == C.MALE).alias("male"),
-        counted(F.col("user_age") < C.AGE_YOUNG_BELOW).alias("young"),
-        counted(F.col("user_age") >= C.AGE_OLD_FROM).alias("old"),
-        F.array_join(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, size), ",").alias("page_ids"),
-    )
-    return _shares(figures, "page_ids")
+    counts = hits.groupBy("user_gender", "user_age").agg(F.count(F.lit(1)).alias("n"))
+    first = page_after(hits.select(key), None, size).agg(F.array_join(F.array_sort(F.collect_list(key)), ",").alias("page_ids"))
+    first = first.select(F.nullif("page_ids", F.lit("")).alias("page_ids"))
+    return _side_by_side(cell_figures(counts), first)
 
 
 def sale_report_json(report: DataFrame) -> DataFrame:

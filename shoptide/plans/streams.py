@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from shoptide import schemas
 from shoptide.functions import fields, records
 from shoptide.operators import dashboard, gmv, relevance, search
+from shoptide.operators.cells import cell_counts
 from shoptide.plans import batch as B
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
@@ -158,11 +159,13 @@ def sale_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         (SELECT order_detail_id FROM day ORDER BY order_detail_id LIMIT {B.PAGE_SIZE})) AS page_ids FROM figures""",
 )
 def sale_report_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales put into the index by day, then one day of it searched: only that day's folder is read, in one pass."""
-    table = sale_index(scratch_dir(spark, "report-"), "dt").create(spark)
+    """All sales put into an index by month, then one day searched: of that month's folder the day's rows are read."""
+    schema = T.StructType([*SALE_DOCS.fields, *text_fields("month").fields])
+    table = KeyedTable(scratch_dir(spark, "report-"), schema, key="order_detail_id", partition="month", order=("offset",)).create(spark)
     sales = B._sales(spark, sf_dir).withColumn("index_name", fields.index_name("sale_detail", V.AS_OF))
-    table.write(sales.withColumn("offset", F.lit(0).cast("bigint")), 0)
-    return search.day_report(search.search(table.read(spark, [V.DAY]), V.KEYWORD), B.PAGE_SIZE)
+    table.write(sales.withColumns({"offset": F.lit(0).cast("bigint"), "month": F.substring("dt", 1, 7)}), 0)
+    day = table.read(spark, [V.DAY[:7]], fixed=F.col("dt") == V.DAY)
+    return search.day_report(search.search(day, V.KEYWORD), B.PAGE_SIZE)
 
 
 @query(
@@ -285,6 +288,61 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lateness.set_aside(spark, "startup", f"{root}/gate").select("reason", "offset", "event_ms")
 
 
+@query(
+    "q_stream_first_seen",
+    f"""WITH {V.STARTUP_LOG} SELECT first_date, count(*) AS n FROM (
+      SELECT mid, min(log_date) AS first_date FROM startup_log GROUP BY mid) GROUP BY first_date""",
+)
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New devices by day out of cells; the last third of the starts comes first, so devices move to earlier days."""
+    root = scratch_dir(spark, "first-")
+    first_seen = KeyedTable(f"{root}/first", jobs.FIRST_SEEN, key="mid", buckets=8).create(spark)
+    cells = KeyedTable(f"{root}/cells", jobs.DAY_CELLS, key="first_date").create(spark)
+    first, second, third = _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id"))
+    starts = topic(spark, root, "startup", [third, first, second])
+    finish(jobs.first_seen_job(starts, first_seen, cells, f"{root}/checkpoint"))
+    return cell_counts(cells.history(spark), ["first_date"])
+
+
+@query(
+    "q_stream_blacklist",
+    f"""WITH {V.STARTUP_LOG} SELECT mid, log_date, ts FROM startup_log
+    WHERE uid NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)""",
+)
+def stream_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts of accounts that are not in debt: a stream joined with a table."""
+    root = scratch_dir(spark, "admitted-")
+    starts = topic(spark, root, "startup", _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id")))
+    listed = V.user_info(spark, sf_dir, F.expr(V.IN_DEBT)).select("id")
+    fresh = jobs.admitted_starts(starts, listed).select("mid", "log_date", "ts")
+    writer = fresh.writeStream.format("parquet").option("path", f"{root}/out")
+    finish(writer.option("checkpointLocation", f"{root}/checkpoint"))
+    return spark.read.schema(fresh.schema).parquet(f"{root}/out")
+
+
+SALE_CELLS = T.StructType([*(T.StructField(n, _TYPED.get(n, T.StringType())) for n in jobs.SALE_CELL), T.StructField("n", T.LongType())])
+
+
+@query(
+    "q_sale_report_cells",
+    f"""WITH {V.SALE_DETAIL}, hits AS (
+      SELECT * REPLACE (CASE order_status WHEN 'F' THEN 'F' ELSE user_gender END AS user_gender) FROM sale_detail
+      WHERE dt[1:7] = '{V.DAY[:7]}' AND list_contains(regexp_extract_all(lower(sku_name), '[a-z0-9_]+'), '{V.KEYWORD}')){B._RATIOS}
+    SELECT * FROM figures""",
+)
+def sale_report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month's sales put by line, the finished ones again under another gender; the report reads cells alone."""
+    root = scratch_dir(spark, "cells-")
+    index = sale_index(root, "dt").create(spark)
+    cells = KeyedTable(f"{root}/cells", SALE_CELLS, key="sku_name", partition="dt").create(spark)
+    raw_days = (V.raw_day(f"{V.DAY[:7]}-01"), V.raw_day(f"{V.DAY[:7]}-31"))
+    sales = B._sales(spark, sf_dir, raw_days).withColumn("index_name", fields.index_name("sale_detail", V.AS_OF))
+    sales = sales.withColumn("offset", F.lit(0).cast("bigint"))
+    jobs.put_with_cells(index, cells, sales, 0)
+    jobs.put_with_cells(index, cells, sales.where("order_status = 'F'").withColumn("user_gender", F.lit("F")), 1)
+    return search.cell_figures(search.search(cells.history(spark), V.KEYWORD))
+
+
 @query(
     "q_stream_gmv",
     f"""WITH {V.ORDER_INFO} SELECT create_date, create_hour, {V.EXACT_SUM} AS value FROM order_info

@@ -4,6 +4,8 @@ expressions. ``days`` limits a view to a range of days on the raw column, so tha
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ ORDER_RAW_DAY = "1996-08-29"
 ORDER_RAW_DAY_BEFORE = "1996-08-28"
 
 
+def raw_day(day: str) -> str:
+    """The day of the given orders that is this day of the shop."""
+    return str(date.fromisoformat(day) - timedelta(days=ORDER_SHIFT))
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 

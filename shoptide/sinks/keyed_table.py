@@ -74,9 +74,12 @@ class KeyedTable:
             rows = rows.where(wanted | part.isNull() if None in parts else wanted)
         return rows if before_batch is None else rows.where(F.col(BATCH) < before_batch)
 
-    def read(self, spark: SparkSession, parts: Sequence | None = None, only: DataFrame | None = None) -> DataFrame:
+    def read(
+        self, spark: SparkSession, parts: Sequence | None = None, only: DataFrame | None = None, fixed: Column | None = None
+    ) -> DataFrame:
         """The current row of every key; rows without a key all stay.
 
+        ``fixed`` is a condition on columns that never change for a key (its day), which so can reach the scan.
         ``only`` is a table of wanted keys: of a table in buckets just theirs are read, and other keys are dropped
         before rows are compared, by a semi join that Spark broadcasts while the wanted keys are few.
         """
@@ -84,6 +87,7 @@ class KeyedTable:
         if wanted is not None and self.buckets and parts is None:
             parts = [r[0] for r in wanted.select(self._bucket()).distinct().collect()]  # at most ``buckets``
         rows = self.history(spark, parts)
+        rows = rows if fixed is None else rows.where(fixed)
         rows = rows if wanted is None else rows.join(wanted, self.key, "left_semi")
         alone = F.when(F.col(self.key).isNull(), F.monotonically_increasing_id())
         latest = latest_by_key(rows.withColumn("alone", alone), [self.key, "alone", *self._parts], (BATCH, *self.order))

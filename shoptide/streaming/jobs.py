@@ -20,7 +20,9 @@ from shoptide.functions.fields import index_name
 from shoptide.functions.records import broken_records, parse_detail, parse_event, parse_order, parse_startup, parse_user
 from shoptide.functions.times import date_text, with_log_date_hour
 from shoptide.operators import alerts, dau, routing, sale
+from shoptide.operators.cells import cell_changes, earlier_firsts
 from shoptide.operators.gmv import ingest_orders, with_month
+from shoptide.operators.keyed import latest_by_key
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 
@@ -263,6 +265,70 @@ def sale_job(
     return _each_batch(joined, checkpoint, put)
 
 
+FIRST_SEEN = T.StructType([T.StructField("mid", T.StringType()), T.StructField("first_date", T.StringType())])
+DAY_CELLS = T.StructType([T.StructField("first_date", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def first_seen_job(raw: DataFrame, first_seen: KeyedTable, cells: KeyedTable, checkpoint: str) -> DataStreamWriter:
+    """The first day every device was ever active, and new devices by day as cells.
+
+    Only the buckets of the batch's devices are read. A start that comes late moves its device to the earlier day: that
+    day's cell goes up, the other one down.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        starts = with_log_date_hour(parse_startup(batch)).select("mid", F.col("log_date").alias("first_date")).distinct().persist()
+        try:
+            # A batch that is run again must not see what it wrote itself.
+            known = latest_by_key(first_seen.history(spark, before_batch=batch_id), ["mid"], ("batch_id",))
+            known = known.join(starts.select("mid").distinct(), "mid", "left_semi")
+            changed = earlier_firsts(starts, known, "mid", "first_date").persist()
+            try:
+                moved = changed.where("known_first is not null").select(F.col("known_first").alias("first_date"))
+                cells.write(cell_changes(moved, changed, ["first_date"]), batch_id)
+                _put_counted(first_seen, changed, batch_id)
+            finally:
+                changed.unpersist()
+        finally:
+            starts.unpersist()
+
+    return _each_batch(raw, checkpoint, put)
+
+
+SALE_CELL = ("dt", "sku_name", "user_gender", "user_age")
+
+
+def put_with_cells(index: KeyedTable, cells: KeyedTable, rows: DataFrame, batch_id: int) -> None:
+    """Put sales by line id into an index by day, and change the cells of day, product, gender and age.
+
+    A line that is put again leaves the cell it was in. Of the index only the batch's days are read. A line stays on its day.
+    """
+    spark = rows.sparkSession
+    rows = rows.persist()
+    try:
+        days = [r[0] for r in rows.select("dt").distinct().collect()]
+        held = index.history(spark, days, before_batch=batch_id).where(F.col(index.key).isNotNull())
+        ids = rows.select(index.key).distinct()
+        before = latest_by_key(held.join(ids, index.key, "left_semi"), [index.key, "dt"], ("batch_id", *index.order))
+        named = rows.where(F.col(index.key).isNotNull())
+        after = latest_by_key(named, [index.key, "dt"], index.order).unionByName(rows.where(F.col(index.key).isNull()))
+        cells.write(cell_changes(before, after, SALE_CELL), batch_id)
+        _put_counted(index, rows, batch_id)
+    finally:
+        rows.unpersist()
+
+
+def admitted_starts(raw: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """Starts of accounts that are not on a list, as a stream joined with a table.
+
+    The list is read again for every batch; it is broadcast while it is small, and nothing is kept between batches.
+    """
+    starts = with_log_date_hour(parse_startup(raw))
+    listed = blacklist.select(F.col(blacklist.columns[0]).alias("listed")).distinct()
+    return starts.join(listed, F.col("uid") == F.col("listed"), "left_anti")
+
+
 def collect_logs(lines: DataFrame, now_ms: Column | None = None) -> DataFrame:
     """Stamped log lines with their topic and the day they belong to."""
     clock = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
@@ -298,15 +364,18 @@ def collect_changes(changes: DataFrame) -> DataFrame:
 
 
 __all__ = [
+    "admitted_starts",
     "alert_job",
     "alert_stream",
     "collect_changes",
     "collect_logs",
     "dau_job",
+    "first_seen_job",
     "first_starts_stream",
     "gmv_job",
     "heartbeat",
     "log_job",
+    "put_with_cells",
     "reject_table",
     "sale_job",
     "sale_stream",
