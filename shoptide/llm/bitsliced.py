@@ -34,7 +34,8 @@ from shoptide.llm import arrays
 from shoptide.llm.common import stored
 from shoptide.session import scratch_dir
 
-LIMIT = 1 << 24
+# Beyond this a score would not be a long any more, whatever the other vector.
+LIMIT = 1 << 61
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -79,7 +80,8 @@ class Block:
     def save(self, name: str) -> None:
         for part in self.PARTS:
             value = getattr(self, part)
-            arrays.save(f"{name}-{part}.npy", value.astype(np.int32) if part == "values" else value)
+            narrow = part == "values" and np.abs(value).max(initial=0) < 1 << 31
+            arrays.save(f"{name}-{part}.npy", value.astype(np.int32) if narrow else value)
 
     @classmethod
     def load(cls, name: str) -> Block:

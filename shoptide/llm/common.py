@@ -32,6 +32,18 @@ def crc_of_id(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
 
 
+def hash_bound(wanted: int, count: int) -> int:
+    """Of ``count`` 63-bit hashes about ``wanted`` are below this; never 0 for tables of any size that can be."""
+    return (1 << 63) - 1 if count <= wanted else (wanted << 63) // count
+
+
+def sampled(wanted: int, count: int, key: str = "doc_id") -> Column:
+    """True for about ``wanted`` of ``count`` rows, chosen by the hash of the key; for all of them if they are no more."""
+    if count <= wanted:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit(hash_bound(wanted, count))
+
+
 def pieces(batch: pa.RecordBatch, at_a_time: int) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
     """The batch of packed rows in slices of about ``at_a_time`` bytes of text: the packed column, and its fields."""
     row = batch.column(0)

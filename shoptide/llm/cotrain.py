@@ -25,10 +25,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.llm.common import ROW, annotate, stored, texts, words
+from shoptide.llm.common import ROW, annotate, sampled, stored, texts, words
 
 WORD_CELLS, META_CELLS, SHAPES = 512, 256, 8
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128) + bytes(range(128, 256))
@@ -84,10 +84,6 @@ def features(rows: DataFrame) -> DataFrame:
     return annotate(rows, values, "text_view array<double>, meta_view array<double>")
 
 
-def share_of(bound: int, count: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < min(1_000_000, 1_000_000 * bound // max(1, count))
-
-
 def fit(rows: DataFrame, view: str):
     return LogisticRegression(featuresCol=view, labelCol="label", regParam=0.01, maxIter=50).fit(rows)
 
@@ -112,7 +108,7 @@ def surest(pool: DataFrame, share: float) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, share: float = 0.05, sample: int = 10_000, pool: int = 10_000) -> dict:
     """Weights of both views, their calibrations and the prior. ``labels``: doc_id, quality."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    known = stored(known.where(share_of(sample, labels.count())), "labels")
+    known = stored(known.where(sampled(sample, labels.count())), "labels")
     good, total = known.agg(F.sum("label"), F.count("*")).first()
     prior = good / total if total else 0.5
     constant = {"prior": prior, "views": []}
@@ -121,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, share: float = 0.
     used = [c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns]
     # ``known`` has about ``sample`` rows
     marked = docs.select(used).join(F.broadcast(known), "doc_id", "left")
-    few = stored(marked.where(F.col("label").isNotNull() | share_of(pool, docs.count())), "sample")
+    few = stored(marked.where(F.col("label").isNotNull() | sampled(pool, docs.count())), "sample")
     views = ["text_view", "meta_view"]
     rows = features(few).select(F.col(f"{ROW}.doc_id").alias("doc_id"), F.col(f"{ROW}.label").alias("label"), *[array_to_vector(v).alias(v) for v in views])
     rows = stored(rows, "features")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm.common import annotate, stored
+from shoptide.llm.common import annotate, sampled, stored
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -78,10 +78,10 @@ def train(labelled: DataFrame, sample: int = 2000, longest: int = 4, least: int
     languages = sorted(sizes, key=lambda name: (-sizes[name], name))  # the first wins a tie
     if not languages:
         return Model([], {}, {}, np.empty((0, 0), np.float32), longest)
-    share = F.lit(0)
+    picked = F.lit(False)
     for name, size in sizes.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1_000_000, 1_000_000 * sample // size))).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+        picked = F.when(F.col("lang") == name, sampled(sample, size)).otherwise(picked)
+    chosen = rows.where(picked)
     # [^\\W\\d_] of Python is a letter, or a number that isn't a decimal digit
     found = F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\\p{Nl}\\p{No}]+', 0)")
     counts = stored(chosen.select("lang", F.explode(found).alias("item")).groupBy("lang", "item").agg(F.count("*").alias("n")), "words")

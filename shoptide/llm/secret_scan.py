@@ -21,7 +21,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.llm.common import ROW
+from shoptide.llm.common import ROW, sampled
 
 # The patterns and least lengths of the base spans. Letters of the keyword in either case, ASCII only.
 ASSIGN = (
@@ -75,8 +75,7 @@ def pairs_of(token: Column) -> Column:
 
 def samples(docs: DataFrame, sample: int = 20_000) -> DataFrame:
     """(token, secret): values the patterns find in any document, and other identifiers of about ``sample`` documents."""
-    share = min(1.0, sample / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    chosen = sampled(sample, docs.count())
     text = F.col("text")
     rows = docs.select("text", chosen.alias("chosen")).where(F.col("chosen") | text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX))
     values = F.filter(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_LEAST)

@@ -8,11 +8,13 @@ from zlib import crc32
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from shoptide.llm import arrays, binpack, bitsliced, cotrain, ngram_lm, queries, simhash
+from shoptide.llm.common import hash_bound, sampled
 from tests.conftest import SF_DIR
 from tests.llm.data import documents, empty, odd
 
@@ -173,6 +175,25 @@ def test_topk_with_ties_wide_values_and_few_bits(spark, spread, bits, block):
     assert sorted(tuple(r) for r in got.collect()) == plain_top(rows, lambda i: i % 10 == 0, 4)
 
 
+def test_topk_of_values_as_they_are(spark):
+    """Components are not cut off: 70,000 times 256 is beyond 24 bits, 1,000,000 times 256 too."""
+    draw = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in draw.choice([70_000.0, -70_000.5, 1e6, -1e6, 0.25, 3.0], 3)]) for i in range(120)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = bitsliced.search(table, F.col("vec_id") % 10 == 0, k=5, block=50)
+    assert sorted(tuple(r) for r in got.collect()) == plain_top(rows, lambda i: i % 10 == 0, 5)
+    assert bitsliced.quantised(pa.array([[70_000.0]]), 256.0).tolist() == [[17_920_000]]
+
+
+def test_samples_do_not_vanish_in_large_tables(spark):
+    for count in (10, 10**5, 10**9, 10**11, 10**15):
+        share = hash_bound(2000, count) / 2**63
+        assert abs(share - min(1, 2000 / count)) < 1e-6 * min(1, 2000 / count) + 2**-60
+    ids = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    assert abs(ids.where(sampled(2000, 200_000)).count() - 2000) < 300
+    assert ids.where(sampled(200_000, 200_000)).count() == 200_000
+
+
 def test_topk_of_few_or_no_rows(spark):
     table = spark.createDataFrame([(50, [1.0, 2.0]), (50, [1.0, 2.0]), (51, [3.0, 4.0])], "vec_id long, embedding array<double>")
     got = bitsliced.search(table, F.col("vec_id") == 50).collect()
