@@ -35,6 +35,8 @@ SHIFT = 10
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 SLICE = 1 << 21
+# In place of a piece's number: no piece of that length ends there; a character that is no piece.
+NONE, BYTES = 0xFFFF, 0xFFFE
 # Bits of a hash by which most strings that are no piece are told apart without a search.
 MAYBE = 20
 
@@ -71,6 +73,8 @@ class Vocabulary:
             else:
                 normal.append((piece, i, max(0.0, -model.get_score(i))))
                 self.text.append(piece.replace(BLANK, " ").encode())
+        if model.get_piece_size() > BYTES:
+            raise ValueError(f"more than {BYTES} pieces")
         if (self.bytes < 0).any() or any(BLANK in p.lstrip(BLANK) for p, _, _ in normal):
             raise ValueError("the vocabulary needs byte pieces, and blanks only where pieces begin")
         ranks = {i: n for n, (_, i, _) in enumerate(sorted(normal, key=lambda x: (x[2], x[1])))}
@@ -106,7 +110,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
     """Nodes of all words: for each node and piece length, which piece ends there and how likely it is drawn (cumulative).
 
-    Returns (first node of each word, piece ids, cumulative shares); row L - 1 is for pieces of L characters.
+    Returns (first node and characters of each word, all characters, piece ids, cumulative shares). A node has a row,
+    column L - 1 of it is for the piece of L characters.
     """
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     cp = code_points("".join(words))
@@ -120,8 +125,8 @@ def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
     unweight = powers(len(cp), INVERSE)
     nodes = len(cp) + len(words)
     longest = vocabulary.longest
-    piece = np.full((longest, nodes), -1, np.int32)
-    score = np.full((longest, nodes), -np.inf, np.float32)
+    piece = np.full((nodes, longest), NONE, np.uint16)
+    score = np.full((nodes, longest), -np.inf, np.float32)
     left = sizes[word_of] - inside
     for size in range(1, longest + 1):
         at = np.flatnonzero(left >= size)
@@ -135,13 +140,13 @@ def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
         hit = table[found] == value
         at, found = at[hit], found[hit]
         node = at + word_of[at] + size
-        piece[size - 1, node], score[size - 1, node] = vocabulary.ids[size - 1][found], vocabulary.scores[size - 1][found]
+        piece[node, size - 1], score[node, size - 1] = vocabulary.ids[size - 1][found], vocabulary.scores[size - 1][found]
     node = np.arange(len(cp)) + word_of + 1
-    missing = piece[0, node] < 0
-    at = np.flatnonzero(missing)
+    at = np.flatnonzero(piece[node, 0] == NONE)
     count = 1 + (cp[at] >= 0x80) + (cp[at] >= 0x800) + (cp[at] >= 0x10000)
-    score[0, node[at]] = vocabulary.least * count
-    piece[0, node[at]] = -2 - cp[at].astype(np.int64)  # to be written as bytes
+    score[node[at], 0] = vocabulary.least * count
+    piece[node[at], 0] = BYTES
+    del weight, sums, unweight, left, inside
     score *= alpha
     total = np.full(nodes, -np.inf)
     total[base] = 0.0
@@ -150,14 +155,13 @@ def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
     for i in range(1, int(sizes.max(initial=0)) + 1):
         here = base[order[: np.searchsorted(by_size, -i, side="right")]] + i
         reach = min(i, longest)
-        ways = np.stack([total[here - k] + score[k - 1, here] for k in range(1, reach + 1)])
-        top = ways.max(axis=0)
-        shares = np.exp(ways - top)
-        cumulative = np.cumsum(shares, axis=0)
-        total[here] = top + np.log(cumulative[-1])
-        score[:reach, here] = cumulative / cumulative[-1]
-        score[reach:, here] = 2.0
-    return base, sizes, piece, score
+        ways = total[here[:, None] - np.arange(1, reach + 1)] + score[here, :reach]
+        top = ways.max(axis=1)
+        cumulative = np.cumsum(np.exp(ways - top[:, None]), axis=1)
+        total[here] = top + np.log(cumulative[:, -1])
+        score[here, :reach] = cumulative / cumulative[:, -1:]
+        score[here, reach:] = 2.0
+    return base, sizes, cp, piece, score
 
 
 def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarray, alpha: float, seed: int) -> list:
@@ -172,10 +176,9 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarr
         per_text.append(len(found))
     if not occurrences:
         return [None if t is None else np.empty(0, np.int32) for t in texts]
-    base, sizes, piece, cumulative = lattice(vocabulary, list(words), alpha)
+    base, sizes, cp, piece, shares = lattice(vocabulary, list(words), alpha)
     word = np.array(occurrences, np.int64)
     text_of = np.repeat(np.arange(len(texts)), per_text)
-    shares = np.ascontiguousarray(cumulative.T)  # a node's shares side by side
     start = np.cumsum(sizes[word]) - sizes[word]  # of each occurrence, in the characters of the slice
     chars = np.bincount(text_of, weights=sizes[word], minlength=len(texts)).astype(np.int64)
     text_start = np.cumsum(chars) - chars
@@ -190,10 +193,13 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarr
         draw = (mixed(stream[alive] + place * np.uint64(BASE)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
         size = 1 + np.count_nonzero(shares[node] <= draw[:, None], axis=1)
         # rounding may leave the last share below 1, and edges that do not exist have a share of 0
-        while (bad := piece[size - 1, node] == -1).any():
+        while (bad := piece[node, size - 1] == NONE).any():
             size[bad] -= 1
         at[alive] -= size
-        out[start[alive] + at[alive]] = piece[size - 1, node]
+        found = piece[node, size - 1].astype(np.int32)
+        alone = np.flatnonzero(found == BYTES)  # to be written as bytes
+        found[alone] = -2 - cp[node[alone] - word[alive[alone]] - 1].astype(np.int32)
+        out[start[alive] + at[alive]] = found
         alive = alive[at[alive] > 0]
     used = out != -1
     counts = np.add.reduceat(used, text_start[chars > 0]) if len(out) else np.empty(0, np.int64)
