@@ -8,7 +8,8 @@ Draws depend on the row's key, the seed and the place in the text alone, so any
 A piece of the vocabulary counts as probable as its rank says: 1 / (rank + SHIFT). A character that is no piece is
 written as its UTF-8 bytes, each as probable as the last piece. Pieces hold blanks only at their start (checked when the
 vocabulary is read), so the lattice falls apart into words; a slice of rows shares one lattice for each distinct word,
-and all words are filtered and drawn together, array-wise. Memory is bounded by the slice and its longest text.
+and words are filtered and drawn together, array-wise, ``CHARACTERS`` of them at a time. Memory is bounded by the slice
+and its longest text.
 
 Defined results. A null text has null pieces, an empty text none. A blank is put before the text and taken off in
 decoding. The character that stands for blanks in pieces is written as bytes where a text holds it. Rows with equal keys
@@ -35,6 +36,8 @@ SHIFT = 10
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 SLICE = 1 << 21
+# Characters of distinct words that share a lattice; the words of a slice are done some at a time.
+CHARACTERS = 1 << 18
 # In place of a piece's number: no piece of that length ends there; a character that is no piece.
 NONE, BYTES = 0xFFFF, 0xFFFE
 # Bits of a hash by which most strings that are no piece are told apart without a search.
@@ -164,6 +167,27 @@ def lattice(vocabulary: Vocabulary, words: list[str], alpha: float):
     return base, sizes, cp, piece, score
 
 
+def draw_words(nodes, word: np.ndarray, start: np.ndarray, offset: np.ndarray, stream: np.ndarray, out: np.ndarray) -> None:
+    """Draws the pieces of occurrences of words of a lattice, from their ends, into ``out`` at the places they begin."""
+    base, sizes, cp, piece, shares = nodes
+    at = sizes[word]
+    alive = np.arange(len(word))
+    while len(alive):
+        node = base[word[alive]] + at[alive]
+        place = (offset[alive] + at[alive]).astype(np.uint64)
+        draw = (mixed(stream[alive] + place * np.uint64(BASE)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+        size = 1 + np.count_nonzero(shares[node] <= draw[:, None], axis=1)
+        # rounding may leave the last share below 1, and edges that do not exist have a share of 0
+        while (bad := piece[node, size - 1] == NONE).any():
+            size[bad] -= 1
+        at[alive] -= size
+        found = piece[node, size - 1].astype(np.int32)
+        alone = np.flatnonzero(found == BYTES)  # to be written as bytes
+        found[alone] = -2 - cp[node[alone] - word[alive[alone]] - 1].astype(np.int32)
+        out[start[alive] + at[alive]] = found
+        alive = alive[at[alive] > 0]
+
+
 def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarray, alpha: float, seed: int) -> list:
     """Piece ids of each text, None for None."""
     words: defaultdict[str, int] = defaultdict()
@@ -176,7 +200,8 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarr
         per_text.append(len(found))
     if not occurrences:
         return [None if t is None else np.empty(0, np.int32) for t in texts]
-    base, sizes, cp, piece, shares = lattice(vocabulary, list(words), alpha)
+    listed = list(words)
+    sizes = np.fromiter(map(len, listed), np.int64, len(listed))
     word = np.array(occurrences, np.int64)
     text_of = np.repeat(np.arange(len(texts)), per_text)
     start = np.cumsum(sizes[word]) - sizes[word]  # of each occurrence, in the characters of the slice
@@ -184,23 +209,11 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None], keys: np.ndarr
     text_start = np.cumsum(chars) - chars
     stream = mixed(keys ^ np.uint64(seed & MASK))[text_of]
     out = np.full(int(chars.sum()), -1, np.int32)
-    at = sizes[word].copy()
-    alive = np.arange(len(word))
     offset = start - text_start[text_of]
-    while len(alive):
-        node = base[word[alive]] + at[alive]
-        place = (offset[alive] + at[alive]).astype(np.uint64)
-        draw = (mixed(stream[alive] + place * np.uint64(BASE)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-        size = 1 + np.count_nonzero(shares[node] <= draw[:, None], axis=1)
-        # rounding may leave the last share below 1, and edges that do not exist have a share of 0
-        while (bad := piece[node, size - 1] == NONE).any():
-            size[bad] -= 1
-        at[alive] -= size
-        found = piece[node, size - 1].astype(np.int32)
-        alone = np.flatnonzero(found == BYTES)  # to be written as bytes
-        found[alone] = -2 - cp[node[alone] - word[alive[alone]] - 1].astype(np.int32)
-        out[start[alive] + at[alive]] = found
-        alive = alive[at[alive] > 0]
+    edges = np.flatnonzero(np.diff(np.cumsum(sizes) // CHARACTERS)) + 1
+    for low, high in zip([0, *edges.tolist()], [*edges.tolist(), len(listed)]):
+        alive = np.flatnonzero((word >= low) & (word < high))
+        draw_words(lattice(vocabulary, listed[low:high], alpha), word[alive] - low, start[alive], offset[alive], stream[alive], out)
     used = out != -1
     counts = np.add.reduceat(used, text_start[chars > 0]) if len(out) else np.empty(0, np.int64)
     flat = out[used].astype(np.int64)
