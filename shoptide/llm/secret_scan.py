@@ -16,6 +16,7 @@ rows are scanned one by one; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -24,10 +25,7 @@ from pyspark.sql import functions as F
 from shoptide.llm.common import ROW, sampled
 
 # The patterns and least lengths of the base spans. Letters of the keyword in either case, ASCII only.
-ASSIGN = (
-    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
-    r"|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
-)
+ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ASSIGN_LEAST = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # the run after AKIA is greedy, so 20 or more of it are the runs that do not fail
 HEX = r"[0-9a-f]{24,}"
@@ -36,23 +34,70 @@ KINDS = ["assign", "access", "hex", "markov"]
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{8,}"
 CODES = 128
-SPANS = "array<struct<start: int, rank: int, end: int>>"
+BLOCK = 64
+NEAR, FAR = 1 << 10, 1 << 16  # characters that are redacted at a time, and whose spans are looked up at a time
+
+
+def given(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def running(values: Column, join: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """Each whole number joined with all before it; ``join`` is associative.
+
+    An array that grows by one is copied at each step, so it grows to ``BLOCK`` at most: blocks are joined within
+    themselves, then the blocks' totals in the same way, ``levels`` times. The work is linear up to BLOCK^levels values.
+    """
+
+    def onto(before: Column, x: Column) -> Column:
+        return F.coalesce(join(before, x), x)
+
+    def short(xs: Column) -> Column:
+        last = lambda out: F.get(out, F.size(out) - 1)
+        return F.aggregate(xs, F.array().cast("array<int>"), lambda out, x: F.concat(out, F.array(onto(last(out), x))))
+
+    def in_blocks(xs: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda b: short(F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))
+        return F.when(F.size(xs) == 0, xs).otherwise(given(blocks, lifted))
+
+    def lifted(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.get(b, F.size(b) - 1))
+        before = F.concat(F.array(F.lit(None).cast("int")), running(totals, join, levels - 1))
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), lambda b, t: F.transform(b, lambda x: onto(t, x))))
+
+    return short(values) if levels == 1 else given(values, in_blocks)
 
 
 def places(text: Column, pattern: str, rank: int) -> Column:
-    """(start, rank, end, token) of each match: gaps and matches, added up."""
+    """(start, rank, end, token) of each match: lengths of gaps and matches, added up."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start: int, rank: int, end: int, token: string>>")
-    none = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def step(held: Column, x: Column) -> Column:
-        start = held["at"] + F.length(x["gap"])
-        end = start + F.length(x["token"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["token"].alias("token"))
-        return F.struct(end.alias("at"), F.concat(held["out"], F.array(span)).alias("out"))
+    def placed(pairs: Column) -> Column:
+        ends = running(F.transform(pairs, lambda p: F.length(p["gap"]) + F.length(p["token"])), lambda a, b: a + b)
+        span = lambda p, end: F.struct(
+            (end - F.length(p["token"])).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), p["token"].alias("token")
+        )
+        return F.zip_with(pairs, ends, span)
 
     pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("token"), g.alias("gap")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, none, step)["out"]).otherwise(empty)
+    return F.when(text.rlike(pattern), given(pairs, placed)).otherwise(empty)
+
+
+def apart(spans: Column, base: Column) -> Column:
+    """Those of ``spans`` that touch no span of ``base``: in order of their ends, no base span begun before reaches into them."""
+
+    def clear(both: Column) -> Column:
+        reach = running(F.transform(both, lambda x: x["reach"]), F.greatest)
+        beside = F.zip_with(both, reach, lambda x, r: F.when(x["span"].isNotNull() & (r <= x["span"]["start"]), x["span"]))
+        return F.array_compact(beside)
+
+    none = F.lit(None).cast("struct<start: int, rank: int, end: int, token: string>")
+    begun = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("later"), b["end"].alias("reach"), none.alias("span")))
+    ended = F.transform(spans, lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("later"), F.lit(0).alias("reach"), s.alias("span")))
+    return F.when((F.size(base) == 0) | (F.size(spans) == 0), spans).otherwise(given(F.array_sort(F.concat(begun, ended)), clear))
 
 
 def base_spans(text: Column) -> Column:
@@ -117,12 +162,11 @@ def scan(docs: DataFrame, ratios: list[int], threshold: int = 9210) -> DataFrame
     def ratio(token: Column) -> Column:
         return F.aggregate(pairs_of(token), F.lit(0).cast("long"), lambda total, p: total + F.get(table, p))
 
-    def is_secret(s: Column) -> Column:
-        mixed = s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]")
-        apart = ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return mixed & F.when(mixed & apart, ratio(s["token"]) >= threshold).otherwise(False)
+    def secrets(candidates: Column) -> Column:
+        mixed = F.filter(candidates, lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]"))
+        return F.filter(apart(mixed, F.col("base")), lambda s: ratio(s["token"]) >= threshold)
 
-    added = bare(F.filter(places(text, CANDIDATE, 3), is_secret))
+    added = bare(given(places(text, CANDIDATE, 3), secrets))
     return rows.select(ROW, "text", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
@@ -133,17 +177,47 @@ def as_text(spans: str) -> Column:
     return F.array_join(part, ",")
 
 
-def redact(docs: DataFrame, ratios: list[int], mark: str = "[secret]") -> DataFrame:
-    """``docs`` with each span of secrets replaced by ``mark``; overlapping spans are one. ``n_chars`` follows the text."""
+def redacted(text: Column, spans: Column, mark: str) -> Column:
+    """The text with a mark for each span; spans that overlap are one.
+
+    Finding the character at a position reads all before it, so the text is taken in parts, each with the spans in it.
+    """
+
+    def parts(whole: Column, size: int) -> Column:
+        return F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+    def within(found: Column, at: Column, size: int) -> Column:
+        return F.filter(found, lambda s: (s["start"] < at + size) & (s["end"] > at))
+
+    def cut(part: Column, at: Column, found: Column) -> Column:
+        def step(held: Column, s: Column) -> Column:
+            begin = s["start"] - at
+            gap = F.when(s["opens"] & (begin >= 0), F.concat(F.substr(part, held["at"] + 1, begin - held["at"]), F.lit(mark)))
+            out = F.concat(held["out"], F.coalesce(gap, F.lit("")))
+            return F.struct(F.greatest(held["at"], s["end"] - at).alias("at"), out.alias("out"))
+
+        nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(found, nothing, step, lambda held: F.concat(held["out"], F.substr(part, held["at"] + 1)))
 
-    def step(held: Column, s: Column) -> Column:
-        gap = F.when(s["start"] >= held["at"], F.concat(F.substr("text", held["at"] + 1, s["start"] - held["at"]), F.lit(mark)))
-        out = F.concat(held["out"], F.coalesce(gap, F.lit("")))
-        return F.struct(F.greatest(held["at"], s["end"]).alias("at"), out.alias("out"))
+    def in_parts(found: Column) -> Column:
+        def far(block: Column, i: Column) -> Column:
+            near = lambda part, j, some: cut(part, i * FAR + j * NEAR, within(some, i * FAR + j * NEAR, NEAR))
+            of_block = lambda some: F.array_join(F.transform(parts(block, NEAR), lambda part, j: near(part, j, some)), "")
+            return given(within(found, i * FAR, FAR), of_block)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = lambda held: F.concat(held["out"], F.substr("text", held["at"] + 1))
-    clean = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, whole)).otherwise(F.col(ROW)["text"])
+        return F.array_join(F.transform(parts(text, FAR), far), "")
+
+    def opening(sorted_spans: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), running(F.transform(sorted_spans, lambda s: s["end"]), F.greatest))
+        opens = lambda s, end: F.struct(s["start"].alias("start"), s["end"].alias("end"), (s["start"] >= end).alias("opens"))
+        return F.zip_with(sorted_spans, F.slice(ends, F.lit(1), F.size(sorted_spans)), opens)
+
+    return given(given(spans, opening), in_parts)
+
+
+def redact(docs: DataFrame, ratios: list[int], mark: str = "[secret]") -> DataFrame:
+    """``docs`` with each span of secrets replaced by ``mark``; overlapping spans are one. ``n_chars`` follows the text."""
+    clean = F.when(F.size("spans") > 0, redacted(F.col("text"), F.col("spans"), mark)).otherwise(F.col(ROW)["text"])
     rows = scan(docs, ratios).select(ROW, clean.alias("clean"))
     changed = {"text": F.col("clean")}
     if "n_chars" in docs.columns:

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shoptide.llm import decontam, langid, licenses, pieces, queries, secret_scan
@@ -214,6 +215,76 @@ def test_markov_models_tell_random_strings_from_identifiers(spark, ratios):
     assert set(secret_scan.train(spark.createDataFrame([("abc", True)], "token string, secret boolean"))) == {0}
 
 
+def plain_spans(text, ratios, threshold=9210):
+    """Base spans, and runs of 16 or more characters apart from them whose ratio is high enough."""
+    base = plain_base(text)
+    added = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text or ""):
+        mixed = re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+        if mixed and not any(a < m.end() and m.start() < b for _, a, b in base):
+            codes = [0, *map(ord, m[0])]
+            if sum(ratios[a * secret_scan.CODES + b] for a, b in zip(codes, codes[1:])) >= threshold:
+                added.append(("markov", m.start(), m.end()))
+    rank = secret_scan.KINDS.index
+    return sorted(base + added, key=lambda s: (s[1], rank(s[0]), s[2]))
+
+
+def plain_redaction(text, spans):
+    out, at = "", 0
+    for _, a, b in spans:
+        if a >= at:
+            out += text[at:a] + "[secret]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def planted(n, seed):
+    """A text of secrets without a keyword, secrets with one, identifiers and overlapping patterns, and the bare secrets."""
+    draw = np.random.default_rng(seed)
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    random = lambda k: "".join(draw.choice(alphabet, k))
+    bare, parts = [], []
+    for kind in draw.integers(0, 6, n):
+        token = random(28)
+        parts.append({
+            0: token, 1: f"password: {token}", 2: "request_config_v2_user_2024", 3: f"é𝔘 token={'0a1b' * 8}",
+            4: f"{random(9)}+AKIA{'A0' * 12}", 5: "value",
+        }[int(kind)])
+        bare += [token] if kind == 0 else []
+    return " ".join(parts), bare
+
+
+def test_spans_and_redaction_equal_plain_python(spark, ratios):
+    """Also over the borders of the parts in which arrays are summed up and texts redacted."""
+    texts = [planted(n, n)[0] for n in (1, 5, 63, 64, 65, 200, 4097)] + ["é" * 1020 + " password=" + "x1" * 40_000 + " end"]
+    rows = documents(spark, list(enumerate(texts)))
+    found = {r.text: r.spans for r in secret_scan.scan(rows, ratios).select("row.text", secret_scan.as_text("spans").alias("spans")).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(rows, ratios).collect()}
+    for i, text in enumerate(texts):
+        spans = plain_spans(text, ratios)
+        assert found[text] == ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert clean[i] == plain_redaction(text, spans)
+
+
+def test_recall_and_precision_of_the_models(spark, ratios):
+    """Planted secrets without a keyword are found, identifiers are left alone."""
+    text, bare = planted(3000, 7)
+    wanted = {(m.start(), m.end()) for b in bare for m in re.finditer(b, text)}
+    spans = secret_scan.scan(documents(spark, [(1, text)]), ratios).select(F.explode("spans").alias("s")).where("s.rank = 3").select("s.start", "s.end")
+    got = {tuple(r) for r in spans.collect()}
+    assert len(got & wanted) >= 0.99 * len(wanted)
+    assert not any("request" in text[a:b] for a, b in got)
+
+
+def test_many_matches_in_one_text(spark, ratios):
+    """Work is linear in the matches: 40,000 candidates beside 20,000 base spans, found and redacted."""
+    text = "qX7Zk2VbR9mLw4TsY8uHd3Ne password=abcdef1 wX7Zk2VbR9mLw4TsY8uHd3Ne " * 20_000
+    rows = documents(spark, [(1, text)])
+    (n,) = secret_scan.scan(rows, ratios).select(F.size("spans")).first()
+    assert n == 60_000
+    assert secret_scan.redact(rows, ratios).first().text == "[secret] [secret] [secret] " * 20_000
+
+
 def test_rare_secrets_are_all_learned_from(spark):
     """Secrets in 4 of 400 documents, of which the sample for ordinary identifiers has about 20."""
     secret = {i: f"{i:03d}qX7Zk2VbR9mLw4Ts" for i in range(50, 400, 100)}
