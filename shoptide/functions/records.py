@@ -37,6 +37,20 @@ def parse_records(raw: DataFrame, schema: T.StructType, value: str = "value", ke
     )
 
 
+def checked_records(raw: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """All rows, parsed once: ``value``, ``reason`` ("broken" for what :func:`parse_records` leaves out, else null), the fields."""
+    rows = raw.select(*keep, F.col(value).alias("value"), F.explode(F.array(_parsed(schema, value))).alias("record"))
+    broken = F.col("record").isNull() | F.col(f"record.{_BROKEN}").isNotNull()
+    typed = [
+        F.col(f"record.{field.name}")
+        if isinstance(field.dataType, T.StringType)
+        else F.col(f"record.{field.name}").try_cast(field.dataType)
+        for field in schema.fields
+    ]
+    fields = [column.alias(field.name) for column, field in zip(typed, schema.fields)]
+    return rows.select(*keep, "value", F.when(broken, F.lit("broken")).alias("reason"), *fields)
+
+
 def rejected_records(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The rows :func:`parse_records` leaves out, to be kept aside."""
     record = _parsed(schema, value)

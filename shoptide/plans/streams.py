@@ -240,6 +240,42 @@ def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- streams
 
 
+@query(
+    "q_stream_rejects",
+    """SELECT 'event' AS topic, CASE event_id % 7 WHEN 0 THEN 'broken' WHEN 1 THEN 'no time' ELSE 'ahead' END AS reason,
+      CAST(event_id AS VARCHAR) AS id FROM events WHERE event_id % 7 < 3
+    UNION ALL SELECT 'order_info', 'broken', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 7 = 0""",
+)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the alerts and the sale join pass over: records cut off, without a time, and a year ahead of their arrival."""
+    root = scratch_dir(spark, "rejects-")
+    n = F.col("event_id") % 7
+    year = 366 * 86_400_000
+    events = read_table(spark, sf_dir, "events").select(*V.event_columns(), "event_id")
+    events = events.withColumn("timestamp", F.timestamp_millis("ts")).withColumn("pgid", F.col("event_id").cast("string"))
+    events = events.withColumn("ts", F.when(n == 1, None).when(n == 2, F.col("ts") + year).otherwise(F.col("ts")))
+    orders = V.order_info(spark, sf_dir).withColumn("timestamp", F.current_timestamp())
+
+    def cut(df: DataFrame, name: str, number: str, first: list[str]) -> DataFrame:
+        """Texts that begin with some fields; of every seventh record the closing brace is missing."""
+        text = F.to_json(F.struct(*first, *[c for c in df.columns if c not in (*first, "timestamp", "event_id")]))
+        short = F.when(F.col(number) % 7 == 0, F.left(text, F.length(text) - 1)).otherwise(text)
+        records = df.select(short.alias("value"), F.col(number).cast("bigint").alias("offset"), "timestamp")
+        records.repartition(FILES).write.json(f"{root}/topics/topic={name}")
+        return topic_files(spark, name, f"{root}/topics")
+
+    found = []
+    for name, raw, unusable, field in (
+        ("event", cut(events, "event", "event_id", ["pgid"]), jobs.unusable_events, "pgid"),
+        ("order_info", cut(orders, "order_info", "id", ["id"]), jobs.unusable_orders, "id"),
+    ):
+        rejects = jobs.reject_table(f"{root}/rejects-{name}").create(spark)
+        finish(jobs.reject_job(raw, unusable, rejects, f"{root}/checkpoint-{name}"))
+        number = F.regexp_extract("value", f'"{field}":"([0-9]+)"', 1).alias("id")
+        found.append(rejects.history(spark).select(F.lit(name).alias("topic"), "reason", number))
+    return found[0].unionByName(found[1])
+
+
 @query("q_stream_dau_detail", f"WITH {V.FIRST_STARTS} SELECT mid, log_date, log_hour, uid, ts FROM dau")
 def stream_dau_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches; devices start again on a day that an earlier batch has begun."""

@@ -61,8 +61,9 @@ def to_jdbc(
 ) -> DataStreamWriter:
     """Insert every micro-batch, with its batch id.
 
-    A replayed batch inserts again; its id tells. With ``staging`` a batch replaces the content of that table instead,
-    so a replay changes nothing, and the database updates ``table`` from it by key.
+    A replayed batch inserts again; its id tells. With ``staging`` a batch fills a table of its own instead,
+    ``<staging>_<batch id>``, which a replay fills anew: the database updates ``table`` from it by key, in one
+    transaction with dropping it, whenever it comes to it.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
@@ -70,6 +71,6 @@ def to_jdbc(
         if staging is None:
             write_jdbc(rows, url, table, **options)
         else:
-            write_jdbc(rows, url, staging, mode="overwrite", truncate="true", **options)
+            write_jdbc(rows, url, f"{staging}_{batch_id}", mode="overwrite", **options)
 
     return df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)

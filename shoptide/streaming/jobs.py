@@ -6,7 +6,8 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from shoptide import constants as C
 from shoptide import schemas
 from shoptide.functions.fields import index_name
-from shoptide.functions.records import broken_records, parse_detail, parse_event, parse_order, parse_startup, parse_user
+from shoptide.functions.records import broken_records, checked_records, parse_detail, parse_event, parse_order, parse_startup
 from shoptide.functions.times import date_text, with_log_date_hour
 from shoptide.operators import alerts, dau, routing, sale
 from shoptide.operators.cells import cell_changes, earlier_firsts
@@ -25,6 +26,7 @@ from shoptide.operators.gmv import ingest_orders, with_month
 from shoptide.operators.keyed import latest_by_key
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
+from shoptide.sources.streams import rejected_changes
 
 log = logging.getLogger(__name__)
 
@@ -46,14 +48,16 @@ def _put_counted(table: KeyedTable, rows: DataFrame, batch_id: int) -> None:
     """Put a batch and log how many rows it had, without a second pass."""
     seen = Observation(f"{table.key}-{batch_id}")
     table.write(dau.counted(rows, seen, ROWS), batch_id)
-    log.info("%s: batch %d, %s rows", table.path, batch_id, _observed(seen))
+    log.info("%s: batch %d, %s rows", table.path, batch_id, _observed(seen, rows))
 
 
-def _observed(seen: Observation) -> int:
-    """The count; where Spark knows beforehand that there are no rows it leaves the counting out, and has no figure."""
+def _observed(seen: Observation, rows: DataFrame) -> int:
+    """The count. Where Spark knows beforehand that there are no rows it leaves the counting out, and has no figure."""
     try:
         return seen.get[ROWS]
     except Py4JJavaError:
+        if not rows.isEmpty():
+            raise
         return 0
 
 
@@ -70,6 +74,24 @@ def _put_rejects(table: KeyedTable | None, rows: DataFrame, batch_id: int) -> No
         table.write(rows.select(F.lit(None).cast("string").alias("id"), "value", "reason"), batch_id)
 
 
+@contextmanager
+def _usable(checked: DataFrame, rejects: KeyedTable | None, batch_id: int) -> Iterator[DataFrame]:
+    """Records without a ``reason``; all others are put to ``rejects``. For these two uses a batch is read and parsed once."""
+    if rejects is not None:
+        checked.persist()
+    try:
+        _put_rejects(rejects, checked.where("reason is not null"), batch_id)
+        yield checked.where("reason is null").drop("value", "reason")
+    finally:
+        if rejects is not None:
+            checked.unpersist()
+
+
+def _because(checked: DataFrame, condition: Column, reason: str) -> DataFrame:
+    """Another reason not to use a record, for records that have none yet."""
+    return checked.withColumn("reason", F.coalesce("reason", F.when(condition, F.lit(reason))))
+
+
 def _ahead(ms: str, arrival: str, ahead_s: int) -> Column:
     """Whether a device's clock is ahead of the record's arrival. Such a time would push the watermark on."""
     return F.coalesce(F.col(ms) > F.unix_millis(arrival) + ahead_s * 1000, F.lit(False))
@@ -86,20 +108,19 @@ def dau_job(
 
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        starts = with_log_date_hour(parse_startup(batch, keep=("offset", "value")))
-        undated = starts.where("log_date is null").select("value", F.lit("no time").alias("reason"))
-        _put_rejects(rejects, broken_records(batch, schemas.STARTUP_LOG).unionByName(undated), batch_id)
-        first = dau.first_per_device_day(starts.where("log_date is not null").drop("value"), ("ts", "offset")).persist()
-        try:
-            days = [r[0] for r in first.select("log_date").distinct().collect()]
-            fresh = dau.drop_seen(first, seen.history(spark, days, before_batch=batch_id)).persist()
+        checked = with_log_date_hour(checked_records(batch, schemas.STARTUP_LOG, keep=("offset",)))
+        with _usable(_because(checked, F.col("log_date").isNull(), "no time"), rejects, batch_id) as starts:
+            first = dau.first_per_device_day(starts, ("ts", "offset")).persist()
             try:
-                _put_counted(detail, fresh, batch_id)
-                seen.write(dau.mark_seen(fresh), batch_id)
+                days = [r[0] for r in first.select("log_date").distinct().collect()]
+                fresh = dau.drop_seen(first, seen.history(spark, days, before_batch=batch_id)).persist()
+                try:
+                    _put_counted(detail, fresh, batch_id)
+                    seen.write(dau.mark_seen(fresh), batch_id)
+                finally:
+                    fresh.unpersist()
             finally:
-                fresh.unpersist()
-        finally:
-            first.unpersist()
+                first.unpersist()
 
     return _each_batch(raw, checkpoint, put)
 
@@ -132,9 +153,8 @@ def gmv_job(raw: DataFrame, orders: KeyedTable, checkpoint: str, rejects: KeyedT
     """Orders with date, hour and masked phone, put by order id. Narrow up to the write."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        _put_rejects(rejects, broken_records(batch, schemas.ORDER_INFO), batch_id)
-        rows = ingest_orders(parse_order(batch, keep=("offset",)))
-        _put_counted(orders, with_month(rows), batch_id)
+        with _usable(checked_records(batch, schemas.ORDER_INFO, keep=("offset",)), rejects, batch_id) as rows:
+            _put_counted(orders, with_month(ingest_orders(rows)), batch_id)
 
     return _each_batch(raw, checkpoint, put)
 
@@ -143,8 +163,8 @@ def user_job(raw: DataFrame, users: KeyedTable, checkpoint: str, rejects: KeyedT
     """The latest record of every user."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        _put_rejects(rejects, broken_records(batch, schemas.USER_INFO), batch_id)
-        _put_counted(users, parse_user(batch, keep=("offset",)), batch_id)
+        with _usable(checked_records(batch, schemas.USER_INFO, keep=("offset",)), rejects, batch_id) as rows:
+            _put_counted(users, rows, batch_id)
 
     return _each_batch(raw, checkpoint, put)
 
@@ -208,6 +228,34 @@ def heartbeat(ts_ms: int) -> str:
     return f'{{"mid":"","ts":{ts_ms}}}'
 
 
+def unusable_events(raw: DataFrame, ahead_s: int = C.CLOCK_AHEAD_S) -> DataFrame:
+    """``value`` and ``reason`` of the events alerts pass over: broken, without a time, or ahead of their arrival."""
+    checked = _because(checked_records(raw, schemas.EVENT_LOG, keep=("timestamp",)), F.col("ts").isNull(), "no time")
+    return _because(checked, _ahead("ts", "timestamp", ahead_s), "ahead").where("reason is not null").select("value", "reason")
+
+
+def unusable_orders(raw: DataFrame) -> DataFrame:
+    return broken_records(raw, schemas.ORDER_INFO)
+
+
+def unusable_details(raw: DataFrame) -> DataFrame:
+    return broken_records(raw, schemas.ORDER_DETAIL)
+
+
+def unusable_changes(raw: DataFrame) -> DataFrame:
+    return rejected_changes(raw).select("value", F.lit("broken").alias("reason"))
+
+
+def reject_job(
+    raw: DataFrame, unusable: Callable[[DataFrame], DataFrame], rejects: KeyedTable, checkpoint: str
+) -> DataStreamWriter:
+    """What a stateful stream of the same topic passes over, kept with the reason.
+
+    Alerts, the sale join and the change log keep no batch that could be split, so this is a query of its own beside them.
+    """
+    return _each_batch(unusable(raw), checkpoint, lambda batch, batch_id: _put_rejects(rejects, batch, batch_id))
+
+
 def alert_job(
     raw: DataFrame, documents: KeyedTable, checkpoint: str, prefix: str = C.INDEX_ALERT, **options
 ) -> DataStreamWriter:
@@ -350,10 +398,14 @@ def log_job(
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        collected = collect_logs(batch, F.lit(clock()))
-        _put_rejects(rejects, batch.where(F.from_json("value", "map<string,variant>").isNull()).select("value", F.lit("broken").alias("reason")), batch_id)
-        outputs.put_topic_files(collected.select("topic", "value"), topics, batch_id)
-        outputs.put_daily_logs(collected, logs, batch_id)
+        broken = batch.where(F.from_json("value", "map<string,variant>").isNull())
+        _put_rejects(rejects, broken.select("value", F.lit("broken").alias("reason")), batch_id)
+        collected = collect_logs(batch, F.lit(clock())).persist()
+        try:
+            outputs.put_topic_files(collected.select("topic", "value"), topics, batch_id)
+            outputs.put_daily_logs(collected, logs, batch_id)
+        finally:
+            collected.unpersist()
 
     return _each_batch(lines, checkpoint, put)
 
@@ -376,9 +428,14 @@ __all__ = [
     "heartbeat",
     "log_job",
     "put_with_cells",
+    "reject_job",
     "reject_table",
     "sale_job",
     "sale_stream",
     "start",
+    "unusable_changes",
+    "unusable_details",
+    "unusable_events",
+    "unusable_orders",
     "user_job",
 ]

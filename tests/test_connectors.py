@@ -60,4 +60,4 @@ def test_relational_batches_are_appended_or_staged(spark, topics, root, monkeypa
     raw = topic_files(spark, "t", topics.folder)
     for n, options in enumerate(({}, {"staging": "t_new", "user": "u"})):
         outputs.to_jdbc(raw, "jdbc:x", "t", f"{root}/c{n}", **options).trigger(availableNow=True).start().awaitTermination()
-    assert asked == [("t", "append", 1, {}), ("t_new", "overwrite", 1, {"truncate": "true", "user": "u"})]
+    assert asked == [("t", "append", 1, {}), ("t_new_0", "overwrite", 1, {"user": "u"})]

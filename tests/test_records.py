@@ -20,6 +20,10 @@ def test_numbers_and_texts_are_taken_alike_and_broken_text_is_left_out(spark):
     got = rows(records.parse_startup(raw), "mid", "ts")
     assert got == sorted([("a", 5), ("7", 6), (None, None), (None, None)], key=repr)
     assert rows(records.rejected_records(raw, schemas.STARTUP_LOG)) == sorted([("{broken",), (None,)], key=repr)
+    checked = records.checked_records(raw, schemas.STARTUP_LOG)
+    assert rows(checked.where("reason is not null"), "value", "reason") == sorted([("{broken", "broken"), (None, "broken")], key=repr)
+    good = checked.where("reason is null")
+    assert rows(good, *schemas.STARTUP_LOG.names) == rows(records.parse_startup(raw), *schemas.STARTUP_LOG.names)
 
 
 def test_order_amount_comes_as_text(spark):

@@ -7,7 +7,8 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from shoptide.functions.records import parse_event, parse_startup
+from shoptide import schemas
+from shoptide.functions.records import checked_records, parse_event, parse_startup
 from shoptide.functions.times import with_log_date_hour
 from shoptide.operators import alerts, dau
 from shoptide.plans import streams as S
@@ -153,6 +154,40 @@ def test_alert_stream_equals_the_table(spark, topics, root):
     assert want.count() == 4
 
 
+def test_events_that_alerts_pass_over_are_kept(spark, topics, root):
+    ahead = event("m", "a", "coupon", 10 * 86_400)
+    topics.send("event", [event("m", "a", "coupon", 0), {"_raw": "{broken"}, {"mid": "m", "evid": "coupon"}, ahead])
+    topics.send("event", [{"_raw": "also broken"}])
+    rejects = jobs.reject_table(f"{root}/rejects").create(spark)
+    raw = topic_files(spark, "event", topics.folder, maxFilesPerTrigger="1")
+    for _ in range(2):  # the second time there is nothing new
+        S.finish(jobs.reject_job(raw, jobs.unusable_events, rejects, f"{root}/checkpoint"))
+    found = rows(rejects.read(spark), "reason", "value")
+    assert [r[0] for r in found] == ["ahead", "broken", "broken", "no time"]
+    assert ("broken", "{broken") in found and ("no time", '{"mid": "m", "evid": "coupon"}') in found
+
+
+def test_changes_without_a_type_are_kept(spark, topics, root):
+    topics.send("log", [{"entry_type": "ROWDATA", "table": "t"}, {"table": "t"}, {"_raw": "junk"}])
+    rejects = jobs.reject_table(f"{root}/rejects").create(spark)
+    S.finish(jobs.reject_job(topic_files(spark, "log", topics.folder), jobs.unusable_changes, rejects, f"{root}/checkpoint"))
+    assert rows(rejects.read(spark), "value") == [("junk",), ('{"table": "t"}',)]
+
+
+def test_a_batch_of_a_job_with_rejects_is_read_once(spark, topics, root):
+    """Parsed once too: both outputs come from the kept batch."""
+    plans = []
+    topics.send("user_info", [{"id": "1", "user_level": "a"}, {"_raw": "{broken"}])
+    table, rejects = S.user_table(root).create(spark), jobs.reject_table(f"{root}/rejects").create(spark)
+    batch = spark.read.schema("value string, offset long").json(f"{topics.folder}/topic=user_info")
+    checked = checked_records(batch, schemas.USER_INFO, keep=("offset",))
+    with jobs._usable(checked, rejects, 0) as users:
+        table.write(users, 0)
+        plans.append(users._jdf.queryExecution().executedPlan().toString())
+    assert "InMemoryTableScan" in plans[0]
+    assert rows(table.read(spark), "id") == [("1",)] and rows(rejects.read(spark), "value", "reason") == [("{broken", "broken")]
+
+
 def stamp(s):
     return f"2024-01-15T00:{s // 60:02d}:{s % 60:02d}.000Z"
 
