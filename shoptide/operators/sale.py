@@ -67,6 +67,41 @@ def join_orders_details(
     return lines.join(orders, match).select(*_MERGED, *kept)
 
 
+# Lines of an order from which on they are joined by several tasks, and the most orders that may be found hot.
+HOT_LINES, MOST_HOT = 100_000, 1024
+
+
+def hot_orders(detail: DataFrame, at_least: int = HOT_LINES) -> DataFrame:
+    """Orders with ``at_least`` lines and more than 1 / MOST_HOT of all: ``hot_id``, and ``parts`` to cut their lines into.
+
+    At most MOST_HOT orders can have such a share, whatever the table's size, so the result may be broadcast; the lines
+    of any other order are at most that share. Lines are counted with partial sums.
+    """
+    total = detail.agg(F.count(F.lit(1)).alias("total")).scalar()
+    counts = detail.where(F.col("order_id").isNotNull()).groupBy(F.col("order_id").alias("hot_id")).agg(F.count(F.lit(1)).alias("n"))
+    shares = counts.where((F.col("n") >= at_least) & (F.col("n") * MOST_HOT > total))
+    return shares.select("hot_id", F.least(F.ceil(F.col("n") / at_least), F.lit(MOST_HOT)).cast("int").alias("parts"))
+
+
+def join_hot_orders(
+    info: DataFrame, detail: DataFrame, hot: DataFrame, bound_s: int, info_time: str = "order_time", detail_time: str = "detail_time"
+) -> DataFrame:
+    """The same as :func:`join_orders_details`, with orders copied only if they are ``hot``, to each part of their lines.
+
+    All other orders are sent once. Rows of ``info`` and ``detail`` carry ``new_order`` and ``new_line`` along.
+    """
+    hot = F.broadcast(hot)  # at most MOST_HOT rows
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    orders = _order_part(info, info_time, "new_order").join(hot, F.col("order_id") == F.col("hot_id"), "left")
+    orders = orders.withColumn("order_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("hot_id", "parts")
+    lines = _line_part(detail, detail_time, "offset", "new_line").join(hot, F.col("line_order_id") == F.col("hot_id"), "left")
+    lines = lines.withColumn("line_salt", F.pmod(F.xxhash64("order_detail_id", "offset"), parts).cast("int")).drop("hot_id", "parts")
+    gap = F.make_dt_interval(secs=F.lit(bound_s))
+    near = F.col(detail_time).between(F.col(info_time) - gap, F.col(info_time) + gap)
+    same = (F.col("order_id") == F.col("line_order_id")) & (F.col("order_salt") == F.col("line_salt"))
+    return lines.join(orders, same & near).select(*_MERGED, detail_time, "offset", "new_order", "new_line")
+
+
 def full_outer(info: DataFrame, detail: DataFrame) -> DataFrame:
     """Orders and lines of one batch side by side, either of them possibly absent.
 

@@ -286,6 +286,16 @@ def stream_dau_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.history(spark).select("mid", "log_date", "log_hour", "uid", "ts")
 
 
+@query("q_stream_dau_by_state", f"WITH {V.FIRST_STARTS} SELECT mid, log_date, log_hour, uid, ts FROM dau")
+def stream_dau_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three batches; the devices seen lie in the state store."""
+    root = scratch_dir(spark, "dau-by-state-")
+    detail = dau_tables(root)[0].create(spark)
+    starts = topic(spark, root, "startup", _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id")))
+    finish(jobs.dau_state_job(starts, detail, f"{root}/checkpoint"))
+    return detail.history(spark).select("mid", "log_date", "log_hour", "uid", "ts")
+
+
 def _gated_starts(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Three batches through a gate of a day; some starts of the first come with the last, too late."""
     first, second, third = _thirds(_arrived(V.startup_log(spark, sf_dir), "event_id"))
@@ -461,6 +471,13 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams of three batches joined within 100 seconds, then with a user table that another job has filled."""
     root = scratch_dir(spark, "sales-")
     index, users = sale_index(root).create(spark), user_table(root).create(spark)
+    orders, lines = _sale_topics(spark, sf_dir, root, users)
+    finish(jobs.sale_job(orders, lines, lambda s, wanted: users.read(s, only=wanted), index, f"{root}/checkpoint", as_of=V.AS_OF))
+    return index.read(spark).drop("create_time", "offset")
+
+
+def _sale_topics(spark: SparkSession, sf_dir: str, root: str, users: KeyedTable) -> tuple[DataFrame, DataFrame]:
+    """Orders and lines in three batches each; the buyers are put into ``users``."""
     known = V.user_info(spark, sf_dir, ~F.expr(V.IN_DEBT)).withColumn("offset", F.lit(0).cast("bigint"))
     users.write(known, 0)
     orders = V.order_info(spark, sf_dir).withColumn("offset", F.col("id").cast("bigint"))
@@ -477,11 +494,30 @@ def stream_sale_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     first, second, third = (b.drop("late") for b in by_time(lines.where("not late")))
     third = third.unionByName(lines.where("late").drop("late"))
-    job = jobs.sale_job(
-        topic(spark, root, "order_info", by_time(orders)), topic(spark, root, "order_detail", [first, second, third]),
-        lambda s, wanted: users.read(s, only=wanted), index, f"{root}/checkpoint", as_of=V.AS_OF,
+    return topic(spark, root, "order_info", by_time(orders)), topic(spark, root, "order_detail", [first, second, third])
+
+
+@query(
+    "q_stream_sale_waiting",
+    f"""WITH {V.SALE_DETAIL} SELECT order_detail_id, order_id, order_status, user_id, sku_id, user_gender, user_age,
+    user_level, sku_price, sku_name, dt,
+    'sale_detail-' || strftime(TIMESTAMP '{V.AS_OF}' + to_seconds(CAST(order_id AS BIGINT) * 7919 % 86400 + delay_s), '%Y-%m-%d')
+      AS index_name
+    FROM sale_detail WHERE delay_s BETWEEN -100 AND 100""",
+)
+def stream_sale_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same streams, what waits in tables: lines that come late find their orders, only hot orders are copied."""
+    root = scratch_dir(spark, "sales-waiting-")
+    index, users = sale_index(root).create(spark), user_table(root).create(spark)
+    waiting_orders = jobs.waiting_table(f"{root}/orders", schemas.ORDER_INFO).create(spark)
+    waiting_lines = jobs.waiting_table(f"{root}/lines", schemas.ORDER_DETAIL).create(spark)
+    orders, lines = _sale_topics(spark, sf_dir, root, users)
+    finish(
+        jobs.sale_table_job(
+            orders, lines, lambda s, wanted: users.read(s, only=wanted), index, waiting_orders, waiting_lines,
+            f"{root}/checkpoint", as_of=V.AS_OF,
+        )
     )
-    finish(job)
     return index.read(spark).drop("create_time", "offset")
 
 

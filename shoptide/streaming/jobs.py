@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shoptide import constants as C
 from shoptide import schemas
-from shoptide.functions.fields import index_name
+from shoptide.functions.fields import index_name, mask_phone
 from shoptide.functions.records import broken_records, checked_records, parse_detail, parse_event, parse_order, parse_startup
 from shoptide.functions.times import date_text, with_log_date_hour
 from shoptide.operators import alerts, dau, routing, sale
@@ -149,6 +149,41 @@ def first_starts_stream(
     return timed.dropDuplicatesWithinWatermark(dau.DEVICE_DAY).drop("event_time", "offset")
 
 
+def first_starts_by_state(raw: DataFrame, late: str = "24 hours", ahead_s: int = C.CLOCK_AHEAD_S) -> DataFrame:
+    """Devices and days as they are updated: ``first`` is the earliest start of the first batch that had one.
+
+    ``batch_time`` is the time of the batch at hand, ``first.batch_time`` that of the one which came first; a pair is
+    new where both are equal. Spark fixes the time of a batch before it runs, and uses it again when it repeats it, so a
+    repeated batch finds the same pairs new. The clock of the driver must not be set back between two batches.
+
+    This is an aggregate, so a device with very many starts sends one row per task. The state holds a row per device
+    and day, and drops a day once the watermark has passed its end.
+    """
+    starts = with_log_date_hour(parse_startup(raw, keep=("offset", "timestamp")))
+    starts = starts.where(~_ahead("ts", "timestamp", ahead_s)).drop("timestamp")
+    timed = starts.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", late)
+    timed = timed.withColumn("batch_time", F.current_timestamp())
+    start_row = F.struct("batch_time", "ts", "offset", *[c for c in starts.columns if c not in ("ts", "offset", *dau.DEVICE_DAY)])
+    day = F.window("event_time", "1 day").alias("day")
+    updated = timed.groupBy(day, *dau.DEVICE_DAY).agg(F.min(start_row).alias("first"))
+    return updated.select(*dau.DEVICE_DAY, "first", F.current_timestamp().alias("batch_time"))
+
+
+def dau_state_job(raw: DataFrame, detail: KeyedTable, checkpoint: str, **options) -> DataStreamWriter:
+    """First starts per device and day, the same as :func:`dau_job` puts, without a table of devices seen.
+
+    What was seen lies in the state store beside the tasks, which look up the devices of their batch only, so a batch costs
+    the same however many devices the day already has. Starts later than the watermark's bound fall (a gate in front
+    keeps them aside), and :func:`reject_job` with :func:`unusable_starts` keeps what cannot be read.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        new = batch.where(F.col("first.batch_time") == F.col("batch_time"))
+        _put_counted(detail, new.select(*dau.DEVICE_DAY, "first.*").drop("batch_time"), batch_id)
+
+    return _each_batch(first_starts_by_state(raw, **options), checkpoint, put).outputMode("update")
+
+
 def gmv_job(raw: DataFrame, orders: KeyedTable, checkpoint: str, rejects: KeyedTable | None = None) -> DataStreamWriter:
     """Orders with date, hour and masked phone, put by order id. Narrow up to the write."""
 
@@ -228,6 +263,12 @@ def heartbeat(ts_ms: int) -> str:
     return f'{{"mid":"","ts":{ts_ms}}}'
 
 
+def unusable_starts(raw: DataFrame, ahead_s: int = C.CLOCK_AHEAD_S) -> DataFrame:
+    """``value`` and ``reason`` of the starts a stateful stream passes over."""
+    checked = _because(checked_records(raw, schemas.STARTUP_LOG, keep=("timestamp",)), F.col("ts").isNull(), "no time")
+    return _because(checked, _ahead("ts", "timestamp", ahead_s), "ahead").where("reason is not null").select("value", "reason")
+
+
 def unusable_events(raw: DataFrame, ahead_s: int = C.CLOCK_AHEAD_S) -> DataFrame:
     """``value`` and ``reason`` of the events alerts pass over: broken, without a time, or ahead of their arrival."""
     checked = _because(checked_records(raw, schemas.EVENT_LOG, keep=("timestamp",)), F.col("ts").isNull(), "no time")
@@ -313,6 +354,92 @@ def sale_job(
     return _each_batch(joined, checkpoint, put)
 
 
+def waiting_table(path: str, schema: T.StructType) -> KeyedTable:
+    """Orders or lines kept for later partners, by the hour they arrived in."""
+    fields = [*schema.fields, *(T.StructField(n, t) for n, t in _WAITING)]
+    return KeyedTable(path, T.StructType(fields), key="id", partition="arrived", order=("offset",))
+
+
+_WAITING = (("timestamp", T.TimestampType()), ("offset", T.LongType()), ("arrived", T.StringType()))
+_HOUR = "yyyy-MM-dd-HH"
+SIDE_ORDER, SIDE_LINE = "order", "line"
+
+
+def sale_sides(orders_raw: DataFrame, details_raw: DataFrame) -> DataFrame:
+    """Records of both topics as one stream, told apart by ``side``."""
+    columns = ("value", "offset", "timestamp")
+    orders = orders_raw.select(F.lit(SIDE_ORDER).alias("side"), *columns)
+    return orders.unionByName(details_raw.select(F.lit(SIDE_LINE).alias("side"), *columns))
+
+
+def _with_waiting(new: DataFrame, table: KeyedTable, hours: list[str], batch_id: int) -> DataFrame:
+    """A batch's records and those of earlier batches that arrived in the given hours, with ``is_new``."""
+    spark = new.sparkSession
+    waiting = table.history(spark, hours, before_batch=batch_id).select(*new.columns)
+    return new.withColumn("is_new", F.lit(True)).unionByName(waiting.withColumn("is_new", F.lit(False)))
+
+
+def _hours_around(rows: DataFrame, bound_s: int) -> list[str]:
+    """The hours in which partners of the rows may have arrived."""
+    gap, hour = F.make_dt_interval(secs=F.lit(bound_s)), F.expr("interval 1 hour")
+    at = F.col("timestamp")
+    spans = rows.where(at.isNotNull()).select(F.explode(F.sequence(F.date_trunc("hour", at - gap), F.date_trunc("hour", at + gap), hour)).alias("h"))
+    return [r[0] for r in spans.select(F.date_format("h", _HOUR)).distinct().collect()]
+
+
+def sale_table_job(
+    orders_raw: DataFrame,
+    details_raw: DataFrame,
+    users: Callable[[SparkSession, DataFrame], DataFrame],
+    index: KeyedTable,
+    orders: KeyedTable,
+    details: KeyedTable,
+    checkpoint: str,
+    prefix: str = C.INDEX_SALE_DETAIL,
+    as_of: Column | str | None = None,
+    bound_s: int = C.JOIN_BOUND_S,
+    hot_lines: int = sale.HOT_LINES,
+) -> DataStreamWriter:
+    """What :func:`sale_job` does, with what waits for a partner in two tables instead of the state of a join.
+
+    Each batch joins its own records with each other and with the waiting ones that arrived in the hours around them, a
+    pair in the batch of the later one of the two. Here the lines of every order can be counted before they are
+    joined, so only orders found hot (:func:`sale.hot_orders`) are copied, to as many tasks as their lines need, and a record
+    is kept once. No record is too late: partners are those within the bound, whenever they are delivered.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            def side(name: str, schema: T.StructType) -> DataFrame:
+                rows = checked_records(kept.where(F.col("side") == name), schema, keep=("timestamp", "offset"))
+                rows = rows.where("reason is null").drop("value", "reason")
+                return rows.withColumn("arrived", F.date_format("timestamp", _HOUR))
+
+            new_orders, new_details = mask_phone(side(SIDE_ORDER, schemas.ORDER_INFO)), side(SIDE_LINE, schemas.ORDER_DETAIL)
+            hours = _hours_around(kept, bound_s)
+            info = _with_waiting(new_orders, orders, hours, batch_id)
+            info = ingest_orders(info).withColumnsRenamed({"timestamp": "order_time", "is_new": "new_order"})
+            lines = _with_waiting(new_details, details, hours, batch_id)
+            lines = lines.withColumnsRenamed({"timestamp": "detail_time", "is_new": "new_line"})
+            hot = sale.hot_orders(lines, hot_lines)
+            keep = ("detail_time", "offset")
+            joined = sale.join_hot_orders(info, lines, hot, bound_s).where("new_order or new_line").persist()
+            try:
+                wanted = joined.select(F.col("user_id").alias("id")).distinct()
+                enriched = sale.enrich_user(joined, users(kept.sparkSession, wanted), as_of, keep=keep)
+                day = index_name(prefix, F.col("detail_time").cast("date"))
+                _put_counted(index, enriched.withColumn("index_name", day), batch_id)
+            finally:
+                joined.unpersist()
+            orders.write(new_orders, batch_id)
+            details.write(new_details, batch_id)
+        finally:
+            kept.unpersist()
+
+    return _each_batch(sale_sides(orders_raw, details_raw), checkpoint, put)
+
+
 FIRST_SEEN = T.StructType([T.StructField("mid", T.StringType()), T.StructField("first_date", T.StringType())])
 DAY_CELLS = T.StructType([T.StructField("first_date", T.StringType()), T.StructField("n", T.LongType())])
 
@@ -422,7 +549,9 @@ __all__ = [
     "collect_changes",
     "collect_logs",
     "dau_job",
+    "dau_state_job",
     "first_seen_job",
+    "first_starts_by_state",
     "first_starts_stream",
     "gmv_job",
     "heartbeat",
@@ -431,11 +560,15 @@ __all__ = [
     "reject_job",
     "reject_table",
     "sale_job",
+    "sale_sides",
     "sale_stream",
+    "sale_table_job",
     "start",
     "unusable_changes",
     "unusable_details",
     "unusable_events",
     "unusable_orders",
+    "unusable_starts",
     "user_job",
+    "waiting_table",
 ]

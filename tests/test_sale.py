@@ -72,6 +72,51 @@ def test_unknown_buyers_stay_without_data(spark):
     assert (unknown.user_id, unknown.user_age, unknown.user_gender, unknown.user_level) == ("u1", None, None, None)
 
 
+def hot_sides(spark):
+    """3,000 lines, a third of them of one order; every order once."""
+    order_id = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string"))
+    at = F.lit("2024-01-15 10:00:00").cast("timestamp")
+    detail = spark.range(3000).select(
+        F.col("id").cast("string"), order_id.alias("order_id"), F.col("id").alias("offset"), F.lit("s").alias("sku_id"),
+        F.lit("n").alias("sku_name"), F.lit("1").alias("order_price"), at.alias("detail_time"), F.lit(True).alias("new_line"),
+    )
+    return orders(spark, "hot", *map(str, range(50))).withColumn("new_order", F.lit(True)), detail
+
+
+def test_hot_orders_have_a_share_of_all_lines(spark):
+    _, detail = hot_sides(spark)
+    assert rows(sale.hot_orders(detail, 300)) == [("hot", 4)]
+    assert rows(sale.hot_orders(detail, 1001)) == []
+    assert rows(sale.hot_orders(detail.where("false"), 1)) == []
+    # 4,000 orders of one line: none has a share, though each has enough lines
+    assert rows(sale.hot_orders(detail.unionByName(detail).withColumn("order_id", F.monotonically_increasing_id().cast("string")), 1)) == []
+    nameless = detail.withColumn("order_id", F.lit(None).cast("string"))
+    assert rows(sale.hot_orders(nameless, 1)) == []
+
+
+def test_only_hot_orders_are_copied(spark):
+    info, detail = hot_sides(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = sale.join_hot_orders(info, detail, sale.hot_orders(detail, 100), 100)
+        tasks = joined.withColumn("task", F.spark_partition_id()).groupBy("order_id").agg(F.count_distinct("task").alias("tasks"), F.count("*").alias("n"))
+        by_order = {r.order_id: (r.tasks, r.n) for r in tasks.collect()}
+        assert by_order.pop("hot") == (4, 1000)  # all four tasks
+        assert {t for t, _ in by_order.values()} == {1} and sum(n for _, n in by_order.values()) == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    copies = {
+        at_least: info.join(sale.hot_orders(detail, at_least), F.col("id") == F.col("hot_id"), "left")
+        .agg(F.sum(F.coalesce("parts", F.lit(1)))).first()[0]
+        for at_least in (100, 5000)
+    }
+    assert copies == {100: 50 + 10, 5000: 51}
+    plain = sale.join_orders_details(info, detail, 100)
+    assert rows(joined, "order_detail_id", "order_id", "dt") == rows(plain, "order_detail_id", "order_id", "dt")
+
+
 def test_an_order_or_a_buyer_with_most_lines_is_split(spark):
     """With thresholds fit for small data, adaptive execution splits the hot key's partition."""
     settings = {

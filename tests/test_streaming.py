@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,53 @@ def test_dau_in_the_state_store(spark, topics, root, salts):
     assert rows(spark.read.parquet(f"{root}/out"), "mid", "log_date") == [r[:2] for r in FIRST]
 
 
+def by_state(spark, topics, root, detail):
+    raw = topic_files(spark, "startup", topics.folder, maxFilesPerTrigger="1")
+    query = jobs.start(jobs.dau_state_job(raw, detail, f"{root}/checkpoint"), every_s=None)
+    query.awaitTermination()
+    return query
+
+
+def test_dau_by_state_puts_what_the_table_of_seen_devices_puts(spark, topics, root):
+    """The earliest of the first batch, over batches, a restart and a batch that is run again."""
+    detail = S.dau_tables(root)[0].create(spark)
+    topics.send("startup", [*BATCHES[0], {"mid": "x", "uid": "u", "type": "startup"}])
+    topics.send("startup", BATCHES[1])
+    by_state(spark, topics, root, detail)
+    topics.send("startup", BATCHES[2])
+    by_state(spark, topics, root, detail)
+    assert rows(detail.history(spark), "mid", "log_date", "ts") == FIRST
+    commits = f"{root}/checkpoint/commits"
+    last = max(int(f.name) for f in Path(commits).iterdir() if f.name.isdigit())
+    shutil.move(f"{commits}/{last}", f"{root}/lost")
+    shutil.move(f"{commits}/.{last}.crc", f"{root}/lost.crc")
+    by_state(spark, topics, root, detail)
+    assert rows(detail.history(spark), "mid", "log_date", "ts") == FIRST
+    keys = rows(detail.history(spark).where("mid = 'a'"), "uid", "log_hour", "offset")
+    assert keys == [("u", "00", 1), ("u", "00", 1002 + 1)]
+
+
+def test_a_batch_costs_the_same_however_full_the_day_is(spark, topics, root):
+    """Batches of ten starts: ten rows read, ten of the state touched, no table of seen devices beside."""
+    detail = S.dau_tables(root)[0].create(spark)
+    for batch in range(5):
+        topics.send("startup", [start(f"d{batch}-{i}", batch * 10 + i) for i in range(8)] + [start(f"d0-{i}", 3600 + batch) for i in range(2)])
+    query = by_state(spark, topics, root, detail)
+    done = [p for p in query.recentProgress if p.numInputRows]
+    assert [p.numInputRows for p in done] == [10] * 5
+    states = [p.stateOperators[0] for p in done]
+    assert [s.numRowsUpdated for s in states] == [8, 10, 10, 10, 10]
+    assert detail.history(spark).count() == 40
+
+
+def test_starts_that_state_passes_over_are_kept(spark, topics, root):
+    topics.send("startup", [start("a", 0), {"_raw": "{broken"}, {"mid": "m", "type": "startup"}, start("b", 10 * 86_400)])
+    rejects = jobs.reject_table(f"{root}/rejects").create(spark)
+    raw = topic_files(spark, "startup", topics.folder)
+    S.finish(jobs.reject_job(raw, jobs.unusable_starts, rejects, f"{root}/checkpoint"))
+    assert rows(rejects.read(spark), "reason") == [("ahead",), ("broken",), ("no time",)]
+
+
 def test_dau_stream_equals_the_table(spark, topics, root):
     detail, seen = (t.create(spark) for t in S.dau_tables(root))
     for batch in BATCHES:
@@ -221,6 +269,48 @@ def test_either_side_of_a_sale_may_come_first(spark, topics, root, salts):
     assert got == [("a", "1", "VIP", 24, name), ("c", "3", "VIP", 24, name), ("e", "3", "VIP", 24, name)]
 
 
+@pytest.mark.parametrize("hot_lines", [1, 100])
+def test_sales_from_waiting_tables(spark, topics, root, hot_lines):
+    """Either side first, an hour's edge between partners, lines far too late, and a batch that is run again."""
+    edge = "2024-01-15T01:00:{:02d}.000Z"
+
+    def order(i, at):
+        return {"id": i, "user_id": "u1", "order_status": "1", "create_time": "2024-01-15 00:00:00", "consignee_tel": "13812345678", "_at": at}
+
+    def line(i, order_id, at):
+        return {"id": i, "order_id": order_id, "order_price": "1.5", "sku_name": "red", "_at": at}
+
+    users = S.user_table(root).create(spark)
+    users.write(spark.createDataFrame([("u1", "n", "VIP", "2000-01-01", "F", 0)], S.USER_ROWS), 0)
+    topics.send("order_detail", [line("a", "1", stamp(0)), line("b", "2", stamp(0)), {"_raw": "{broken"}])
+    topics.send("order_info", [order("1", stamp(100)), order("3", stamp(100)), order("4", edge.format(30))])
+    topics.send("order_detail", [line("c", "3", stamp(200)), line("d", "3", stamp(201)), line("e", "3", stamp(150))])
+    topics.send("order_detail", [line("f", "4", "2024-01-15T00:59:30.000Z"), line("g", "1", stamp(50)), line("h", None, stamp(50))])
+    topics.send("order_info", [order("2", stamp(101))])
+    index = S.sale_index(root).create(spark)
+    waiting = [jobs.waiting_table(f"{root}/{n}", s).create(spark) for n, s in (("o", schemas.ORDER_INFO), ("l", schemas.ORDER_DETAIL))]
+
+    def run():
+        raws = [topic_files(spark, t, topics.folder, maxFilesPerTrigger="1") for t in ("order_info", "order_detail")]
+        S.finish(
+            jobs.sale_table_job(
+                *raws, lambda s, wanted: users.read(s, only=wanted), index, *waiting, f"{root}/checkpoint",
+                as_of="2024-01-31", hot_lines=hot_lines,
+            )
+        )
+        return rows(index.history(spark), "order_detail_id", "order_id", "user_level", "user_age", "index_name")
+
+    want = [(i, o, "VIP", 24, "sale_detail-2024-01-15") for i, o in (("a", "1"), ("c", "3"), ("e", "3"), ("f", "4"), ("g", "1"))]
+    assert run() == want
+    commits = Path(f"{root}/checkpoint/commits")
+    last = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+    shutil.move(commits / f"{last}", f"{root}/lost")
+    shutil.move(commits / f".{last}.crc", f"{root}/lost.crc")
+    assert run() == want
+    assert {r[0] for r in rows(waiting[0].history(spark), "consignee_tel")} == {"1381*******"}
+    assert waiting[0].history(spark).count() == 4 and waiting[1].history(spark).count() == 8
+
+
 def test_logs_are_stamped_once_routed_and_kept_by_day(spark, topics, root):
     topics.send("raw", [{"type": "startup", "mid": "a"}, {"mid": "b"}, {"_raw": "junk"}])
     rejects = jobs.reject_table(f"{root}/rejects").create(spark)
