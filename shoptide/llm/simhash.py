@@ -37,8 +37,8 @@ BITS = 64
 HASHES_AT_A_TIME = 1 << 16
 # Rows of groups that are joined at a time, and pairs of trie nodes held at a time.
 ROWS_AT_A_TIME, PAIRS_AT_A_TIME = 50_000, 1 << 20
-# Node pairs of at most SMALL leaf pairs are compared all together, those of at most LEAF leaves each one by one.
-SMALL, LEAF = 64, 128
+# Pairs of trie nodes with at most so many pairs of leaves are not split any further.
+SMALL = 16
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -104,23 +104,6 @@ def leaf_pairs(l1, n1, l2, n2) -> tuple[np.ndarray, np.ndarray]:
     return i[i < j], j[i < j]
 
 
-def dense_pairs(fps, l1, h1, l2, h2, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The same for nodes of up to LEAF leaves, a table of differences for each."""
-    held, size = [], 0
-    for a, b, c, d in zip(l1, h1, l2, h2):
-        near = np.bitwise_count(fps[a:b, None] ^ fps[c:d]) <= max_bits
-        if near.any():
-            i, j = np.nonzero(near)
-            i, j = i + a, j + c
-            held.append((i[i < j], j[i < j]))
-            size += len(i)
-            if size >= PAIRS_AT_A_TIME:
-                yield tuple(map(np.concatenate, zip(*held)))
-                held, size = [], 0
-    if held:
-        yield tuple(map(np.concatenate, zip(*held)))
-
-
 def trie_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of the same group that differ in at most max_bits bits.
 
@@ -150,10 +133,6 @@ def trie_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, max_bits: int
             l1, h1, l2, h2, errors = (x[~small] for x in (l1, h1, l2, h2, errors))
         if not len(l1):
             continue
-        leaves = (h1 - l1 <= LEAF) & (h2 - l2 <= LEAF)
-        if leaves.any():
-            yield from dense_pairs(fps, *(x[leaves].tolist() for x in (l1, h1, l2, h2)), max_bits)
-            l1, h1, l2, h2, errors = (x[~leaves] for x in (l1, h1, l2, h2, errors))
         m1, m2 = split(bit, l1, h1), split(bit, l2, h2)
         same = l1 == l2
         zeros, both = (l1, m1, l2, m2, errors), (m1, h1, m2, h2, errors)
