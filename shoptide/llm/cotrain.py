@@ -1,18 +1,20 @@
 """A quality classifier by co-training of two views, the text and what is known about the page.
 
-Each view has a logistic regression. In every round each is fitted on its labelled rows and labels the pool of unlabelled
-rows; the rows it is surest of, of either class, become pseudo-labelled rows of the other view. After the rounds each
+Each view has a logistic regression. In every round each is fitted on its labelled rows and scores all unlabelled documents;
+the texts it is surest of, ``grow`` of either class, become pseudo-labelled rows of the other view. After the rounds each
 view is calibrated on labelled rows that neither was fitted on (Platt: a logistic regression on its own log-odds), and
 the calibrated log-odds are added up, less the prior once, as for independent views. That scores all documents.
 
-Fitting reads a bounded part: about ``sample`` labelled rows and ``pool`` unlabelled ones, chosen by the hash of the id,
-with whole texts; these bounds make the labels small enough to be broadcast. All other rows are only scored, without a
-shuffle.
+Fitting reads a bounded part, whole texts all: labelled documents, at most about ``sample / 2`` of each class, chosen by the hash
+of the id, and 2 * ``grow`` pseudo-labelled ones a view and round, the surest of all. Equal texts count once there, so a
+large group of copies is no more than one of them. The classes' shares among the labelled are those of the whole
+table again once a view is calibrated. Choosing the surest is a partial aggregate by text and a top-n.
 
 Defined results. Null and empty texts and null metadata have features too (of nothing), so every row gets a score.
 Labels that are null are not labels; of several labels of one document the mean counts, from 0.5 on as good. Without rows of
-both classes nothing is learned, and every score is the share of good labels, 0.5 if there are none. Repeated rows are
-scored one by one.
+both classes nothing is learned, and every score is the share of good labels, 0.5 if there are none. Of labelled rows with the
+same text and id one is learned from, as of pseudo-labelled rows with the same text; one without an id is only scored. Repeated
+rows are scored one by one. Of equally sure texts that with the smaller id is taken.
 """
 
 from __future__ import annotations
@@ -92,55 +94,83 @@ def linear(model) -> tuple[np.ndarray, float]:
     return model.coefficients.toArray(), float(model.intercept)
 
 
-def scored(rows: DataFrame, model, view: str) -> DataFrame:
-    """Adds ``odds``, the log-odds of the class 1."""
-    return model.setFeaturesCol(view).setRawPredictionCol("raw").transform(rows).withColumn("odds", vector_to_array("raw")[1]).drop("raw", "probability", "prediction")
+VIEWS = ("text_view", "meta_view")
+SURE = log(9.0)
 
 
-def surest(pool: DataFrame, share: float) -> DataFrame:
-    """Rows of the pool above and below which ``share`` of it lies, if they are at least nine to one sure."""
-    low, high = pool.approxQuantile("odds", [share, 1 - share], 0.001)
-    sure = log(9.0)
-    chosen = F.when(F.col("odds") >= max(high, sure), 1.0).when(F.col("odds") <= min(low, -sure), 0.0)
-    return pool.withColumn("label", chosen).where("label is not null").drop("odds")
+def linear_odds(docs: DataFrame, weights: list[tuple[np.ndarray, float]]) -> DataFrame:
+    """``row`` and the log-odds of every view, ``text_view`` and ``meta_view``."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def values(batch: pa.RecordBatch) -> list[pa.Array]:
+        rows = (np.array([text_features(t) for t in texts(batch.column("text"))]), np.array(meta_rows(batch)))
+        return [pa.array(x @ w + bias) for x, (w, bias) in zip(rows, shared.value)]
+
+    return annotate(docs, values, ", ".join(f"{v} double" for v in VIEWS), at_a_time=1 << 20)
+
+
+def surest(odds: DataFrame, view: str, grow: int) -> DataFrame:
+    """``doc_id``, ``text_hash`` and ``label`` of the texts a view is surest of, ``grow`` of either class, nine to one at least."""
+    good = odds.where(F.col(view) >= SURE).orderBy(F.desc(view), "doc_id", "text_hash").limit(grow)
+    bad = odds.where(F.col(view) <= -SURE).orderBy(view, "doc_id", "text_hash").limit(grow)
+    columns = ("doc_id", "text_hash")
+    return good.select(*columns, F.lit(1.0).alias("label")).unionByName(bad.select(*columns, F.lit(0.0).alias("label")))
 
 
-def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, share: float = 0.05, sample: int = 10_000, pool: int = 10_000) -> dict:
+def learned(rows: DataFrame) -> DataFrame:
+    """Features of a bounded table of documents with a ``label``, stored; one row of those with the same id and text."""
+    once = rows.dropDuplicates(["doc_id", "text_hash"])
+    row = F.col(ROW)
+    columns = [row[c].alias(c) for c in ("doc_id", "text_hash", "label")]
+    return stored(features(once).select(*columns, *[array_to_vector(v).alias(v) for v in VIEWS]), "learned")
+
+
+def labelled_sample(labels: DataFrame, sample: int) -> tuple[DataFrame, float]:
+    """At most about ``sample / 2`` labels of each class, all of a class that has no more, and the share of good ones of all."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
+    known = known.agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
+    good, total = known.agg(F.coalesce(F.sum("label"), F.lit(0.0)), F.count("*")).first()
+    of_class = [known.where(F.col("label") == c).where(sampled(sample // 2, int(n))) for c, n in ((1.0, good), (0.0, total - good))]
+    return of_class[0].unionByName(of_class[1]), good / total if total else 0.5
+
+
+def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, grow: int = 500, sample: int = 10_000) -> dict:
     """Weights of both views, their calibrations and the prior. ``labels``: doc_id, quality."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    known = stored(known.where(sampled(sample, labels.count())), "labels")
-    good, total = known.agg(F.sum("label"), F.count("*")).first()
-    prior = good / total if total else 0.5
+    chosen, prior = labelled_sample(labels, sample)
     constant = {"prior": prior, "views": []}
     if not 0 < prior < 1:
         return constant
     used = [c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns]
-    # ``known`` has about ``sample`` rows
-    marked = docs.select(used).join(F.broadcast(known), "doc_id", "left")
-    few = stored(marked.where(F.col("label").isNotNull() | sampled(pool, docs.count())), "sample")
-    views = ["text_view", "meta_view"]
-    rows = features(few).select(F.col(f"{ROW}.doc_id").alias("doc_id"), F.col(f"{ROW}.label").alias("label"), *[array_to_vector(v).alias(v) for v in views])
-    rows = stored(rows, "features")
+    docs = docs.select(used)
+    marked = docs.withColumn("text_hash", F.xxhash64("text"))
+    # ``chosen`` has about ``sample`` rows at most, what is picked below 4 * ``grow``
+    rows = learned(marked.join(F.broadcast(stored(chosen, "labels")), "doc_id"))
     held_out = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0
-    labelled, check = rows.where(F.col("label").isNotNull() & ~held_out), rows.where(F.col("label").isNotNull() & held_out)
-    unlabelled = rows.where("label is null").drop("label")
-    for part in (labelled, check):
-        if part.select("label").distinct().count() < 2:
-            return constant
-    own = {v: labelled for v in views}
+    labelled, check = rows.where(~held_out), rows.where(held_out)
+    shares = [part.agg(F.avg("label")).first()[0] for part in (labelled, check)]
+    if not all(s is not None and 0 < s < 1 for s in shares):
+        return constant
+    unlabelled = docs.join(labels.where("quality is not null").select("doc_id").distinct(), "doc_id", "left_anti").where("doc_id is not null")
+    own = {v: labelled for v in VIEWS}
     for _ in range(rounds):
-        for view, other in zip(views, reversed(views)):
-            model = fit(own[view], view)
-            new = surest(scored(unlabelled, model, view), share).select("doc_id", "label", *views)
-            # a row keeps its first label
-            fresh = new.join(F.broadcast(own[other].select("doc_id")), "doc_id", "left_anti")
-            own[other] = stored(own[other].select("doc_id", "label", *views).unionByName(fresh), "view")
+        found = linear_odds(unlabelled, [linear(fit(own[v], v)) for v in VIEWS])
+        row = F.col(ROW)
+        by_text = found.groupBy(F.xxhash64(row["text"]).alias("text_hash")).agg(F.min(F.struct(row["doc_id"].alias("doc_id"), *VIEWS)).alias("x"))
+        odds = stored(by_text.select("text_hash", "x.*"), "odds")
+        for view, other in zip(VIEWS, reversed(VIEWS)):
+            # a text keeps its first label
+            fresh = surest(odds.join(F.broadcast(own[other].select("text_hash")), "text_hash", "left_anti"), view, grow)
+            picked = marked.join(F.broadcast(stored(fresh, "fresh")), ["doc_id", "text_hash"])
+            own[other] = own[other].unionByName(learned(picked))
+    # Calibrated odds are those of the check rows' shares of the classes; the shift gives them those of all labels.
+    shift = log(prior / (1 - prior)) - log(shares[1] / (1 - shares[1]))
     out = []
-    for view in views:
+    for view in VIEWS:
         model = fit(own[view], view)
-        graded = scored(check, model, view).select("label", array_to_vector(F.array("odds")).alias("odds"))
+        graded = model.setRawPredictionCol("raw").transform(check)
+        graded = graded.select("label", array_to_vector(F.array(vector_to_array("raw")[1])).alias("odds"))
         platt = LogisticRegression(featuresCol="odds", labelCol="label").fit(graded)
-        out.append((*linear(model), float(platt.coefficients[0]), float(platt.intercept)))
+        out.append((*linear(model), float(platt.coefficients[0]), float(platt.intercept) + shift))
     return {"prior": prior, "views": out}
 
 

@@ -256,7 +256,7 @@ def test_shards_odd_rows(spark):
 def test_quality_of_labels_left_out(spark):
     """Labels of every third document are hidden from training."""
     docs, labels = given(spark, "documents"), given(spark, "labels").select("doc_id", "quality")
-    model = cotrain.train(docs, labels.where("doc_id % 3 <> 0"), rounds=1)
+    model = cotrain.train(docs, labels.where("doc_id % 3 <> 0"))
     found = cotrain.score(docs, model).select("row.doc_id", "score", "text_score", "meta_score").join(labels.where("doc_id % 3 = 0"), "doc_id").toPandas()
     assert len(found) > 15 and found.score.between(0, 1).all()
     assert ((found.score >= 0.5) == (found.quality == 1)).mean() >= 0.9
@@ -264,6 +264,38 @@ def test_quality_of_labels_left_out(spark):
     assert cotrain.score(empty(spark), model).count() == 0
 
 
+def test_labels_of_a_rare_class_are_all_taken(spark):
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") < 4990).cast("int").alias("quality"))
+    chosen, prior = cotrain.labelled_sample(labels, 400)
+    counts = dict(chosen.groupBy("label").count().collect())
+    assert prior == 0.998 and counts[0.0] == 10 and 150 < counts[1.0] < 250
+
+
+def test_the_surest_texts_come_from_all_rows_and_once(spark):
+    rows = [(i, i, (i - 500) / 10.0, 0.0) for i in range(1000)] + [(2000, 2000, 49.9, 5.0), (1999, 1999, 49.9, -5.0)]
+    odds = spark.createDataFrame(rows, "doc_id long, text_hash long, text_view double, meta_view double")
+    got = [(r.doc_id, r.label) for r in cotrain.surest(odds, "text_view", 2).orderBy("doc_id").collect()]
+    assert got == [(0, 0.0), (1, 0.0), (999, 1.0), (1999, 1.0)]
+    assert [(r.doc_id, r.label) for r in cotrain.surest(odds, "meta_view", 9).orderBy("doc_id").collect()] == [(1999, 0.0), (2000, 1.0)]
+
+
+def test_views_learn_from_each_other(spark):
+    """Labels know one word and one source of either class; other words are only seen together with the other view."""
+    def text(i, good, known):
+        return " ".join([("fine" if good else "poor") if known else ("neat" if good else "vile"), f"w{i % 7}", f"v{i % 5}"] * 3)
+
+    rows = [(i, text(i, i % 2, i < 400), "en", f"s{i % 2}", 10) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    labels = docs.where("doc_id < 400").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    alone, both = (cotrain.train(docs, labels, rounds=n, grow=50) for n in (0, 2))
+
+    def text_right(model):
+        found = cotrain.score(docs.where("doc_id >= 400"), model).select("row.doc_id", "text_score").toPandas()
+        return ((found.text_score > 0.5) == (found.doc_id % 2 == 1)).mean()
+
+    assert text_right(alone) < 0.7 and text_right(both) == 1.0
+
+
 def test_quality_without_both_classes(spark):
     for labels, share in (([], 0.5), ([(1, 1), (2, 1)], 1.0), ([(1, None)], 0.5)):
         model = cotrain.train(odd(spark), spark.createDataFrame(labels, "doc_id long, quality int"))
