@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptide.llm import binpack, bitsliced, cotrain, decontam, langid, licenses, minhash, ngram_lm, periodic, pieces, secret_scan, simhash, spelling
@@ -85,10 +85,11 @@ def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs, secret_scan.train(secret_scan.samples(docs)))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(secret_scan.KINDS[:3])
-    ]
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")  # a second parameter would be the position
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])]
     digest = F.sha2(secret_scan.as_text("base").cast("binary"), 256).alias("base_sha256")
     return found.select(f"{ROW}.doc_id", *counts, digest, secret_scan.as_text("spans").alias("spans"))
 
