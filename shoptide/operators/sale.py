@@ -43,6 +43,7 @@ def join_orders_details(
     info_time: str = "order_time",
     detail_time: str = "detail_time",
     salts: int = 1,
+    of_order: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every line with its order, if they are at most ``bound_s`` seconds apart.
 
@@ -51,9 +52,10 @@ def join_orders_details(
 
     In batch, adaptive execution splits an order that holds very many lines. A stream has no such help: with
     ``salts`` above 1 the lines of an order go to that many tasks, and the order is sent to each of them.
+    ``of_order`` names further columns of ``info`` to carry along.
     """
     timed = bound_s is not None
-    orders = _order_part(info, *([info_time] if timed else []))
+    orders = _order_part(info, *([info_time] if timed else []), *of_order)
     lines = _line_part(detail, *[c for c in (detail_time, "offset") if timed and c in detail.columns])
     match: Column = F.col("order_id") == F.col("line_order_id")
     if salts > 1:
@@ -64,7 +66,7 @@ def join_orders_details(
         gap = F.make_dt_interval(secs=F.lit(bound_s))
         match = match & F.col(detail_time).between(F.col(info_time) - gap, F.col(info_time) + gap)
     kept = [c for c in (detail_time, "offset") if timed and c in lines.columns]
-    return lines.join(orders, match).select(*_MERGED, *kept)
+    return lines.join(orders, match).select(*_MERGED, *of_order, *kept)
 
 
 # Lines of an order from which on they are joined by several tasks, and the most orders that may be found hot.
@@ -139,6 +141,18 @@ def add_buyer(df: DataFrame, users: DataFrame, as_of: Column | str | None = None
     return joined.withColumn("user_id", F.coalesce("buyer_id", "user_id")).drop("buyer_id")
 
 
+BUYER = ("user_gender", "user_age", "user_level")
+
+
+def sale_details(info: DataFrame, detail: DataFrame, users: DataFrame, as_of: Column | str | None = None) -> DataFrame:
+    """All lines of a table with their order and its buyer: the rows of a join of both, then :func:`enrich_user`.
+
+    Orders meet their buyers before their lines, so lines are not shuffled once more for the buyer.
+    """
+    bought = add_buyer(info, users, as_of)
+    return join_orders_details(bought, detail, bound_s=None, of_order=BUYER).select(*schemas.SALE_DETAIL_COLUMNS)
+
+
 def enrich_user(
     sale: DataFrame, users: DataFrame, as_of: Column | str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:

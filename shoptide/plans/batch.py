@@ -599,8 +599,7 @@ def sale_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sales(spark: SparkSession, sf_dir: str, raw_days: tuple[str, str] | None = None) -> DataFrame:
     """Every line with its order and its buyer."""
     known = V.user_info(spark, sf_dir, ~F.expr(V.IN_DEBT))
-    lines = sale.join_orders_details(_orders(spark, sf_dir, raw_days), V.order_detail(spark, sf_dir), bound_s=None)
-    return sale.enrich_user(lines, known, V.AS_OF)
+    return sale.sale_details(_orders(spark, sf_dir, raw_days), V.order_detail(spark, sf_dir), known, V.AS_OF)
 
 
 @query("q_sale_detail", f"WITH {V.SALE_DETAIL} SELECT * EXCLUDE (delay_s) FROM sale_detail")

@@ -151,3 +151,14 @@ def test_an_order_or_a_buyer_with_most_lines_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_buyers_before_lines_are_buyers_after_lines(spark):
+    """Lines, orders and users that come twice, unknown users and lines without an order."""
+    info = orders(spark, "1", "1", "2").withColumn("user_id", F.when(F.col("id") == "2", "nobody").otherwise(F.col("user_id")))
+    detail = lines(spark, ("a", "1", 0), ("a", "1", 0), ("b", "2", 0), ("c", "9", 0), ("d", None, 0))
+    users = spark.createDataFrame([("u1", "2000-01-01", "F", "VIP"), ("u1", "2001-01-01", "M", "NEW")], "id string, birthday string, gender string, user_level string")
+    after = sale.enrich_user(sale.join_orders_details(info, detail, bound_s=None), users, "2024-01-31")
+    got = sale.sale_details(info, detail, users, "2024-01-31")
+    assert got.columns == after.columns and len(rows(got)) == 9
+    assert rows(got) == rows(after)
