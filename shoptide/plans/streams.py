@@ -141,10 +141,11 @@ def sale_index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = sale_index(scratch_dir(spark, "sale-")).create(spark)
     sales = B._sales(spark, sf_dir).withColumn("index_name", fields.index_name("sale_detail", V.AS_OF))
     sales = sales.withColumn("offset", F.lit(0).cast("bigint"))
-    done = sales.where(F.col("order_status") == "F").withColumn("order_status", F.lit("DONE"))
-    loose = sales.where(F.col("order_status") == "P").withColumn("order_detail_id", F.lit(None).cast("string"))
-    table.write(sales, 0)
-    table.write(done.unionByName(loose), 1)
+    table.write(sales, 0, spread=False)  # all in one index
+    # Read back, so that orders, lines and buyers are joined once.
+    put, status = table.history(spark, before_batch=1), F.col("order_status")
+    again = {"order_status": F.when(status == "F", "DONE").otherwise(status), "order_detail_id": F.when(status != "P", F.col("order_detail_id"))}
+    table.write(put.where(status.isin("F", "P")).withColumns(again), 1, spread=False)
     return table.read(spark).select("order_detail_id", "user_id", "dt", "index_name", "order_status")
 
 

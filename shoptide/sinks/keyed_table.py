@@ -50,11 +50,14 @@ class KeyedTable:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
         return self
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        """Put a batch. Rows are spread evenly over files of a sensible size, also when one day has most of them."""
+    def write(self, batch: DataFrame, batch_id: int, spread: bool = True) -> None:
+        """Put a batch. Rows are spread evenly over files of a sensible size, also when one day has most of them.
+
+        A batch of one day needs no shuffle for that: without ``spread`` each task writes the rows it has.
+        """
         rows = batch.select(*self.schema.names).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         rows = rows.withColumn(BUCKET, self._bucket()) if self.buckets else rows
-        rows = rows.hint("rebalance", *self._parts) if self._parts else rows
+        rows = rows.hint("rebalance", *self._parts) if self._parts and spread else rows
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*self._parts, BATCH).parquet(self.path)
 

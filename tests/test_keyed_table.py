@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,3 +108,10 @@ def test_rows_without_a_day(spark, root):
     t.write(batch(spark, ("1", None, "c", 0)), 1)
     assert rows(t.read(spark, [None]), "id", "value") == [("1", "c")]
     assert rows(t.read(spark, [None, "d1"]), "id") == [("1",), ("2",)]
+
+
+def test_a_batch_of_one_day_is_written_where_it_is(spark, root):
+    t = table(spark, root)
+    t.write(batch(spark, *[(str(i), "d1", "v", i) for i in range(30)]).repartition(3), 0, spread=False)
+    assert len(list(Path(f"{root}/t/day=d1/batch_id=0").glob("*.parquet"))) == 3
+    assert t.read(spark).count() == 30
