@@ -544,9 +544,9 @@ def stream_log_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_stream_cdc_topics", f"WITH {V.ROUTED} SELECT topic, image AS value FROM routed")
 def stream_cdc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A database log, kept as JSON files, split into topics."""
+    """A database log, kept as packed JSON files, as many as the tasks that write them, split into topics."""
     root = scratch_dir(spark, "cdc-")
-    B._as_json(V.cdc_change(spark, sf_dir)).write.text(f"{root}/changes")
+    B._as_json(V.cdc_change(spark, sf_dir)).write.text(f"{root}/changes", compression="gzip")
     changes = parse_changes(spark.readStream.text(f"{root}/changes"))
     finish(outputs.to_topic_files(jobs.collect_changes(changes), f"{root}/topics", f"{root}/checkpoint"))
     return spark.read.schema("value string, topic string").json(f"{root}/topics")
