@@ -27,6 +27,14 @@ K1, B = 1.2, 0.75
 PART, BUCKET = "part", "bucket"
 
 
+def _runs(terms: str) -> Column:
+    """(term, tf) of each stretch of equal terms in a sorted array that is not empty."""
+    size = F.size(terms)
+    begins = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, i - 1)))
+    ends = F.concat(F.slice(begins, F.lit(2), size), F.array(size))
+    return F.zip_with(begins, ends, lambda a, b: F.struct(F.get(terms, a).alias("term"), (b - a).cast("bigint").alias("tf")))
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """``key`` tells documents apart; it must be unique within a part, and a document belongs to one part."""
@@ -49,12 +57,16 @@ class TextIndex:
     def build(self, docs: DataFrame, text: str, part: Column | None = None) -> TextIndex:
         """Index the documents' ``text``; the parts they belong to are replaced."""
         part = F.lit("all") if part is None else F.coalesce(part.cast("string"), F.lit("none"))
-        rows = docs.select(F.col(self.key), part.alias(PART), words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
-        rows = rows.withColumn("length", F.size("words"))
+        texts = docs.select(F.col(self.key), part.alias(PART), F.coalesce(F.col(text), F.lit("")).alias("body"))
+        length = F.size(words(F.col("body")))
+        rows = texts.select(PART, length.alias("length"))
         lengths = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("docs"), F.sum("length").cast("bigint").alias("total"))
         self._write(lengths.coalesce(1), "lengths", PART)
-        counted = rows.select(self.key, PART, "length", F.explode("words").alias("term")).groupBy(PART, self.key, "length", "term")
-        postings = counted.agg(F.count(F.lit(1)).alias("tf")).withColumn(BUCKET, self._bucket(F.col("term")))
+        # Texts are shuffled, not their words; a document's words are then counted where it is.
+        split = texts.repartition(self.key).select(self.key, PART, words(F.col("body")).alias("words"))
+        merged = split.groupBy(PART, self.key, F.size("words").alias("length")).agg(F.flatten(F.collect_list("words")).alias("words"))
+        postings = merged.where("length > 0").select(self.key, PART, "length", F.sort_array("words").alias("words"))
+        postings = postings.select(self.key, PART, "length", F.inline(_runs("words"))).withColumn(BUCKET, self._bucket(F.col("term")))
         self._write(postings.hint("rebalance", PART, BUCKET).sortWithinPartitions(PART, BUCKET, "term"), "postings", PART, BUCKET)
         spark = docs.sparkSession
         terms = self._read(spark, "postings").groupBy(PART, BUCKET, "term").agg(F.count(F.lit(1)).alias("df"))

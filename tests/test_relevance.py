@@ -88,3 +88,14 @@ def test_no_documents(spark, root):
     none = spark.createDataFrame([], "id int, body string")
     index = relevance.TextIndex(root, "id", T.IntegerType()).build(none, "body")
     assert index.search(spark, "red").count() == 0
+
+
+def test_a_document_is_counted_where_its_text_is(spark, root):
+    """Texts are shuffled once; repeated rows of a key count as one longer text only where they are as long."""
+    docs = spark.createDataFrame([(1, "a b a"), (1, "b b c"), (1, "a"), (None, "a"), (None, "b"), (2, "")], "id int, body string")
+    relevance.TextIndex(root, "id", T.IntegerType(), buckets=2).build(docs, "body")
+    found = rows(spark.read.parquet(f"{root}/postings"), "id", "length", "term", "tf")
+    want = [(1, 3, "a", 2), (1, 3, "b", 3), (1, 3, "c", 1), (1, 1, "a", 1), (None, 1, "a", 1), (None, 1, "b", 1)]
+    assert found == sorted(want, key=repr)
+    runs = spark.createDataFrame([(["a", "a", "b"],), (["z"],)], "w array<string>").select(F.inline(relevance._runs("w")))
+    assert rows(runs) == [("a", 2), ("b", 1), ("z", 1)]
