@@ -74,17 +74,21 @@ def sale_index(root: str, day: str = "index_name") -> KeyedTable:
     return KeyedTable(f"{root}/sales", SALE_DOCS, key="order_detail_id", partition=day, order=("offset",))
 
 
-# Files of a topic that make up a batch.
-FILES = 4
+# Files of a topic that make up a batch, at least, and about so many rows a file where there are more.
+FILES, FILE_ROWS = 4, 250_000
 
 
-def topic(spark: SparkSession, root: str, name: str, batches: list[DataFrame]) -> DataFrame:
-    """Keeps batches of (columns, offset, timestamp) as a topic's files of JSON text; a stream that takes one at a time."""
+def topic(spark: SparkSession, root: str, name: str, batches: list[DataFrame], source: DataFrame | None = None) -> DataFrame:
+    """Keeps batches of (columns, offset, timestamp) as a topic's files of JSON text; a stream that takes one at a time.
+
+    Every batch is as many files; of a large ``source``, the table all batches come from, they are more.
+    """
+    files = FILES if source is None else max(FILES, source.count() // (len(batches) * FILE_ROWS))
     for rows in batches:
         text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("offset", "timestamp")]))
         records = rows.select(text.alias("value"), F.col("offset").cast("bigint").alias("offset"), "timestamp")
-        records.repartition(FILES).write.mode("append").json(f"{root}/topics/topic={name}")
-    return topic_files(spark, name, f"{root}/topics", maxFilesPerTrigger=str(FILES))
+        records.repartition(files).write.mode("append").json(f"{root}/topics/topic={name}")
+    return topic_files(spark, name, f"{root}/topics", maxFilesPerTrigger=str(files))
 
 
 def _arrived(df: DataFrame, offset: str, arrival: Column | None = None) -> DataFrame:
@@ -443,7 +447,8 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     beat = spark.createDataFrame([("", last + 3_600_000)], "mid string, ts long").withColumn("offset", F.lit(1))
     beat = beat.withColumn("timestamp", F.timestamp_millis("ts"))
     batches = [events.where(at < times[0]), events.where((at >= times[0]) & (at < times[1])), events.where(at >= times[1]), beat]
-    finish(jobs.alert_job(topic(spark, root, "event", batches), index, f"{root}/checkpoint"))
+    raw = topic(spark, root, "event", batches, source=read_table(spark, sf_dir, "events"))
+    finish(jobs.alert_job(raw, index, f"{root}/checkpoint"))
     found = B._joined(index.read(spark), "uids", "item_ids", "events")
     return found.select("doc_id", "mid", "uids", "item_ids", "events", "ts")
 
@@ -483,7 +488,7 @@ def _sale_topics(spark: SparkSession, sf_dir: str, root: str, users: KeyedTable)
     users.write(known, 0)
     orders = V.order_info(spark, sf_dir).withColumn("offset", F.col("id").cast("bigint"))
     orders = orders.withColumn("timestamp", _second_of_day("offset"))
-    lines = read_table(spark, sf_dir, "lineitem")
+    lines = table = read_table(spark, sf_dir, "lineitem")
     delay = (F.col("l_linenumber") - 1) * 40 - 60
     extra = (F.col("l_orderkey").alias("offset"), _second_of_day("l_orderkey", delay).alias("timestamp"), F.expr(LATE_LINE).alias("late"))
     lines = V.line_columns(lines, read_table(spark, sf_dir, "part"), extra).drop("delay_s")
@@ -495,7 +500,8 @@ def _sale_topics(spark: SparkSession, sf_dir: str, root: str, users: KeyedTable)
 
     first, second, third = (b.drop("late") for b in by_time(lines.where("not late")))
     third = third.unionByName(lines.where("late").drop("late"))
-    return topic(spark, root, "order_info", by_time(orders)), topic(spark, root, "order_detail", [first, second, third])
+    info = topic(spark, root, "order_info", by_time(orders), source=orders)
+    return info, topic(spark, root, "order_detail", [first, second, third], source=table)
 
 
 @query(

@@ -409,15 +409,16 @@ def sale_table_job(
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        def side(name: str, schema: T.StructType) -> DataFrame:
+            rows = checked_records(batch.where(F.col("side") == name), schema, keep=("timestamp", "offset"))
+            rows = rows.where("reason is null").drop("value", "reason")
+            return rows.withColumn("arrived", F.date_format("timestamp", _HOUR))
+
+        # Records are kept as they are parsed: they are looked at several times.
+        new_orders = mask_phone(side(SIDE_ORDER, schemas.ORDER_INFO)).persist()
+        new_details = side(SIDE_LINE, schemas.ORDER_DETAIL).persist()
         try:
-            def side(name: str, schema: T.StructType) -> DataFrame:
-                rows = checked_records(kept.where(F.col("side") == name), schema, keep=("timestamp", "offset"))
-                rows = rows.where("reason is null").drop("value", "reason")
-                return rows.withColumn("arrived", F.date_format("timestamp", _HOUR))
-
-            new_orders, new_details = mask_phone(side(SIDE_ORDER, schemas.ORDER_INFO)), side(SIDE_LINE, schemas.ORDER_DETAIL)
-            hours = _hours_around(kept, bound_s)
+            hours = _hours_around(new_orders.select("timestamp").unionAll(new_details.select("timestamp")), bound_s)
             info = _with_waiting(new_orders, orders, hours, batch_id)
             info = ingest_orders(info).withColumnsRenamed({"timestamp": "order_time", "is_new": "new_order"})
             lines = _with_waiting(new_details, details, hours, batch_id)
@@ -427,7 +428,7 @@ def sale_table_job(
             joined = sale.join_hot_orders(info, lines, hot, bound_s).where("new_order or new_line").persist()
             try:
                 wanted = joined.select(F.col("user_id").alias("id")).distinct()
-                enriched = sale.enrich_user(joined, users(kept.sparkSession, wanted), as_of, keep=keep)
+                enriched = sale.enrich_user(joined, users(batch.sparkSession, wanted), as_of, keep=keep)
                 day = index_name(prefix, F.col("detail_time").cast("date"))
                 _put_counted(index, enriched.withColumn("index_name", day), batch_id)
             finally:
@@ -435,7 +436,8 @@ def sale_table_job(
             orders.write(new_orders, batch_id)
             details.write(new_details, batch_id)
         finally:
-            kept.unpersist()
+            new_orders.unpersist()
+            new_details.unpersist()
 
     return _each_batch(sale_sides(orders_raw, details_raw), checkpoint, put)
 

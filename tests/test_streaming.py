@@ -16,7 +16,7 @@ from shoptide.plans import streams as S
 from shoptide.sinks import outputs
 from shoptide.sources.streams import topic_files
 from shoptide.streaming import jobs
-from tests.conftest import rows
+from tests.conftest import SF_DIR, rows
 
 T0 = 1705276800000  # 2024-01-15 00:00 UTC
 
@@ -333,3 +333,37 @@ def test_trigger_and_clock(spark, topics, root):
     running.stop()
     got = spark.read.json(f"{root}/out").select(F.get_json_object("value", "$.ts").cast("bigint").alias("ts")).first()
     assert got.ts > T0
+
+
+def test_large_topics_have_more_files_in_each_batch(spark, root, monkeypatch):
+    monkeypatch.setattr(S, "FILE_ROWS", 100)
+    rows_ = spark.range(2000).select(F.col("id").alias("offset"), F.col("id").alias("n"), F.current_timestamp().alias("timestamp"))
+    raw = S.topic(spark, root, "t", [rows_.where("n < 900"), rows_.where("n >= 900")], source=rows_)
+    batches = []
+    writer = raw.writeStream.foreachBatch(lambda df, i: batches.append(sorted(r.offset for r in df.select("offset").collect())))
+    S.finish(writer.option("checkpointLocation", f"{root}/c"))
+    assert len(list(Path(f"{root}/topics/topic=t").glob("*.json"))) == 20
+    assert batches == [list(range(900)), list(range(900, 2000))]
+
+
+def test_sides_of_a_sale_are_kept_as_parsed(spark, topics, root, monkeypatch):
+    """What the waiting join looks at several times is the parsed records, not their text."""
+    plans = []
+    counted = jobs.sale.hot_orders
+    monkeypatch.setattr(jobs.sale, "hot_orders", lambda lines, n: (plans.append(lines._jdf.queryExecution().optimizedPlan().toString()), counted(lines, n))[1])
+    topics.send("order_detail", [{"id": "a", "order_id": "1", "_at": stamp(0)}])
+    topics.send("order_info", [{"id": "1", "user_id": "u1", "create_time": "2024-01-15 00:00:00", "_at": stamp(1)}])
+    index, users = S.sale_index(root).create(spark), S.user_table(root).create(spark)
+    waiting = [jobs.waiting_table(f"{root}/{n}", s).create(spark) for n, s in (("o", schemas.ORDER_INFO), ("l", schemas.ORDER_DETAIL))]
+    raws = [topic_files(spark, t, topics.folder) for t in ("order_info", "order_detail")]
+    S.finish(jobs.sale_table_job(*raws, lambda s, wanted: users.read(s, only=wanted), index, *waiting, f"{root}/c"))
+    assert rows(index.read(spark), "order_detail_id") == [("a",)]
+    (plan,) = plans
+    assert "InMemoryRelation" in plan and "from_json" not in plan.split("InMemoryRelation")[0]
+
+
+def test_the_change_log_is_kept_packed(spark, root, monkeypatch):
+    monkeypatch.setattr(S, "scratch_dir", lambda spark, prefix: f"{root}/{prefix}")
+    found = S.stream_cdc_topics(spark, SF_DIR).count()
+    kept = list(Path(f"{root}/cdc-/changes").glob("part-*"))
+    assert found > 0 and kept and all(f.name.endswith(".gz") for f in kept)
