@@ -8,7 +8,8 @@ the calibrated log-odds are added up, less the prior once, as for independent vi
 Fitting reads a bounded part, whole texts all: labelled documents, at most about ``sample / 2`` of each class, chosen by the hash
 of the id, and 2 * ``grow`` pseudo-labelled ones a view and round, the surest of all. Equal texts count once there, so a
 large group of copies is no more than one of them. The classes' shares among the labelled are those of the whole
-table again once a view is calibrated. Choosing the surest is a partial aggregate by text and a top-n.
+table again once a view is calibrated. All documents are scored where they are read, and labelled ones dropped after: ids, hashes of
+texts and log-odds are shuffled, texts are not. Choosing the surest is a partial aggregate by text and a top-n.
 
 Defined results. Null and empty texts and null metadata have features too (of nothing), so every row gets a score.
 Labels that are null are not labels; of several labels of one document the mean counts, from 0.5 on as good. Without rows of
@@ -19,6 +20,7 @@ rows are scored one by one. Of equally sure texts that with the smaller id is ta
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 from math import log
 
@@ -29,8 +31,9 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shoptide.llm.common import ROW, annotate, sampled, stored, texts, words
+from shoptide.llm.common import ROW, annotate, pieces, sampled, stored, texts, words
 
 WORD_CELLS, META_CELLS, SHAPES = 512, 256, 8
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128) + bytes(range(128, 256))
@@ -99,14 +102,20 @@ SURE = log(9.0)
 
 
 def linear_odds(docs: DataFrame, weights: list[tuple[np.ndarray, float]]) -> DataFrame:
-    """``row`` and the log-odds of every view, ``text_view`` and ``meta_view``."""
+    """``doc_id``, ``text_hash`` and the log-odds of every view, ``text_view`` and ``meta_view``, without the texts."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    kept = ["doc_id", "text_hash"]
+    schema = T.StructType([*[docs.schema[c] for c in kept], *[T.StructField(v, T.DoubleType()) for v in VIEWS]])
 
-    def values(batch: pa.RecordBatch) -> list[pa.Array]:
-        rows = (np.array([text_features(t) for t in texts(batch.column("text"))]), np.array(meta_rows(batch)))
-        return [pa.array(x @ w + bias) for x, (w, bias) in zip(rows, shared.value)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                for _, part in pieces(batch, 1 << 20):
+                    rows = (np.array([text_features(t) for t in texts(part.column("text"))]), np.array(meta_rows(part)))
+                    odds = [pa.array(x @ w + bias) for x, (w, bias) in zip(rows, shared.value)]
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *odds], names=schema.names)
 
-    return annotate(docs, values, ", ".join(f"{v} double" for v in VIEWS), at_a_time=1 << 20)
+    return docs.select(F.struct(*docs.columns).alias(ROW)).mapInArrow(run, schema)
 
 
 def surest(odds: DataFrame, view: str, grow: int) -> DataFrame:
@@ -141,8 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, grow: int = 500,
     if not 0 < prior < 1:
         return constant
     used = [c for c in ("doc_id", "text", "source", "lang", "n_chars") if c in docs.columns]
-    docs = docs.select(used)
-    marked = docs.withColumn("text_hash", F.xxhash64("text"))
+    marked = docs.select(used).withColumn("text_hash", F.xxhash64("text"))
     # ``chosen`` has about ``sample`` rows at most, what is picked below 4 * ``grow``
     rows = learned(marked.join(F.broadcast(stored(chosen, "labels")), "doc_id"))
     held_out = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0
@@ -150,12 +158,13 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, grow: int = 500,
     shares = [part.agg(F.avg("label")).first()[0] for part in (labelled, check)]
     if not all(s is not None and 0 < s < 1 for s in shares):
         return constant
-    unlabelled = docs.join(labels.where("quality is not null").select("doc_id").distinct(), "doc_id", "left_anti").where("doc_id is not null")
+    known = labels.where("quality is not null").select("doc_id").distinct()
     own = {v: labelled for v in VIEWS}
     for _ in range(rounds):
-        found = linear_odds(unlabelled, [linear(fit(own[v], v)) for v in VIEWS])
-        row = F.col(ROW)
-        by_text = found.groupBy(F.xxhash64(row["text"]).alias("text_hash")).agg(F.min(F.struct(row["doc_id"].alias("doc_id"), *VIEWS)).alias("x"))
+        # joined after scoring: before it, the texts of all documents would be shuffled
+        found = linear_odds(marked.where("doc_id is not null"), [linear(fit(own[v], v)) for v in VIEWS])
+        unlabelled = found.join(known, "doc_id", "left_anti")
+        by_text = unlabelled.groupBy("text_hash").agg(F.min(F.struct("doc_id", *VIEWS)).alias("x"))
         odds = stored(by_text.select("text_hash", "x.*"), "odds")
         for view, other in zip(VIEWS, reversed(VIEWS)):
             # a text keeps its first label

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from math import log10
 from zlib import crc32
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from shoptide.llm import arrays, binpack, bitsliced, cotrain, ngram_lm, queries, simhash
-from shoptide.llm.common import hash_bound, sampled
+from shoptide.llm.common import hash_bound, sampled, stored
 from tests.conftest import SF_DIR
 from tests.llm.data import documents, empty, odd
 
@@ -296,6 +297,34 @@ def test_views_learn_from_each_other(spark):
     assert text_right(alone) < 0.7 and text_right(both) == 1.0
 
 
+def test_unlabelled_texts_are_scored_once_and_not_shuffled(spark, monkeypatch):
+    rows = [(i, f"{'fine' if i % 2 else 'poor'} w{i % 60}", "en", f"s{i % 2}", 10) for i in range(300)] + [(None, "no id", "en", "s0", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    labels = spark.createDataFrame([(i, i % 2 if i < 100 else None) for i in range(110)], "doc_id long, quality int")
+    seen = []
+
+    def watched(df, name):
+        if name == "odds":
+            seen.append((spark._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted"), df))
+        return stored(df, name)
+
+    monkeypatch.setattr(cotrain, "stored", watched)
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cotrain.train(docs, labels, rounds=1, grow=5)
+        (plan, odds), = seen
+        got = sorted(r.doc_id for r in odds.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    first = {}
+    for i, text, *_ in rows[100:-1]:
+        first.setdefault(text, i)
+    assert got == sorted(first.values())
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len(shuffled) >= 3 and not re.search(r"\b(text|row)#", " ".join(shuffled))
+
+
 def test_quality_without_both_classes(spark):
     for labels, share in (([], 0.5), ([(1, 1), (2, 1)], 1.0), ([(1, None)], 0.5)):
         model = cotrain.train(odd(spark), spark.createDataFrame(labels, "doc_id long, quality int"))
