@@ -86,22 +86,33 @@ def hot_orders(detail: DataFrame, at_least: int = HOT_LINES) -> DataFrame:
 
 
 def join_hot_orders(
-    info: DataFrame, detail: DataFrame, hot: DataFrame, bound_s: int, info_time: str = "order_time", detail_time: str = "detail_time"
+    info: DataFrame,
+    detail: DataFrame,
+    hot: DataFrame | None,
+    bound_s: int,
+    info_time: str = "order_time",
+    detail_time: str = "detail_time",
+    of_order: tuple[str, ...] = (),
 ) -> DataFrame:
     """The same as :func:`join_orders_details`, with orders copied only if they are ``hot``, to each part of their lines.
 
-    All other orders are sent once. Rows of ``info`` and ``detail`` carry ``new_order`` and ``new_line`` along.
+    All other orders are sent once; without ``hot`` all are. Rows of ``info`` and ``detail`` carry ``new_order`` and
+    ``new_line`` along.
     """
-    hot = F.broadcast(hot)  # at most MOST_HOT rows
-    parts = F.coalesce(F.col("parts"), F.lit(1))
-    orders = _order_part(info, info_time, "new_order").join(hot, F.col("order_id") == F.col("hot_id"), "left")
-    orders = orders.withColumn("order_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("hot_id", "parts")
-    lines = _line_part(detail, detail_time, "offset", "new_line").join(hot, F.col("line_order_id") == F.col("hot_id"), "left")
-    lines = lines.withColumn("line_salt", F.pmod(F.xxhash64("order_detail_id", "offset"), parts).cast("int")).drop("hot_id", "parts")
+    orders = _order_part(info, info_time, "new_order", *of_order)
+    lines = _line_part(detail, detail_time, "offset", "new_line")
+    same = F.col("order_id") == F.col("line_order_id")
+    if hot is not None:
+        hot = F.broadcast(hot)  # at most MOST_HOT rows
+        parts = F.coalesce(F.col("parts"), F.lit(1))
+        orders = orders.join(hot, F.col("order_id") == F.col("hot_id"), "left")
+        orders = orders.withColumn("order_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("hot_id", "parts")
+        lines = lines.join(hot, F.col("line_order_id") == F.col("hot_id"), "left")
+        lines = lines.withColumn("line_salt", F.pmod(F.xxhash64("order_detail_id", "offset"), parts).cast("int")).drop("hot_id", "parts")
+        same = same & (F.col("order_salt") == F.col("line_salt"))
     gap = F.make_dt_interval(secs=F.lit(bound_s))
     near = F.col(detail_time).between(F.col(info_time) - gap, F.col(info_time) + gap)
-    same = (F.col("order_id") == F.col("line_order_id")) & (F.col("order_salt") == F.col("line_salt"))
-    return lines.join(orders, same & near).select(*_MERGED, detail_time, "offset", "new_order", "new_line")
+    return lines.join(orders, same & near).select(*_MERGED, *of_order, detail_time, "offset", "new_order", "new_line")
 
 
 def full_outer(info: DataFrame, detail: DataFrame) -> DataFrame:

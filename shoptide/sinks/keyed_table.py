@@ -61,6 +61,15 @@ class KeyedTable:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*self._parts, BATCH).parquet(self.path)
 
+    def forget(self, spark: SparkSession, below: str) -> None:
+        """Delete the partitions with a value below the given one, such as hours nobody will ask for."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in files.listStatus(path):
+            name, _, value = found.getPath().getName().partition("=")
+            if name == self.partition and value < below:
+                files.delete(found.getPath(), True)
+
     def rewritten(self, spark: SparkSession, path: str) -> KeyedTable:
         """A new table with the current rows, older than any batch to come."""
         new = replace(self, path=path).create(spark)

@@ -27,6 +27,7 @@ from shoptide.operators.keyed import latest_by_key
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 from shoptide.sources.streams import rejected_changes
+from shoptide.streaming import lateness
 
 log = logging.getLogger(__name__)
 
@@ -323,6 +324,12 @@ def sale_stream(
     return sale.join_orders_details(orders, details, bound_s, salts=salts)
 
 
+# What a sale takes from its order and its line, in the order of the records.
+_SALE_ORDER = T.StructType([f for f in schemas.ORDER_INFO.fields if f.name in ("id", "consignee_tel", "order_status", "user_id", "create_time")])
+_SALE_LINE = T.StructType([f for f in schemas.ORDER_DETAIL.fields if f.name in ("id", "order_id", "sku_name", "sku_id", "order_price")])
+_MARKS = "latest_order bigint, latest_line bigint, mark bigint"
+
+
 def sale_job(
     orders_raw: DataFrame,
     details_raw: DataFrame,
@@ -331,27 +338,50 @@ def sale_job(
     checkpoint: str,
     prefix: str = C.INDEX_SALE_DETAIL,
     as_of: Column | str | None = None,
-    **options,
+    bound_s: int = C.JOIN_BOUND_S,
+    late: str = "10 seconds",
+    salts: int = C.STREAM_SALTS,
 ) -> DataStreamWriter:
     """Sale details with the buyer, put under the line's id into the index of the line's arrival day.
 
+    The rows are those of :func:`sale_stream`, late ones judged as Spark judges them there: a record falls if it arrived no
+    later than the watermark of the batch before, which lies ``late`` before the latest arrival of either topic. But what waits
+    lies in tables below the checkpoint, by hour of arrival, and not in the memory of a stateful join, which keeps every record
+    of a batch. A batch joins its own records, and reads the hours around them; hours the watermark has passed are deleted. With
+    ``salts`` above 1 hot orders are copied to as many tasks as their lines need (:func:`sale.hot_orders`).
+
     The day comes with the record, so a batch that is replayed after midnight lands in the same index.
     ``users(spark, wanted)`` returns the records of the wanted ids, for example ``KeyedTable.read(only=wanted)``.
     """
+    spark = orders_raw.sparkSession
+    late_ms = spark.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"interval '{late}'"))).first()[0]
+    orders, details = waiting_table(f"{checkpoint}/waiting/orders", _SALE_ORDER), waiting_table(f"{checkpoint}/waiting/lines", _SALE_LINE)
+    clock = lateness.Clock(f"{checkpoint}/waiting/clock", _MARKS)
+    gap = F.make_dt_interval(secs=F.lit(bound_s))
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.persist()
-        try:
-            wanted = lines.select(F.col("user_id").alias("id")).distinct()
-            keep = ("detail_time", "offset")
-            enriched = sale.enrich_user(lines, users(batch.sparkSession, wanted), as_of, keep=keep)
-            day = index_name(prefix, F.col("detail_time").cast("date"))
-            _put_counted(index, enriched.withColumn("index_name", day), batch_id)
-        finally:
-            lines.unpersist()
-
-    joined = sale_stream(orders_raw, details_raw, **options)
-    return _each_batch(joined, checkpoint, put)
+        spark = batch.sparkSession
+        marks = clock.row_before(spark, batch_id) or (None, None, 0)
+        latest, passed = list(marks[:2]), marks[2]
+        mark = passed if None in latest else max(passed, min(latest) - late_ms)
+        at, before, now = F.col("timestamp"), F.timestamp_millis(F.lit(passed)), F.timestamp_millis(F.lit(mark))
+        with _sale_sides(batch, orders, details) as sides:
+            for n, (side, key) in enumerate(zip(sides, ("id", "order_id"))):
+                seen = side.where(F.col(key).isNotNull()).agg(F.max(F.unix_millis("timestamp"))).first()[0]
+                latest[n] = max((x for x in (latest[n], seen) if x is not None), default=None)
+            in_time = [side.where(at > before) for side in sides]
+            _put_sales(*in_time, users, index, orders, details, batch_id, prefix, as_of, bound_s, sale.HOT_LINES if salts > 1 else None)
+            for table, side in zip((orders, details), in_time):
+                _put_waiting(table, side.where(at >= now - gap), batch_id)
+        clock.put_row(spark, batch_id, (*latest, mark))
+        # This batch may run again, so what it may have read stays; so does an hour more, which clocks may be set back by.
+        oldest = spark.range(1).select(F.date_format(before - gap - F.expr("interval 2 hours"), _HOUR)).first()[0]
+        for table in (orders, details):
+            table.forget(spark, oldest)
+
+    for table in (orders, details):
+        table.create(spark)
+    return _each_batch(sale_sides(orders_raw, details_raw), checkpoint, put)
 
 
 def waiting_table(path: str, schema: T.StructType) -> KeyedTable:
@@ -372,6 +402,29 @@ def sale_sides(orders_raw: DataFrame, details_raw: DataFrame) -> DataFrame:
     return orders.unionByName(details_raw.select(F.lit(SIDE_LINE).alias("side"), *columns))
 
 
+@contextmanager
+def _sale_sides(batch: DataFrame, orders: KeyedTable, details: KeyedTable) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """A batch's orders and lines, with the fields their tables keep. They are kept as parsed, as they are looked at several times."""
+
+    def side(name: str, table: KeyedTable) -> DataFrame:
+        waiting = [n for n, _ in _WAITING]
+        schema = T.StructType([f for f in table.schema.fields if f.name not in waiting])
+        rows = checked_records(batch.where(F.col("side") == name), schema, keep=("timestamp", "offset"))
+        rows = rows.where("reason is null").drop("value", "reason")
+        return rows.withColumn("arrived", F.date_format("timestamp", _HOUR))
+
+    new_orders, new_details = mask_phone(side(SIDE_ORDER, orders)).persist(), side(SIDE_LINE, details).persist()
+    try:
+        yield new_orders, new_details
+    finally:
+        new_orders.unpersist()
+        new_details.unpersist()
+
+
+def _put_waiting(table: KeyedTable, new: DataFrame, batch_id: int) -> None:
+    table.write(new, batch_id)
+
+
 def _with_waiting(new: DataFrame, table: KeyedTable, hours: list[str], batch_id: int) -> DataFrame:
     """A batch's records and those of earlier batches that arrived in the given hours, with ``is_new``."""
     spark = new.sparkSession
@@ -383,8 +436,38 @@ def _hours_around(rows: DataFrame, bound_s: int) -> list[str]:
     """The hours in which partners of the rows may have arrived."""
     gap, hour = F.make_dt_interval(secs=F.lit(bound_s)), F.expr("interval 1 hour")
     at = F.col("timestamp")
-    spans = rows.where(at.isNotNull()).select(F.explode(F.sequence(F.date_trunc("hour", at - gap), F.date_trunc("hour", at + gap), hour)).alias("h"))
-    return [r[0] for r in spans.select(F.date_format("h", _HOUR)).distinct().collect()]
+    spans = rows.where(at.isNotNull()).groupBy("arrived").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    first, last = F.date_trunc("hour", F.col("first") - gap), F.date_trunc("hour", F.col("last") + gap)
+    return [r[0] for r in spans.select(F.explode(F.sequence(first, last, hour)).alias("h")).select(F.date_format("h", _HOUR)).distinct().collect()]
+
+
+def _put_sales(
+    new_orders: DataFrame,
+    new_details: DataFrame,
+    users: Callable[[SparkSession, DataFrame], DataFrame],
+    index: KeyedTable,
+    orders: KeyedTable,
+    details: KeyedTable,
+    batch_id: int,
+    prefix: str,
+    as_of: Column | str | None,
+    bound_s: int,
+    hot_lines: int | None,
+) -> None:
+    """Pairs of a batch's records, with each other and with waiting ones, put into the index with their buyers.
+
+    Lines are joined last: orders, of which there are fewer, meet their buyers before, as in :func:`sale.sale_details`.
+    """
+    # Partners of lines are looked for among waiting orders, and the other way round.
+    info = _with_waiting(new_orders, orders, _hours_around(new_details, bound_s), batch_id)
+    info = ingest_orders(info).withColumnsRenamed({"timestamp": "order_time", "is_new": "new_order"})
+    lines = _with_waiting(new_details, details, _hours_around(new_orders, bound_s), batch_id)
+    lines = lines.withColumnsRenamed({"timestamp": "detail_time", "is_new": "new_line"})
+    hot = None if hot_lines is None else sale.hot_orders(lines, hot_lines)
+    bought = sale.add_buyer(info, users(info.sparkSession, info.select(F.col("user_id").alias("id")).distinct()), as_of)
+    joined = sale.join_hot_orders(bought, lines, hot, bound_s, of_order=sale.BUYER).where("new_order or new_line")
+    found = joined.select(*schemas.SALE_DETAIL_COLUMNS, "detail_time", "offset")
+    _put_counted(index, found.withColumn("index_name", index_name(prefix, F.col("detail_time").cast("date"))), batch_id)
 
 
 def sale_table_job(
@@ -400,44 +483,19 @@ def sale_table_job(
     bound_s: int = C.JOIN_BOUND_S,
     hot_lines: int = sale.HOT_LINES,
 ) -> DataStreamWriter:
-    """What :func:`sale_job` does, with what waits for a partner in two tables instead of the state of a join.
+    """What :func:`sale_job` does, with no record too late: partners are those within the bound, whenever they are delivered.
 
     Each batch joins its own records with each other and with the waiting ones that arrived in the hours around them, a
     pair in the batch of the later one of the two. Here the lines of every order can be counted before they are
     joined, so only orders found hot (:func:`sale.hot_orders`) are copied, to as many tasks as their lines need, and a record
-    is kept once. No record is too late: partners are those within the bound, whenever they are delivered.
+    is kept once.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        def side(name: str, schema: T.StructType) -> DataFrame:
-            rows = checked_records(batch.where(F.col("side") == name), schema, keep=("timestamp", "offset"))
-            rows = rows.where("reason is null").drop("value", "reason")
-            return rows.withColumn("arrived", F.date_format("timestamp", _HOUR))
-
-        # Records are kept as they are parsed: they are looked at several times.
-        new_orders = mask_phone(side(SIDE_ORDER, schemas.ORDER_INFO)).persist()
-        new_details = side(SIDE_LINE, schemas.ORDER_DETAIL).persist()
-        try:
-            hours = _hours_around(new_orders.select("timestamp").unionAll(new_details.select("timestamp")), bound_s)
-            info = _with_waiting(new_orders, orders, hours, batch_id)
-            info = ingest_orders(info).withColumnsRenamed({"timestamp": "order_time", "is_new": "new_order"})
-            lines = _with_waiting(new_details, details, hours, batch_id)
-            lines = lines.withColumnsRenamed({"timestamp": "detail_time", "is_new": "new_line"})
-            hot = sale.hot_orders(lines, hot_lines)
-            keep = ("detail_time", "offset")
-            joined = sale.join_hot_orders(info, lines, hot, bound_s).where("new_order or new_line").persist()
-            try:
-                wanted = joined.select(F.col("user_id").alias("id")).distinct()
-                enriched = sale.enrich_user(joined, users(batch.sparkSession, wanted), as_of, keep=keep)
-                day = index_name(prefix, F.col("detail_time").cast("date"))
-                _put_counted(index, enriched.withColumn("index_name", day), batch_id)
-            finally:
-                joined.unpersist()
-            orders.write(new_orders, batch_id)
-            details.write(new_details, batch_id)
-        finally:
-            new_orders.unpersist()
-            new_details.unpersist()
+        with _sale_sides(batch, orders, details) as (new_orders, new_details):
+            _put_sales(new_orders, new_details, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
+            _put_waiting(orders, new_orders, batch_id)
+            _put_waiting(details, new_details, batch_id)
 
     return _each_batch(sale_sides(orders_raw, details_raw), checkpoint, put)
 

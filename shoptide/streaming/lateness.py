@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -28,21 +28,28 @@ GATED = RECORD + ", event_ms bigint, batch bigint"
 
 @dataclass(frozen=True)
 class Clock:
-    """The latest time of all batches so far, a row in a folder for each of the last two batches."""
+    """The latest time of all batches so far, or another row of figures, in a folder for each of the last two batches."""
 
     path: str
+    schema: str = "latest bigint"
 
     def _folder(self, batch_id: int) -> str:
         return f"{self.path}/batch={batch_id}"
 
     def before(self, spark: SparkSession, batch_id: int) -> int | None:
         """The latest time of the batches before this one, None if there was none."""
-        if batch_id == 0:
-            return None
-        return spark.read.schema("latest bigint").parquet(self._folder(batch_id - 1)).first()[0]
+        row = self.row_before(spark, batch_id)
+        return None if row is None else row[0]
+
+    def row_before(self, spark: SparkSession, batch_id: int) -> Row | None:
+        """The row of the batch before this one, None before the first batch."""
+        return None if batch_id == 0 else spark.read.schema(self.schema).parquet(self._folder(batch_id - 1)).first()
 
     def put(self, spark: SparkSession, batch_id: int, latest: int | None) -> None:
-        one = spark.createDataFrame([(latest,)], "latest bigint").coalesce(1)
+        self.put_row(spark, batch_id, (latest,))
+
+    def put_row(self, spark: SparkSession, batch_id: int, row: tuple) -> None:
+        one = spark.createDataFrame([row], self.schema).coalesce(1)
         one.write.mode("overwrite").parquet(self._folder(batch_id))
         old = spark._jvm.org.apache.hadoop.fs.Path(self._folder(batch_id - 2))
         old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 from pathlib import Path
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -367,3 +368,47 @@ def test_the_change_log_is_kept_packed(spark, root, monkeypatch):
     found = S.stream_cdc_topics(spark, SF_DIR).count()
     kept = list(Path(f"{root}/cdc-/changes").glob("part-*"))
     assert found > 0 and kept and all(f.name.endswith(".gz") for f in kept)
+
+
+def test_sales_wait_in_tables_and_equal_a_join_in_state(spark, topics, root):
+    """Late records of either side or both, records without a key, and a batch that is run again: the rows of Spark's own join."""
+
+    def at(second):
+        return f"2024-01-15T{second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d}.000Z"
+
+    draw, batches, hour = Random(4), 5, 3600
+    for batch in range(batches):
+        for topic in ("order_info", "order_detail"):
+            records = []
+            for n in range(120):
+                second = batch * 3 * hour + draw.randrange(300) - draw.choice([0, 0, 0, 5, 20, 120, 3 * hour, 6 * hour])
+                number = str(draw.randrange(40)) if draw.random() < 0.97 else None
+                record = {"id": number, "user_id": "u1", "create_time": "2024-01-15 00:00:00"} if topic == "order_info" else {
+                    "id": f"{batch}-{n}", "order_id": number, "order_price": "1.5", "sku_name": "red"}
+                records.append({**record, "_at": at(max(second, 0))})
+            topics.send(topic, records)
+    raws = [topic_files(spark, t, topics.folder, maxFilesPerTrigger="1") for t in ("order_info", "order_detail")]
+    writer = jobs.sale_stream(*raws, salts=1).writeStream.format("parquet").option("path", f"{root}/state")
+    S.finish(writer.option("checkpointLocation", f"{root}/state-checkpoint"))
+    want = rows(spark.read.parquet(f"{root}/state"), "order_detail_id", "order_id", "detail_time")
+
+    # The join may give a line several times, for several orders of an id; the index's history has all of them.
+    index, users = S.sale_index(root).create(spark), S.user_table(root).create(spark)
+
+    def run():
+        job = jobs.sale_job(*raws, lambda s, wanted: users.read(s, only=wanted), index, f"{root}/c")
+        query = jobs.start(job, every_s=None)
+        query.awaitTermination()
+        put = index.history(spark).join(spark.read.parquet(f"{root}/state").selectExpr("order_detail_id", "offset", "detail_time").distinct(), ["order_detail_id", "offset"], "left")
+        return query, rows(put, "order_detail_id", "order_id", "detail_time")
+
+    query, got = run()
+    assert got == want and len(got) > 100
+    assert len(query.recentProgress) >= batches and not any(p.stateOperators for p in query.recentProgress)
+    commits = Path(f"{root}/c/commits")
+    for name in (f"{batches - 1}", f".{batches - 1}.crc"):
+        shutil.move(commits / name, f"{root}/lost{name}")
+    assert run()[1] == want
+    # What the watermark has passed is not kept.
+    for side in ("orders", "lines"):
+        assert min(f.name for f in Path(f"{root}/c/waiting/{side}").glob("arrived=*")) >= f"arrived=2024-01-15-{3 * (batches - 3) - 2:02d}"
