@@ -13,7 +13,7 @@ from shoptide.operators.cells import cell_counts
 from shoptide.plans import batch as B
 from shoptide.plans import views as V
 from shoptide.plans.registry import query
-from shoptide.session import scratch_dir
+from shoptide.session import removing_shuffles, scratch_dir
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 from shoptide.sources.streams import parse_changes, table_stream, topic_files
@@ -78,17 +78,23 @@ def sale_index(root: str, day: str = "index_name") -> KeyedTable:
 FILES, FILE_ROWS = 4, 250_000
 
 
-def topic(spark: SparkSession, root: str, name: str, batches: list[DataFrame], source: DataFrame | None = None) -> DataFrame:
+def topic(
+    spark: SparkSession, root: str, name: str, batches: list[DataFrame], source: DataFrame | None = None, packed: bool = False
+) -> DataFrame:
     """Keeps batches of (columns, offset, timestamp) as a topic's files of JSON text; a stream that takes one at a time.
 
-    Every batch is as many files; of a large ``source``, the table all batches come from, they are more.
+    Every batch is as many files; of a large ``source``, the table all batches come from, they are more. A ``packed``
+    topic is for one reader: its files are compressed, and go when the batch they make up has been worked off.
     """
+    packing = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"} if packed else {}
+    read_once = {"cleanSource": "delete"} if packed else {}
     files = FILES if source is None else max(FILES, source.count() // (len(batches) * FILE_ROWS))
     for rows in batches:
         text = F.to_json(F.struct(*[c for c in rows.columns if c not in ("offset", "timestamp")]))
         records = rows.select(text.alias("value"), F.col("offset").cast("bigint").alias("offset"), "timestamp")
-        records.repartition(files).write.mode("append").json(f"{root}/topics/topic={name}")
-    return topic_files(spark, name, f"{root}/topics", maxFilesPerTrigger=str(files))
+        with removing_shuffles(spark):
+            records.repartition(files).write.mode("append").options(**packing).json(f"{root}/topics/topic={name}")
+    return topic_files(spark, name, f"{root}/topics", maxFilesPerTrigger=str(files), **read_once)
 
 
 def _arrived(df: DataFrame, offset: str, arrival: Column | None = None) -> DataFrame:
@@ -500,8 +506,8 @@ def _sale_topics(spark: SparkSession, sf_dir: str, root: str, users: KeyedTable)
 
     first, second, third = (b.drop("late") for b in by_time(lines.where("not late")))
     third = third.unionByName(lines.where("late").drop("late"))
-    info = topic(spark, root, "order_info", by_time(orders), source=orders)
-    return info, topic(spark, root, "order_detail", [first, second, third], source=table)
+    info = topic(spark, root, "order_info", by_time(orders), source=orders, packed=True)
+    return info, topic(spark, root, "order_detail", [first, second, third], source=table, packed=True)
 
 
 @query(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +55,20 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return tempfile.mkdtemp(prefix=prefix)
+
+
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def removing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Files a query shuffles go when it ends. Otherwise they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)

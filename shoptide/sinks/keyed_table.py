@@ -58,7 +58,7 @@ class KeyedTable:
         rows = batch.select(*self.schema.names).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         rows = rows.withColumn(BUCKET, self._bucket()) if self.buckets else rows
         rows = rows.hint("rebalance", *self._parts) if self._parts and spread else rows
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
         writer.partitionBy(*self._parts, BATCH).parquet(self.path)
 
     def forget(self, spark: SparkSession, below: str) -> None:

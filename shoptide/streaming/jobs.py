@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -24,6 +24,7 @@ from shoptide.operators import alerts, dau, routing, sale
 from shoptide.operators.cells import cell_changes, earlier_firsts
 from shoptide.operators.gmv import ingest_orders, with_month
 from shoptide.operators.keyed import latest_by_key
+from shoptide.session import removing_shuffles
 from shoptide.sinks import outputs
 from shoptide.sinks.keyed_table import KeyedTable
 from shoptide.sources.streams import rejected_changes
@@ -45,10 +46,10 @@ def _each_batch(stream: DataFrame, checkpoint: str, put: Callable[[DataFrame, in
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
 
 
-def _put_counted(table: KeyedTable, rows: DataFrame, batch_id: int) -> None:
+def _put_counted(table: KeyedTable, rows: DataFrame, batch_id: int, spread: bool = True) -> None:
     """Put a batch and log how many rows it had, without a second pass."""
     seen = Observation(f"{table.key}-{batch_id}")
-    table.write(dau.counted(rows, seen, ROWS), batch_id)
+    table.write(dau.counted(rows, seen, ROWS), batch_id, spread)
     log.info("%s: batch %d, %s rows", table.path, batch_id, _observed(seen, rows))
 
 
@@ -365,14 +366,16 @@ def sale_job(
         latest, passed = list(marks[:2]), marks[2]
         mark = passed if None in latest else max(passed, min(latest) - late_ms)
         at, before, now = F.col("timestamp"), F.timestamp_millis(F.lit(passed)), F.timestamp_millis(F.lit(mark))
-        with _sale_sides(batch, orders, details) as sides:
+        with removing_shuffles(spark), _sale_sides(batch, orders, details) as sides:
             for n, (side, key) in enumerate(zip(sides, ("id", "order_id"))):
                 seen = side.where(F.col(key).isNotNull()).agg(F.max(F.unix_millis("timestamp"))).first()[0]
                 latest[n] = max((x for x in (latest[n], seen) if x is not None), default=None)
             in_time = [side.where(at > before) for side in sides]
-            _put_sales(*in_time, users, index, orders, details, batch_id, prefix, as_of, bound_s, sale.HOT_LINES if salts > 1 else None)
-            for table, side in zip((orders, details), in_time):
-                _put_waiting(table, side.where(at >= now - gap), batch_id)
+            arrivals = [_arrivals(side, bound_s) for side in in_time]
+            hot_lines = sale.HOT_LINES if salts > 1 else None
+            _put_sales(*in_time, *arrivals, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
+            for table, side, arrived in zip((orders, details), in_time, arrivals):
+                table.write(side.where(at >= now - gap), batch_id, spread=not _is_large(arrived, len(arrived)))
         clock.put_row(spark, batch_id, (*latest, mark))
         # This batch may run again, so what it may have read stays; so does an hour more, which clocks may be set back by.
         oldest = spark.range(1).select(F.date_format(before - gap - F.expr("interval 2 hours"), _HOUR)).first()[0]
@@ -421,10 +424,6 @@ def _sale_sides(batch: DataFrame, orders: KeyedTable, details: KeyedTable) -> It
         new_details.unpersist()
 
 
-def _put_waiting(table: KeyedTable, new: DataFrame, batch_id: int) -> None:
-    table.write(new, batch_id)
-
-
 def _with_waiting(new: DataFrame, table: KeyedTable, hours: list[str], batch_id: int) -> DataFrame:
     """A batch's records and those of earlier batches that arrived in the given hours, with ``is_new``."""
     spark = new.sparkSession
@@ -432,18 +431,29 @@ def _with_waiting(new: DataFrame, table: KeyedTable, hours: list[str], batch_id:
     return new.withColumn("is_new", F.lit(True)).unionByName(waiting.withColumn("is_new", F.lit(False)))
 
 
-def _hours_around(rows: DataFrame, bound_s: int) -> list[str]:
-    """The hours in which partners of the rows may have arrived."""
+def _arrivals(rows: DataFrame, bound_s: int) -> list[Row]:
+    """The hours rows arrived in, with their number and the hours in which partners of theirs may have arrived (``around``)."""
     gap, hour = F.make_dt_interval(secs=F.lit(bound_s)), F.expr("interval 1 hour")
     at = F.col("timestamp")
-    spans = rows.where(at.isNotNull()).groupBy("arrived").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    spans = rows.where(at.isNotNull()).groupBy("arrived").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n"))
     first, last = F.date_trunc("hour", F.col("first") - gap), F.date_trunc("hour", F.col("last") + gap)
-    return [r[0] for r in spans.select(F.explode(F.sequence(first, last, hour)).alias("h")).select(F.date_format("h", _HOUR)).distinct().collect()]
+    around = F.transform(F.sequence(first, last, hour), lambda h: F.date_format(h, _HOUR))
+    return spans.select("arrived", "n", around.alias("around")).collect()
+
+
+# Rows for each hour or day of a batch from which on its tasks write what they have, without a shuffle for fewer files.
+LARGE = 250_000
+
+
+def _is_large(arrivals: list[Row], parts: int) -> bool:
+    return sum(r.n for r in arrivals) >= LARGE * max(parts, 1)
 
 
 def _put_sales(
     new_orders: DataFrame,
     new_details: DataFrame,
+    order_arrivals: list[Row],
+    line_arrivals: list[Row],
     users: Callable[[SparkSession, DataFrame], DataFrame],
     index: KeyedTable,
     orders: KeyedTable,
@@ -459,15 +469,18 @@ def _put_sales(
     Lines are joined last: orders, of which there are fewer, meet their buyers before, as in :func:`sale.sale_details`.
     """
     # Partners of lines are looked for among waiting orders, and the other way round.
-    info = _with_waiting(new_orders, orders, _hours_around(new_details, bound_s), batch_id)
+    near_orders, near_lines = ({h for r in arrivals for h in r.around} for arrivals in (order_arrivals, line_arrivals))
+    info = _with_waiting(new_orders, orders, sorted(near_lines), batch_id)
     info = ingest_orders(info).withColumnsRenamed({"timestamp": "order_time", "is_new": "new_order"})
-    lines = _with_waiting(new_details, details, _hours_around(new_orders, bound_s), batch_id)
+    lines = _with_waiting(new_details, details, sorted(near_orders), batch_id)
     lines = lines.withColumnsRenamed({"timestamp": "detail_time", "is_new": "new_line"})
     hot = None if hot_lines is None else sale.hot_orders(lines, hot_lines)
     bought = sale.add_buyer(info, users(info.sparkSession, info.select(F.col("user_id").alias("id")).distinct()), as_of)
     joined = sale.join_hot_orders(bought, lines, hot, bound_s, of_order=sale.BUYER).where("new_order or new_line")
     found = joined.select(*schemas.SALE_DETAIL_COLUMNS, "detail_time", "offset")
-    _put_counted(index, found.withColumn("index_name", index_name(prefix, F.col("detail_time").cast("date"))), batch_id)
+    found = found.withColumn("index_name", index_name(prefix, F.col("detail_time").cast("date")))
+    days = {r.arrived[:10] for r in line_arrivals}
+    _put_counted(index, found, batch_id, spread=not _is_large(line_arrivals, len(days)))
 
 
 def sale_table_job(
@@ -492,10 +505,11 @@ def sale_table_job(
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        with _sale_sides(batch, orders, details) as (new_orders, new_details):
-            _put_sales(new_orders, new_details, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
-            _put_waiting(orders, new_orders, batch_id)
-            _put_waiting(details, new_details, batch_id)
+        with removing_shuffles(batch.sparkSession), _sale_sides(batch, orders, details) as sides:
+            arrivals = [_arrivals(side, bound_s) for side in sides]
+            _put_sales(*sides, *arrivals, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
+            for table, side, arrived in zip((orders, details), sides, arrivals):
+                table.write(side, batch_id, spread=not _is_large(arrived, len(arrived)))
 
     return _each_batch(sale_sides(orders_raw, details_raw), checkpoint, put)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import shutil
+import time
 from pathlib import Path
 from random import Random
 
@@ -14,7 +15,9 @@ from shoptide.functions.records import checked_records, parse_event, parse_start
 from shoptide.functions.times import with_log_date_hour
 from shoptide.operators import alerts, dau
 from shoptide.plans import streams as S
+from shoptide.session import removing_shuffles
 from shoptide.sinks import outputs
+from shoptide.sinks.keyed_table import KeyedTable
 from shoptide.sources.streams import topic_files
 from shoptide.streaming import jobs
 from tests.conftest import SF_DIR, rows
@@ -412,3 +415,61 @@ def test_sales_wait_in_tables_and_equal_a_join_in_state(spark, topics, root):
     # What the watermark has passed is not kept.
     for side in ("orders", "lines"):
         assert min(f.name for f in Path(f"{root}/c/waiting/{side}").glob("arrived=*")) >= f"arrived=2024-01-15-{3 * (batches - 3) - 2:02d}"
+
+
+def shuffle_files(spark):
+    return sum(b.toString().startswith("shuffle_") for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()))
+
+
+def soon(condition):
+    """Spark removes files beside its work."""
+    for _ in range(100):
+        if condition():
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_a_packed_topic_is_compressed_and_goes_as_it_is_read(spark, root):
+    rows_ = spark.range(900).select(F.col("id").alias("offset"), F.col("id").alias("n"), F.current_timestamp().alias("timestamp"))
+    before = shuffle_files(spark)
+    raw = S.topic(spark, root, "t", [rows_.where(f"n div 300 = {i}") for i in range(3)], packed=True)
+    assert soon(lambda: shuffle_files(spark) <= before)
+    files = lambda: list(Path(f"{root}/topics/topic=t").glob("part-*"))
+    assert len(files()) == 3 * S.FILES and all(f.name.endswith(".json.gz") for f in files())
+    batches = []
+    writer = raw.writeStream.foreachBatch(lambda df, i: batches.append(sorted(r.offset for r in df.select("offset").collect())))
+    S.finish(writer.option("checkpointLocation", f"{root}/c"))
+    assert batches == [list(range(i, i + 300)) for i in (0, 300, 600)]
+    assert soon(lambda: len(files()) == S.FILES)  # those of the last batch
+
+
+def test_shuffle_files_go_when_their_query_ends(spark, root):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), removing_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == kept
+
+
+@pytest.mark.parametrize("large", [1, 1000])
+def test_large_batches_of_sales_are_not_shuffled_to_be_written(spark, topics, root, monkeypatch, large):
+    monkeypatch.setattr(jobs, "LARGE", large)
+    found, write = {}, KeyedTable.write
+
+    def noted(table, rows_, batch_id, spread=True):
+        found[table.path.removeprefix(root)] = spread
+        write(table, rows_, batch_id, spread)
+
+    monkeypatch.setattr(KeyedTable, "write", noted)
+    topics.send("order_info", [{"id": "1", "user_id": "u1", "create_time": "2024-01-15 00:00:00", "_at": stamp(1)}])
+    topics.send("order_detail", [{"id": i, "order_id": "1", "_at": stamp(2)} for i in "ab"])
+    index, users = S.sale_index(root).create(spark), S.user_table(root).create(spark)
+    waiting = [jobs.waiting_table(f"{root}/{n}", s).create(spark) for n, s in (("o", schemas.ORDER_INFO), ("l", schemas.ORDER_DETAIL))]
+    raws = [topic_files(spark, t, topics.folder) for t in ("order_info", "order_detail")]
+    S.finish(jobs.sale_table_job(*raws, lambda s, wanted: users.read(s, only=wanted), index, *waiting, f"{root}/c"))
+    assert rows(index.read(spark), "order_detail_id") == [("a",), ("b",)]
+    assert waiting[0].history(spark).count() == 1 and waiting[1].history(spark).count() == 2
+    assert found == dict.fromkeys(("/sales", "/o", "/l"), large > 1)
