@@ -26,7 +26,7 @@ from shoptide.operators.gmv import ingest_orders, with_month
 from shoptide.operators.keyed import latest_by_key
 from shoptide.session import removing_shuffles
 from shoptide.sinks import outputs
-from shoptide.sinks.keyed_table import KeyedTable
+from shoptide.sinks.keyed_table import BATCH, KeyedTable
 from shoptide.sources.streams import rejected_changes
 from shoptide.streaming import lateness
 
@@ -365,17 +365,14 @@ def sale_job(
         marks = clock.row_before(spark, batch_id) or (None, None, 0)
         latest, passed = list(marks[:2]), marks[2]
         mark = passed if None in latest else max(passed, min(latest) - late_ms)
-        at, before, now = F.col("timestamp"), F.timestamp_millis(F.lit(passed)), F.timestamp_millis(F.lit(mark))
-        with removing_shuffles(spark), _sale_sides(batch, orders, details) as sides:
-            for n, (side, key) in enumerate(zip(sides, ("id", "order_id"))):
-                seen = side.where(F.col(key).isNotNull()).agg(F.max(F.unix_millis("timestamp"))).first()[0]
-                latest[n] = max((x for x in (latest[n], seen) if x is not None), default=None)
-            in_time = [side.where(at > before) for side in sides]
-            arrivals = [_arrivals(side, bound_s) for side in in_time]
+        before = F.timestamp_millis(F.lit(passed))
+        with removing_shuffles(spark):
+            sides = _kept_sides(batch, batch_id, orders, details, F.col("timestamp") > before)
+            arrivals = [_arrivals(side, key, bound_s) for side, key in zip(sides, ("id", "order_id"))]
             hot_lines = sale.HOT_LINES if salts > 1 else None
-            _put_sales(*in_time, *arrivals, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
-            for table, side, arrived in zip((orders, details), in_time, arrivals):
-                table.write(side.where(at >= now - gap), batch_id, spread=not _is_large(arrived, len(arrived)))
+            _put_sales(*sides, arrivals, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
+        for n, side in enumerate(arrivals):
+            latest[n] = max((x for x in (latest[n], *(r.latest for r in side)) if x is not None), default=None)
         clock.put_row(spark, batch_id, (*latest, mark))
         # This batch may run again, so what it may have read stays; so does an hour more, which clocks may be set back by.
         oldest = spark.range(1).select(F.date_format(before - gap - F.expr("interval 2 hours"), _HOUR)).first()[0]
@@ -405,23 +402,18 @@ def sale_sides(orders_raw: DataFrame, details_raw: DataFrame) -> DataFrame:
     return orders.unionByName(details_raw.select(F.lit(SIDE_LINE).alias("side"), *columns))
 
 
-@contextmanager
-def _sale_sides(batch: DataFrame, orders: KeyedTable, details: KeyedTable) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """A batch's orders and lines, with the fields their tables keep. They are kept as parsed, as they are looked at several times."""
-
-    def side(name: str, table: KeyedTable) -> DataFrame:
+def _kept_sides(batch: DataFrame, batch_id: int, orders: KeyedTable, details: KeyedTable, in_time: Column | None = None) -> list[DataFrame]:
+    """A batch's orders and lines, put into their tables and read back: they are looked at several times, and parsed once."""
+    kept = []
+    for name, table in ((SIDE_ORDER, orders), (SIDE_LINE, details)):
         waiting = [n for n, _ in _WAITING]
         schema = T.StructType([f for f in table.schema.fields if f.name not in waiting])
         rows = checked_records(batch.where(F.col("side") == name), schema, keep=("timestamp", "offset"))
-        rows = rows.where("reason is null").drop("value", "reason")
-        return rows.withColumn("arrived", F.date_format("timestamp", _HOUR))
-
-    new_orders, new_details = mask_phone(side(SIDE_ORDER, orders)).persist(), side(SIDE_LINE, details).persist()
-    try:
-        yield new_orders, new_details
-    finally:
-        new_orders.unpersist()
-        new_details.unpersist()
+        rows = rows.where("reason is null").drop("value", "reason").withColumn("arrived", F.date_format("timestamp", _HOUR))
+        rows = mask_phone(rows) if name == SIDE_ORDER else rows
+        table.write(rows if in_time is None else rows.where(in_time), batch_id)
+        kept.append(table.history(batch.sparkSession).where(F.col(BATCH) == batch_id).select(*table.schema.names))
+    return kept
 
 
 def _with_waiting(new: DataFrame, table: KeyedTable, hours: list[str], batch_id: int) -> DataFrame:
@@ -431,29 +423,25 @@ def _with_waiting(new: DataFrame, table: KeyedTable, hours: list[str], batch_id:
     return new.withColumn("is_new", F.lit(True)).unionByName(waiting.withColumn("is_new", F.lit(False)))
 
 
-def _arrivals(rows: DataFrame, bound_s: int) -> list[Row]:
-    """The hours rows arrived in, with their number and the hours in which partners of theirs may have arrived (``around``)."""
+def _arrivals(rows: DataFrame, key: str, bound_s: int) -> list[Row]:
+    """The hours rows arrived in: their number, the ``latest`` with a key, and the hours ``around`` in which partners may have arrived."""
     gap, hour = F.make_dt_interval(secs=F.lit(bound_s)), F.expr("interval 1 hour")
     at = F.col("timestamp")
-    spans = rows.where(at.isNotNull()).groupBy("arrived").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n"))
+    latest = F.max(F.when(F.col(key).isNotNull(), F.unix_millis(at))).alias("latest")
+    spans = rows.where(at.isNotNull()).groupBy("arrived").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n"), latest)
     first, last = F.date_trunc("hour", F.col("first") - gap), F.date_trunc("hour", F.col("last") + gap)
     around = F.transform(F.sequence(first, last, hour), lambda h: F.date_format(h, _HOUR))
-    return spans.select("arrived", "n", around.alias("around")).collect()
+    return spans.select("arrived", "n", "latest", around.alias("around")).collect()
 
 
-# Rows for each hour or day of a batch from which on its tasks write what they have, without a shuffle for fewer files.
+# Pairs for each day of a batch from which on its tasks write what they have, without a shuffle for fewer files.
 LARGE = 250_000
 
 
-def _is_large(arrivals: list[Row], parts: int) -> bool:
-    return sum(r.n for r in arrivals) >= LARGE * max(parts, 1)
-
-
 def _put_sales(
     new_orders: DataFrame,
     new_details: DataFrame,
-    order_arrivals: list[Row],
-    line_arrivals: list[Row],
+    arrivals: list[list[Row]],
     users: Callable[[SparkSession, DataFrame], DataFrame],
     index: KeyedTable,
     orders: KeyedTable,
@@ -469,18 +457,22 @@ def _put_sales(
     Lines are joined last: orders, of which there are fewer, meet their buyers before, as in :func:`sale.sale_details`.
     """
     # Partners of lines are looked for among waiting orders, and the other way round.
-    near_orders, near_lines = ({h for r in arrivals for h in r.around} for arrivals in (order_arrivals, line_arrivals))
-    info = _with_waiting(new_orders, orders, sorted(near_lines), batch_id)
+    near_orders, near_lines = (sorted({h for r in side for h in r.around}) for side in arrivals)
+    info = _with_waiting(new_orders, orders, near_lines, batch_id)
     info = ingest_orders(info).withColumnsRenamed({"timestamp": "order_time", "is_new": "new_order"})
-    lines = _with_waiting(new_details, details, sorted(near_orders), batch_id)
+    lines = _with_waiting(new_details, details, near_orders, batch_id)
     lines = lines.withColumnsRenamed({"timestamp": "detail_time", "is_new": "new_line"})
-    hot = None if hot_lines is None else sale.hot_orders(lines, hot_lines)
-    bought = sale.add_buyer(info, users(info.sparkSession, info.select(F.col("user_id").alias("id")).distinct()), as_of)
-    joined = sale.join_hot_orders(bought, lines, hot, bound_s, of_order=sale.BUYER).where("new_order or new_line")
-    found = joined.select(*schemas.SALE_DETAIL_COLUMNS, "detail_time", "offset")
-    found = found.withColumn("index_name", index_name(prefix, F.col("detail_time").cast("date")))
-    days = {r.arrived[:10] for r in line_arrivals}
-    _put_counted(index, found, batch_id, spread=not _is_large(line_arrivals, len(days)))
+    counted = lines.select("order_id").persist()
+    try:
+        hot = None if hot_lines is None else sale.hot_orders(counted, hot_lines)
+        bought = sale.add_buyer(info, users(info.sparkSession, info.select(F.col("user_id").alias("id")).distinct()), as_of)
+        joined = sale.join_hot_orders(bought, lines, hot, bound_s, of_order=sale.BUYER).where("new_order or new_line")
+        found = joined.select(*schemas.SALE_DETAIL_COLUMNS, "detail_time", "offset")
+        found = found.withColumn("index_name", index_name(prefix, F.col("detail_time").cast("date")))
+        days = {r.arrived[:10] for r in arrivals[1]}
+        _put_counted(index, found, batch_id, spread=sum(r.n for r in arrivals[1]) < LARGE * max(len(days), 1))
+    finally:
+        counted.unpersist()
 
 
 def sale_table_job(
@@ -505,11 +497,10 @@ def sale_table_job(
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        with removing_shuffles(batch.sparkSession), _sale_sides(batch, orders, details) as sides:
-            arrivals = [_arrivals(side, bound_s) for side in sides]
-            _put_sales(*sides, *arrivals, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
-            for table, side, arrived in zip((orders, details), sides, arrivals):
-                table.write(side, batch_id, spread=not _is_large(arrived, len(arrived)))
+        with removing_shuffles(batch.sparkSession):
+            sides = _kept_sides(batch, batch_id, orders, details)
+            arrivals = [_arrivals(side, key, bound_s) for side, key in zip(sides, ("id", "order_id"))]
+            _put_sales(*sides, arrivals, users, index, orders, details, batch_id, prefix, as_of, bound_s, hot_lines)
 
     return _each_batch(sale_sides(orders_raw, details_raw), checkpoint, put)
 
